@@ -43,15 +43,25 @@ def _with_slice_facts(df: DataFrame, facts: DataFrame, group: list[str]) -> Data
 
 
 def with_position(
-    df: DataFrame, name: str, order: list[Column], group: list[str] | None = None
+    df: DataFrame,
+    name: str,
+    order: list[Column],
+    group: list[str] | None = None,
+    total: str = "_total",
 ) -> DataFrame:
-    """ROW_NUMBER of each row in its group; ``order`` must end in a unique key."""
+    """ROW_NUMBER of each row in its group, and the group's row count as ``total``.
+
+    ``order`` must end in a unique key, or equal rows take any order among them.
+    """
     group = group or []
     sliced = _sliced(df, [*[F.asc(g) for g in group], *order])
     earlier = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     sizes = sliced.groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias("_rows"))
     before = sizes.select(
-        *group, _SLICE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+        *group,
+        _SLICE,
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(W.partitionBy(*group)).alias(total),
     )
     local = F.row_number().over(W.partitionBy(*group, _SLICE).orderBy(*order))
     placed = _with_slice_facts(sliced, before, group)

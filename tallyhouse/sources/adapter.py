@@ -376,6 +376,70 @@ class DriverTables:
             )
         )
 
+    def raw_tables(self) -> dict[str, DataFrame]:
+        """Every raw table the driver data can fill."""
+        return {
+            **{SALE_SOURCES[c][0]: self.raw_sales(c) for c in CHANNELS},
+            **{RETURN_SOURCES[c][0]: self.raw_returns(c) for c in CHANNELS},
+            "customer": self.customer(),
+            "customer_address": self.customer_address(),
+            "customer_demographics": self.customer_demographics(),
+            "household_demographics": self.household_demographics(),
+            "income_band": self.income_band(),
+            "item": self.item(),
+            "store": self.store(),
+            "date_dim": self.date_dim(),
+            "inventory": self.inventory(),
+        }
+
+    # --- operation logs, from the events table -------------------------------
+
+    def _events(self) -> DataFrame:
+        second = F.date_trunc("second", F.col("ts")).cast("timestamp")
+        return self.table("events").withColumn("at", second)
+
+    def run_log(self) -> DataFrame:
+        """Start and end events of the steps of one run per user and event type."""
+        ended = "event_id % 3 <> 0"
+        return self._events().selectExpr(
+            "CONCAT('run-', CAST(user_id AS STRING), '-', event_type) AS step_run",
+            "CONCAT('batch-', CAST(CAST(at AS DATE) AS STRING)) AS batch_id",
+            "ELT(CAST(event_id % 4 + 1 AS INT), 'bronze', 'silver', 'gold', 'dq') AS layer",
+            "event_type AS step",
+            "ELT(CAST(event_id % 3 + 1 AS INT), 'started', 'success', 'failed') AS status",
+            f"IF({ended}, user_id, NULL) AS rows_in",
+            "IF(event_id % 3 = 1, user_id, NULL) AS rows_out",
+            "at AS started_at",
+            f"IF({ended}, at + MAKE_DT_INTERVAL(0, 0, 0, event_id % 60), NULL) AS ended_at",
+            f"IF({ended}, CAST(event_id % 60 AS DECIMAL(10,2)), NULL) AS duration_sec",
+            "'spark' AS tool",
+            "CONCAT('event ', CAST(event_id AS STRING)) AS message",
+        )
+
+    def dq_result(self) -> DataFrame:
+        """One batch of check results per day."""
+        return self._events().selectExpr(
+            "CONCAT('dq-', CAST(CAST(at AS DATE) AS STRING)) AS batch_id",
+            "ELT(CAST(event_id % 3 + 1 AS INT), 'bronze', 'silver', 'gold') AS suite",
+            "CONCAT('table_', CAST(user_id % 10 AS STRING)) AS table_name",
+            "event_type AS expectation",
+            "CAST(IF(event_id % 5 = 0, 0, 1) AS TINYINT) AS success",
+            "props AS observed_value",
+            "CAST(DATE_TRUNC('DAY', at) AS TIMESTAMP) AS run_at",
+        )
+
+    def perf_log(self) -> DataFrame:
+        return self._events().selectExpr(
+            "CONCAT('perf-', CAST(user_id % 8 AS STRING)) AS run_id",
+            "IF(event_id % 2 = 0, 'before', 'after') AS phase",
+            "event_type AS query_name",
+            "event_id AS iteration",
+            "CAST(value AS DECIMAL(10,3)) AS duration_sec",
+            "user_id AS rows_returned",
+            "at AS started_at",
+            "CAST(NULL AS STRING) AS notes",
+        )
+
     # --- silver dimensions ---------------------------------------------------
 
     @cached_property

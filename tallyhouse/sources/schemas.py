@@ -183,6 +183,7 @@ def columns_for(table: str) -> list[str]:
     return SCHEMAS[table].names
 
 
+LINEAGE = "_ingested_at timestamp, _source_file string, _batch_id string"
 RUN_LOG = (
     "step_run string, batch_id string, layer string, step string, status string, "
     "rows_in bigint, rows_out bigint, started_at timestamp, ended_at timestamp, "
