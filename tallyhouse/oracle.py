@@ -720,6 +720,46 @@ SELECT 'driver' AS batch_id, 'silver' AS suite, table_name, expectation, success
 FROM ({SQL["dq_suite_silver"]})"""
 
 
+def full_run_sql() -> str:
+    """The run's steps: rows loaded and built, and whether each suite passes."""
+    loads = {
+        **{SALE_SOURCES[c][0]: f"staged_sales WHERE channel = '{c}'" for c in CHANNELS},
+        **{RETURN_SOURCES[c][0]: f"staged_returns WHERE channel = '{c}'" for c in CHANNELS},
+        "customer": "customer",
+        "customer_address": "nation",
+        "customer_demographics": "range(7)",
+        "household_demographics": "range(10)",
+        "income_band": "range(5)",
+        "item": "part",
+        "store": "supplier",
+        "date_dim": "dates",
+        "inventory": "raw_stock",
+    }
+    steps = [
+        f"SELECT 'bronze' AS layer, 'load_{table}' AS step, 'success' AS status, "
+        f"COUNT(*) AS rows_in, COUNT(*) AS rows_out FROM {source}"
+        for table, source in loads.items()
+    ]
+    built = [("silver", [*SILVER_SOURCES.values()]), ("gold", MARTS)]
+    for layer, sources in built:
+        counts = " + ".join(f"(SELECT COUNT(*) FROM {source})" for source in sources)
+        steps.append(f"SELECT '{layer}', 'build_{layer}', 'success', NULL, {counts}")
+    for layer in ("bronze", "silver", "gold"):
+        suites = (("tests", BUILD_TESTS[layer]), ("dq", EXPECTATIONS[layer]))
+        for step, suite in suites:
+            checked = SQL[f"{'build_tests' if step == 'tests' else 'dq_suite'}_{layer}"]
+            checks = sum(len(c) for c in suite.values())
+            steps.append(
+                f"SELECT 'dq', '{step}_{layer}', CASE WHEN passed THEN 'success' ELSE 'failed' END, "
+                f"NULL, CASE WHEN passed THEN {checks} END "
+                f"FROM (SELECT MIN(success) = 1 AS passed FROM ({checked}))"
+            )
+    return f"SELECT 'driver' AS batch_id, * FROM ({' UNION ALL '.join(steps)})"
+
+
+SQL["full_run_steps"] = full_run_sql()
+
+
 def count_check(
     name: str, source: str, column: str, kind: str, elements: str, bad: str, mostly: float = 1.0
 ) -> str:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.quality import ChecksFailed, as_dq_result, assert_passed, check_tables
 from tallyhouse.plans import marts
@@ -16,7 +15,7 @@ from tallyhouse.plans.suites import BUILD_TESTS, EXPECTATIONS, Suite
 from tallyhouse.session import settle
 from tallyhouse.sources.delimited import load_all, load_frames
 from tallyhouse.sources.seeds import dim_channel
-from tallyhouse.sources.tables import Layers, append_log, ensure_layout, write_full
+from tallyhouse.sources.tables import Layers, append_log, each, ensure_layout, write_counted
 
 
 class WarehouseRun:
@@ -44,11 +43,11 @@ class WarehouseRun:
         names = [t.name for t in self.spark.catalog.listTables(database)]
         return {name: self.spark.table(f"{database}.{name}") for name in names}
 
-    def _write(self, layer: str, name: str, df: DataFrame) -> int:
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_full(counted, f"{getattr(self.layers, layer)}.{name}")
-        return seen.get["rows"]
+    def _write(self, layer: str, frames: dict[str, DataFrame]) -> int:
+        """Store a layer's tables; returns all rows written."""
+        database = getattr(self.layers, layer)
+        rows = each(lambda name: write_counted(frames[name], f"{database}.{name}"), frames)
+        return sum(rows.values())
 
     def check(self, layer: str, suite: Suite, step_name: str, label: str) -> None:
         """Run a suite on the stored tables and log one row per check."""
@@ -69,8 +68,7 @@ class WarehouseRun:
         bronze = self.stored("bronze")
         frames = {**silver_frames(bronze), "dim_channel": dim_channel(self.spark)}
         with self.log.step(self.batch_id, "silver", "build_silver") as step:
-            rows = {name: self._write("silver", name, df) for name, df in frames.items()}
-            step.record(rows_out=sum(rows.values()), tool="spark")
+            step.record(rows_out=self._write("silver", frames), tool="spark")
 
     def build_gold(self) -> None:
         silver = self.stored("silver")
@@ -84,8 +82,7 @@ class WarehouseRun:
                 ),
                 "mart_channel_comparison": marts.mart_channel_comparison(sales, returns, dates),
             }
-            rows = {name: self._write("gold", name, df) for name, df in frames.items()}
-            step.record(rows_out=sum(rows.values()), tool="spark")
+            step.record(rows_out=self._write("gold", frames), tool="spark")
 
     def run(self, data_dir: str | None = None, frames: dict[str, DataFrame] | None = None) -> str:
         """Load ``<table>.dat`` files or raw frames, then build and check every layer."""

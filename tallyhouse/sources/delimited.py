@@ -5,14 +5,14 @@ from __future__ import annotations
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.sources.runlog import RunLog
 from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.schemas import SCHEMAS
-from tallyhouse.sources.tables import Layers, write_full
+from tallyhouse.sources.tables import Layers, each, write_counted
 
 SMALL_BYTES = 1_000_000
 
@@ -47,10 +47,8 @@ def load_file(
         raise ValueError(f"unknown table: {table}")
     tool = load_tool(spark, path)
     rows = with_lineage(read_raw(spark, path, table), batch_id, datetime.now(UTC)).drop("_metadata")
-    seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_full(rows, f"{layers.bronze}.{table}", small=tool == "single_file")
-    return seen.get["rows"], tool
+    written = write_counted(rows, f"{layers.bronze}.{table}", small=tool == "single_file")
+    return written, tool
 
 
 def load_all(
@@ -63,22 +61,31 @@ def load_all(
 ) -> dict[str, int]:
     """Load every ``<table>.dat`` found in ``data_dir``; returns rows per loaded table."""
     log = RunLog(spark, layers.run_log)
-    counts = {}
-    for table in SCHEMAS:
-        if (include and table not in include) or (exclude and table in exclude):
-            continue
-        path = f"{data_dir}/{table}.dat"
-        try:
-            spark.read.text(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
+
+    def load(table: str) -> int:
         with log.step(batch_id, "bronze", f"load_{table}") as step:
-            rows, tool = load_file(spark, path, table, batch_id, layers)
+            rows, tool = load_file(spark, f"{data_dir}/{table}.dat", table, batch_id, layers)
             step.record(rows_in=rows, rows_out=rows, tool=tool)
-        counts[table] = rows
-    return counts
+        return rows
+
+    wanted = [
+        table
+        for table in SCHEMAS
+        if (not include or table in include)
+        and not (exclude and table in exclude)
+        and _exists(spark, f"{data_dir}/{table}.dat")
+    ]
+    return each(load, wanted)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def load_frames(
@@ -86,12 +93,11 @@ def load_frames(
 ) -> dict[str, int]:
     """Load bronze tables from frames that already have the raw columns and lineage."""
     log = RunLog(spark, layers.run_log)
-    counts = {}
-    for table, df in frames.items():
+
+    def load(table: str) -> int:
         with log.step(batch_id, "bronze", f"load_{table}") as step:
-            seen = Observation()
-            counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-            write_full(counted, f"{layers.bronze}.{table}")
-            counts[table] = seen.get["rows"]
-            step.record(rows_in=counts[table], rows_out=counts[table], tool="splits")
-    return counts
+            rows = write_counted(frames[table], f"{layers.bronze}.{table}")
+            step.record(rows_in=rows, rows_out=rows, tool="splits")
+        return rows
+
+    return each(load, frames)

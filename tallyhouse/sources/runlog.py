@@ -6,6 +6,7 @@ step run's own id keeps reruns and killed steps apart.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Iterator
@@ -16,11 +17,13 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.sources.schemas import RUN_LOG
 from tallyhouse.sources.tables import append_log
 
 MESSAGE_CHARS = 3900
+APPENDING = threading.Lock()
 
 
 @dataclass
@@ -41,7 +44,10 @@ class RunLog:
         self.table = table
 
     def _event(self, *values) -> None:
-        append_log(self.spark.createDataFrame([values], RUN_LOG), self.table)
+        fields = T.StructType.fromDDL(RUN_LOG).fields
+        row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)]
+        with APPENDING:  # appends to one folder share its commit area
+            append_log(self.spark.range(1).select(*row), self.table)
 
     @contextmanager
     def step(self, batch_id: str, layer: str, step: str) -> Iterator[Recorded]:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.sources.schemas import DQ_RESULT, LINEAGE, PERF_LOG, RUN_LOG, SCHEMAS
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -61,6 +67,20 @@ def write_full(
     writer.saveAsTable(table)
 
 
+def write_counted(df: DataFrame, table: str, **how) -> int:
+    """Full refresh that also returns the rows written, counted on the way."""
+    seen = Observation()
+    write_full(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, **how)
+    return seen.get["rows"]
+
+
+def each(work: Callable[[str], T], names: Iterable[str], at_once: int = 4) -> dict[str, T]:
+    """Run jobs for several tables at once, so small tables do not leave a cluster idle."""
+    names = list(names)
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 def append_log(df: DataFrame, table: str) -> None:
     """Append to a log table, columns matched by name; a batch of log rows is one file."""
     columns = df.sparkSession.table(table).columns
