@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 from decimal import Decimal
@@ -119,7 +120,9 @@ def rewrite_by_date_bucket(spark: SparkSession, layers: Layers) -> tuple[int, in
     bucketed = sales.withColumn(
         "date_bucket", date_bucket("sold_date_sk", low, high, BUCKET_DAYS)
     ).repartitionByRange("date_bucket", "sold_date_sk", "item_sk", "sale_order_id")
-    write_full(bucketed, f"{fact}_bucketed", partition_by=["date_bucket"])
+    folder = spark.catalog.getDatabase(layers.silver).locationUri
+    version = f"{folder}/fact_sales_bucketed_{uuid.uuid4().hex[:8]}"
+    write_full(bucketed, f"{fact}_bucketed", partition_by=["date_bucket"], path=version)
     publish(spark, f"{fact}_bucketed", fact, f"{fact}_unbucketed")
     return bounds
 

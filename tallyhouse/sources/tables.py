@@ -58,12 +58,21 @@ def ensure_layout(spark: SparkSession, layers: Layers, location: str | None = No
 
 
 def write_full(
-    df: DataFrame, table: str, small: bool = False, partition_by: list[str] | None = None
+    df: DataFrame,
+    table: str,
+    small: bool = False,
+    partition_by: list[str] | None = None,
+    path: str | None = None,
 ) -> None:
-    """Full refresh of a table. Small inputs go to one file, others keep their splits."""
+    """Full refresh of a table. Small inputs go to one file, others keep their splits.
+
+    With ``path`` the table is external: renaming it moves no files.
+    """
     writer = (df.coalesce(1) if small else df).write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(table)
 
 
@@ -88,7 +97,11 @@ def append_log(df: DataFrame, table: str) -> None:
 
 
 def publish(spark: SparkSession, new: str, table: str, keep: str) -> None:
-    """Swap ``new`` in for ``table`` by renaming; the old version stays as ``keep``."""
+    """Swap ``new`` in for ``table`` by renaming; the old version stays as ``keep``.
+
+    A partitioned table must be external: a rename does not move the partitions a
+    catalog has on record. The files of an external ``keep`` outlive its next swap.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {keep}")
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {keep}")
