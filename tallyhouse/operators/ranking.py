@@ -33,11 +33,17 @@ def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def _with_slice_facts(df: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
-    """Join per-slice facts back to the rows; NULL groups match."""
+    """Join per-slice facts back to the rows; NULL groups match.
+
+    Without groups the facts have one row per slice, so broadcasting them is bounded;
+    with groups their size decides.
+    """
     keys = [*group, _SLICE]
     renamed = facts.select(
         *[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in facts.columns if c not in keys]
     )
+    if not group:
+        renamed = F.broadcast(renamed)
     matches = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
     return df.join(renamed, matches).drop(*[f"_of_{k}" for k in keys])
 

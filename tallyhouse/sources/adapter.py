@@ -36,11 +36,26 @@ from tallyhouse.sources.schemas import SCHEMAS, field_type
 
 BATCH = "driver"
 LOADED_AT = datetime(2026, 1, 1, tzinfo=UTC)
-MONEY = "decimal(15,2)"
+# Wide enough for one line, and narrow enough that sums stay within a long.
+MONEY = "decimal(8,2)"
 
 
-def _money(expression: str) -> Column:
-    return F.expr(f"CAST({expression} AS {MONEY})")
+def _money(cents: str) -> Column:
+    return F.expr(f"CAST(({cents}) * 0.01 AS {MONEY})")
+
+
+def _hundredths(amount: str) -> Column:
+    """A double with two decimals as a whole number of hundredths."""
+    return F.expr(f"CAST(FLOOR({amount} * 100 + 0.5D) AS BIGINT)")
+
+
+def _percent_sql(cents: str, percent: str | int) -> str:
+    return f"(({cents}) * {percent} + IF({cents} < 0, -50, 50)) DIV 100"
+
+
+def _percent(cents: str, percent: str | int) -> Column:
+    """That share of an amount, halves of a cent rounded away from zero."""
+    return F.expr(_percent_sql(cents, percent))
 
 
 def _fill(df: DataFrame, table: str) -> DataFrame:
@@ -64,15 +79,36 @@ class DriverTables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def loaded(self, name: str) -> DataFrame:
+        """A table with the lineage its files give."""
         return with_lineage(self.table(name), BATCH, LOADED_AT)
 
+    def _derived(self, name: str) -> DataFrame:
+        """A table with the lineage of rows derived from it, as constants.
+
+        File metadata would be read for every row even where no query asks for it.
+        """
+        return self.table(name).select(
+            "*",
+            F.lit(BATCH).alias("_batch_id"),
+            F.lit(LOADED_AT).cast("timestamp").alias("_ingested_at"),
+            F.lit(f"{name}.parquet").alias("_source_file"),
+        )
+
     # --- order lines -------------------------------------------------------
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Spread a file with fewer splits than the session has cores over the cores.
+
+        Large inputs have more splits than cores and are read as they lie.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     @cached_property
     def _lines(self) -> DataFrame:
-        """Order lines with money as decimals. Unit prices come from the line itself."""
+        """Order lines with money in whole cents, so that rules are integer arithmetic."""
         return (
-            self.loaded("lineitem")
+            self._spread(self._derived("lineitem"))
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 "*",
@@ -82,85 +118,93 @@ class DriverTables:
                 F.expr("IF(o_orderkey % 211 = 210, NULL, o_orderkey)").alias("order_no"),
                 F.expr("IF(l_partkey % 97 = 96, NULL, l_partkey)").alias("item_sk"),
                 F.expr("CAST(l_quantity AS INT)").alias("units"),
-                _money("l_extendedprice").alias("ext_list_price"),
-                F.expr("CAST(l_discount AS DECIMAL(4,2))").alias("discount"),
-                F.expr("CAST(l_tax AS DECIMAL(4,2))").alias("tax"),
+                _hundredths("l_extendedprice").alias("list_cents"),
+                _hundredths("l_discount").alias("discount_pct"),
+                _hundredths("l_tax").alias("tax_pct"),
             )
-            .withColumn("ext_discount_amt", _money("ext_list_price * discount"))
-            .withColumn("ext_sales_price", _money("ext_list_price - ext_discount_amt"))
-            .withColumn("ext_tax", _money("ext_sales_price * tax"))
-            .withColumn("ext_wholesale_cost", _money("ext_list_price * 0.60"))
+            .withColumn("discount_cents", _percent("list_cents", "discount_pct"))
+            .withColumn("sale_cents", F.expr("list_cents - discount_cents"))
+            .withColumn("tax_cents", _percent("sale_cents", "tax_pct"))
+            .withColumn("wholesale_cents", _percent("list_cents", 60))
         )
 
     @cached_property
     def _sale_lines(self) -> DataFrame:
-        def unit(column: str) -> Column:
-            return _money(f"CAST({column} * 100 AS BIGINT) DIV units * 0.01")
-
+        """Unit prices come from the line itself, cut to cents."""
         sold = F.when(F.expr("o_orderkey % 199 <> 198"), day_key(F.col("o_orderdate")))
-        return (
-            self._lines.withColumnRenamed("order_no", "sale_order_id")
-            .withColumn(
-                "customer_sk",
-                F.expr("IF(o_orderkey % 53 = 52 OR o_custkey % 41 = 40, NULL, o_custkey)"),
-            )
-            .withColumn("sold_date_sk", sold)
-            .withColumn("ship_date_sk", day_key(F.col("l_shipdate")))
-            .withColumn("store_sk", F.col("l_suppkey"))
-            .withColumn("warehouse_sk", F.col("l_suppkey"))
-            .withColumn(
-                "quantity", F.expr("IF(o_orderkey % 157 = 156 AND l_linenumber = 2, 0, units)")
-            )
-            .withColumn("wholesale_cost", unit("ext_wholesale_cost"))
-            .withColumn("list_price", unit("ext_list_price"))
-            .withColumn(
-                "sales_price",
-                F.when(F.expr("o_orderkey % 163 = 162 AND l_linenumber = 3"), _money("-1"))
-                .otherwise(unit("ext_sales_price")),
-            )
-            .withColumn("coupon_amt", _money("0"))
-            .withColumn("ext_ship_cost", _money("ext_list_price * 0.05"))
-            .withColumn(
-                "net_paid",
-                _money(
-                    "IF(o_orderkey % 173 = 172 AND l_linenumber = 4, -ext_sales_price, "
-                    "ext_sales_price)"
+        cents = self._lines.withColumnRenamed("order_no", "sale_order_id").withColumns(
+            {
+                "ship_cents": _percent("list_cents", 5),
+                "paid_cents": F.expr(
+                    "IF(o_orderkey % 173 = 172 AND l_linenumber = 4, -sale_cents, sale_cents)"
                 ),
-            )
-            .withColumn("net_paid_inc_tax", _money("net_paid + ext_tax"))
-            .withColumn("net_paid_inc_ship", _money("net_paid + ext_ship_cost"))
-            .withColumn("net_paid_inc_ship_tax", _money("net_paid + ext_ship_cost + ext_tax"))
-            .withColumn("net_profit", _money("net_paid - ext_wholesale_cost"))
+            }
+        )
+        return cents.withColumns(
+            {
+                "customer_sk": F.expr(
+                    "IF(o_orderkey % 53 = 52 OR o_custkey % 41 = 40, NULL, o_custkey)"
+                ),
+                "sold_date_sk": sold,
+                "ship_date_sk": day_key(F.col("l_shipdate")),
+                "store_sk": F.col("l_suppkey"),
+                "warehouse_sk": F.col("l_suppkey"),
+                "quantity": F.expr("IF(o_orderkey % 157 = 156 AND l_linenumber = 2, 0, units)"),
+                "wholesale_cost": _money("wholesale_cents DIV units"),
+                "list_price": _money("list_cents DIV units"),
+                "sales_price": _money(
+                    "IF(o_orderkey % 163 = 162 AND l_linenumber = 3, -100, sale_cents DIV units)"
+                ),
+                "ext_discount_amt": _money("discount_cents"),
+                "ext_sales_price": _money("sale_cents"),
+                "ext_wholesale_cost": _money("wholesale_cents"),
+                "ext_list_price": _money("list_cents"),
+                "ext_tax": _money("tax_cents"),
+                "coupon_amt": _money("0"),
+                "ext_ship_cost": _money("ship_cents"),
+                "net_paid": _money("paid_cents"),
+                "net_paid_inc_tax": _money("paid_cents + tax_cents"),
+                "net_paid_inc_ship": _money("paid_cents + ship_cents"),
+                "net_paid_inc_ship_tax": _money("paid_cents + ship_cents + tax_cents"),
+                "net_profit": _money("paid_cents - wholesale_cents"),
+            }
         )
 
     @cached_property
     def _return_lines(self) -> DataFrame:
         returned = F.when(F.expr("o_orderkey % 181 <> 180"), day_key(F.col("l_shipdate")))
-        return (
+        cents = (
             self._lines.where("l_returnflag = 'R'")
             .withColumnRenamed("order_no", "return_order_id")
-            .withColumn("refunded_customer_sk", F.col("o_custkey"))
-            .withColumn(
-                "returning_customer_sk", F.expr("IF(channel = 'store', o_custkey, o_custkey + 1)")
-            )
-            .withColumn("store_sk", F.col("l_suppkey"))
-            .withColumn("warehouse_sk", F.col("l_suppkey"))
-            .withColumn("returned_date_sk", returned)
-            .withColumn(
-                "return_quantity",
-                F.expr("IF(o_orderkey % 149 = 148, -1, CAST(GREATEST(1, units DIV 2) AS INT))"),
+            .withColumns(
+                {
+                    "back_cents": F.expr(
+                        f"IF(o_orderkey % 167 = 166, -500, {_percent_sql('sale_cents', 50)})"
+                    ),
+                    "back_tax_cents": _percent("tax_cents", 50),
+                }
             )
-            .withColumn(
-                "return_amt", _money("IF(o_orderkey % 167 = 166, -5, ext_sales_price * 0.50)")
-            )
-            .withColumn("return_tax", _money("ext_tax * 0.50"))
-            .withColumn("return_amt_inc_tax", _money("return_amt + return_tax"))
-            .withColumn("fee", _money("0.50"))
-            .withColumn("return_ship_cost", _money("ext_list_price * 0.02"))
-            .withColumn("refunded_cash", F.col("return_amt"))
-            .withColumn("reversed_charge", _money("0"))
-            .withColumn("credit", _money("0"))
-            .withColumn("net_loss", _money("return_amt * 0.10"))
+        )
+        return cents.withColumns(
+            {
+                "refunded_customer_sk": F.col("o_custkey"),
+                "returning_customer_sk": F.expr("IF(channel = 'store', o_custkey, o_custkey + 1)"),
+                "store_sk": F.col("l_suppkey"),
+                "warehouse_sk": F.col("l_suppkey"),
+                "returned_date_sk": returned,
+                "return_quantity": F.expr(
+                    "IF(o_orderkey % 149 = 148, -1, CAST(GREATEST(1, units DIV 2) AS INT))"
+                ),
+                "return_amt": _money("back_cents"),
+                "return_tax": _money("back_tax_cents"),
+                "return_amt_inc_tax": _money("back_cents + back_tax_cents"),
+                "fee": _money("50"),
+                "return_ship_cost": _money(_percent_sql("list_cents", 2)),
+                "refunded_cash": _money("back_cents"),
+                "reversed_charge": _money("0"),
+                "credit": _money("0"),
+                "net_loss": _money(_percent_sql("back_cents", 10)),
+            }
         )
 
     def _raw(self, lines: DataFrame, channel: str, fields: list[str], source: tuple) -> DataFrame:
@@ -262,7 +306,7 @@ class DriverTables:
         )
 
     def item(self) -> DataFrame:
-        part = self.loaded("part").selectExpr(
+        part = self._derived("part").selectExpr(
             "p_partkey AS i_item_sk",
             "CONCAT('ITEM', CAST(p_partkey DIV 2 AS STRING)) AS i_item_id",
             "IF(p_partkey % 2 = 0, DATE'1995-01-01', DATE'1998-01-01') AS i_rec_start_date",
@@ -284,7 +328,7 @@ class DriverTables:
         return _fill(part, "item")
 
     def customer(self) -> DataFrame:
-        rows = self.loaded("customer").selectExpr(
+        rows = self._derived("customer").selectExpr(
             "c_custkey AS c_customer_sk",
             "CONCAT('CUST', LPAD(CAST(c_custkey AS STRING), 12, '0')) AS c_customer_id",
             "c_custkey % 7 AS c_current_cdemo_sk",
@@ -302,7 +346,7 @@ class DriverTables:
 
     def customer_address(self) -> DataFrame:
         rows = (
-            self.loaded("nation")
+            self._derived("nation")
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
             .selectExpr(
                 "n_nationkey AS ca_address_sk",
@@ -345,7 +389,7 @@ class DriverTables:
         )
 
     def store(self) -> DataFrame:
-        rows = self.loaded("supplier").selectExpr(
+        rows = self._derived("supplier").selectExpr(
             "s_suppkey AS s_store_sk",
             "CONCAT('STORE', CAST(s_suppkey DIV 2 AS STRING)) AS s_store_id",
             "DATE'1997-03-13' AS s_rec_start_date",
