@@ -14,6 +14,8 @@ import statistics
 import sys
 import time
 
+from pyspark.sql import functions as F
+
 from tallyhouse.operators import anomalies
 from tallyhouse.operators.dimensions import with_date_bucket
 from tallyhouse.plans import benchmark_queries as bq
@@ -26,16 +28,38 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 ITERATIONS = int(os.environ.get("BENCH_ITERATIONS", "3"))
 YEAR, MONTH = 2001, 1  # the given data ends before the reference's 2002-01
+# Copies of the facts and customers under shifted keys; 8 copies of sf0.1 come close to
+# the 4.9 million sales lines of the published figures.
+COPIES = int(os.environ.get("BENCH_COPIES", "1"))
+
+
+def copied(df, **shift: int):
+    """``df`` COPIES times, the named keys moved apart by their shift per copy."""
+    if COPIES == 1:
+        return df
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy")
+    moved = {
+        key: F.col(key) + F.col("copy") * F.lit(step).cast("long") for key, step in shift.items()
+    }
+    return df.select("*", numbers).withColumns(moved).drop("copy")
 
 
 def build_silver(spark, layers: Layers) -> dict[str, int]:
     driver = DriverTables(spark, FOLDER)
+    order, customer = 10**9, 10**8
     frames = {
-        "dim_customer": driver.customers,
+        "dim_customer": copied(driver.customers, customer_key=customer).withColumn(
+            "customer_id", F.concat("customer_id", F.lit("-"), F.col("customer_key"))
+        ),
         "dim_item": driver.items,
         "dim_date": driver.dates,
-        "fact_sales": driver.sales,
-        "fact_returns": driver.returns,
+        "fact_sales": copied(driver.sales, sale_order_id=order, customer_sk=customer),
+        "fact_returns": copied(
+            driver.returns,
+            return_order_id=order,
+            refunded_customer_sk=customer,
+            returning_customer_sk=customer,
+        ),
         "fact_sales__anomalies": anomalies.fact_sales_anomalies(driver.tagged_sales),
         "fact_returns__anomalies": anomalies.fact_returns_anomalies(driver.tagged_returns),
     }
@@ -106,6 +130,7 @@ def main() -> int:
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
                 "cores": CPUS,
                 "iterations": ITERATIONS,
+                "copies": COPIES,
                 "cold": cold,
                 "build_silver_sec": build_sec,
                 "silver_rows": rows,

@@ -385,6 +385,13 @@ SELECT 'run-' || user_id || '-' || event_type AS step_run,
   CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 60 AS DOUBLE) END AS duration_sec,
   'spark' AS tool, 'event ' || event_id AS message
 FROM events"""
+CTES["run_state"] = """
+SELECT * EXCLUDE (rn)
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY step_run ORDER BY
+    COALESCE(ended_at, started_at) DESC, status <> 'started' DESC, batch_id DESC, layer DESC,
+    step DESC, status DESC, rows_in DESC NULLS LAST, rows_out DESC NULLS LAST, started_at DESC,
+    ended_at DESC NULLS LAST, duration_sec DESC NULLS LAST, message DESC) AS rn FROM run_log)
+WHERE rn = 1"""
 CTES["dq_result"] = """
 SELECT 'dq-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_id,
   CASE event_id % 3 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END AS suite,
@@ -556,15 +563,11 @@ FROM sales"""
 SQL["recent_runs"] = f"""
 SELECT batch_id, layer, step, status, rows_in, rows_out, {stamp("started_at")} AS started_at,
   duration_sec, tool
-FROM run_log ORDER BY run_log.started_at DESC, batch_id, step, status, layer,
+FROM run_state ORDER BY run_state.started_at DESC, batch_id, step, status, layer,
   rows_in NULLS FIRST, rows_out NULLS FIRST, duration_sec NULLS FIRST LIMIT 50"""
 SQL["run_log_state"] = f"""
-SELECT * EXCLUDE (rn) REPLACE ({stamp("started_at")} AS started_at, {stamp("ended_at")} AS ended_at)
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY step_run ORDER BY
-    COALESCE(ended_at, started_at) DESC, status <> 'started' DESC, batch_id DESC, layer DESC,
-    step DESC, status DESC, rows_in DESC NULLS LAST, rows_out DESC NULLS LAST, started_at DESC,
-    ended_at DESC NULLS LAST, duration_sec DESC NULLS LAST, message DESC) AS rn FROM run_log)
-WHERE rn = 1"""
+SELECT * REPLACE ({stamp("started_at")} AS started_at, {stamp("ended_at")} AS ended_at)
+FROM run_state"""
 SQL["dq_latest"] = f"""
 SELECT suite, table_name, expectation, success, observed_value, {stamp("run_at")} AS run_at
 FROM dq_result WHERE batch_id = (SELECT batch_id FROM dq_result ORDER BY run_at DESC LIMIT 1)"""

@@ -315,7 +315,7 @@ def fact_sales_bucketed(d: DriverTables) -> DataFrame:
 
 @query
 def recent_runs(d: DriverTables) -> DataFrame:
-    return reports.recent_runs(d.run_log())
+    return reports.recent_runs(runlog.run_log_state(d.run_log()))
 
 
 @query

@@ -2,9 +2,11 @@ import pytest
 
 from tallyhouse.operators.quality import ChecksFailed
 from tallyhouse.plans.full_run import run_warehouse
+from tallyhouse.plans.silver import silver_frames
 from tallyhouse.sources.runlog import RunLog, run_log_state
 from tallyhouse.sources.schemas import SCHEMAS
 from tallyhouse.sources.seeds import dim_channel
+from tallyhouse.sources.tables import write_full
 
 
 def write(folder, table, *rows):
@@ -98,3 +100,25 @@ def test_seed(spark):
     assert [tuple(r) for r in dim_channel(spark).collect()] == [
         (1, "store", "Store"), (2, "catalog", "Catalog"), (3, "web", "Web"),
     ]
+
+
+def test_command_line(spark, layers, data, capsys):
+    from tallyhouse.__main__ import main
+
+    names = [f"--{layer}={getattr(layers, layer)}" for layer in ("bronze", "silver", "gold", "dq")]
+    assert main([*names, "load", "--data-dir", str(data), "--table", "item"], spark) == 0
+    assert "item" in capsys.readouterr().out
+    assert spark.table(f"{layers.bronze}.item").count() == 2
+    assert main([*names, "--batch-id", "c1", "check", "--suite", "bronze"], spark) == 0
+    write(data, "item", {"i_item_sk": 1}, {"i_item_sk": 1})
+    assert main([*names, "load", "--data-dir", str(data), "--include", "item"], spark) == 0
+    assert main([*names, "check"], spark) == 1
+    assert "item unique" in capsys.readouterr().err
+    for name in ("fact_sales", "fact_returns", "dim_item", "dim_customer", "dim_date"):
+        frame = silver_frames({t: spark.table(f"{layers.bronze}.{t}") for t in SCHEMAS})[name]
+        write_full(frame, f"{layers.silver}.{name}")
+    bench = ["bench", "--phase", "before", "--iterations", "1", "--run-id", "r1"]
+    assert main([*names, *bench], spark) == 0
+    assert spark.table(layers.perf_log).count() == 5
+    assert main([*names, "tune", "--only", "stats"], spark) == 0
+    assert "fact_sales" in capsys.readouterr().out

@@ -88,3 +88,11 @@ def test_value_checks_share_one_pass(spark):
     checked = check_tables({"t": not_null("v") + between("v", 1) + in_set("v", 1)}, tables)
     plan = checked._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (0, 10") == 1
+
+
+def test_a_sample_is_only_taken_when_asked_for(spark):
+    tables = {"t": spark.range(10000).toDF("v")}
+    whole = check_tables({"t": not_null("v")}, tables).first()
+    part = check_tables({"t": not_null("v")}, tables, fraction=0.1, seed=1).first()
+    assert whole.element_count == 10000
+    assert 800 < part.element_count < 1200
