@@ -126,8 +126,8 @@ def quintile_cuts(
     order = [F.asc("value"), F.asc(key)]
     sliced = _sliced(long, [F.asc("measure"), *order])
     sizes: dict[str, list[tuple[int, int]]] = {name: [] for name in measures}
-    counted = sliced.groupBy("measure", _SLICE).count().orderBy("measure", _SLICE)
-    for row in counted.collect():
+    counted = sliced.groupBy("measure", _SLICE).count().collect()
+    for row in sorted(counted, key=lambda row: row[_SLICE]):
         sizes[row["measure"]].append((row[_SLICE], row["count"]))
 
     wanted: dict[tuple[str, int, int], list[int]] = {}

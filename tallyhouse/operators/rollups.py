@@ -108,43 +108,51 @@ def item_top_channel(sales: DataFrame) -> DataFrame:
     return top1_per_group(units, ["item_sk"], order).select("item_sk", "channel")
 
 
-def _customer_channels(sales: DataFrame) -> DataFrame:
-    return (
-        sales.where("customer_sk IS NOT NULL")
-        .groupBy("customer_sk", "channel")
-        .agg(
-            F.min("sold_date_sk").alias("first_purchase_date_key"),
-            F.max("sold_date_sk").alias("last_purchase_date_key"),
-            F.countDistinct("sale_order_id").alias("frequency"),
-            F.sum("quantity").alias("lifetime_units"),
-            F.sum("net_paid").alias("lifetime_value"),
-        )
-    )
-
-
 def customer_sales(sales: DataFrame) -> DataFrame:
     """Lifetime totals and preferred channel of each known customer, in one scan.
 
-    An order belongs to one channel, so the distinct (channel, order) pairs of a
-    customer are the sum of its distinct orders per channel.
+    Lines are first summed per customer, channel and order; an order belongs to one
+    channel, so the rows left per customer are its distinct orders.
     """
-    return (
-        _customer_channels(sales)
-        .groupBy("customer_sk")
+    orders = (
+        sales.where("customer_sk IS NOT NULL")
+        .groupBy("customer_sk", "channel", "sale_order_id")
         .agg(
-            F.min("first_purchase_date_key").alias("first_purchase_date_key"),
-            F.max("last_purchase_date_key").alias("last_purchase_date_key"),
-            F.sum("frequency").alias("frequency"),
-            F.sum("lifetime_units").alias("lifetime_units"),
-            F.sum("lifetime_value").alias("lifetime_value"),
-            F.count(F.lit(1)).alias("channels_used"),
-            # Greatest value first, NULL values last, then channel by name.
-            F.min_by(
-                "channel",
-                F.struct(F.isnull("lifetime_value"), F.negate("lifetime_value"), F.col("channel")),
-            ).alias("preferred_channel"),
+            F.min("sold_date_sk").alias("first_day"),
+            F.max("sold_date_sk").alias("last_day"),
+            F.sum("quantity").alias("units"),
+            F.sum("net_paid").alias("paid"),
         )
     )
+    per_channel = []
+    for channel in CHANNELS:
+        here = F.col("channel") == channel
+        per_channel.append(F.sum(F.when(here, F.col("paid"))).alias(f"_paid_{channel}"))
+        per_channel.append(F.max(here).alias(f"_has_{channel}"))
+    customers = orders.groupBy("customer_sk").agg(
+        F.min("first_day").alias("first_purchase_date_key"),
+        F.max("last_day").alias("last_purchase_date_key"),
+        F.count(F.lit(1)).alias("frequency"),
+        F.sum("units").alias("lifetime_units"),
+        F.sum("paid").alias("lifetime_value"),
+        *per_channel,
+    )
+    # Greatest value first, NULL values last, then channel by name.
+    places = [
+        F.when(
+            F.col(f"_has_{c}"),
+            F.struct(
+                F.isnull(f"_paid_{c}").alias("unpaid"),
+                F.negate(f"_paid_{c}").alias("order"),
+                F.lit(c).alias("channel"),
+            ),
+        )
+        for c in CHANNELS
+    ]
+    used = sum(F.col(f"_has_{c}").cast("bigint") for c in CHANNELS)
+    return customers.withColumns(
+        {"channels_used": used, "preferred_channel": F.least(*places)["channel"]}
+    ).drop(*[f"{kind}{c}" for c in CHANNELS for kind in ("_paid_", "_has_")])
 
 
 def preferred_channel(sales: DataFrame) -> DataFrame:

@@ -16,7 +16,13 @@ from pyspark.sql import types as T
 
 from tallyhouse.operators import anomalies, dimensions, quality, rollups
 from tallyhouse.operators.quality import between, in_set, not_null, references, unique
-from tallyhouse.operators.staging import stage_returns, stage_sales
+from tallyhouse.operators.staging import (
+    CHANNELS,
+    RETURN_SOURCES,
+    SALE_SOURCES,
+    stage_returns,
+    stage_sales,
+)
 from tallyhouse.plans import benchmark_queries, marts, reports, silver, suites, tuning
 from tallyhouse.plans.full_run import run_warehouse
 from tallyhouse.session import settle, shared_dir
@@ -112,12 +118,12 @@ def stg_web_returns(d: DriverTables) -> DataFrame:
 
 @query
 def int_sales_tagged(d: DriverTables) -> DataFrame:
-    return silver.tagged_sales(d.raw_tables())
+    return silver.tagged_sales({SALE_SOURCES[c][0]: d.raw_sales(c) for c in CHANNELS})
 
 
 @query
 def int_returns_tagged(d: DriverTables) -> DataFrame:
-    return silver.tagged_returns(d.raw_tables())
+    return silver.tagged_returns({RETURN_SOURCES[c][0]: d.raw_returns(c) for c in CHANNELS})
 
 
 @query

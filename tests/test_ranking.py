@@ -97,3 +97,18 @@ def test_top1(spark):
     df = spark.createDataFrame([(1, "web", 5), (1, "store", 5), (2, "web", 1)], "g int, c string, v int")
     top = top1_per_group(df, ["g"], [F.desc("v"), F.asc("c")])
     assert sorted((r.g, r.c) for r in top.collect()) == [(1, "store"), (2, "web")]
+
+
+def test_only_slice_tables_meet_in_one_partition(spark):
+    df = frame(spark, 7, 200)
+    plans = [
+        with_rank(df, "r", "v", "k"),
+        with_position(df, "p", [F.asc("v"), F.asc("k")]),
+        with_quintiles(df, "k", {"q": F.col("v")}),
+    ]
+    for planned in plans:
+        lines = planned._jdf.queryExecution().executedPlan().toString().splitlines()
+        for number, line in enumerate(lines):
+            if "SinglePartition" in line:
+                source = next(x for x in lines[number:] if "Aggregate(" in x or "Scan" in x)
+                assert "HashAggregate(keys=[_slice" in source, source
