@@ -4,7 +4,7 @@ A window without PARTITION BY, or one whose group holds a third of all rows,
 sorts everything in one task. Here the rows are cut into ordered slices by a
 range shuffle that includes a unique key, so equal values may span slices, and
 each row's place is its place inside the slice plus the rows before the slice.
-The slice table has one row per slice and group, so joining it back is cheap.
+What is joined back has one row per slice and group.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from tallyhouse.session import settle
 
 _SLICE = "_slice"
+# Group and slice of a row as one struct: equal NULL groups match in a plain join,
+# and the window before the join already has the rows where the join needs them.
+_CELL = "_cell"
 
 
 def top1_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -32,20 +35,22 @@ def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
     return settle(ranged.withColumn(_SLICE, F.spark_partition_id()))
 
 
-def _with_slice_facts(df: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
-    """Join per-slice facts back to the rows; NULL groups match.
+def _celled(df: DataFrame, order: list[Column], group: list[str]) -> DataFrame:
+    sliced = _sliced(df, [*[F.asc(g) for g in group], *order])
+    return sliced.withColumn(_CELL, F.struct(*group, _SLICE)).drop(_SLICE)
+
 
-    Without groups the facts have one row per slice, so broadcasting them is bounded;
-    with groups their size decides.
+def _with_cell_facts(df: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
+    """Join facts about the cells back to the rows.
+
+    Without groups there is one cell per slice, so broadcasting them is bounded; with
+    groups their size decides.
     """
-    keys = [*group, _SLICE]
-    renamed = facts.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in facts.columns if c not in keys]
-    )
-    if not group:
-        renamed = F.broadcast(renamed)
-    matches = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    return df.join(renamed, matches).drop(*[f"_of_{k}" for k in keys])
+    return df.join(facts if group else F.broadcast(facts), _CELL)
+
+
+def _parts(group: list[str]) -> list[Column]:
+    return [F.col(_CELL)[g] for g in group]
 
 
 def with_position(
@@ -60,54 +65,76 @@ def with_position(
     ``order`` must end in a unique key, or equal rows take any order among them.
     """
     group = group or []
-    sliced = _sliced(df, [*[F.asc(g) for g in group], *order])
-    earlier = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    sizes = sliced.groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias("_rows"))
+    celled = _celled(df, order, group)
+    whole = W.partitionBy(*_parts(group))
+    earlier = whole.orderBy(F.col(_CELL)[_SLICE]).rowsBetween(W.unboundedPreceding, -1)
+    sizes = celled.groupBy(_CELL).agg(F.count(F.lit(1)).alias("_rows"))
     before = sizes.select(
-        *group,
-        _SLICE,
+        _CELL,
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(W.partitionBy(*group)).alias(total),
+        F.sum("_rows").over(whole).alias(total),
+    )
+    local = F.row_number().over(W.partitionBy(_CELL).orderBy(*order))
+    placed = _with_cell_facts(celled.withColumn("_local", local), before, group)
+    return placed.withColumn(name, F.col("_local") + F.col("_before")).drop(
+        "_local", "_before", _CELL
     )
-    local = F.row_number().over(W.partitionBy(*group, _SLICE).orderBy(*order))
-    placed = _with_slice_facts(sliced, before, group)
-    return placed.withColumn(name, local + F.col("_before")).drop("_before", _SLICE)
 
 
 def with_rank(
     df: DataFrame, name: str, value: str, key: str, group: list[str] | None = None
 ) -> DataFrame:
-    """RANK by ``value`` descending in each group; ``value`` not NULL, ``key`` unique."""
+    """RANK by ``value`` descending in each group; ``value`` not NULL, ``key`` unique in it."""
     group = group or []
-    sliced = _sliced(df, [*[F.asc(g) for g in group], F.desc(value), F.asc(key)])
-    inside = W.partitionBy(*group, _SLICE).orderBy(F.desc(value))
-    ranked = sliced.withColumn("_local", F.rank().over(inside))
+    celled = _celled(df, [F.desc(value), F.asc(key)], group)
+    inside = W.partitionBy(_CELL).orderBy(F.desc(value))
+    ranked = celled.withColumn("_local", F.rank().over(inside))
 
-    edges = ranked.groupBy(*group, _SLICE).agg(
+    edges = ranked.groupBy(_CELL).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.max(value).alias("_top"),
         F.min(value).alias("_low"),
         F.max("_local").alias("_low_rank"),
     )
-    in_order = W.partitionBy(*group).orderBy(_SLICE)
-    same_low = W.partitionBy(*group, "_low").orderBy(_SLICE)
-    # Rows equal to a slice's lowest value, in it and in the slices before it.
+    in_order = W.partitionBy(*_parts(group)).orderBy(F.col(_CELL)[_SLICE])
+    same_low = W.partitionBy(*_parts(group), "_low").orderBy(F.col(_CELL)[_SLICE])
+    # Rows equal to a cell's lowest value, in it and in the cells before it.
     edges = edges.withColumn(
         "_ties", F.sum(F.col("_rows") - F.col("_low_rank") + 1).over(same_low)
     )
-    # When the previous slice ends in this slice's top value, its ties rank equal.
+    # When the previous cell ends in this cell's top value, its ties rank equal.
     carried = F.lag("_low").over(in_order) == F.col("_top")
     facts = edges.select(
-        *group,
-        _SLICE,
+        _CELL,
         "_top",
         (F.sum("_rows").over(in_order) - F.col("_rows")).alias("_before"),
         F.when(carried, F.lag("_ties").over(in_order)).otherwise(0).alias("_carry"),
     )
-    placed = _with_slice_facts(ranked, facts, group)
+    placed = _with_cell_facts(ranked, facts, group)
     ties = F.when(F.col(value) == F.col("_top"), F.col("_carry")).otherwise(0)
     rank = F.col("_local") + F.col("_before") - ties
-    return placed.withColumn(name, rank).drop("_local", "_before", "_carry", "_top", _SLICE)
+    return placed.withColumn(name, rank).drop("_local", "_before", "_carry", "_top", _CELL)
+
+
+def with_ranks(df: DataFrame, value: str, key: str, scopes: dict[str, str | None]) -> DataFrame:
+    """Several ranks by ``value``: one per name, over all rows or within a column's groups.
+
+    Each row enters once per scope, so all ranks share one range shuffle of narrow
+    rows. ``df`` is read twice and should be settled.
+    """
+    entries = [
+        F.struct(
+            F.lit(name).alias("scope"),
+            (F.col(column) if column else F.lit(None)).cast("string").alias("part"),
+        )
+        for name, column in scopes.items()
+    ]
+    entered = df.select(key, value, F.inline(F.array(*entries)))
+    ranked = with_rank(entered, "_rank", value, key, ["scope", "part"])
+    per_key = ranked.groupBy(key).agg(
+        *[F.max(F.when(F.col("scope") == name, F.col("_rank"))).alias(name) for name in scopes]
+    )
+    return df.join(per_key, key)
 
 
 def quintile_cuts(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import ratio, zero_if_null
 from tallyhouse.operators import rollups
-from tallyhouse.operators.ranking import with_quintiles, with_rank
+from tallyhouse.operators.ranking import with_quintiles, with_ranks
 from tallyhouse.session import settle
 
 # --- fixed values: segments, the first matching rule wins ---------------------
@@ -133,13 +133,8 @@ def mart_product_analytics(sales: DataFrame, returns: DataFrame, items: DataFram
             "top_channel",
         )
     )
-    totals = settle(totals)
-    revenue = totals.select("item_key", "category", "gross_revenue")
-    overall = with_rank(revenue, "rank_by_revenue", "gross_revenue", "item_key")
-    in_category = with_rank(revenue, "rank_in_category", "gross_revenue", "item_key", ["category"])
-    return totals.join(overall.select("item_key", "rank_by_revenue"), "item_key").join(
-        in_category.select("item_key", "rank_in_category"), "item_key"
-    )
+    ranks = {"rank_by_revenue": None, "rank_in_category": "category"}
+    return with_ranks(settle(totals), "gross_revenue", "item_key", ranks)
 
 
 def rfm_scores(sales: DataFrame, dates: DataFrame) -> DataFrame:

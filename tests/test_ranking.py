@@ -4,7 +4,13 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.ranking import top1_per_group, with_position, with_quintiles, with_rank
+from tallyhouse.operators.ranking import (
+    top1_per_group,
+    with_position,
+    with_quintiles,
+    with_rank,
+    with_ranks,
+)
 
 pytestmark = pytest.mark.usefixtures("many_slices")
 
@@ -66,6 +72,17 @@ def test_rank_equals_plain_window(spark, group, hot):
     assert ranked.count() == 400
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.4, 1.0])
+def test_ranks_of_several_scopes(spark, hot):
+    df = frame(spark, 8, 300, hot=hot)
+    ranked = with_ranks(df, "v", "k", {"overall": None, "inside": "g"})
+    wanted = df.withColumn("overall", F.rank().over(W.orderBy(F.desc("v")))).withColumn(
+        "inside", F.rank().over(W.partitionBy("g").orderBy(F.desc("v")))
+    )
+    assert ranked.select("k", "v", "g", "overall", "inside").exceptAll(wanted).isEmpty()
+    assert ranked.count() == 300
+
+
 def test_rank_shares_ties(spark):
     df = spark.createDataFrame([(1, 10), (2, 10), (3, 5)], "k long, v long")
     assert sorted((r.k, r.r) for r in with_rank(df, "r", "v", "k").collect()) == [(1, 1), (2, 1), (3, 3)]
@@ -111,4 +128,4 @@ def test_only_slice_tables_meet_in_one_partition(spark):
         for number, line in enumerate(lines):
             if "SinglePartition" in line:
                 source = next(x for x in lines[number:] if "Aggregate(" in x or "Scan" in x)
-                assert "HashAggregate(keys=[_slice" in source, source
+                assert "HashAggregate(keys=[_cell" in source, source
