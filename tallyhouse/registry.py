@@ -539,7 +539,8 @@ def dq_result_rows(d: DriverTables) -> DataFrame:
 def full_run_steps(d: DriverTables) -> DataFrame:
     """A whole run over the driver data into its own databases in the shared folder.
 
-    The data is dirty on purpose, so the gates are logged but do not stop the run.
+    The data is dirty on purpose, so the gates are logged but do not stop the run. The
+    databases are dropped again once the step log is kept.
     """
     tag = uuid.uuid4().hex[:8]
     layers = Layers(*[f"{layer}_{tag}" for layer in ("bronze", "silver", "gold", "dq")])
@@ -552,7 +553,10 @@ def full_run_steps(d: DriverTables) -> DataFrame:
         location=shared_dir(d.spark),
     )
     state = runlog.run_log_state(d.spark.table(layers.run_log))
-    return state.select("batch_id", "layer", "step", "status", "rows_in", "rows_out")
+    kept = settle(state.select("batch_id", "layer", "step", "status", "rows_in", "rows_out"))
+    for database in layers.names():
+        d.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return kept
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
