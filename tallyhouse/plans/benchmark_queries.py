@@ -81,23 +81,39 @@ def returns_rate_by_brand(
 ) -> DataFrame:
     """Units sold and returned per brand over the line-level join of sales and returns.
 
-    The join on (item, order) repeats a sale line for each return line of its key
-    and the other way round. Its sums follow from per-key totals, so no pair is
-    ever built: units sold count max(1, return lines) times, units returned count
-    once per sale line.
+    The left join on (item, order) repeats a sale line for each return line of its key
+    and the other way round. Its sums follow from per-key totals: units sold count
+    max(1, return lines) times, units returned once per sale line. The totals come from
+    one grouping of both kinds of lines, so no pair is built and nothing is joined.
     """
-    key = ["item_sk", "order_id"]
-    sold = sales.groupBy("item_sk", F.col("sale_order_id").alias("order_id")).agg(
-        F.sum("quantity").alias("sold"), F.count(F.lit(1)).alias("sale_lines")
+    none = F.lit(None).cast("bigint")
+    sold = sales.select(
+        "item_sk",
+        F.col("sale_order_id").alias("order_id"),
+        F.col("quantity").cast("bigint").alias("sold"),
+        F.lit(1).alias("sale_lines"),
+        none.alias("returned"),
+        F.lit(0).alias("return_lines"),
     )
-    returned = returns.groupBy("item_sk", F.col("return_order_id").alias("order_id")).agg(
-        F.sum("return_quantity").alias("returned"), F.count(F.lit(1)).alias("return_lines")
+    returned = returns.dropna(subset=["item_sk", "return_order_id"]).select(
+        "item_sk",
+        F.col("return_order_id").alias("order_id"),
+        none.alias("sold"),
+        F.lit(0).alias("sale_lines"),
+        F.col("return_quantity").cast("bigint").alias("returned"),
+        F.lit(1).alias("return_lines"),
+    )
+    totals = ["sold", "sale_lines", "returned", "return_lines"]
+    per_key = (
+        sold.unionByName(returned)
+        .groupBy("item_sk", "order_id")
+        .agg(*[F.sum(total).alias(total) for total in totals])
     )
     per_item = (
-        sold.join(returned, key, "left")
+        per_key.where("sale_lines > 0")
         .groupBy("item_sk")
         .agg(
-            F.sum(F.col("sold") * F.coalesce("return_lines", F.lit(1))).alias("units_sold"),
+            F.sum(F.col("sold") * F.greatest("return_lines", F.lit(1))).alias("units_sold"),
             F.sum(F.col("returned") * F.col("sale_lines")).alias("units_returned"),
         )
     )

@@ -172,7 +172,8 @@ def test_returns_fan_out(spark):
         ("store", 2, 1, 1, 0, 4, "10"),
     )
     returns = spark.createDataFrame(
-        [("store", 1, 1, 0, 2, D(1)), ("store", 1, 1, 0, None, D(1)), ("web", 7, 1, 0, 5, D(1))],
+        [("store", 1, 1, 0, 2, D(1)), ("store", 1, 1, 0, None, D(1)), ("web", 7, 1, 0, 5, D(1)),
+         ("web", None, 1, 0, 5, D(1))],
         RETURNS,
     )
     items = items_of(spark, (1, "a", 1))
