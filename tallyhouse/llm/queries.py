@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import linededup, mixing
+from tallyhouse.llm import linededup, mixing, packing
 from tallyhouse.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,12 +20,18 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(documents(spark, sf_dir), path)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_packing": op2_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
