@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import linededup, mixing, packing
+from tallyhouse.llm import linededup, minhash, mixing, packing
 from tallyhouse.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), path)
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(documents(spark, sf_dir))
 
@@ -32,6 +36,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op4_minhash": op4_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -103,4 +108,46 @@ SELECT doc_id, max(n_lines)::BIGINT AS n_lines,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op10_line_dedup": OP10_SQL}
+# Components of a relation links(a, b): every id with the ids it reaches.
+REACHED = """
+ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT a AS id, b AS other FROM ends
+  UNION
+  SELECT r.id, e.b FROM reached r JOIN ends e ON r.other = e.a
+)
+"""
+
+OP4_SQL = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(
+    CASE WHEN len(ws) = 0 THEN []::VARCHAR[]
+      WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END
+  ) AS items
+  FROM worded
+), flat AS (
+  SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS common
+  FROM flat x JOIN flat y ON x.item = y.item AND x.doc_id < y.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * common >= 75 * (na + nb - common)
+), {REACHED}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM (
+  SELECT s.doc_id, any_value(len(s.items))::BIGINT AS n_shingles,
+    least(s.doc_id, min(r.other)) AS component_id
+  FROM sets s LEFT JOIN reached r ON r.id = s.doc_id GROUP BY s.doc_id
+)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
+    "op4_minhash": OP4_SQL,
+    "op10_line_dedup": OP10_SQL,
+}
