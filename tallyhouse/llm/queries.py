@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import linededup, minhash, mixing, packing
-from tallyhouse.llm.common import documents
+from tallyhouse.llm import lattice, linededup, minhash, mixing, packing
+from tallyhouse.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), path)
 
 
+def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -36,6 +40,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_lattice": op3_lattice,
     "op4_minhash": op4_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -118,6 +123,26 @@ reached AS (
 )
 """
 
+OP3_SQL = f"""
+WITH RECURSIVE wide AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT * FROM wide WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+  ON x.vec_id < y.vec_id AND list_cosine_similarity(x.v, y.v) >= {lattice.LEAST}
+), {REACHED}, counted AS (
+  SELECT a AS id, count(*) AS n FROM ends GROUP BY a
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM (
+  SELECT w.vec_id, coalesce(any_value(c.n), 0)::BIGINT AS n_links,
+    least(w.vec_id, min(r.other)) AS component_id
+  FROM wide w LEFT JOIN reached r ON r.id = w.vec_id LEFT JOIN counted c ON c.id = w.vec_id
+  GROUP BY w.vec_id
+)
+"""
+
 OP4_SQL = f"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
@@ -148,6 +173,7 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM (
 
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
+    "op3_lattice": OP3_SQL,
     "op4_minhash": OP4_SQL,
     "op10_line_dedup": OP10_SQL,
 }
