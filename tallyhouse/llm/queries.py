@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import lattice, linededup, minhash, mixing, packing
+from tallyhouse.llm import lattice, linededup, minhash, mixing, neighbours, packing
 from tallyhouse.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors["vec_id"] % 20 == 0)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(documents(spark, sf_dir))
 
@@ -42,6 +47,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_lattice": op3_lattice,
     "op4_minhash": op4_minhash,
+    "op7_neighbours": op7_neighbours,
     "op10_line_dedup": op10_line_dedup,
 }
 
