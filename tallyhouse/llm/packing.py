@@ -38,7 +38,8 @@ from tallyhouse.session import settle
 
 CAPACITY = 1024
 END_ID = 2
-CACHED = 1_000_000  # words a worker remembers
+CACHED = 600_000  # words a worker remembers
+SLICE = 1_000_000  # characters of text that are cut into words at once
 
 # A single space between two other characters: the tokenizer always begins a word there.
 # Some characters count as white space here and not there; they only make longer chunks.
@@ -84,6 +85,17 @@ def _learn(path: str, words: list[str], known: dict[str, bytes]) -> None:
             known[word] = ids[begin:end].tobytes()
 
 
+def sliced(texts: pd.Series) -> Iterator[pd.Series]:
+    """Rows in turn, so many that their texts have ``SLICE`` characters, or a single one."""
+    ends = texts.str.len().cumsum().to_numpy()
+    begin = 0
+    while begin < len(texts):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        yield texts.iloc[begin:end]
+        begin = end
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
@@ -131,7 +143,8 @@ def pieces(
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for doc_id, ids in zip(frame["doc_id"], encode(list(frame["text"]), tokenizer_path), strict=True):
+            encoded = (ids for some in sliced(frame["text"]) for ids in encode(list(some), tokenizer_path))
+            for doc_id, ids in zip(frame["doc_id"], encoded, strict=True):
                 ids += end
                 total = len(ids) // 4
                 begin, piece = 0, 0
