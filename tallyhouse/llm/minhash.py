@@ -69,8 +69,8 @@ def _spans(values: np.ndarray, base: int, begin: np.ndarray, end: np.ndarray) ->
     return (sums[end] - sums[begin]) * back[begin]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of texts that lie one after another, and how many each text has.
+def spans_of_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Where words begin and end in texts that lie one after another, and words per text.
 
     ``data``: the bytes; ``offsets``: where texts begin, and the end.
     """
@@ -81,9 +81,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin = np.flatnonzero(solid & (~before | edge[:-1]))
     after = np.concatenate([solid[1:], [False]])
     end = np.flatnonzero(solid & (~after | edge[1:])) + 1
-    hashes = mixed(_spans(_LETTERS[data], _BASE, begin, end))
-    counts = np.diff(np.searchsorted(begin, offsets))
-    return hashes, counts
+    return begin, end, np.diff(np.searchsorted(begin, offsets))
+
+
+def word_hashes(
+    data: np.ndarray, begin: np.ndarray, end: np.ndarray, letters: np.ndarray = _LETTERS
+) -> np.ndarray:
+    return mixed(_spans(letters[data], _BASE, begin, end))
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and how many each text has."""
+    begin, end, counts = spans_of_words(data, offsets)
+    return word_hashes(data, begin, end), counts
 
 
 def shingles(hashes: np.ndarray) -> np.ndarray:

@@ -5,14 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from tallyhouse.llm import lattice, linededup, minhash, mixing, neighbours, packing
-from tallyhouse.llm.common import documents, table
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import (
+    language,
+    lattice,
+    licenses,
+    linededup,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    toxicity,
+)
+from tallyhouse.llm.common import documents, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def held_out(docs: DataFrame, modulus: int, kept_back: int) -> Column:
+    """Whether a document is in the fold that nothing is learnt from; a null id is not."""
+    return F.coalesce(remainder(docs["doc_id"], modulus) == kept_back, F.lit(False))
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     return mixing.mix(docs, keep=["doc_id"]).select(
@@ -33,11 +50,37 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = docs.withColumn("held_out", held_out(docs, 4, 2))
+    return toxicity.score(
+        docs, docs.where(~docs["held_out"]), table(spark, sf_dir, "labels"), extra=["doc_id", "held_out"]
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", held_out(docs, 3, 1))
+    learnt = language.profiles(docs.where(~docs["held_out"]))
+    return language.identify(docs, learnt, extra=["doc_id", "held_out"])
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors["vec_id"] % 20 == 0)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = docs.withColumn("held_out", held_out(docs, 3, 1))
+    weights = quality.fit(docs.where(~docs["held_out"]), table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights, extra=["doc_id", "held_out"])
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(documents(spark, sf_dir))
 
@@ -47,7 +90,11 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_lattice": op3_lattice,
     "op4_minhash": op4_minhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_language": op6_language,
     "op7_neighbours": op7_neighbours,
+    "op8_quality": op8_quality,
+    "op9_licenses": op9_licenses,
     "op10_line_dedup": op10_line_dedup,
 }
 
