@@ -37,6 +37,17 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def named(out: DataFrame, docs: DataFrame, extra: list[str]) -> DataFrame:
+    """Columns ``c0``, ``c1``... of ``out`` under the names of ``extra``, then its others,
+    with a tail where one of ``extra`` has their name."""
+    added = out.columns[len(extra) :]
+    names = fresh(docs.select(*[column(docs, name) for name in extra]), *added)
+    return out.select(
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(extra)],
+        *[F.col(old).alias(new) for old, new in zip(added, names, strict=True)],
+    )
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo: the folds that the contracts name."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import column
+from tallyhouse.llm.common import column, named
 
 TOP = 300
 UNKNOWN = "und"
@@ -171,4 +171,4 @@ def identify(
     )
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texted.schema[:-1])
     out = texted.mapInPandas(judged, f"{types}, lang_pred string, score double")
-    return out.withColumnsRenamed({f"c{i}": name for i, name in enumerate(extra)})
+    return named(out, docs, extra)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import column
+from tallyhouse.llm.common import column, named
 from tallyhouse.llm.minhash import mixed, spans_of_words, word_hashes
 from tallyhouse.llm.toxicity import clean_labels
 from tallyhouse.session import settle
@@ -49,8 +49,13 @@ _KIND[ord("0") : ord("9") + 1] = 2
 _KIND[128:] = 3
 
 
-def shapes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """A number per word: its kinds of characters, first kind, last character, repetition."""
+def shapes(
+    data: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray, firsts: np.ndarray
+) -> np.ndarray:
+    """A number per word: its kinds of characters, first kind, last character, repetition.
+
+    ``firsts``: which words begin a text and so repeat none.
+    """
     if not len(begin):
         return np.zeros(0, dtype=np.uint64)
     bit = np.left_shift(1, _KIND[data], dtype=np.uint64)
@@ -59,7 +64,9 @@ def shapes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndar
     if end[-1] == len(data):
         kinds[-1] = np.bitwise_or.reduce(bit[begin[-1] :])
     last = np.where(_KIND[data[end - 1]] == 4, data[end - 1], _KIND[data[end - 1]]).astype(np.uint64)
-    again = np.concatenate([[False], hashes[1:] == hashes[:-1]]).astype(np.uint64)
+    again = np.concatenate([[False], hashes[1:] == hashes[:-1]])
+    again[firsts] = False
+    again = again.astype(np.uint64)
     first = _KIND[data[begin]].astype(np.uint64)
     return mixed(kinds | first << np.uint64(8) | last << np.uint64(16) | again << np.uint64(32))
 
@@ -68,14 +75,14 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterato
     """``(buckets, values)`` of each text; texts lie one after another in ``data``."""
     begin, end, counts = spans_of_words(data, offsets)
     words = word_hashes(data, begin, end, _LETTERS)
-    shape = shapes(data, begin, end, words)
+    stops = np.cumsum(counts)
+    shape = shapes(data, begin, end, words, (stops - counts)[counts > 0])
     pairs = words[:-1] * _TIMES[1] + words[1:] * _TIMES[2]
     two = shape[:-1] * _TIMES[3] + shape[1:] * _TIMES[4]
     three = two[:-1] + shape[2:] * _TIMES[5]
     grams = [words, mixed(pairs), mixed(shape * _TIMES[6]), mixed(two), mixed(three * _TIMES[7])]
     grams = [(g >> np.uint64(64 - bits)).astype(np.int32) for g in grams]
     sizes = [1, 2, 1, 2, 3]
-    stops = np.cumsum(counts)
     for stop, count in zip(stops, counts, strict=True):
         parts = [g[stop - count : stop - n + 1] for g, n in zip(grams, sizes, strict=True) if count >= n]
         if not parts:
@@ -137,9 +144,9 @@ def fit(
     known = docs.select(
         column(docs, id_col).cast("long").alias("id"), column(docs, text_col).cast("binary").alias("text")
     )
-    named = clean_labels(labels, label_id_col, label_col)
-    named = named.join(known.select("id").distinct(), "id", "left_semi")
-    drawn = settle(named.orderBy(F.xxhash64("id"), "id").limit(sample))
+    marks = clean_labels(labels, label_id_col, label_col)
+    marks = marks.join(known.select("id").distinct(), "id", "left_semi")
+    drawn = settle(marks.orderBy(F.xxhash64("id"), "id").limit(sample))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,4 +215,4 @@ def score(
     )
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texted.schema[:-1])
     out = texted.mapInArrow(scored, f"{types}, score double, predicted int")
-    return out.withColumnsRenamed({f"c{i}": name for i, name in enumerate(extra)})
+    return named(out, docs, extra)

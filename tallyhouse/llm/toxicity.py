@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import minhash
-from tallyhouse.llm.common import column
+from tallyhouse.llm.common import column, named
 from tallyhouse.session import settle
 
 EXAMPLES = 8000  # of each label
@@ -124,7 +124,7 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return at, np.repeat(np.clip(rates, 0, 1), 2)
 
 
-def draw(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, float]]:
+def draw(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, float]]:
     """At most ``most`` labelled ids of each label by hash, and how many of each one stands for.
 
     ``labels``: ``id label`` with one row per id. Ids alone are drawn, so this is one sort of
@@ -208,10 +208,10 @@ def score(
     ``training`` are the documents that may be learnt from.
     """
     spark = docs.sparkSession
-    named = clean_labels(labels, label_id_col, label_col)
+    marked = clean_labels(labels, label_id_col, label_col)
     known = training.select(column(training, id_col).cast("long").alias("id"), column(training, text_col).alias("text"))
-    named = settle(named.join(known.select("id").distinct(), "id", "left_semi"))
-    drawn, stands_for = draw(known, named, examples)
+    marked = settle(marked.join(known.select("id").distinct(), "id", "left_semi"))
+    drawn, stands_for = draw(marked, examples)
     texts = known.join(settle(drawn), "id").select("id", "label", F.coalesce("text", F.lit("")).alias("text"))
     texts = settle(_without_copies(settle(texts)))
     vocabulary = choose_words(texts)
@@ -299,4 +299,4 @@ def score(
 
     shape = "array<struct<id: long, cosine: double, label: int>>"
     out = texted.mapInPandas(judged, f"{types}, score double, predicted int, evidence {shape}")
-    return out.withColumnsRenamed({f"c{i}": name for i, name in enumerate(extra)})
+    return named(out, docs, extra)
