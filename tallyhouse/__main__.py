@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import argparse
 import sys
-import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +52,11 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     return parser.parse_args(arguments)
 
 
+def new_id(of: str) -> str:
+    """An id that sorts by the time it was given."""
+    return f"{of}-{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
+
+
 def benchmark_plans(spark: SparkSession, layers: Layers) -> dict:
     silver = {t.name: f"{layers.silver}.{t.name}" for t in spark.catalog.listTables(layers.silver)}
     table = {name: spark.table(path) for name, path in silver.items()}
@@ -71,13 +76,12 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     spark = spark or SparkSession.builder.appName("tallyhouse").getOrCreate()
     layers = Layers(args.bronze, args.silver, args.gold, args.dq)
     ensure_layout(spark, layers)
-    batch = args.batch_id or f"{args.command}-{uuid.uuid4().hex[:8]}"
+    batch = args.batch_id or new_id(args.command)
     try:
         if args.command == "load":
             include = {args.table} if args.table else set(args.include or ()) or None
             counts = load_all(spark, args.data_dir, batch, layers, include, set(args.exclude))
-            for table, rows in counts.items():
-                print(f"{table:30s} {rows:>12,} rows")
+            print("\n".join(f"{table}: {rows} rows" for table, rows in sorted(counts.items())))
         elif args.command == "check":
             suite = EXPECTATIONS[args.suite]
             WarehouseRun(spark, layers, batch).check(
@@ -87,13 +91,13 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             WarehouseRun(spark, layers, batch).run(args.data_dir)
         elif args.command == "bench":
             plans = benchmark_plans(spark, layers)
-            run_id = args.run_id or f"perf-{uuid.uuid4().hex[:8]}"
+            run_id = args.run_id or new_id("perf")
             tuning.benchmark(spark, plans, layers, run_id, args.phase, args.iterations)
             print(f"run id {run_id}")
         else:
             if args.only in ("stats", "both"):
                 for table, outcome in tuning.collect_statistics(spark, layers).items():
-                    print(f"{table:30s} {outcome}")
+                    print(f"{table}: {outcome}")
             if args.only in ("buckets", "both"):
                 print("buckets from %d to %d" % tuning.rewrite_by_date_bucket(spark, layers))
     except ChecksFailed as failed:

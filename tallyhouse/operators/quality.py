@@ -1,8 +1,9 @@
 """Data-quality checks counted on whole tables.
 
-All value checks of a table share one aggregate pass. Uniqueness and references
-first count rows per key, so a key with a third of all rows is one row from then
-on. NULLs are bad for ``not_null`` only; every other check leaves them out.
+All checks of a table share one pass over it. A table with key checks is counted per
+(check, key), value checks having one key, so a key with a third of all rows is one row
+after the first counting; parents join their own keys there. NULLs are bad for
+``not_null`` only; every other check leaves them out.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+KEYED = ("unique", "references")
+
+
 @dataclass(frozen=True)
 class Check:
     kind: str  # not_null, unique, in_set, between, references
@@ -64,91 +68,95 @@ def _unexpected(check: Check) -> Column:
     return too_low | too_high
 
 
+def _flags(check: Check) -> tuple[Column, Column]:
+    """Whether a row counts for a check, and whether its value is unexpected."""
+    scope = F.expr(check.where) if check.where else F.lit(True)
+    seen = scope if check.kind == "not_null" else scope & F.col(check.column).isNotNull()
+    bad = F.lit(False) if check.kind in KEYED else scope & _unexpected(check)
+    return F.coalesce(seen, F.lit(False)), F.coalesce(bad, F.lit(False))
+
+
 def _value_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = []
+    """``check_no element_count unexpected_count`` of value checks, from one aggregate."""
+    counts, rows = [], []
     for i, check in enumerate(checks):
-        scope = F.expr(check.where) if check.where else F.lit(True)
-        seen = scope if check.kind == "not_null" else scope & F.col(check.column).isNotNull()
-        counts.append(F.count_if(seen).alias(f"e{i}"))
-        counts.append(F.count_if(scope & _unexpected(check)).alias(f"u{i}"))
-    rows = [
-        F.struct(
-            F.lit(i).alias("check_no"),
-            F.col(f"e{i}").alias("element_count"),
-            F.col(f"u{i}").alias("unexpected_count"),
+        seen, bad = _flags(check)
+        counts += [F.count_if(seen).alias(f"e{i}"), F.count_if(bad).alias(f"u{i}")]
+        rows.append(
+            F.struct(
+                F.lit(i).alias("check_no"),
+                F.col(f"e{i}").alias("element_count"),
+                F.col(f"u{i}").alias("unexpected_count"),
+            )
         )
-        for i in range(len(checks))
-    ]
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def _key_counts(df: DataFrame, column: str) -> DataFrame:
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+def _keyed_counts(
+    df: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
+) -> DataFrame:
+    """The same with key checks among them: rows are counted per check and key."""
+    entries, parents = [], []
+    for i, check in enumerate(checks):
+        seen, bad = _flags(check)
+        key = F.col(check.column) if check.kind in KEYED else F.lit(None)
+        entries.append(
+            F.struct(
+                F.lit(i).alias("check_no"),
+                key.cast("string").alias("key"),
+                seen.alias("seen"),
+                bad.alias("bad"),
+            )
+        )
+        if check.kind == "references":
+            table, name = check.parent
+            same_type = F.col(name).cast(df.schema[check.column].dataType).cast("string")
+            parents.append(tables[table].select(F.lit(i).alias("check_no"), same_type.alias("key")))
+    counted = (
+        df.select(F.inline(F.array(*entries)))
+        .groupBy("check_no", "key")
+        .agg(F.count_if("seen").alias("rows"), F.count_if("bad").alias("bad"))
     )
-
-
-def _total(keyed: DataFrame, bad: Column) -> DataFrame:
-    return keyed.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("element_count"),
-        F.coalesce(F.sum(F.when(bad, F.col("rows"))), F.lit(0)).alias("unexpected_count"),
+    kinds = F.array(*[F.lit(check.kind) for check in checks])[F.col("check_no")]
+    wrong = F.when((kinds == "unique") & (F.col("rows") > 1), F.col("rows"))
+    if parents:
+        known = reduce(DataFrame.unionByName, parents).where("key IS NOT NULL").distinct()
+        counted = counted.join(known.withColumn("known", F.lit(True)), ["check_no", "key"], "left")
+        wrong = wrong.when((kinds == "references") & F.col("known").isNull(), F.col("rows"))
+    return counted.groupBy("check_no").agg(
+        F.sum("rows").alias("element_count"),
+        F.sum(wrong.otherwise(F.col("bad"))).alias("unexpected_count"),
     )
 
 
-def _unique_counts(df: DataFrame, check: Check) -> DataFrame:
-    """Every row of a repeated key counts."""
-    return _total(_key_counts(df, check.column), F.col("rows") > 1)
-
-
-def _reference_counts(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
-    known = parent.select(F.col(check.parent[1]).alias("parent_key")).distinct()
-    keyed = _key_counts(df, check.column)
-    matched = keyed.join(known, F.col("key") == F.col("parent_key"), "left")
-    return _total(matched, F.col("parent_key").isNull())
-
-
 def check_table(name: str, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check of table ``name``."""
     df = tables[name]
-    values = [c for c in checks if c.kind not in ("unique", "references")]
+    if any(check.kind in KEYED for check in checks):
+        counted = _keyed_counts(df, checks, tables)
+    else:
+        counted = _value_counts(df, checks)
     described = [
         F.struct(
+            F.lit(i).alias("check_no"),
             F.lit(name).alias("table_name"),
-            F.lit(c.column).alias("column_name"),
-            F.lit(c.kind).alias("expectation"),
-            F.lit(c.mostly).alias("mostly"),
+            F.lit(check.column).alias("column_name"),
+            F.lit(check.kind).alias("expectation"),
+            F.lit(check.mostly).alias("mostly"),
         )
-        for c in values
+        for i, check in enumerate(checks)
     ]
-    parts = []
-    if values:
-        counted = _value_counts(df, values)
-        about = F.array(*described)[F.col("check_no")]
-        parts.append(
-            counted.select(about.alias("about"), "element_count", "unexpected_count").select(
-                "about.*", "element_count", "unexpected_count"
-            )
-        )
-    for c in checks:
-        if c.kind == "unique":
-            counted = _unique_counts(df, c)
-        elif c.kind == "references":
-            counted = _reference_counts(df, c, tables[c.parent[0]])
-        else:
-            continue
-        parts.append(
-            counted.select(
-                F.lit(name).alias("table_name"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.kind).alias("expectation"),
-                F.lit(c.mostly).alias("mostly"),
-                "element_count",
-                "unexpected_count",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    # A table without rows has no counts, but each of its checks has a verdict.
+    about = df.sparkSession.range(1).select(F.inline(F.array(*described)))
+    none = F.lit(0).cast("bigint")
+    return about.join(counted, "check_no", "left").select(
+        "table_name",
+        "column_name",
+        "expectation",
+        "mostly",
+        F.coalesce("element_count", none).alias("element_count"),
+        F.coalesce("unexpected_count", none).alias("unexpected_count"),
+    )
 
 
 def check_tables(
@@ -186,7 +194,7 @@ def as_dq_result(checked: DataFrame, suite: str, batch_id: str, run_at) -> DataF
         "table_name",
         "expectation",
         "success",
-        F.substring(observed, 1, 3900).alias("observed_value"),
+        observed.alias("observed_value"),
         F.lit(run_at.replace(microsecond=0)).cast("timestamp").alias("run_at"),
     )
 

@@ -9,8 +9,6 @@ What is joined back has one row per slice and group.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,9 +33,8 @@ def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
     return settle(ranged.withColumn(_SLICE, F.spark_partition_id()))
 
 
-def _celled(df: DataFrame, order: list[Column], group: list[str]) -> DataFrame:
-    sliced = _sliced(df, [*[F.asc(g) for g in group], *order])
-    return sliced.withColumn(_CELL, F.struct(*group, _SLICE)).drop(_SLICE)
+def _celled(sliced: DataFrame, group: list[str]) -> DataFrame:
+    return sliced.withColumn(_CELL, F.struct(*group, _SLICE))
 
 
 def _with_cell_facts(df: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
@@ -65,7 +62,7 @@ def with_position(
     ``order`` must end in a unique key, or equal rows take any order among them.
     """
     group = group or []
-    celled = _celled(df, order, group)
+    celled = _celled(_sliced(df, [*[F.asc(g) for g in group], *order]), group).drop(_SLICE)
     whole = W.partitionBy(*_parts(group))
     earlier = whole.orderBy(F.col(_CELL)[_SLICE]).rowsBetween(W.unboundedPreceding, -1)
     sizes = celled.groupBy(_CELL).agg(F.count(F.lit(1)).alias("_rows"))
@@ -85,12 +82,24 @@ def with_rank(
     df: DataFrame, name: str, value: str, key: str, group: list[str] | None = None
 ) -> DataFrame:
     """RANK by ``value`` descending in each group; ``value`` not NULL, ``key`` unique in it."""
-    group = group or []
-    celled = _celled(df, [F.desc(value), F.asc(key)], group)
+    order = [*[F.asc(g) for g in group or []], F.desc(value), F.asc(key)]
+    sliced = _sliced(df, order)
+    return _ranked(sliced, sliced, name, value, group or []).drop(_SLICE)
+
+
+def _ranked(
+    rows: DataFrame, sliced: DataFrame, name: str, value: str, group: list[str]
+) -> DataFrame:
+    """Ranks of ``rows`` from ordered slices: a row's rank is its rank in its cell (slice and
+    group) after the rows of the group's earlier cells, ties across cells put right.
+
+    ``sliced`` has the same rows as settled; the facts about cells come from there.
+    """
     inside = W.partitionBy(_CELL).orderBy(F.desc(value))
-    ranked = celled.withColumn("_local", F.rank().over(inside))
+    local = F.rank().over(inside)
+    ranked = _celled(rows, group).withColumn("_local", local)
 
-    edges = ranked.groupBy(_CELL).agg(
+    edges = _celled(sliced, group).withColumn("_local", local).groupBy(_CELL).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.max(value).alias("_top"),
         F.min(value).alias("_low"),
@@ -119,37 +128,38 @@ def with_rank(
 def with_ranks(df: DataFrame, value: str, key: str, scopes: dict[str, str | None]) -> DataFrame:
     """Several ranks by ``value``: one per name, over all rows or within a column's groups.
 
-    Each row enters once per scope, so all ranks share one range shuffle of narrow
-    rows. ``df`` is read twice and should be settled.
+    Slices in the order of ``value`` are ordered for every group too, so one range shuffle
+    of whole rows, settled once, serves all scopes and ``df`` is computed once.
     """
-    entries = [
-        F.struct(
-            F.lit(name).alias("scope"),
-            (F.col(column) if column else F.lit(None)).cast("string").alias("part"),
-        )
-        for name, column in scopes.items()
-    ]
-    entered = df.select(key, value, F.inline(F.array(*entries)))
-    ranked = with_rank(entered, "_rank", value, key, ["scope", "part"])
-    per_key = ranked.groupBy(key).agg(
-        *[F.max(F.when(F.col("scope") == name, F.col("_rank"))).alias(name) for name in scopes]
-    )
-    return df.join(per_key, key)
+    sliced = rows = _sliced(df, [F.desc(value), F.asc(key)])
+    for name, column in scopes.items():
+        rows = _ranked(rows, sliced, name, value, [column] if column else [])
+    return rows.drop(_SLICE)
 
 
 def quintile_cuts(
     df: DataFrame, key: str, measures: dict[str, Column], bins: int = 5
-) -> dict[str, list[tuple[int, Decimal, int]]]:
-    """For each measure the last (value, key) of bins 1 to 4, by exact position.
+) -> dict[str, list[tuple[int, object, int]]]:
+    """For each measure the last (value, key) of bins 1 to 4, by exact position, NULLs first.
 
-    All measures are cut in one range shuffle of narrow rows. What reaches the
+    All measures are cut in one range shuffle of narrow rows: a row's value is a struct
+    with a field per measure, so each keeps its own type and order. What reaches the
     driver is one size per slice and measure, then at most four rows per measure.
     """
-    pairs = [
-        F.struct(F.lit(name).alias("measure"), column.cast("decimal(38,6)").alias("value"))
-        for name, column in measures.items()
+    types = dict(df.select(*[c.alias(name) for name, c in measures.items()]).dtypes)
+    entries = [
+        F.struct(
+            F.lit(name).alias("measure"),
+            F.struct(
+                *[
+                    (column if name == other else F.lit(None)).cast(types[other]).alias(other)
+                    for other, column in measures.items()
+                ]
+            ).alias("value"),
+        )
+        for name in measures
     ]
-    long = df.select(key, F.inline(F.array(*pairs)))
+    long = df.select(key, F.inline(F.array(*entries)))
     order = [F.asc("value"), F.asc(key)]
     sliced = _sliced(long, [F.asc("measure"), *order])
     sizes: dict[str, list[tuple[int, int]]] = {name: [] for name in measures}
@@ -167,7 +177,7 @@ def quintile_cuts(
                     wanted.setdefault((name, number, place), []).append(cut)
                     break
                 place -= count
-    cuts: dict[str, list[tuple[int, Decimal, int]]] = {name: [] for name in measures}
+    cuts: dict[str, list[tuple[int, object, int]]] = {name: [] for name in measures}
     if wanted:
         spots = {(name, number) for name, number, _ in wanted}
         in_spots = F.struct("measure", _SLICE).isin([F.struct(*map(F.lit, s)) for s in spots])
@@ -178,28 +188,36 @@ def quintile_cuts(
         found = sliced.where(in_spots).withColumn("_rn", F.row_number().over(inside))
         for row in found.where(at_spots).collect():
             for cut in wanted[row["measure"], row[_SLICE], row["_rn"]]:
-                cuts[row["measure"]].append((cut, row["value"], row[key]))
+                cuts[row["measure"]].append((cut, row["value"][row["measure"]], row[key]))
     return cuts
 
 
+def _behind(value: Column, kind: str, key: str, cut_value, cut_key) -> Column:
+    """Whether a row comes after the cut row, NULLs before all values."""
+    later = F.col(key) > F.lit(cut_key)
+    if cut_value is None:
+        return value.isNotNull() | later
+    cut = F.lit(cut_value).cast(kind)
+    return F.coalesce((value > cut) | ((value == cut) & later), F.lit(False))
+
+
 def with_quintiles(
     df: DataFrame, key: str, measures: dict[str, Column], bins: int = 5
 ) -> DataFrame:
-    """Add ceil(bins * row_number / count) per measure, ascending, ties by ``key``.
+    """Add ceil(bins * row_number / count) per measure, ascending, NULLs first, ties by ``key``.
 
     A row's bin is one more than the number of cuts it lies behind for the bins
-    that are not empty, so scoring is a projection: no shuffle, no join back.
-    ``df`` is read twice and should be settled.
+    that are not empty, so scoring is a projection: no shuffle, no join back. Measures
+    keep their types. ``df`` is read twice and should be settled; ``key`` is not NULL.
     """
     cuts = quintile_cuts(df, key, measures, bins)
+    kinds = dict(df.select(*[c.alias(name) for name, c in measures.items()]).dtypes)
+    scores = {}
     for name, column in measures.items():
-        value = column.cast("decimal(38,6)")
         # With fewer rows than bins the first bins are empty: no row lies before their cut.
         score = F.lit(bins - len(cuts[name]))
         for _, cut_value, cut_key in cuts[name]:
-            behind = (value > F.lit(cut_value)) | (
-                (value == F.lit(cut_value)) & (F.col(key) > F.lit(cut_key))
-            )
+            behind = _behind(column, kinds[name], key, cut_value, cut_key)
             score = score + F.when(behind, 1).otherwise(0)
-        df = df.withColumn(name, score.cast("int"))
-    return df
+        scores[name] = score.cast("int")
+    return df.withColumns(scores)

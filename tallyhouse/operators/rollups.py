@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import ratio
+from tallyhouse.functions.expressions import quotient
 from tallyhouse.operators.ranking import top1_per_group
 from tallyhouse.operators.staging import CHANNELS
 
@@ -84,7 +84,7 @@ def item_sales(sales: DataFrame) -> DataFrame:
         F.sum("net_paid").alias("net_revenue"),
         F.sum("net_profit").alias("net_profit"),
         F.countDistinct("customer_sk").alias("distinct_customers"),
-        ratio(F.sum("sales_price"), F.count("sales_price")).alias("avg_sales_price"),
+        quotient(F.sum("sales_price"), F.count("sales_price")).alias("avg_sales_price"),
         *[
             F.sum(F.when(F.col("channel") == channel, F.coalesce("quantity", F.lit(0)))).alias(
                 f"_{channel}"

@@ -9,17 +9,39 @@ from __future__ import annotations
 
 import re
 
-from tallyhouse.operators.quality import Check
-from tallyhouse.operators.staging import (
-    CHANNELS,
-    RETURN_FIELDS,
-    RETURN_SOURCES,
-    SALE_FIELDS,
-    SALE_SOURCES,
-    raw_names,
-)
-from tallyhouse.plans.suites import BUILD_TESTS, EXPECTATIONS
-from tallyhouse.sources.schemas import FIELDS, SCHEMAS, field_type
+# --- fixed values: unified names, and where a channel's raw table lacks a column ----------
+CHANNELS = ("store", "catalog", "web")
+SALE_FIELDS = (
+    "sale_order_id item_sk customer_sk cdemo_sk hdemo_sk addr_sk store_sk call_center_sk "
+    "catalog_page_sk warehouse_sk web_page_sk web_site_sk ship_mode_sk promo_sk sold_date_sk "
+    "ship_date_sk sold_time_sk quantity wholesale_cost list_price sales_price ext_discount_amt "
+    "ext_sales_price ext_wholesale_cost ext_list_price ext_tax coupon_amt ext_ship_cost net_paid "
+    "net_paid_inc_tax net_paid_inc_ship net_paid_inc_ship_tax net_profit"
+).split()
+RETURN_FIELDS = (
+    "return_order_id item_sk refunded_customer_sk returning_customer_sk refunded_cdemo_sk "
+    "refunded_hdemo_sk refunded_addr_sk store_sk call_center_sk catalog_page_sk warehouse_sk "
+    "web_page_sk ship_mode_sk reason_sk returned_date_sk returned_time_sk return_quantity "
+    "return_amt return_tax return_amt_inc_tax fee return_ship_cost refunded_cash "
+    "reversed_charge credit net_loss"
+).split()
+MONEY = set(SALE_FIELDS[18:] + RETURN_FIELDS[17:])
+# The line data has no rule for these.
+NEVER = set("call_center_sk catalog_page_sk web_page_sk web_site_sk ship_mode_sk".split())
+SALES_LACK = {
+    "store_sk": ("catalog", "web"),
+    "warehouse_sk": ("store",),
+    "ship_date_sk": ("store",),
+    "ext_ship_cost": ("store",),
+    "net_paid_inc_ship": ("store",),
+    "net_paid_inc_ship_tax": ("store",),
+}
+RETURNS_LACK = {
+    "store_sk": ("catalog", "web"),
+    "warehouse_sk": ("store", "web"),
+    "return_ship_cost": ("store",),
+}
+# --- end of fixed values -----------------------------------------------------------------
 
 DEC = "DECIMAL(15,2)"
 LINEAGE = "'driver' AS _batch_id, '2026-01-01 00:00:00' AS _ingested_at, '{}' AS _source_file"
@@ -38,6 +60,15 @@ def ratio(part: str, whole: str) -> str:
     return f"CAST({part} AS DOUBLE) / NULLIF(CAST({whole} AS DOUBLE), 0)"
 
 
+def exact(part: str, whole: str, scale: int = 4) -> str:
+    """The quotient with ``scale`` digits, halves away from zero, in whole numbers."""
+    n, d = (f"CAST(({x}) * 100 AS HUGEINT)" for x in (part, whole))
+    return (
+        f"CASE WHEN {d} <> 0 THEN CAST(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END "
+        f"* ((2 * {10**scale} * abs({n}) + abs({d})) // (2 * abs({d}))) AS DOUBLE) / {10**scale} END"
+    )
+
+
 def total(column: str) -> str:
     return f"CAST(SUM({column}) AS BIGINT)"
 
@@ -54,7 +85,8 @@ SELECT *,
   CASE WHEN o_orderkey % 211 = 210 THEN NULL ELSE o_orderkey END AS order_no,
   CASE WHEN l_partkey % 97 = 96 THEN NULL ELSE l_partkey END AS item_sk,
   CAST(l_quantity AS INTEGER) AS units,
-  CAST(l_extendedprice AS {DEC}) AS ext_list_price,
+  CAST((CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) // 2) * 0.01 AS {DEC})
+    AS ext_list_price,
   CAST(ext_list_price * CAST(l_discount AS DECIMAL(4,2)) AS {DEC}) AS ext_discount_amt,
   CAST(ext_list_price - ext_discount_amt AS {DEC}) AS ext_sales_price,
   CAST(ext_sales_price * CAST(l_tax AS DECIMAL(4,2)) AS {DEC}) AS ext_tax,
@@ -67,6 +99,8 @@ SELECT * EXCLUDE (order_no), order_no AS sale_order_id,
     AS customer_sk,
   CASE WHEN o_orderkey % 199 = 198 THEN NULL ELSE {day_key("o_orderdate")} END AS sold_date_sk,
   {day_key("l_shipdate")} AS ship_date_sk,
+  o_custkey % 7 AS cdemo_sk, o_custkey % 10 AS hdemo_sk, o_custkey % 25 AS addr_sk,
+  l_partkey % 20 AS promo_sk, o_orderkey % 86400 AS sold_time_sk,
   l_suppkey AS store_sk, l_suppkey AS warehouse_sk,
   CASE WHEN o_orderkey % 157 = 156 AND l_linenumber = 2 THEN 0 ELSE units END AS quantity,
   {unit("ext_wholesale_cost")} AS wholesale_cost,
@@ -87,6 +121,9 @@ CTES["return_lines"] = f"""
 SELECT * EXCLUDE (order_no), order_no AS return_order_id,
   o_custkey AS refunded_customer_sk,
   CASE WHEN channel = 'store' THEN o_custkey ELSE o_custkey + 1 END AS returning_customer_sk,
+  o_custkey % 7 AS refunded_cdemo_sk, o_custkey % 10 AS refunded_hdemo_sk,
+  o_custkey % 25 AS refunded_addr_sk, l_linenumber AS reason_sk,
+  (o_orderkey + 60) % 86400 AS returned_time_sk,
   l_suppkey AS store_sk, l_suppkey AS warehouse_sk,
   CASE WHEN o_orderkey % 181 = 180 THEN NULL ELSE {day_key("l_shipdate")} END AS returned_date_sk,
   CASE WHEN o_orderkey % 149 = 148 THEN -1 ELSE greatest(1, units // 2) END AS return_quantity,
@@ -98,45 +135,31 @@ SELECT * EXCLUDE (order_no), order_no AS return_order_id,
   CAST(ext_list_price * 0.02 AS {DEC}) AS return_ship_cost,
   return_amt AS refunded_cash,
   CAST(0 AS {DEC}) AS reversed_charge,
-  CAST(0 AS {DEC}) AS credit,
+  CAST(return_amt * 0.20 AS {DEC}) AS credit,
   CAST(return_amt * 0.10 AS {DEC}) AS net_loss
 FROM lines WHERE l_returnflag = 'R'"""
 
-SALE_HAVE = set(
-    "sale_order_id item_sk customer_sk store_sk warehouse_sk sold_date_sk ship_date_sk quantity "
-    "wholesale_cost list_price sales_price ext_discount_amt ext_sales_price ext_wholesale_cost "
-    "ext_list_price ext_tax coupon_amt ext_ship_cost net_paid net_paid_inc_tax net_paid_inc_ship "
-    "net_paid_inc_ship_tax net_profit".split()
-)
-RETURN_HAVE = set(
-    "return_order_id item_sk refunded_customer_sk returning_customer_sk store_sk warehouse_sk "
-    "returned_date_sk return_quantity return_amt return_tax return_amt_inc_tax fee "
-    "return_ship_cost refunded_cash reversed_charge credit net_loss".split()
-)
 
 
 def is_money(field: str) -> bool:
-    return field == "credit" or field_type(field).typeName() == "decimal"
+    return field in MONEY
 
 
-def staged(lines: str, fields: list[str], sources: dict, have: set[str]) -> str:
-    names = {c: raw_names(fields, sources[c]) for c in CHANNELS}
+def staged(lines: str, fields: list[str], lack: dict[str, tuple]) -> str:
     columns = []
     for field in fields:
-        filled = [c for c in CHANNELS if names[c][field]] if field in have else []
-        if len(filled) == len(CHANNELS):
-            columns.append(field)
-        elif filled:
-            listed = ", ".join(f"'{c}'" for c in filled)
-            columns.append(f"CASE WHEN channel IN ({listed}) THEN {field} END AS {field}")
+        if field in NEVER:
+            columns.append(f"CAST(NULL AS INTEGER) AS {field}")
+        elif field in lack:
+            listed = ", ".join(f"'{c}'" for c in lack[field])
+            columns.append(f"CASE WHEN channel NOT IN ({listed}) THEN {field} END AS {field}")
         else:
-            kind = DEC if is_money(field) else "INTEGER"
-            columns.append(f"CAST(NULL AS {kind}) AS {field}")
+            columns.append(field)
     return f"SELECT channel, {', '.join(columns)}, {LINE_LINEAGE} FROM {lines}"
 
 
-CTES["staged_sales"] = staged("sale_lines", SALE_FIELDS, SALE_SOURCES, SALE_HAVE)
-CTES["staged_returns"] = staged("return_lines", RETURN_FIELDS, RETURN_SOURCES, RETURN_HAVE)
+CTES["staged_sales"] = staged("sale_lines", SALE_FIELDS, SALES_LACK)
+CTES["staged_returns"] = staged("return_lines", RETURN_FIELDS, RETURNS_LACK)
 CTES["tagged_sales"] = """
 SELECT *, CASE
   WHEN item_sk IS NULL THEN 'missing_item_sk'
@@ -174,8 +197,7 @@ SELECT {day_key("day")} AS date_key, CAST(day AS DATE) AS calendar_date,
 FROM (SELECT unnest(generate_series({first}, {last}, INTERVAL 1 DAY)) AS day)"""
 
 
-CTES["dates"] = calendar("DATE '1995-01-01'", "DATE '2002-12-31'")
-CTES["trade_dates"] = calendar(
+CTES["dates"] = calendar(
     "(SELECT make_date(year(least((SELECT min(o_orderdate) FROM orders), "
     "(SELECT min(l_shipdate) FROM lineitem))), 1, 1))",
     "(SELECT make_date(year(greatest((SELECT max(o_orderdate) FROM orders), "
@@ -201,7 +223,8 @@ CTES["customers"] = """
 SELECT c_custkey AS customer_key, 'CUST' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS customer_id,
   CAST(NULL AS VARCHAR) AS salutation,
   CASE WHEN c_custkey % 29 <> 28 THEN split_part(c_name, '#', 1) END AS first_name,
-  split_part(c_name, '#', 2) AS last_name, first_name || ' ' || last_name AS customer_name,
+  CASE WHEN c_custkey % 17 = 0 THEN '"' || split_part(c_name, '#', 2) || '" | jr'
+    ELSE split_part(c_name, '#', 2) END AS last_name, first_name || ' ' || last_name AS customer_name,
   CASE WHEN c_custkey % 37 <> 36 AND c_acctbal > 4000 THEN 1 ELSE 0 END AS is_preferred_customer,
   CAST(1940 + c_custkey % 60 AS INTEGER) AS birth_year, CAST(NULL AS VARCHAR) AS birth_country,
   lower(replace(c_name, '#', '.')) || '@example.com' AS email_address,
@@ -221,6 +244,16 @@ SELECT c_custkey AS customer_key, 'CUST' || lpad(CAST(c_custkey AS VARCHAR), 12,
   CAST((c_custkey % 5 + 1) * 10000 AS INTEGER) AS income_upper_bound
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN region ON n_regionkey = r_regionkey"""
+CTES["promotions"] = """
+SELECT id AS promo_key, 'PROMO' || lpad(CAST(id AS VARCHAR), 3, '0') AS promo_id,
+  'promo ' || id AS promo_name, CAST(1000 * id AS DOUBLE) AS cost, 1 AS response_target,
+  'Unknown' AS purpose, CASE WHEN id % 4 = 0 THEN 0 ELSE 1 END AS is_active,
+  CASE WHEN id % 2 = 0 THEN 1 ELSE 0 END AS via_dmail,
+  CASE WHEN id % 3 = 0 THEN 1 ELSE 0 END AS via_email, 0 AS via_catalog,
+  CASE WHEN id % 5 = 0 THEN 1 ELSE 0 END AS via_tv, 0 AS via_radio, 0 AS via_press,
+  0 AS via_event, 0 AS via_demo, 2449719 + id AS start_date_key, 2449749 + id AS end_date_key,
+  id + 1 AS item_key
+FROM (SELECT DISTINCT l_partkey % 20 AS id FROM lineitem)"""
 CTES["stores"] = """
 SELECT s_suppkey AS store_key, 'STORE' || (s_suppkey // 2) AS store_id, trim(s_name) AS store_name,
   CAST(NULL AS VARCHAR) AS manager, CAST(NULL AS VARCHAR) AS company_name,
@@ -316,22 +349,22 @@ FROM customer_sales c JOIN dates ON last_purchase_date_key = date_key"""
 CTES["mart_sales_performance"] = f"""
 SELECT s.date_key, CAST(calendar_date AS VARCHAR) AS calendar_date, calendar_year, quarter_of_year,
   month_of_year, day_of_week, day_name, is_weekend, s.channel, units_sold, order_count,
-  {ratio("net_sales", "order_count")} AS avg_order_value, gross_sales, discount_amount,
-  tax_amount, net_sales, net_profit, {ratio("net_profit", "gross_sales")} AS profit_margin,
+  {exact("net_sales", "order_count", 2)} AS avg_order_value, gross_sales, discount_amount,
+  tax_amount, net_sales, net_profit, {exact("net_profit", "gross_sales")} AS profit_margin,
   COALESCE(units_returned, 0) AS units_returned, COALESCE(returns_amount, 0) AS returns_amount,
   gross_sales - COALESCE(returns_amount, 0) AS net_revenue,
-  {ratio("COALESCE(units_returned, 0)", "units_sold")} AS returns_rate
+  {exact("COALESCE(units_returned, 0)", "units_sold")} AS returns_rate
 FROM daily_sales s JOIN dates USING (date_key)
   LEFT JOIN daily_returns r ON s.date_key = r.date_key AND s.channel = r.channel"""
 CTES["mart_channel_comparison"] = f"""
 SELECT s.calendar_year, s.month_of_year, quarter_of_year, s.channel, units_sold, order_count,
   unique_customers, gross_sales, net_sales, net_profit,
-  {ratio("units_sold", "order_count")} AS avg_basket_size,
-  {ratio("net_sales", "order_count")} AS avg_order_value,
-  {ratio("net_profit", "gross_sales")} AS profit_margin,
+  {exact("units_sold", "order_count", 2)} AS avg_basket_size,
+  {exact("net_sales", "order_count", 2)} AS avg_order_value,
+  {exact("net_profit", "gross_sales")} AS profit_margin,
   COALESCE(units_returned, 0) AS units_returned, COALESCE(returns_amount, 0) AS returns_amount,
-  {ratio("COALESCE(returns_amount, 0)", "gross_sales")} AS returns_rate,
-  {ratio("gross_sales", "total_gross")} AS share_of_total
+  {exact("COALESCE(returns_amount, 0)", "gross_sales")} AS returns_rate,
+  {exact("gross_sales", "total_gross")} AS share_of_total
 FROM monthly_sales s
   LEFT JOIN monthly_returns r ON s.calendar_year = r.calendar_year
     AND s.month_of_year = r.month_of_year AND s.channel = r.channel
@@ -344,7 +377,7 @@ SELECT item_key, item_id, product_name, brand, category, item_class, manufacture
   COALESCE(net_profit, 0) AS net_profit, avg_sales_price,
   COALESCE(distinct_customers, 0) AS distinct_customers,
   COALESCE(units_returned, 0) AS units_returned, COALESCE(returns_amount, 0) AS returns_amount,
-  {ratio("COALESCE(units_returned, 0)", "units_sold")} AS returns_rate,
+  {exact("COALESCE(units_returned, 0)", "units_sold")} AS returns_rate,
   tc.channel AS top_channel,
   RANK() OVER (ORDER BY COALESCE(s.gross_revenue, 0) DESC) AS rank_by_revenue,
   RANK() OVER (PARTITION BY category ORDER BY COALESCE(s.gross_revenue, 0) DESC)
@@ -477,7 +510,7 @@ UNION ALL SELECT 'fact_returns__anomalies', _anomaly_reason, COUNT(*)
 FROM tagged_returns {BROKEN} GROUP BY 2"""
 SQL["dim_customer"] = "SELECT * FROM customers"
 SQL["dim_date"] = (
-    "SELECT * REPLACE (CAST(calendar_date AS VARCHAR) AS calendar_date) FROM trade_dates"
+    "SELECT * REPLACE (CAST(calendar_date AS VARCHAR) AS calendar_date) FROM dates"
 )
 SQL["dim_item"] = (
     "SELECT * REPLACE (CAST(current_price AS DOUBLE) AS current_price, "
@@ -486,6 +519,7 @@ SQL["dim_item"] = (
     "CAST(rec_end_date AS VARCHAR) AS rec_end_date) FROM items"
 )
 SQL["dim_store"] = "SELECT * FROM stores"
+SQL["dim_promotion"] = "SELECT * FROM promotions"
 SQL["fact_inventory"] = "SELECT * FROM stock"
 
 DAY_MONEY = ["gross_sales", "discount_amount", "tax_amount", "net_sales", "net_profit"]
@@ -506,7 +540,7 @@ SELECT customer_sk, recency_days, frequency, CAST(lifetime_value AS DOUBLE) AS l
   r_score, f_score, m_score FROM rfm"""
 SQL["channel_share"] = f"""
 SELECT calendar_year, month_of_year, channel, CAST(gross_sales AS DOUBLE) AS gross_sales,
-  {ratio("gross_sales", "SUM(gross_sales) OVER (PARTITION BY calendar_year, month_of_year)")}
+  {exact("gross_sales", "SUM(gross_sales) OVER (PARTITION BY calendar_year, month_of_year)")}
     AS share_of_total
 FROM monthly_sales"""
 
@@ -545,7 +579,7 @@ WHERE calendar_year = 2001 AND month_of_year = 1 GROUP BY 1, 2"""
 def brand_rates(min_units: int) -> str:
     sold, back = total("quantity"), f"COALESCE({total('return_quantity')}, 0)"
     return f"""
-SELECT brand, {sold} AS units_sold, {back} AS units_returned, {ratio(back, sold)} AS returns_rate
+SELECT brand, {sold} AS units_sold, {back} AS units_returned, {exact(back, sold)} AS returns_rate
 FROM sales s JOIN items ON s.item_sk = item_key
   LEFT JOIN returns r ON s.item_sk = r.item_sk AND sale_order_id = return_order_id
 WHERE is_current = 1 GROUP BY 1 HAVING SUM(quantity) > {min_units}"""
@@ -574,7 +608,7 @@ FROM dq_result WHERE batch_id = (SELECT batch_id FROM dq_result ORDER BY run_at
 SILVER_TABLES = {
     "dim_customer": "customers",
     "dim_item": "items",
-    "dim_date": "trade_dates",
+    "dim_date": "dates",
     "dim_store": "stores",
     "fact_sales": "sales",
     "fact_returns": "returns",
@@ -629,92 +663,249 @@ FROM perf_log WHERE run_id = 'perf-3'"""
 # --- data quality: one SELECT per check ------------------------------------------------
 
 
-def check_sql(name: str, source: str, check: Check, parents: dict[str, str]) -> str:
-    c, scope = check.column, f"({check.where})" if check.where else "TRUE"
-    elements, bad = f"{scope} AND {c} IS NOT NULL", "FALSE"
-    if check.kind == "not_null":
-        elements, bad = scope, f"{c} IS NULL"
-    elif check.kind == "in_set":
-        listed = ", ".join(repr(v) for v in check.values if v is not None)
-        bad = f"{c} IS NOT NULL AND {c} NOT IN ({listed})"
-    elif check.kind == "between":
-        sides = []
-        if check.low is not None:
-            sides.append(f"{c} < {check.low}")
-        if check.high is not None:
-            sides.append(f"{c} > {check.high}")
-        bad = f"({' OR '.join(sides)})"
-    elif check.kind == "unique":
-        bad = f"{c} IN (SELECT {c} FROM {source} GROUP BY 1 HAVING COUNT(*) > 1)"
-    elif check.kind == "references":
-        table, key = check.parent
-        bad = f"NOT EXISTS (SELECT 1 FROM {parents[table]} p WHERE p.{key} = x.{c})"
+def count_check(
+    name: str, source: str, column: str, kind: str, elements: str, bad: str, mostly: float = 1.0
+) -> str:
     seen = f"COUNT(*) FILTER (WHERE {elements})"
     wrong = f"COUNT(*) FILTER (WHERE {elements} AND {bad})"
     return (
-        f"SELECT '{name}' AS table_name, '{c}' AS column_name, '{check.kind}' AS expectation, "
+        f"SELECT '{name}' AS table_name, '{column}' AS column_name, '{kind}' AS expectation, "
         f"{seen} AS element_count, {wrong} AS unexpected_count, CASE WHEN {wrong} = 0 OR "
-        f"CAST({seen} - {wrong} AS DOUBLE) / NULLIF({seen}, 0) >= {check.mostly} "
+        f"CAST({seen} - {wrong} AS DOUBLE) / NULLIF({seen}, 0) >= {mostly} "
         f"THEN 1 ELSE 0 END AS success FROM {source} x"
     )
 
 
-def suite_sql(suite: dict[str, list[Check]], sources: dict[str, str]) -> str:
-    return " UNION ALL ".join(
-        check_sql(name, sources[name], check, sources)
-        for name, checks in suite.items()
-        if name in sources
-        for check in checks
-    )
+def _null(name: str, source: str, *columns: str) -> list[str]:
+    return [count_check(name, source, c, "not_null", "TRUE", f"{c} IS NULL") for c in columns]
 
 
-def raw_source(fields: list[str], source: tuple, channel: str, staged_name: str, have: set) -> str:
-    table = source[0]
-    names = raw_names(fields, source)
-    columns = {raw: field for field, raw in reversed(names.items()) if raw and field in have}
-    listed = [f"{columns[c]} AS {c}" if c in columns else f"NULL AS {c}" for c in SCHEMAS[table].names]
-    return f"(SELECT {', '.join(listed)} FROM {staged_name} WHERE channel = '{channel}')"
+def _repeat(name: str, source: str, *columns: str) -> list[str]:
+    return [
+        count_check(
+            name,
+            source,
+            c,
+            "unique",
+            f"{c} IS NOT NULL",
+            f"{c} IN (SELECT {c} FROM {source} GROUP BY 1 HAVING COUNT(*) > 1)",
+        )
+        for c in columns
+    ]
+
+
+def _key(name: str, source: str, column: str) -> list[str]:
+    return _null(name, source, column) + _repeat(name, source, column)
+
+
+def _bad(name: str, source: str, kind: str, column: str, bad: str, mostly=1.0, where="TRUE") -> str:
+    elements = f"{where} AND {column} IS NOT NULL"
+    return count_check(name, source, column, kind, elements, bad, mostly)
+
+
+def _orphan(name: str, source: str, column: str, parent: str) -> str:
+    bad = f"{column} NOT IN ({parent})"
+    return count_check(name, source, column, "references", f"{column} IS NOT NULL", bad)
+
+
+def _values(name: str, source: str, column: str, *allowed) -> list[str]:
+    listed = ", ".join(map(repr, allowed))
+    return [_bad(name, source, "in_set", column, f"{column} NOT IN ({listed})")]
+
 
+def _range(name: str, source: str, column: str, bad: str, mostly=1.0, where="TRUE") -> list[str]:
+    return [_bad(name, source, "between", column, bad, mostly, where)]
 
-def renamed(table: str, source: str, renames: dict[str, str]) -> str:
-    prefix = FIELDS[table][0]
-    listed = [f"{unified} AS {prefix}_{field}" for field, unified in renames.items()]
-    return f"(SELECT {', '.join(listed)} FROM {source})"
+
+def _own(function, tables: dict[str, str]):
+    """The same, with a table's source looked up by its name."""
+    return lambda name, *rest, **more: function(name, tables[name], *rest, **more)
 
 
 RAW_SOURCES = {
-    **{
-        SALE_SOURCES[c][0]: raw_source(SALE_FIELDS, SALE_SOURCES[c], c, "staged_sales", SALE_HAVE)
-        for c in CHANNELS
-    },
-    "inventory": renamed(
-        "inventory",
-        "raw_stock",
-        {"date_sk": "date_sk", "item_sk": "item_sk", "warehouse_sk": "warehouse_sk"},
-    ),
-    "customer": renamed(
-        "customer", "customers", {"customer_sk": "customer_key", "customer_id": "customer_id"}
-    ),
+    "store_sales": "(SELECT item_sk AS ss_item_sk, sale_order_id AS ss_ticket_number, "
+    "quantity AS ss_quantity, sales_price AS ss_sales_price FROM sale_lines "
+    "WHERE channel = 'store')",
+    "catalog_sales": "(SELECT item_sk AS cs_item_sk, sale_order_id AS cs_order_number "
+    "FROM sale_lines WHERE channel = 'catalog')",
+    "web_sales": "(SELECT item_sk AS ws_item_sk, sale_order_id AS ws_order_number "
+    "FROM sale_lines WHERE channel = 'web')",
+    "inventory": "(SELECT item_sk AS inv_item_sk, warehouse_sk AS inv_warehouse_sk, "
+    "date_sk AS inv_date_sk FROM raw_stock)",
+    "customer": "(SELECT customer_key AS c_customer_sk, customer_id AS c_customer_id FROM customers)",
     "customer_address": "(SELECT n_nationkey AS ca_address_sk FROM nation)",
-    "customer_demographics": "(SELECT unnest(range(7)) AS cd_demo_sk)",
-    "date_dim": renamed("date_dim", "dates", {"date_sk": "date_key", "year": "calendar_year"}),
-    "item": renamed("item", "items", {"item_sk": "item_key", "item_id": "item_id"}),
-    "store": renamed("store", "stores", {"store_sk": "store_key"}),
+    "customer_demographics": "(SELECT DISTINCT c_custkey % 7 AS cd_demo_sk FROM customer)",
+    "date_dim": "(SELECT date_key AS d_date_sk, calendar_year AS d_year FROM dates)",
+    "time_dim": "(SELECT DISTINCT hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS t_time_sk "
+    "FROM events)",
+    "item": "(SELECT p_partkey AS i_item_sk FROM part)",
+    "promotion": "(SELECT DISTINCT l_partkey % 20 AS p_promo_sk FROM lineitem)",
+    "store": "(SELECT s_suppkey AS s_store_sk FROM supplier)",
 }
 SILVER_SOURCES = {
     **SILVER_TABLES,
-    "dim_date": "dates",
+    "dim_promotion": "promotions",
     "dim_channel": "(SELECT unnest([1, 2, 3]) AS channel_key, "
     "unnest(['store', 'catalog', 'web']) AS channel_code)",
 }
-GOLD_SOURCES = {**{m: m for m in MARTS}, "dim_date": "dates"}
-
-SQL["dq_suite_bronze"] = suite_sql(EXPECTATIONS["bronze"], RAW_SOURCES)
-SQL["dq_suite_silver"] = suite_sql(EXPECTATIONS["silver"], SILVER_SOURCES)
-SQL["dq_suite_gold"] = suite_sql(EXPECTATIONS["gold"], GOLD_SOURCES)
-SQL["build_tests_bronze"] = suite_sql(BUILD_TESTS["bronze"], RAW_SOURCES)
-SQL["build_tests_silver"] = suite_sql(BUILD_TESTS["silver"], SILVER_SOURCES)
-SQL["build_tests_gold"] = suite_sql(BUILD_TESTS["gold"], GOLD_SOURCES)
+GOLD_SOURCES = {m: m for m in MARTS}
+SEGMENT_NAMES = ("Champion", "Loyal", "New", "At Risk", "Lost", "Inactive", "Potential")
+
+
+def bronze_expectations() -> list[str]:
+    null, repeat, span = (_own(f, RAW_SOURCES) for f in (_null, _repeat, _range))
+    return [
+        *null("customer", "c_customer_sk"),
+        *repeat("customer", "c_customer_sk", "c_customer_id"),
+        *null("store_sales", "ss_item_sk", "ss_ticket_number"),
+        *span("store_sales", "ss_quantity", "ss_quantity NOT BETWEEN 0 AND 1000", 0.999),
+        *span("store_sales", "ss_sales_price", "ss_sales_price NOT BETWEEN 0 AND 100000", 0.999),
+        *null("catalog_sales", "cs_item_sk", "cs_order_number"),
+        *null("web_sales", "ws_item_sk", "ws_order_number"),
+        *repeat("date_dim", "d_date_sk"),
+        *null("date_dim", "d_date_sk"),
+        *span("date_dim", "d_year", "d_year NOT BETWEEN 1900 AND 2100"),
+        *repeat("item", "i_item_sk"),
+        *repeat("store", "s_store_sk"),
+    ]
+
+
+def silver_expectations() -> list[str]:
+    null, repeat, span, values = (
+        _own(f, SILVER_SOURCES) for f in (_null, _repeat, _range, _values)
+    )
+    return [
+        *null("fact_sales", "item_sk", "sold_date_sk"),
+        *values("fact_sales", "channel", *CHANNELS),
+        *span("fact_sales", "quantity", "quantity NOT BETWEEN 1 AND 1000"),
+        *span("fact_sales", "sales_price", "sales_price NOT BETWEEN 0 AND 100000", 0.999),
+        *null("fact_returns", "item_sk"),
+        *values("fact_returns", "channel", *CHANNELS),
+        *span("fact_returns", "return_quantity", "return_quantity NOT BETWEEN 1 AND 1000"),
+        *null("dim_customer", "customer_key"),
+        *repeat("dim_customer", "customer_key"),
+        *null("dim_item", "item_key"),
+        *repeat("dim_item", "item_key"),
+        *null("dim_date", "date_key"),
+        *repeat("dim_date", "date_key"),
+        *span("dim_date", "calendar_year", "calendar_year NOT BETWEEN 1900 AND 2100"),
+        *repeat("dim_store", "store_key"),
+    ]
+
+
+def gold_expectations() -> list[str]:
+    null, repeat, span, values = (_own(f, GOLD_SOURCES) for f in (_null, _repeat, _range, _values))
+    return [
+        *null("mart_sales_performance", "date_key"),
+        *values("mart_sales_performance", "channel", *CHANNELS),
+        *span("mart_sales_performance", "units_sold", "units_sold < 1"),
+        *null("mart_customer_360", "customer_key"),
+        *repeat("mart_customer_360", "customer_key"),
+        *values("mart_customer_360", "segment", *SEGMENT_NAMES),
+        *repeat("mart_product_analytics", "item_key"),
+        *span("mart_product_analytics", "returns_rate", "returns_rate NOT BETWEEN 0 AND 1", 0.99),
+        *values("mart_channel_comparison", "channel", *CHANNELS),
+        *span("mart_channel_comparison", "share_of_total", "share_of_total NOT BETWEEN 0 AND 1", 0.99),
+    ]
+
+
+def bronze_build() -> list[str]:
+    null, key = (_own(f, RAW_SOURCES) for f in (_null, _key))
+    return [
+        *null("store_sales", "ss_item_sk", "ss_ticket_number"),
+        *null("catalog_sales", "cs_item_sk", "cs_order_number"),
+        *null("web_sales", "ws_item_sk", "ws_order_number"),
+        *null("inventory", "inv_item_sk", "inv_warehouse_sk", "inv_date_sk"),
+        *key("customer", "c_customer_sk"),
+        *key("customer", "c_customer_id"),
+        *key("customer_address", "ca_address_sk"),
+        *key("customer_demographics", "cd_demo_sk"),
+        *key("date_dim", "d_date_sk"),
+        *key("time_dim", "t_time_sk"),
+        *key("item", "i_item_sk"),
+        *key("promotion", "p_promo_sk"),
+        *key("store", "s_store_sk"),
+    ]
+
+
+def silver_build() -> list[str]:
+    null, key, span, values, orphan = (
+        _own(f, SILVER_SOURCES) for f in (_null, _key, _range, _values, _orphan)
+    )
+    return [
+        *key("dim_customer", "customer_key"),
+        *null("dim_customer", "customer_id"),
+        *values("dim_customer", "is_preferred_customer", 0, 1),
+        *key("dim_item", "item_key"),
+        *null("dim_item", "item_id"),
+        *values("dim_item", "is_current", 0, 1),
+        *key("dim_date", "date_key"),
+        *span("dim_date", "calendar_year", "calendar_year NOT BETWEEN 1900 AND 2100"),
+        *key("dim_store", "store_key"),
+        *key("dim_promotion", "promo_key"),
+        *null("fact_sales", "channel", "item_sk", "sold_date_sk"),
+        *values("fact_sales", "channel", *CHANNELS),
+        orphan("fact_sales", "item_sk", "SELECT item_key FROM items"),
+        orphan("fact_sales", "sold_date_sk", "SELECT date_key FROM dates"),
+        *span("fact_sales", "quantity", "quantity < 1"),
+        *null("fact_returns", "channel", "item_sk"),
+        *values("fact_returns", "channel", *CHANNELS),
+        orphan("fact_returns", "item_sk", "SELECT item_key FROM items"),
+        *null("fact_inventory", "item_sk", "warehouse_sk", "date_sk"),
+        *null("fact_sales__anomalies", "_anomaly_reason"),
+        *values(
+            "fact_sales__anomalies",
+            "_anomaly_reason",
+            "missing_item_sk",
+            "missing_order_id",
+            "missing_sold_date",
+            "non_positive_quantity",
+            "negative_sales_price",
+            "negative_net_paid",
+        ),
+        *null("fact_returns__anomalies", "_anomaly_reason"),
+        *values(
+            "fact_returns__anomalies",
+            "_anomaly_reason",
+            "missing_item_sk",
+            "missing_order_id",
+            "missing_returned_date",
+            "non_positive_quantity",
+            "negative_return_amt",
+        ),
+        *key("dim_channel", "channel_key"),
+        *null("dim_channel", "channel_code"),
+        *values("dim_channel", "channel_code", *CHANNELS),
+    ]
+
+
+def gold_build() -> list[str]:
+    null, key, span, values, orphan = (
+        _own(f, GOLD_SOURCES) for f in (_null, _key, _range, _values, _orphan)
+    )
+    return [
+        *null("mart_sales_performance", "date_key", "channel"),
+        orphan("mart_sales_performance", "date_key", "SELECT date_key FROM dates"),
+        *values("mart_sales_performance", "channel", *CHANNELS),
+        *span("mart_sales_performance", "units_sold", "units_sold < 1"),
+        *key("mart_customer_360", "customer_key"),
+        *values("mart_customer_360", "segment", *SEGMENT_NAMES),
+        *span("mart_customer_360", "r_score", "r_score NOT BETWEEN 1 AND 5"),
+        *key("mart_product_analytics", "item_key"),
+        *null("mart_product_analytics", "rank_by_revenue"),
+        *span("mart_product_analytics", "returns_rate", "returns_rate NOT BETWEEN 0 AND 1"),
+        *null("mart_channel_comparison", "channel"),
+        *values("mart_channel_comparison", "channel", *CHANNELS),
+        *span("mart_channel_comparison", "share_of_total", "share_of_total NOT BETWEEN 0 AND 1"),
+    ]
+
+
+SQL["dq_suite_bronze"] = " UNION ALL ".join(bronze_expectations())
+SQL["dq_suite_silver"] = " UNION ALL ".join(silver_expectations())
+SQL["dq_suite_gold"] = " UNION ALL ".join(gold_expectations())
+SQL["build_tests_bronze"] = " UNION ALL ".join(bronze_build())
+SQL["build_tests_silver"] = " UNION ALL ".join(silver_build())
+SQL["build_tests_gold"] = " UNION ALL ".join(gold_build())
 SQL["dq_result_rows"] = f"""
 SELECT 'driver' AS batch_id, 'silver' AS suite, table_name, expectation, success,
   column_name || ': ' || unexpected_count || ' of ' || element_count || ' unexpected'
@@ -723,39 +914,54 @@ SELECT 'driver' AS batch_id, 'silver' AS suite, table_name, expectation, success
 FROM ({SQL["dq_suite_silver"]})"""
 
 
+LOADED = {
+    **{f"{c}_sales": f"sale_lines WHERE channel = '{c}'" for c in CHANNELS},
+    **{f"{c}_returns": f"return_lines WHERE channel = '{c}'" for c in CHANNELS},
+    "customer": "customer",
+    "customer_address": "nation",
+    "customer_demographics": "(SELECT DISTINCT c_custkey % 7 FROM customer)",
+    "household_demographics": "(SELECT DISTINCT c_custkey % 10 FROM customer)",
+    "income_band": "(SELECT DISTINCT c_custkey % 5 FROM customer)",
+    "item": "part",
+    "store": "supplier",
+    "date_dim": "dates",
+    "time_dim": RAW_SOURCES["time_dim"],
+    "promotion": RAW_SOURCES["promotion"],
+    "inventory": "raw_stock",
+}
+SQL["bronze_from_files"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, COUNT(*) AS row_count FROM {source}"
+    for table, source in LOADED.items()
+)
+SQL["customer_from_file"] = """
+SELECT CAST(c_custkey AS INTEGER) AS c_customer_sk,
+  'CUST' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS c_customer_id,
+  CASE WHEN c_custkey % 29 <> 28 THEN split_part(c_name, '#', 1) END AS c_first_name,
+  CASE WHEN c_custkey % 17 = 0 THEN '"' || split_part(c_name, '#', 2) || '" | jr'
+    ELSE split_part(c_name, '#', 2) END AS c_last_name,
+  CASE WHEN c_custkey % 37 = 36 THEN NULL WHEN c_acctbal > 5000 THEN 'Y'
+    WHEN c_acctbal > 4000 THEN 'y' ELSE 'N' END AS c_preferred_cust_flag,
+  CAST(1940 + c_custkey % 60 AS INTEGER) AS c_birth_year
+FROM customer"""
+
+
 def full_run_sql() -> str:
     """The run's steps: rows loaded and built, and whether each suite passes."""
-    loads = {
-        **{SALE_SOURCES[c][0]: f"staged_sales WHERE channel = '{c}'" for c in CHANNELS},
-        **{RETURN_SOURCES[c][0]: f"staged_returns WHERE channel = '{c}'" for c in CHANNELS},
-        "customer": "customer",
-        "customer_address": "nation",
-        "customer_demographics": "range(7)",
-        "household_demographics": "range(10)",
-        "income_band": "range(5)",
-        "item": "part",
-        "store": "supplier",
-        "date_dim": "dates",
-        "inventory": "raw_stock",
-    }
     steps = [
         f"SELECT 'bronze' AS layer, 'load_{table}' AS step, 'success' AS status, "
         f"COUNT(*) AS rows_in, COUNT(*) AS rows_out FROM {source}"
-        for table, source in loads.items()
+        for table, source in LOADED.items()
     ]
     built = [("silver", [*SILVER_SOURCES.values()]), ("gold", MARTS)]
     for layer, sources in built:
         counts = " + ".join(f"(SELECT COUNT(*) FROM {source})" for source in sources)
         steps.append(f"SELECT '{layer}', 'build_{layer}', 'success', NULL, {counts}")
     for layer in ("bronze", "silver", "gold"):
-        suites = (("tests", BUILD_TESTS[layer]), ("dq", EXPECTATIONS[layer]))
-        for step, suite in suites:
-            checked = SQL[f"{'build_tests' if step == 'tests' else 'dq_suite'}_{layer}"]
-            checks = sum(len(c) for c in suite.values())
+        for step, suite in (("tests", "build_tests"), ("dq", "dq_suite")):
             steps.append(
                 f"SELECT 'dq', '{step}_{layer}', CASE WHEN passed THEN 'success' ELSE 'failed' END, "
-                f"NULL, CASE WHEN passed THEN {checks} END "
-                f"FROM (SELECT MIN(success) = 1 AS passed FROM ({checked}))"
+                f"NULL, CASE WHEN passed THEN checks END FROM (SELECT MIN(success) = 1 AS passed, "
+                f"COUNT(*) AS checks FROM ({SQL[f'{suite}_{layer}']}))"
             )
     return f"SELECT 'driver' AS batch_id, * FROM ({' UNION ALL '.join(steps)})"
 
@@ -763,46 +969,6 @@ def full_run_sql() -> str:
 SQL["full_run_steps"] = full_run_sql()
 
 
-def count_check(
-    name: str, source: str, column: str, kind: str, elements: str, bad: str, mostly: float = 1.0
-) -> str:
-    seen = f"COUNT(*) FILTER (WHERE {elements})"
-    wrong = f"COUNT(*) FILTER (WHERE {elements} AND {bad})"
-    return (
-        f"SELECT '{name}' AS table_name, '{column}' AS column_name, '{kind}' AS expectation, "
-        f"{seen} AS element_count, {wrong} AS unexpected_count, CASE WHEN {wrong} <= "
-        f"(1 - {mostly}) * {seen} THEN 1 ELSE 0 END AS success FROM {source} x"
-    )
-
-
-def _null(name: str, source: str, *columns: str) -> list[str]:
-    return [count_check(name, source, c, "not_null", "TRUE", f"{c} IS NULL") for c in columns]
-
-
-def _repeat(name: str, source: str, *columns: str) -> list[str]:
-    return [
-        count_check(
-            name,
-            source,
-            c,
-            "unique",
-            f"{c} IS NOT NULL",
-            f"{c} IN (SELECT {c} FROM {source} GROUP BY 1 HAVING COUNT(*) > 1)",
-        )
-        for c in columns
-    ]
-
-
-def _bad(name: str, source: str, kind: str, column: str, bad: str, mostly=1.0, where="TRUE") -> str:
-    elements = f"{where} AND {column} IS NOT NULL"
-    return count_check(name, source, column, kind, elements, bad, mostly)
-
-
-def _orphan(name: str, source: str, column: str, parent: str) -> str:
-    bad = f"{column} NOT IN ({parent})"
-    return count_check(name, source, column, "references", f"{column} IS NOT NULL", bad)
-
-
 _CUSTOMER = """(SELECT customer_key AS c_customer_sk, customer_id AS c_customer_id,
   first_name || ' ' AS c_first_name FROM customers)"""
 _ITEM = """(SELECT item_key AS i_item_sk, item_id AS i_item_id, item_class_id AS i_class_id,
@@ -854,6 +1020,46 @@ SQL["dq_relationships"] = " UNION ALL ".join(
 )
 
 
+_totals = "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice * 1e-9 END"
+_fifth = "ceil(5.0 * CAST(ROW_NUMBER() OVER (ORDER BY {}) AS DOUBLE) / COUNT(*) OVER ())"
+SQL["quintile_with_nulls"] = f"""
+SELECT o_orderkey, CAST({_fifth.format("price ASC NULLS FIRST, o_orderkey")} AS INTEGER) AS by_price,
+  CAST({_fifth.format("day ASC NULLS FIRST, o_orderkey")} AS INTEGER) AS by_day
+FROM (SELECT o_orderkey, {_totals} AS price,
+  CASE WHEN o_orderkey % 5 <> 1 THEN CAST(o_orderdate AS DATE) END AS day FROM orders)"""
+SQL["daily_sales_tuned"] = SQL["daily_sales_one_month"]
+SQL["published_versions"] = """
+SELECT 'fact_sales' AS table_name, COUNT(*) AS row_count FROM sales
+UNION ALL SELECT 'fact_sales_unbucketed', COUNT(*) FROM sales
+UNION ALL SELECT 'dim_date', COUNT(*) FROM dates
+UNION ALL SELECT 'dim_date_unbucketed', COUNT(*) FROM dates"""
+SQL["hashed_join"] = """
+SELECT s.channel, COUNT(*) AS pairs, CAST(SUM(return_quantity) AS BIGINT) AS units_returned
+FROM sales s JOIN returns r ON s.item_sk = r.item_sk AND sale_order_id = return_order_id
+GROUP BY 1"""
+TIMED = (
+    "annual_sales_by_channel top_25_customers sales_by_category daily_sales_one_month "
+    "returns_rate_by_brand"
+).split()
+SQL["timed_queries"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS query_name, 'before' AS phase, {n} AS iteration, "
+    f"COUNT(*) AS rows_returned, 1 AS took_time FROM ({SQL[name]})"
+    for name in TIMED
+    for n in (1, 2)
+)
+SQL["gate_steps"] = f"""
+SELECT 'dq_' || suite AS step, CASE WHEN bad = 0 THEN 'success' ELSE 'failed' END AS status,
+  bad AS failed_checks, checks
+FROM (SELECT 'keys' AS suite, COUNT(*) FILTER (WHERE success = 0) AS bad, COUNT(*) AS checks
+    FROM ({" UNION ALL ".join(_repeat("item", _ITEM, "i_item_sk"))})
+  UNION ALL SELECT 'versions', COUNT(*) FILTER (WHERE success = 0), COUNT(*)
+    FROM ({" UNION ALL ".join(_repeat("item", _ITEM, "i_item_id") + _null("item", _ITEM, "i_item_id"))}))"""
+SQL["dq_sample"] = """
+SELECT 'orders' AS table_name, 'o_orderkey' AS column_name,
+  CASE WHEN COUNT(*) > 0 THEN 1 ELSE 0 END AS within, 1 AS success
+FROM orders"""
+
+
 def _needed(text: str) -> list[str]:
     """The parts ``text`` mentions, with the parts those mention, in defined order."""
     found: set[str] = set()

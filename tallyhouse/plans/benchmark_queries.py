@@ -84,9 +84,14 @@ def returns_rate_by_brand(
     The left join on (item, order) repeats a sale line for each return line of its key
     and the other way round. Its sums follow from per-key totals: units sold count
     max(1, return lines) times, units returned once per sale line. The totals come from
-    one grouping of both kinds of lines, so no pair is built and nothing is joined.
+    one grouping of both kinds of lines, so no pair is built. Lines of expired item versions
+    are left out before they are shuffled.
     """
     none = F.lit(None).cast("bigint")
+    current = items.where("is_current = 1").select("item_key", "brand")
+    is_current = F.col("item_sk") == F.col("item_key")
+    sales = sales.join(current.select("item_key"), is_current, "left_semi")
+    returns = returns.join(current.select("item_key"), is_current, "left_semi")
     sold = sales.select(
         "item_sk",
         F.col("sale_order_id").alias("order_id"),
@@ -118,7 +123,7 @@ def returns_rate_by_brand(
         )
     )
     return (
-        per_item.join(items.where("is_current = 1"), F.col("item_sk") == F.col("item_key"))
+        per_item.join(current, is_current)
         .groupBy("brand")
         .agg(
             F.sum("units_sold").alias("units_sold"),

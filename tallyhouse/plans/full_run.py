@@ -6,16 +6,29 @@ import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.operators.quality import ChecksFailed, as_dq_result, assert_passed, check_tables
+from tallyhouse.operators import anomalies
 from tallyhouse.plans import marts
+from tallyhouse.plans.tuning import collect_statistics
 from tallyhouse.sources.runlog import RunLog
-from tallyhouse.plans.silver import silver_frames
+from tallyhouse.plans.silver import silver_frames, tagged_returns, tagged_sales
 from tallyhouse.plans.suites import BUILD_TESTS, EXPECTATIONS, Suite
 from tallyhouse.session import settle
-from tallyhouse.sources.delimited import load_all, load_frames
+from tallyhouse.sources.delimited import load_all
 from tallyhouse.sources.seeds import dim_channel
-from tallyhouse.sources.tables import Layers, append_log, each, ensure_layout, write_counted
+from tallyhouse.sources.tables import (
+    Layers,
+    append_log,
+    each,
+    ensure_layout,
+    write_counted,
+    write_parts,
+)
+
+
+FACTS = ("fact_sales", "fact_returns")  # with their sidecars
 
 
 class WarehouseRun:
@@ -64,11 +77,26 @@ class WarehouseRun:
             if self.stop_on_failure:
                 raise
 
+    def _write_facts(self, bronze: dict[str, DataFrame]) -> int:
+        """Clean and broken lines of each kind, derived and written once."""
+        rows = 0
+        for fact, tagged in (("sales", tagged_sales(bronze)), ("returns", tagged_returns(bronze))):
+            clean = getattr(anomalies, f"fact_{fact}")(tagged).columns
+            broken = getattr(anomalies, f"fact_{fact}_anomalies")(tagged).columns
+            name = f"{self.layers.silver}.fact_{fact}"
+            parts = {name: (False, clean), f"{name}__anomalies": (True, broken)}
+            flagged = tagged.withColumn("broken", F.col("_anomaly_reason").isNotNull())
+            rows += sum(write_parts(flagged, "broken", parts).values())
+        return rows
+
     def build_silver(self) -> None:
         bronze = self.stored("bronze")
         frames = {**silver_frames(bronze), "dim_channel": dim_channel(self.spark)}
+        frames = {name: df for name, df in frames.items() if not name.startswith(FACTS)}
         with self.log.step(self.batch_id, "silver", "build_silver") as step:
-            step.record(rows_out=self._write("silver", frames), tool="spark")
+            rows = self._write("silver", frames) + self._write_facts(bronze)
+            collect_statistics(self.spark, self.layers, "silver")
+            step.record(rows_out=rows, tool="spark")
 
     def build_gold(self) -> None:
         silver = self.stored("silver")
@@ -82,14 +110,13 @@ class WarehouseRun:
                 ),
                 "mart_channel_comparison": marts.mart_channel_comparison(sales, returns, dates),
             }
-            step.record(rows_out=self._write("gold", frames), tool="spark")
-
-    def run(self, data_dir: str | None = None, frames: dict[str, DataFrame] | None = None) -> str:
-        """Load ``<table>.dat`` files or raw frames, then build and check every layer."""
-        if data_dir:
-            load_all(self.spark, data_dir, self.batch_id, self.layers)
-        if frames:
-            load_frames(self.spark, frames, self.batch_id, self.layers)
+            rows = self._write("gold", frames)
+            collect_statistics(self.spark, self.layers, "gold")
+            step.record(rows_out=rows, tool="spark")
+
+    def run(self, data_dir: str) -> str:
+        """Load the folder's ``<table>.dat`` files, then build and check every layer."""
+        load_all(self.spark, data_dir, self.batch_id, self.layers)
         self.check("bronze", BUILD_TESTS["bronze"], "tests_bronze", "bronze_tests")
         self.check("bronze", EXPECTATIONS["bronze"], "dq_bronze", "bronze")
         self.build_silver()
@@ -104,11 +131,10 @@ class WarehouseRun:
 def run_warehouse(
     spark: SparkSession,
     layers: Layers,
-    data_dir: str | None = None,
-    frames: dict[str, DataFrame] | None = None,
+    data_dir: str,
     batch_id: str | None = None,
     stop_on_failure: bool = True,
     location: str | None = None,
 ) -> str:
     ensure_layout(spark, layers, location)
-    return WarehouseRun(spark, layers, batch_id, stop_on_failure).run(data_dir, frames)
+    return WarehouseRun(spark, layers, batch_id, stop_on_failure).run(data_dir)

@@ -42,7 +42,7 @@ def mart_sales_performance(sales: DataFrame, returns: DataFrame, dates: DataFram
             "channel",
             "units_sold",
             "order_count",
-            ratio("net_sales", "order_count").alias("avg_order_value"),
+            ratio("net_sales", "order_count", 2).alias("avg_order_value"),
             "gross_sales",
             "discount_amount",
             "tax_amount",
@@ -83,8 +83,8 @@ def mart_channel_comparison(sales: DataFrame, returns: DataFrame, dates: DataFra
             "gross_sales",
             "net_sales",
             "net_profit",
-            ratio("units_sold", "order_count").alias("avg_basket_size"),
-            ratio("net_sales", "order_count").alias("avg_order_value"),
+            ratio("units_sold", "order_count", 2).alias("avg_basket_size"),
+            ratio("net_sales", "order_count", 2).alias("avg_order_value"),
             ratio("net_profit", "gross_sales").alias("profit_margin"),
             zero_if_null("units_returned"),
             zero_if_null("returns_amount"),
@@ -99,12 +99,16 @@ def mart_channel_comparison(sales: DataFrame, returns: DataFrame, dates: DataFra
 def mart_product_analytics(sales: DataFrame, returns: DataFrame, items: DataFrame) -> DataFrame:
     """One row per current item version, items without sales kept with zeros.
 
-    Facts join on the version key, so sales of expired versions are not counted.
+    Facts join on the version key, so sales of expired versions are not counted; their lines
+    are left out before they are shuffled.
     """
     item_key = F.col("item_key")
+    current = items.where("is_current = 1")
+    keys = current.select("item_key")
+    sales = sales.join(keys, F.col("item_sk") == item_key, "left_semi")
+    returns = returns.join(keys, F.col("item_sk") == item_key, "left_semi")
     totals = (
-        items.where("is_current = 1")
-        .join(rollups.item_sales(sales), item_key == F.col("item_sk"), "left")
+        current.join(rollups.item_sales(sales), item_key == F.col("item_sk"), "left")
         .drop("item_sk")
         .join(rollups.item_returns(returns), item_key == F.col("item_sk"), "left")
         .select(
@@ -134,7 +138,7 @@ def mart_product_analytics(sales: DataFrame, returns: DataFrame, items: DataFram
         )
     )
     ranks = {"rank_by_revenue": None, "rank_in_category": "category"}
-    return with_ranks(settle(totals), "gross_revenue", "item_key", ranks)
+    return with_ranks(totals, "gross_revenue", "item_key", ranks)
 
 
 def rfm_scores(sales: DataFrame, dates: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import ratio
+from tallyhouse.functions.expressions import quotient
 from tallyhouse.operators.ranking import with_position
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -45,17 +47,19 @@ def dq_latest(dq_result: DataFrame, suite: str | None = None) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Row count per table; a table that fails gives its error and the others go on.
-
-    One count job per named table: only the counts come to the driver.
-    """
-    rows = []
+    """Row count per table, all in one plan; a table that cannot be resolved gives its error."""
+    parts = []
     for name, load in tables.items():
         try:
-            rows.append((name, load().count(), None))
-        except Exception as error:  # noqa: BLE001 - the error is the result
-            rows.append((name, None, str(error)[:200]))
-    return spark.createDataFrame(rows, "table_name string, row_count bigint, error string")
+            rows, count, error = load(), F.count(F.lit(1)), F.lit(None)
+        except AnalysisException as missing:
+            rows, count, error = spark.range(1), F.first(F.lit(None)), F.lit(str(missing))
+        parts.append(
+            rows.agg(count.cast("bigint").alias("row_count")).select(
+                F.lit(name).alias("table_name"), "row_count", error.cast("string").alias("error")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def sales_summary(sales_performance: DataFrame) -> DataFrame:
@@ -85,7 +89,7 @@ def top_products(product_analytics: DataFrame, limit: int = 20) -> DataFrame:
 
 def segment_summary(customer_360: DataFrame) -> DataFrame:
     def mean(column: str, kind: str):
-        return ratio(F.sum(column), F.count(column)).cast(kind)
+        return quotient(F.sum(column), F.count(column)).cast(kind)
 
     whole_days = F.expr("SUM(recency_days) DIV NULLIF(COUNT(recency_days), 0)").cast("int")
     return (
@@ -135,7 +139,7 @@ def perf_compare(perf_log: DataFrame, run_id: str | None = None) -> DataFrame:
     """Median seconds before and after per query; without ``run_id`` all runs are pooled."""
     if run_id:
         perf_log = perf_log.where(F.col("run_id") == run_id)
-    speedup = ratio("before", "after").cast("decimal(10,2)")
+    speedup = quotient("before", "after").cast("decimal(10,2)")
     return (
         perf_medians(perf_log)
         .groupBy("query_name")

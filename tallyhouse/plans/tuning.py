@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import date_bucket
+from tallyhouse.operators.dimensions import with_date_bucket
 from tallyhouse.sources.schemas import PERF_LOG
-from tallyhouse.sources.tables import Layers, append_log, publish, write_full
+from tallyhouse.sources.tables import Layers, append_log, each, new_version, publish, write_full
 
 # --- fixed values: columns worth statistics per table --------------------------
 SILVER_STATISTICS = {
@@ -72,21 +73,32 @@ def benchmark(
     return timings
 
 
-def collect_statistics(spark: SparkSession, layers: Layers) -> dict[str, str]:
-    """Column statistics of every planned table; a table that fails is reported, not fatal."""
-    outcome = {}
-    plans = [(layers.silver, SILVER_STATISTICS), (layers.gold, GOLD_STATISTICS)]
-    for database, plan in plans:
-        for table, columns in plan.items():
-            listed = ", ".join(columns.split())
-            try:
-                spark.sql(
-                    f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS FOR COLUMNS {listed}"
-                )
-                outcome[table] = "ok"
-            except Exception as error:  # noqa: BLE001 - reported per table
-                outcome[table] = f"err: {str(error)[:80]}"
-    return outcome
+def analyze(spark: SparkSession, table: str, columns: str) -> None:
+    listed = ", ".join(columns.split())
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {listed}")
+
+
+def collect_statistics(
+    spark: SparkSession, layers: Layers, layer: str | None = None
+) -> dict[str, str]:
+    """Column statistics of the planned tables of one layer or both; the reason per table
+    that has none."""
+    plans = {"silver": SILVER_STATISTICS, "gold": GOLD_STATISTICS}
+    wanted = {
+        f"{getattr(layers, name)}.{table}": columns
+        for name, plan in plans.items()
+        if layer in (None, name)
+        for table, columns in plan.items()
+    }
+
+    def outcome(table: str) -> str:
+        try:
+            analyze(spark, table, wanted[table])
+        except AnalysisException as missing:
+            return f"no statistics: {missing}"
+        return "analyzed"
+
+    return {table.split(".")[1]: told for table, told in each(outcome, wanted).items()}
 
 
 def bucket_bounds(sales: DataFrame) -> tuple[int, int] | None:
@@ -106,13 +118,14 @@ def bucketed_sales(sales: DataFrame) -> DataFrame:
 
 
 def rewrite_by_date_bucket(spark: SparkSession, layers: Layers) -> tuple[int, int]:
-    """Rewrite the sales fact partitioned by date bucket and publish it by rename.
+    """Rewrite the sales fact partitioned by date bucket, give the calendar the same column,
+    publish both by rename and analyze the new versions.
 
     Rows are first gathered by bucket and slice of the date key, so a task writes
     few partitions and a bucket with most rows still spreads over many tasks.
     """
-    fact = f"{layers.silver}.fact_sales"
-    sales = spark.table(fact)
+    fact, calendar = f"{layers.silver}.fact_sales", f"{layers.silver}.dim_date"
+    sales, dates = (spark.table(t).drop("date_bucket") for t in (fact, calendar))
     bounds = bucket_bounds(sales)
     if bounds is None:
         raise ValueError("no dated sales to bucket")
@@ -120,10 +133,20 @@ def rewrite_by_date_bucket(spark: SparkSession, layers: Layers) -> tuple[int, in
     bucketed = sales.withColumn(
         "date_bucket", date_bucket("sold_date_sk", low, high, BUCKET_DAYS)
     ).repartitionByRange("date_bucket", "sold_date_sk", "item_sk", "sale_order_id")
-    folder = spark.catalog.getDatabase(layers.silver).locationUri
-    version = f"{folder}/fact_sales_bucketed_{uuid.uuid4().hex[:8]}"
-    write_full(bucketed, f"{fact}_bucketed", partition_by=["date_bucket"], path=version)
-    publish(spark, f"{fact}_bucketed", fact, f"{fact}_unbucketed")
+    write_full(
+        bucketed,
+        f"{fact}_bucketed",
+        partition_by=["date_bucket"],
+        path=new_version(spark, f"{fact}_bucketed"),
+    )
+    write_full(
+        with_date_bucket(dates, *bounds, BUCKET_DAYS),
+        f"{calendar}_bucketed",
+        path=new_version(spark, f"{calendar}_bucketed"),
+    )
+    for table in (fact, calendar):
+        publish(spark, f"{table}_bucketed", table, f"{table}_unbucketed")
+        analyze(spark, table, SILVER_STATISTICS[table.split(".")[1]])
     return bounds
 
 

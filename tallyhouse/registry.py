@@ -7,14 +7,15 @@ dates and timestamps as text, so that engines can be compared by value.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators import anomalies, dimensions, quality, rollups
+from tallyhouse.operators import anomalies, quality, ranking, rollups
 from tallyhouse.operators.quality import between, in_set, not_null, references, unique
 from tallyhouse.operators.staging import (
     CHANNELS,
@@ -24,11 +25,12 @@ from tallyhouse.operators.staging import (
     stage_sales,
 )
 from tallyhouse.plans import benchmark_queries, marts, reports, silver, suites, tuning
-from tallyhouse.plans.full_run import run_warehouse
+from tallyhouse.plans.full_run import WarehouseRun, run_warehouse
 from tallyhouse.session import settle, shared_dir
 from tallyhouse.sources import runlog, seeds
 from tallyhouse.sources.adapter import DriverTables
-from tallyhouse.sources.tables import Layers
+from tallyhouse.sources.delimited import load_all, write_raw
+from tallyhouse.sources.tables import Layers, ensure_layout, remove_table, write_full
 
 Query = Callable[[DriverTables], DataFrame]
 
@@ -118,11 +120,13 @@ def stg_web_returns(d: DriverTables) -> DataFrame:
 
 @query
 def int_sales_tagged(d: DriverTables) -> DataFrame:
+    d.share_lines()
     return silver.tagged_sales({SALE_SOURCES[c][0]: d.raw_sales(c) for c in CHANNELS})
 
 
 @query
 def int_returns_tagged(d: DriverTables) -> DataFrame:
+    d.share_lines()
     return silver.tagged_returns({RETURN_SOURCES[c][0]: d.raw_returns(c) for c in CHANNELS})
 
 
@@ -163,7 +167,7 @@ def dim_customer(d: DriverTables) -> DataFrame:
 
 @query
 def dim_date(d: DriverTables) -> DataFrame:
-    return dimensions.dim_date(d.date_dim(d.days_with_trade()))
+    return d.dates
 
 
 @query
@@ -171,6 +175,11 @@ def dim_item(d: DriverTables) -> DataFrame:
     return d.items
 
 
+@query
+def dim_promotion(d: DriverTables) -> DataFrame:
+    return d.promotions
+
+
 @query
 def dim_store(d: DriverTables) -> DataFrame:
     return d.stores
@@ -339,7 +348,7 @@ def layer_counts(d: DriverTables) -> DataFrame:
     tables = {
         "dim_customer": lambda: d.customers,
         "dim_item": lambda: d.items,
-        "dim_date": lambda: dim_date(d),
+        "dim_date": lambda: d.dates,
         "dim_store": lambda: d.stores,
         "fact_sales": lambda: d.sales,
         "fact_returns": lambda: d.returns,
@@ -471,6 +480,7 @@ def _silver(d: DriverTables) -> dict[str, DataFrame]:
         "dim_item": d.items,
         "dim_date": d.dates,
         "dim_store": d.stores,
+        "dim_promotion": d.promotions,
         "fact_inventory": d.stock,
         "fact_sales__anomalies": fact_sales_anomalies(d),
         "fact_returns__anomalies": fact_returns_anomalies(d),
@@ -503,21 +513,14 @@ def dq_suite_gold(d: DriverTables) -> DataFrame:
     return _counts(suites.EXPECTATIONS["gold"], _gold(d))
 
 
-def _filled(suite: suites.Suite, tables: dict[str, DataFrame]) -> suites.Suite:
-    """The suite without tables the driver data has no rows for."""
-    return {name: checks for name, checks in suite.items() if name in tables}
-
-
 @query
 def build_tests_bronze(d: DriverTables) -> DataFrame:
-    tables = d.raw_tables()
-    return _counts(_filled(suites.BUILD_TESTS["bronze"], tables), tables)
+    return _counts(suites.BUILD_TESTS["bronze"], d.raw_tables())
 
 
 @query
 def build_tests_silver(d: DriverTables) -> DataFrame:
-    tables = _silver(d)
-    return _counts(_filled(suites.BUILD_TESTS["silver"], tables), tables)
+    return _counts(suites.BUILD_TESTS["silver"], _silver(d))
 
 
 @query
@@ -532,31 +535,163 @@ def dq_result_rows(d: DriverTables) -> DataFrame:
     return quality.as_dq_result(checked, "silver", "driver", RUN_AT)
 
 
-# --- the whole run ----------------------------------------------------------------------------
+@query
+def dq_sample(d: DriverTables) -> DataFrame:
+    """A check of a tenth of the rows, on request, sees about a tenth of them."""
+    orders = d.table("orders")
+    checked = quality.check_tables({"orders": unique("o_orderkey")}, {"orders": orders}, 0.1, 7)
+    share = F.col("element_count") / orders.agg(F.count(F.lit(1))).scalar()
+    within = F.when(share.between(0.05, 0.2), 1).otherwise(0)
+    return checked.select("table_name", "column_name", within.alias("within"), "success")
 
 
 @query
-def full_run_steps(d: DriverTables) -> DataFrame:
-    """A whole run over the driver data into its own databases in the shared folder.
+def quintile_with_nulls(d: DriverTables) -> DataFrame:
+    """Quintiles of fine doubles and of dates, both with NULLs."""
+    orders = d.table("orders").selectExpr(
+        "o_orderkey",
+        "IF(o_orderkey % 3 = 0, NULL, o_totalprice * 1e-9D) AS price",
+        "IF(o_orderkey % 5 <> 1, CAST(o_orderdate AS DATE), NULL) AS day",
+    )
+    measures = {"by_price": F.col("price"), "by_day": F.col("day")}
+    scored = ranking.with_quintiles(settle(orders), "o_orderkey", measures)
+    return scored.select("o_orderkey", "by_price", "by_day")
 
-    The data is dirty on purpose, so the gates are logged but do not stop the run. The
-    databases are dropped again once the step log is kept.
-    """
+
+# --- stored layers: files, the whole run, gate, tuning -------------------------------------
+
+
+@contextmanager
+def own_layers(spark: SparkSession) -> Iterator[Layers]:
+    """Databases of a query's own in the shared folder, dropped with their files at its end."""
     tag = uuid.uuid4().hex[:8]
     layers = Layers(*[f"{layer}_{tag}" for layer in ("bronze", "silver", "gold", "dq")])
-    run_warehouse(
-        d.spark,
-        layers,
-        frames=d.raw_tables(),
-        batch_id="driver",
-        stop_on_failure=False,
-        location=shared_dir(d.spark),
-    )
-    state = runlog.run_log_state(d.spark.table(layers.run_log))
-    kept = settle(state.select("batch_id", "layer", "step", "status", "rows_in", "rows_out"))
-    for database in layers.names():
-        d.spark.sql(f"DROP DATABASE {database} CASCADE")
-    return kept
+    try:
+        ensure_layout(spark, layers, f"{shared_dir(spark)}/{tag}")
+        yield layers
+    finally:
+        for database in layers.names():
+            if spark.catalog.databaseExists(database):
+                for table in spark.catalog.listTables(database):
+                    remove_table(spark, f"{database}.{table.name}")
+                spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _raw_folder(d: DriverTables) -> str:
+    folder = f"{shared_dir(d.spark)}/raw-{uuid.uuid4().hex[:8]}"
+    d.write_raw_files(folder)
+    return folder
+
+
+@query
+def bronze_from_files(d: DriverTables) -> DataFrame:
+    """Rows per table after a load of all raw files."""
+    with own_layers(d.spark) as layers:
+        loaded = load_all(d.spark, _raw_folder(d), "driver", layers)
+        tables = {name: d.spark.table(f"{layers.bronze}.{name}") for name in loaded}
+        return settle(rollups.row_counts(tables))
+
+
+@query
+def customer_from_file(d: DriverTables) -> DataFrame:
+    """Values of one table loaded from its file: quotes, separators, padding, empty fields."""
+    folder = f"{shared_dir(d.spark)}/raw-{uuid.uuid4().hex[:8]}"
+    write_raw(d.customer(), f"{folder}/customer.dat", "customer")
+    with own_layers(d.spark) as layers:
+        load_all(d.spark, folder, "driver", layers, include={"customer"})
+        names = "customer_sk customer_id first_name last_name preferred_cust_flag birth_year"
+        loaded = d.spark.table(f"{layers.bronze}.customer")
+        return settle(loaded.select(*[f"c_{name}" for name in names.split()]))
+
+
+@query
+def full_run_steps(d: DriverTables) -> DataFrame:
+    """A whole run over the driver data as raw files.
+
+    The data is dirty on purpose, so the gates are logged but do not stop the run.
+    """
+    with own_layers(d.spark) as layers:
+        run_warehouse(d.spark, layers, _raw_folder(d), batch_id="driver", stop_on_failure=False)
+        state = runlog.run_log_state(d.spark.table(layers.run_log))
+        return settle(state.select("batch_id", "layer", "step", "status", "rows_in", "rows_out"))
+
+
+@query
+def gate_steps(d: DriverTables) -> DataFrame:
+    """Two gated checks of one table: sound keys pass, repeated ids stop the run."""
+    with own_layers(d.spark) as layers:
+        write_full(d.item(), f"{layers.bronze}.item")
+        run = WarehouseRun(d.spark, layers, "driver")
+        run.check("bronze", {"item": unique("i_item_sk")}, "dq_keys", "keys")
+        try:
+            suite = {"item": unique("i_item_id") + not_null("i_item_id")}
+            run.check("bronze", suite, "dq_versions", "versions")
+        except quality.ChecksFailed:
+            pass  # the log has it
+        steps = runlog.run_log_state(d.spark.table(layers.run_log)).select("step", "status")
+        verdicts = d.spark.table(layers.dq_result).groupBy(
+            F.concat(F.lit("dq_"), F.col("suite")).alias("step")
+        )
+        failed = F.count_if(F.col("success") == 0).alias("failed_checks")
+        return settle(steps.join(verdicts.agg(failed, F.count("*").alias("checks")), "step"))
+
+
+def _tuned(d: DriverTables, layers: Layers) -> None:
+    for name, df in {"fact_sales": d.sales, "dim_date": d.dates}.items():
+        write_full(df, f"{layers.silver}.{name}")
+    tuning.rewrite_by_date_bucket(d.spark, layers)
+
+
+@query
+def daily_sales_tuned(d: DriverTables) -> DataFrame:
+    """The one-month query over the fact and calendar in date buckets."""
+    with own_layers(d.spark) as layers:
+        _tuned(d, layers)
+        sales, dates = (d.spark.table(f"{layers.silver}.{t}") for t in ("fact_sales", "dim_date"))
+        return settle(benchmark_queries.daily_sales_of_month(sales, dates, 2001, 1))
+
+
+@query
+def published_versions(d: DriverTables) -> DataFrame:
+    """Rows of the published and the kept versions after a second tuning."""
+    with own_layers(d.spark) as layers:
+        _tuned(d, layers)
+        tuning.rewrite_by_date_bucket(d.spark, layers)
+        names = ["fact_sales", "fact_sales_unbucketed", "dim_date", "dim_date_unbucketed"]
+        tables = {name: d.spark.table(f"{layers.silver}.{name}") for name in names}
+        return settle(rollups.row_counts(tables))
+
+
+@query
+def hashed_join(d: DriverTables) -> DataFrame:
+    """Sale lines with their return lines, from tables hashed by the join's keys."""
+    with own_layers(d.spark) as layers:
+        parts = int(d.spark.conf.get("spark.sql.shuffle.partitions"))
+        sales, returns = f"{layers.silver}.sales_hashed", f"{layers.silver}.returns_hashed"
+        back = d.returns.withColumnRenamed("return_order_id", "sale_order_id").drop("channel")
+        keys = ["item_sk", "sale_order_id"]
+        tuning.write_hashed(d.sales.select("channel", *keys), sales, parts, keys)
+        tuning.write_hashed(back.select(*keys, "return_quantity"), returns, parts, keys)
+        joined = d.spark.table(sales).join(d.spark.table(returns), keys)
+        units = F.sum("return_quantity").alias("units_returned")
+        return settle(joined.groupBy("channel").agg(F.count("*").alias("pairs"), units))
+
+
+@query
+def timed_queries(d: DriverTables) -> DataFrame:
+    """The timing log of the benchmark queries, two iterations each."""
+    plans = {
+        "annual_sales_by_channel": lambda: annual_sales_by_channel(d),
+        "top_25_customers": lambda: top_25_customers(d),
+        "sales_by_category": lambda: sales_by_category(d),
+        "daily_sales_one_month": lambda: daily_sales_one_month(d),
+        "returns_rate_by_brand": lambda: returns_rate_by_brand(d),
+    }
+    with own_layers(d.spark) as layers:
+        tuning.benchmark(d.spark, plans, layers, "driver", "before", iterations=2)
+        log = d.spark.table(layers.perf_log)
+        took = F.when(F.col("duration_sec") > 0, 1).otherwise(0).alias("took_time")
+        return settle(log.select("query_name", "phase", "iteration", "rows_returned", took))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

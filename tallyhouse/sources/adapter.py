@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.expressions import DAY_KEY_OFFSET as KEY_OF_1995
 from tallyhouse.functions.expressions import day_key
 from tallyhouse.operators.anomalies import (
     RETURN_RULES,
@@ -31,13 +32,46 @@ from tallyhouse.operators.staging import (
     SALE_SOURCES,
     raw_names,
 )
+from tallyhouse.session import settle
+from tallyhouse.sources.delimited import write_raw
 from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.schemas import SCHEMAS, field_type
+from tallyhouse.sources.tables import each
 
 BATCH = "driver"
 LOADED_AT = datetime(2026, 1, 1, tzinfo=UTC)
-# Wide enough for one line, and narrow enough that sums stay within a long.
-MONEY = "decimal(8,2)"
+MONEY = "decimal(7,2)"  # as the raw tables have it
+
+# What a line gives to the raw columns of its channel's table, by raw name without prefix;
+# a column named as in the line needs no entry.
+BILLED_LINE = {
+    "order_number": "sale_order_id",
+    **{f"bill_{who}": who for who in ("customer_sk", "cdemo_sk", "hdemo_sk", "addr_sk")},
+}
+RAW_SALES = {
+    "store": ("ss", {"ticket_number": "sale_order_id"}),
+    "catalog": ("cs", BILLED_LINE),
+    "web": ("ws", BILLED_LINE),
+}
+RAW_RETURNS = {
+    "store": (
+        "sr",
+        {
+            "ticket_number": "return_order_id",
+            "return_time_sk": "returned_time_sk",
+            "customer_sk": "refunded_customer_sk",
+            "cdemo_sk": "refunded_cdemo_sk",
+            "hdemo_sk": "refunded_hdemo_sk",
+            "addr_sk": "refunded_addr_sk",
+            "store_credit": "credit",
+        },
+    ),
+    "catalog": (
+        "cr",
+        {"order_number": "return_order_id", "return_amount": "return_amt", "store_credit": "credit"},
+    ),
+    "web": ("wr", {"order_number": "return_order_id", "account_credit": "credit"}),
+}
 
 
 def _money(cents: str) -> Column:
@@ -59,10 +93,13 @@ def _percent(cents: str, percent: str | int) -> Column:
 
 
 def _fill(df: DataFrame, table: str) -> DataFrame:
-    """The table's full column contract, with NULL where no rule gives a column."""
+    """The table's full column contract in its types, NULL where no rule gives a column.
+
+    A value that does not fit its type is an error, not a NULL.
+    """
     have = set(df.columns)
     columns = [
-        F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in SCHEMAS[table].fields
     ]
     return df.select(*columns, *[c for c in LINEAGE if c in have])
@@ -96,19 +133,11 @@ class DriverTables:
 
     # --- order lines -------------------------------------------------------
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """Spread a file with fewer splits than the session has cores over the cores.
-
-        Large inputs have more splits than cores and are read as they lie.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
     @cached_property
     def _lines(self) -> DataFrame:
         """Order lines with money in whole cents, so that rules are integer arithmetic."""
         return (
-            self._spread(self._derived("lineitem"))
+            self._derived("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 "*",
@@ -118,7 +147,8 @@ class DriverTables:
                 F.expr("IF(o_orderkey % 211 = 210, NULL, o_orderkey)").alias("order_no"),
                 F.expr("IF(l_partkey % 97 = 96, NULL, l_partkey)").alias("item_sk"),
                 F.expr("CAST(l_quantity AS INT)").alias("units"),
-                _hundredths("l_extendedprice").alias("list_cents"),
+                # Half the price, so that all amounts fit the raw tables' money type.
+                F.floor(_hundredths("l_extendedprice") / 2).cast("bigint").alias("list_cents"),
                 _hundredths("l_discount").alias("discount_pct"),
                 _hundredths("l_tax").alias("tax_pct"),
             )
@@ -145,6 +175,15 @@ class DriverTables:
                 "customer_sk": F.expr(
                     "IF(o_orderkey % 53 = 52 OR o_custkey % 41 = 40, NULL, o_custkey)"
                 ),
+                "cdemo_sk": F.expr("CAST(o_custkey % 7 AS INT)"),
+                "hdemo_sk": F.expr("CAST(o_custkey % 10 AS INT)"),
+                "addr_sk": F.expr("CAST(o_custkey % 25 AS INT)"),
+                "ship_customer_sk": F.expr("o_custkey + 5"),
+                "ship_cdemo_sk": F.expr("CAST((o_custkey + 1) % 7 AS INT)"),
+                "ship_hdemo_sk": F.expr("CAST((o_custkey + 1) % 10 AS INT)"),
+                "ship_addr_sk": F.expr("CAST((o_custkey + 1) % 25 AS INT)"),
+                "promo_sk": F.expr("CAST(l_partkey % 20 AS INT)"),
+                "sold_time_sk": F.expr("CAST(o_orderkey % 86400 AS INT)"),
                 "sold_date_sk": sold,
                 "ship_date_sk": day_key(F.col("l_shipdate")),
                 "store_sk": F.col("l_suppkey"),
@@ -189,6 +228,13 @@ class DriverTables:
             {
                 "refunded_customer_sk": F.col("o_custkey"),
                 "returning_customer_sk": F.expr("IF(channel = 'store', o_custkey, o_custkey + 1)"),
+                **{
+                    f"{who}_{what}_sk": F.expr(f"CAST((o_custkey + {shift}) % {parts} AS INT)")
+                    for who, shift in (("refunded", 0), ("returning", 1))
+                    for what, parts in (("cdemo", 7), ("hdemo", 10), ("addr", 25))
+                },
+                "reason_sk": F.col("l_linenumber").cast("int"),
+                "returned_time_sk": F.expr("CAST((o_orderkey + 60) % 86400 AS INT)"),
                 "store_sk": F.col("l_suppkey"),
                 "warehouse_sk": F.col("l_suppkey"),
                 "returned_date_sk": returned,
@@ -202,25 +248,32 @@ class DriverTables:
                 "return_ship_cost": _money(_percent_sql("list_cents", 2)),
                 "refunded_cash": _money("back_cents"),
                 "reversed_charge": _money("0"),
-                "credit": _money("0"),
+                "credit": _money(_percent_sql("back_cents", 20)),
                 "net_loss": _money(_percent_sql("back_cents", 10)),
             }
         )
 
-    def _raw(self, lines: DataFrame, channel: str, fields: list[str], source: tuple) -> DataFrame:
+    def _raw(self, lines: DataFrame, channel: str, source: tuple[str, dict], table: str) -> DataFrame:
+        prefix, renamed = source
         have = set(lines.columns)
-        raw = {}
-        for field, name in raw_names(fields, source).items():
-            if name and field in have:
-                raw.setdefault(name, F.col(field).alias(name))
-        rows = lines.where(F.col("channel") == channel).select(*raw.values(), *LINEAGE)
-        return _fill(rows, source[0])
+        columns = []
+        for name in SCHEMAS[table].names:
+            field = name.removeprefix(f"{prefix}_")
+            if renamed.get(field, field) in have:
+                columns.append(F.col(renamed.get(field, field)).alias(name))
+        rows = lines.where(F.col("channel") == channel).select(*columns, *LINEAGE)
+        return _fill(rows, table)
 
     def raw_sales(self, channel: str) -> DataFrame:
-        return self._raw(self._sale_lines, channel, SALE_FIELDS, SALE_SOURCES[channel])
+        return self._raw(self._sale_lines, channel, RAW_SALES[channel], f"{channel}_sales")
 
     def raw_returns(self, channel: str) -> DataFrame:
-        return self._raw(self._return_lines, channel, RETURN_FIELDS, RETURN_SOURCES[channel])
+        return self._raw(self._return_lines, channel, RAW_RETURNS[channel], f"{channel}_returns")
+
+    def share_lines(self) -> None:
+        """Derive the order lines once for everything that follows: the channel tables are
+        slices of them."""
+        self.__dict__["_lines"] = settle(self._lines)
 
     def _staged(self, lines: DataFrame, fields: list[str], sources: dict) -> DataFrame:
         """The union of all staged channels, read in one pass.
@@ -233,15 +286,13 @@ class DriverTables:
         columns = [F.col("channel")]
         for field in fields:
             filled = [c for c in CHANNELS if names[c][field]] if field in have else []
-            if len(filled) == len(CHANNELS):
-                columns.append(F.col(field))
-            elif filled:
-                columns.append(
-                    F.when(F.col("channel").isin(filled), F.col(field)).alias(field)
-                )
-            else:
-                kind = "decimal(7,2)" if field == "credit" else field_type(field)
-                columns.append(F.lit(None).cast(kind).alias(field))
+            kind = "decimal(7,2)" if field == "credit" else field_type(field)
+            if field.endswith("_order_id"):
+                kind = "bigint"
+            value = F.col(field) if filled else F.lit(None)
+            if 0 < len(filled) < len(CHANNELS):
+                value = F.when(F.col("channel").isin(filled), value)
+            columns.append(value.cast(kind).alias(field))
         return lines.select(*columns, *LINEAGE)
 
     @cached_property
@@ -264,15 +315,17 @@ class DriverTables:
 
     # --- raw dimension tables ----------------------------------------------
 
-    def date_dim(self, days: DataFrame | None = None) -> DataFrame:
-        """One row per day between the ``first_day`` and ``last_day`` of ``days``."""
-        if days is None:
-            days = self.spark.sql("SELECT DATE'1995-01-01' first_day, DATE'2002-12-31' last_day")
+    def date_dim(self) -> DataFrame:
+        """One row per day of the whole years with an order or a shipment."""
         day = F.col("d_date")
         dow = F.dayofweek(day) - 1
         months = (F.year(day) - 1900) * 12 + F.month(day) - 1
         quarters = (F.year(day) - 1900) * 4 + F.quarter(day) - 1
-        calendar = days.select(F.explode(F.sequence("first_day", "last_day")).alias("d_date"))
+        years = self._trade_years
+        days = F.sequence(F.make_date(*years[0]), F.make_date(*years[1])) if years else F.array()
+        calendar = self.spark.range(1).select(
+            F.explode(days.cast("array<date>")).alias("d_date")
+        )
         raw = calendar.select(
             "d_date",
             day_key(day).alias("d_date_sk"),
@@ -293,17 +346,18 @@ class DriverTables:
         )
         return _fill(raw, "date_dim")
 
-    def days_with_trade(self) -> DataFrame:
-        """First and last calendar year with an order or a shipment, as whole years."""
+    @cached_property
+    def _trade_years(self) -> tuple | None:
+        """First day of the first and last day of the last calendar year with an order or a
+        shipment. Two years come to the driver, so every plan has the calendar as constants."""
         ordered = self.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
         shipped = self.table("lineitem").select(F.col("l_shipdate").cast("date").alias("day"))
-        both = ordered.unionByName(shipped).agg(
-            F.year(F.min("day")).alias("low"), F.year(F.max("day")).alias("high")
-        )
-        return both.select(
-            F.make_date("low", F.lit(1), F.lit(1)).alias("first_day"),
-            F.make_date("high", F.lit(12), F.lit(31)).alias("last_day"),
-        )
+        low, high = ordered.unionByName(shipped).agg(
+            F.year(F.min("day")), F.year(F.max("day"))
+        ).first()
+        if low is None:
+            return None
+        return tuple(map(F.lit, (low, 1, 1))), tuple(map(F.lit, (high, 12, 31)))
 
     def item(self) -> DataFrame:
         part = self._derived("part").selectExpr(
@@ -335,7 +389,8 @@ class DriverTables:
             "c_custkey % 10 AS c_current_hdemo_sk",
             "c_nationkey AS c_current_addr_sk",
             "IF(c_custkey % 29 = 28, NULL, CONCAT(SPLIT_PART(c_name, '#', 1), ' ')) AS c_first_name",
-            "SPLIT_PART(c_name, '#', 2) AS c_last_name",
+            "IF(c_custkey % 17 = 0, CONCAT('\"', SPLIT_PART(c_name, '#', 2), '\" | jr'), "
+            "SPLIT_PART(c_name, '#', 2)) AS c_last_name",
             "CASE WHEN c_custkey % 37 = 36 THEN NULL WHEN c_acctbal > 5000 THEN 'Y' "
             "WHEN c_acctbal > 4000 THEN 'y ' ELSE 'N' END AS c_preferred_cust_flag",
             "CAST(1940 + c_custkey % 60 AS INT) AS c_birth_year",
@@ -360,33 +415,71 @@ class DriverTables:
         )
         return _fill(rows, "customer_address")
 
+    def _numbers(self, table: str, value: str) -> DataFrame:
+        """Each value that a given table's rows have, once, as ``id``."""
+        return self.table(table).select(F.expr(value).cast("bigint").alias("id")).distinct()
+
     def customer_demographics(self) -> DataFrame:
-        rows = self.spark.range(7).selectExpr(
-            "CAST(id AS INT) AS cd_demo_sk",
+        rows = self._numbers("customer", "c_custkey % 7").selectExpr(
+            "id AS cd_demo_sk",
             "IF(id % 2 = 0, 'M', 'F') AS cd_gender",
             "SUBSTRING('SMDWU', CAST(id % 5 + 1 AS INT), 1) AS cd_marital_status",
             "IF(id < 4, 'College', 'Primary') AS cd_education_status",
-            "CAST(500 * (id + 1) AS INT) AS cd_purchase_estimate",
+            "500 * (id + 1) AS cd_purchase_estimate",
             "IF(id % 3 = 0, 'Good', 'Low Risk') AS cd_credit_rating",
-            "CAST(id AS INT) AS cd_dep_count",
+            "id AS cd_dep_count",
         )
         return _fill(rows, "customer_demographics")
 
     def household_demographics(self) -> DataFrame:
-        rows = self.spark.range(10).selectExpr(
-            "CAST(id AS INT) AS hd_demo_sk",
-            "CAST(id % 5 AS INT) AS hd_income_band_sk",
+        rows = self._numbers("customer", "c_custkey % 10").selectExpr(
+            "id AS hd_demo_sk",
+            "id % 5 AS hd_income_band_sk",
             "IF(id < 5, '501-1000 ', ' >10000') AS hd_buy_potential",
-            "CAST(id % 4 AS INT) AS hd_vehicle_count",
+            "id % 4 AS hd_vehicle_count",
         )
         return _fill(rows, "household_demographics")
 
     def income_band(self) -> DataFrame:
-        return self.spark.range(5).selectExpr(
-            "CAST(id AS INT) AS ib_income_band_sk",
-            "CAST(id * 10000 + 1 AS INT) AS ib_lower_bound",
-            "CAST((id + 1) * 10000 AS INT) AS ib_upper_bound",
+        rows = self._numbers("customer", "c_custkey % 5").selectExpr(
+            "id AS ib_income_band_sk",
+            "id * 10000 + 1 AS ib_lower_bound",
+            "(id + 1) * 10000 AS ib_upper_bound",
+        )
+        return _fill(rows, "income_band")
+
+    def promotion(self) -> DataFrame:
+        """One promotion per key that sales lines refer to."""
+        rows = self._numbers("lineitem", "l_partkey % 20").selectExpr(
+            "id AS p_promo_sk",
+            "CONCAT('PROMO', LPAD(CAST(id AS STRING), 3, '0')) AS p_promo_id",
+            f"{KEY_OF_1995} + id AS p_start_date_sk",
+            f"{KEY_OF_1995} + id + 30 AS p_end_date_sk",
+            "id + 1 AS p_item_sk",
+            "1000 * id AS p_cost",
+            "1 AS p_response_target",
+            "CONCAT(' promo ', CAST(id AS STRING), ' ') AS p_promo_name",
+            "IF(id % 2 = 0, 'Y', 'N') AS p_channel_dmail",
+            "IF(id % 3 = 0, 'y ', NULL) AS p_channel_email",
+            "IF(id % 5 = 0, 'Y', 'N') AS p_channel_tv",
+            "'Unknown ' AS p_purpose",
+            "IF(id % 4 = 0, 'N', 'Y') AS p_discount_active",
         )
+        return _fill(rows, "promotion")
+
+    def time_dim(self) -> DataFrame:
+        """One row per second of the day that an event falls into."""
+        second = "HOUR(ts) * 3600 + MINUTE(ts) * 60 + SECOND(ts)"
+        rows = self._numbers("events", second).selectExpr(
+            "id AS t_time_sk",
+            "CONCAT('T', CAST(id AS STRING)) AS t_time_id",
+            "id AS t_time",
+            "id DIV 3600 AS t_hour",
+            "id DIV 60 % 60 AS t_minute",
+            "id % 60 AS t_second",
+            "IF(id < 43200, 'AM', 'PM') AS t_am_pm",
+        )
+        return _fill(rows, "time_dim")
 
     def store(self) -> DataFrame:
         rows = self._derived("supplier").selectExpr(
@@ -407,10 +500,10 @@ class DriverTables:
     def inventory(self) -> DataFrame:
         """Stock per month start, part and supplier; the moduli leave keys missing."""
         month = F.date_trunc("month", F.col("l_shipdate"))
-        return (
+        rows = (
             self.table("lineitem")
             .groupBy(day_key(month).alias("month_sk"), "l_partkey", "l_suppkey")
-            .agg(F.sum("l_quantity").cast("int").alias("inv_quantity_on_hand"))
+            .agg(F.sum("l_quantity").alias("inv_quantity_on_hand"))
             .selectExpr(
                 "IF(month_sk % 31 = 30, NULL, month_sk) AS inv_date_sk",
                 "IF(l_partkey % 97 = 96, NULL, l_partkey) AS inv_item_sk",
@@ -419,6 +512,7 @@ class DriverTables:
                 f"'{BATCH}' AS _batch_id",
             )
         )
+        return _fill(rows, "inventory")
 
     def raw_tables(self) -> dict[str, DataFrame]:
         """Every raw table the driver data can fill."""
@@ -433,9 +527,17 @@ class DriverTables:
             "item": self.item(),
             "store": self.store(),
             "date_dim": self.date_dim(),
+            "time_dim": self.time_dim(),
+            "promotion": self.promotion(),
             "inventory": self.inventory(),
         }
 
+    def write_raw_files(self, folder: str) -> None:
+        """The raw tables as ``<table>.dat`` text files."""
+        self.share_lines()
+        frames = self.raw_tables()
+        each(lambda table: write_raw(frames[table], f"{folder}/{table}.dat", table), frames)
+
     # --- operation logs, from the events table -------------------------------
 
     def _events(self) -> DataFrame:
@@ -504,6 +606,10 @@ class DriverTables:
             self.income_band(),
         )
 
+    @cached_property
+    def promotions(self) -> DataFrame:
+        return dimensions.dim_promotion(self.promotion())
+
     @cached_property
     def stores(self) -> DataFrame:
         return dimensions.dim_store(self.store())

@@ -14,18 +14,21 @@ from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.schemas import SCHEMAS
 from tallyhouse.sources.tables import Layers, each, write_counted
 
-SMALL_BYTES = 1_000_000
+TOOL = "splits"  # files are read in splits, whatever their size
 
 
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Headerless ``|`` file typed by the table's contract.
 
-    Empty fields are NULL, other words stay text. A value of the wrong type or a
-    row with the wrong number of fields fails the load. Text is right-trimmed, as
-    fixed-width columns arrive padded.
+    Empty fields are NULL, other words stay text. A quoted field may hold separators and
+    doubled quotes. A value of the wrong type, a row with the wrong number of fields and a
+    line break inside quotes (files are split at line breaks) fail the load. Text is
+    right-trimmed, as fixed-width columns arrive padded.
     """
     schema = SCHEMAS[table]
-    raw = spark.read.csv(path, sep="|", schema=schema, mode="FAILFAST", nullValue="")
+    raw = spark.read.csv(
+        path, sep="|", schema=schema, mode="FAILFAST", nullValue="", quote='"', escape='"'
+    )
     columns = [
         F.rtrim(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in schema.fields
@@ -33,22 +36,19 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
     return raw.select(*columns, F.col("_metadata"))
 
 
-def load_tool(spark: SparkSession, path: str) -> str:
-    """``single_file`` below 1 MB, else ``splits``; only the file listing is read."""
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    return "splits" if (size or 0) >= SMALL_BYTES else "single_file"
-
-
-def load_file(
-    spark: SparkSession, path: str, table: str, batch_id: str, layers: Layers
-) -> tuple[int, str]:
+def load_file(spark: SparkSession, path: str, table: str, batch_id: str, layers: Layers) -> int:
     """Replace a bronze table by a file's rows; the rows are counted as they are written."""
     if table not in SCHEMAS:
         raise ValueError(f"unknown table: {table}")
-    tool = load_tool(spark, path)
     rows = with_lineage(read_raw(spark, path, table), batch_id, datetime.now(UTC)).drop("_metadata")
-    written = write_counted(rows, f"{layers.bronze}.{table}", small=tool == "single_file")
-    return written, tool
+    return write_counted(rows, f"{layers.bronze}.{table}")
+
+
+def write_raw(df: DataFrame, path: str, table: str) -> None:
+    """Rows as ``|`` text in the table's column order, as ``read_raw`` takes them."""
+    df.select(*SCHEMAS[table].names).write.csv(
+        path, sep="|", quote='"', escape='"', emptyValue="", nullValue="", dateFormat="yyyy-MM-dd"
+    )
 
 
 def load_all(
@@ -64,8 +64,8 @@ def load_all(
 
     def load(table: str) -> int:
         with log.step(batch_id, "bronze", f"load_{table}") as step:
-            rows, tool = load_file(spark, f"{data_dir}/{table}.dat", table, batch_id, layers)
-            step.record(rows_in=rows, rows_out=rows, tool=tool)
+            rows = load_file(spark, f"{data_dir}/{table}.dat", table, batch_id, layers)
+            step.record(rows_in=rows, rows_out=rows, tool=TOOL)
         return rows
 
     wanted = [
@@ -86,18 +86,3 @@ def _exists(spark: SparkSession, path: str) -> bool:
             raise
         return False
     return True
-
-
-def load_frames(
-    spark: SparkSession, frames: dict[str, DataFrame], batch_id: str, layers: Layers
-) -> dict[str, int]:
-    """Load bronze tables from frames that already have the raw columns and lineage."""
-    log = RunLog(spark, layers.run_log)
-
-    def load(table: str) -> int:
-        with log.step(batch_id, "bronze", f"load_{table}") as step:
-            rows = write_counted(frames[table], f"{layers.bronze}.{table}")
-            step.record(rows_in=rows, rows_out=rows, tool="splits")
-        return rows
-
-    return each(load, frames)

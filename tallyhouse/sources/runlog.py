@@ -22,20 +22,20 @@ from pyspark.sql import types as T
 from tallyhouse.sources.schemas import RUN_LOG
 from tallyhouse.sources.tables import append_log
 
-MESSAGE_CHARS = 3900
 APPENDING = threading.Lock()
 
 
 @dataclass
 class Recorded:
+    """What a step tells about itself; the last word counts."""
+
     rows_in: int | None = None
     rows_out: int | None = None
     tool: str | None = None
 
-    def record(
-        self, rows_in: int | None = None, rows_out: int | None = None, tool: str | None = None
-    ) -> None:
-        self.rows_in, self.rows_out, self.tool = rows_in, rows_out, tool or self.tool
+    def record(self, **facts) -> None:
+        for name, value in facts.items():
+            setattr(self, name, value)
 
 
 class RunLog:
@@ -64,8 +64,7 @@ class RunLog:
         try:
             yield done
         except Exception as error:
-            message = str(error)[:MESSAGE_CHARS]
-            self._event(*about, "failed", None, None, started, *ended(), message)
+            self._event(*about, "failed", None, None, started, *ended(), str(error))
             raise
         self._event(*about, "success", done.rows_in, done.rows_out, started, *ended(), None)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -58,17 +59,10 @@ def ensure_layout(spark: SparkSession, layers: Layers, location: str | None = No
 
 
 def write_full(
-    df: DataFrame,
-    table: str,
-    small: bool = False,
-    partition_by: list[str] | None = None,
-    path: str | None = None,
+    df: DataFrame, table: str, partition_by: list[str] | None = None, path: str | None = None
 ) -> None:
-    """Full refresh of a table. Small inputs go to one file, others keep their splits.
-
-    With ``path`` the table is external: renaming it moves no files.
-    """
-    writer = (df.coalesce(1) if small else df).write.mode("overwrite").format("parquet")
+    """Full refresh of a table. With ``path`` it is external: renaming it moves no files."""
+    writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -76,6 +70,55 @@ def write_full(
     writer.saveAsTable(table)
 
 
+def new_version(spark: SparkSession, table: str) -> str:
+    """A folder of its own for a version of an external table."""
+    database, name = table.split(".")
+    return f"{spark.catalog.getDatabase(database).locationUri}/{name}_{uuid.uuid4().hex[:8]}"
+
+
+def location(spark: SparkSession, table: str) -> str | None:
+    """Where an external table's files lie; None for managed and missing tables."""
+    if not spark.catalog.tableExists(table):
+        return None
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return facts["Location"] if facts.get("Type") == "EXTERNAL" else None
+
+
+def remove_table(spark: SparkSession, table: str) -> None:
+    """Drop a table and its files, also those of an external one."""
+    folder = location(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_parts(df: DataFrame, flag: str, parts: dict[str, tuple[bool, list[str]]]) -> dict[str, int]:
+    """Write rows once, apart by a boolean column, and give each part to a table.
+
+    ``parts``: table -> (value of the flag, columns). The tables are external over the
+    parts' folders, so rows that feed two tables are derived and written one time. Returns
+    rows per table, counted on the way.
+    """
+    spark = df.sparkSession
+    folder = new_version(spark, next(iter(parts)))
+    seen = Observation()
+    counts = {
+        table: F.count_if(F.col(flag) if value else ~F.col(flag)).alias(table)
+        for table, (value, _) in parts.items()
+    }
+    df.observe(seen, *counts.values()).write.partitionBy(flag).parquet(folder)
+    for table, (value, columns) in parts.items():
+        remove_table(spark, table)
+        part = f"{folder}/{flag}={str(value).lower()}"
+        # An empty part has no folder yet.
+        path = spark._jvm.org.apache.hadoop.fs.Path(part)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+        listed = ", ".join(f"{df.schema[c].name} {df.schema[c].dataType.simpleString()}" for c in columns)
+        spark.sql(f"CREATE TABLE {table} ({listed}) USING parquet LOCATION '{part}'")
+    return {table: seen.get[table] for table in parts}
+
+
 def write_counted(df: DataFrame, table: str, **how) -> int:
     """Full refresh that also returns the rows written, counted on the way."""
     seen = Observation()
@@ -97,12 +140,13 @@ def append_log(df: DataFrame, table: str) -> None:
 
 
 def publish(spark: SparkSession, new: str, table: str, keep: str) -> None:
-    """Swap ``new`` in for ``table`` by renaming; the old version stays as ``keep``.
+    """Swap ``new`` in for ``table`` by renaming; the old version stays as ``keep``, the one
+    kept before goes with its files.
 
     A partitioned table must be external: a rename does not move the partitions a
-    catalog has on record. The files of an external ``keep`` outlive its next swap.
+    catalog has on record.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {keep}")
+    remove_table(spark, keep)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {keep}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
