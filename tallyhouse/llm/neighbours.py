@@ -222,9 +222,8 @@ def search(
             return pd.concat(parts, ignore_index=True)
 
         for run in runs(frames, ["list", "block", "turn"]):
-            asks = run["asks"].to_numpy()
-            ids = run["id"].to_numpy()
-            data = np.frombuffer(b"".join(run["data"]), dtype=np.float32).reshape(len(run), -1)
+            asks, ids = run["asks"].astype(bool), run["id"]
+            data = np.frombuffer(b"".join(run["data"]), dtype=np.float32).reshape(len(ids), -1)
             who, what = ids[asks], ids[~asks]
             nothing = (np.zeros(0, dtype=np.int64), np.zeros(0))
             before = [held.get(int(query), nothing) for query in who]

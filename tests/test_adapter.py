@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from tallyhouse.plans.benchmark_queries import annual_sales_by_channel
 from tallyhouse.plans.silver import tagged_returns, tagged_sales
 from tallyhouse.sources.adapter import DriverTables
 from tallyhouse.sources.schemas import SCHEMAS
@@ -53,3 +55,29 @@ def test_expected_counts(driver):
         "negative_net_paid": 5,
     }
     assert driver.returns.count() == 1917
+
+
+@pytest.mark.parametrize("years", [-2, 10])
+def test_the_calendar_follows_the_data(spark, tmp_path, years):
+    """No sale is lost in a date join, whenever trade took place."""
+    shifted = {"orders": ["o_orderdate"], "lineitem": ["l_shipdate"]}
+    for table, dates in shifted.items():
+        df = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+        moved = {c: F.expr(f"{c} + INTERVAL {years} YEARS") for c in dates}
+        df.withColumns(moved).write.parquet(f"{tmp_path}/{table}.parquet")
+    driver = DriverTables(spark, str(tmp_path))
+    yearly = annual_sales_by_channel(driver.sales, driver.dates)
+    assert yearly.agg(F.sum("line_count")).first()[0] == driver.sales.count() == 5887
+
+
+def test_raw_tables_have_the_types_of_the_contract(driver):
+    for name, df in driver.raw_tables().items():
+        kinds = {f.name: f.dataType for f in SCHEMAS[name].fields}
+        assert {f.name: f.dataType for f in df.schema if f.name in kinds} == kinds, name
+
+
+def test_bill_and_ship_refunded_and_returning_differ(driver):
+    sales = driver.raw_sales("web").where("ws_bill_customer_sk IS NOT NULL")
+    assert sales.where("ws_bill_customer_sk = ws_ship_customer_sk OR ws_bill_cdemo_sk = ws_ship_cdemo_sk").isEmpty()
+    returns = driver.raw_returns("catalog")
+    assert returns.where("cr_refunded_customer_sk = cr_returning_customer_sk").isEmpty()

@@ -2,9 +2,10 @@ from datetime import UTC, datetime
 
 import pytest
 
-from tallyhouse.sources.delimited import load_all, read_raw
+from tallyhouse.sources.delimited import load_all, read_raw, write_raw
 from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.runlog import run_log_state
+from tallyhouse.sources.schemas import SCHEMAS
 
 
 def write(folder, table, text):
@@ -32,7 +33,22 @@ def test_quoted_separator_and_padding(spark, tmp_path):
     assert rows(read_raw(spark, path, "reason")) == [(1, "AAAA", "a|b")]
 
 
-@pytest.mark.parametrize("bad", ["x|AAAA|text", "1|AAAA", "1|AAAA|text|more"])
+def test_doubled_quotes_and_backslashes(spark, tmp_path):
+    text = '1|A|"he said ""no"" today"\n2|B|"a|""b"" \\ c"\n3|C|back\\slash\n4|D|"""q"""\n'
+    path = write(tmp_path, "reason", text)
+    assert [r[2] for r in sorted(rows(read_raw(spark, path, "reason")))] == [
+        'he said "no" today', 'a|"b" \\ c', "back\\slash", '"q"',
+    ]
+
+
+def test_written_rows_are_read_again(spark, tmp_path):
+    values = [(1, "A", 'say "x" | y'), (2, None, "back\\slash"), (3, "C", '"'), (4, "D", "é,;")]
+    df = spark.createDataFrame(values, SCHEMAS["reason"])
+    write_raw(df, f"{tmp_path}/reason.dat", "reason")
+    assert sorted(rows(read_raw(spark, f"{tmp_path}/reason.dat", "reason"))) == values
+
+
+@pytest.mark.parametrize("bad", ["x|AAAA|text", "1|AAAA", "1|AAAA|text|more", '1|AAAA|"line\nbreak"'])
 def test_malformed_rows_fail_the_load(spark, tmp_path, bad):
     path = write(tmp_path, "reason", f"1|AAAA|fine\n{bad}\n")
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
@@ -59,21 +75,13 @@ def test_load_all_counts_logs_and_replaces(spark, tmp_path, layers):
     assert [(r.r_reason_sk, r._batch_id) for r in table.collect()] == [(9, "b2")]
     state = run_log_state(spark.table(layers.run_log)).collect()
     assert {(r.batch_id, r.step, r.status, r.rows_in, r.rows_out, r.tool) for r in state} == {
-        ("b1", "load_reason", "success", 2, 2, "single_file"),
-        ("b1", "load_income_band", "success", 1, 1, "single_file"),
-        ("b2", "load_reason", "success", 1, 1, "single_file"),
+        ("b1", "load_reason", "success", 2, 2, "splits"),
+        ("b1", "load_income_band", "success", 1, 1, "splits"),
+        ("b2", "load_reason", "success", 1, 1, "splits"),
     }
     assert spark.table(f"{layers.bronze}.ship_mode").count() == 0
 
 
-def test_large_file_keeps_its_splits(spark, tmp_path, layers):
-    line = "|".join(["1", "x" * 16, "y" * 80]) + "\n"
-    write(tmp_path, "reason", line * 11000)
-    assert load_all(spark, str(tmp_path), "b1", layers) == {"reason": 11000}
-    state = run_log_state(spark.table(layers.run_log)).first()
-    assert state.tool == "splits"
-
-
 def test_a_bad_file_fails_its_step(spark, tmp_path, layers):
     write(tmp_path, "reason", "x|AAAA|a\n")
     with pytest.raises(Exception):

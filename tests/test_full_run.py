@@ -51,6 +51,22 @@ def data(tmp_path):
     return folder
 
 
+def test_facts_are_written_once_with_their_sidecars(spark, layers, data):
+    for batch in ("b1", "b2"):
+        run_warehouse(spark, layers, str(data), batch_id=batch)
+    counts = {t: spark.table(f"{layers.silver}.{t}").count() for t in
+              ("fact_sales", "fact_sales__anomalies", "fact_returns", "fact_returns__anomalies")}
+    assert list(counts.values()) == [3, 1, 1, 0]
+    assert {r._batch_id for r in spark.table(f"{layers.silver}.fact_sales").collect()} == {"b2"}
+    folders = {
+        r["data_type"].rsplit("/", 1)[0]
+        for t in ("fact_sales", "fact_sales__anomalies")
+        for r in spark.sql(f"DESCRIBE EXTENDED {layers.silver}.{t}").collect()
+        if r["col_name"] == "Location"
+    }
+    assert len(folders) == 1
+
+
 def test_whole_run(spark, layers, data):
     assert run_warehouse(spark, layers, str(data), batch_id="b1") == "b1"
     state = run_log_state(spark.table(layers.run_log)).collect()
@@ -91,7 +107,7 @@ def test_step_log(spark, layers):
     assert events.count() == 4
     state = {r.step: r for r in run_log_state(events).collect()}
     assert (state["good"].status, state["good"].rows_in, state["good"].rows_out) == ("success", 2, 1)
-    assert (state["bad"].status, len(state["bad"].message)) == ("failed", 3900)
+    assert (state["bad"].status, len(state["bad"].message)) == ("failed", 5000)
     killed = run_log_state(events.where("status = 'started'")).collect()
     assert {r.status for r in killed} == {"started"}
 
@@ -103,7 +119,7 @@ def test_seed(spark):
 
 
 def test_command_line(spark, layers, data, capsys):
-    from tallyhouse.__main__ import main
+    from tallyhouse.__main__ import benchmark_plans, main
 
     names = [f"--{layer}={getattr(layers, layer)}" for layer in ("bronze", "silver", "gold", "dq")]
     assert main([*names, "load", "--data-dir", str(data), "--table", "item"], spark) == 0
@@ -114,11 +130,17 @@ def test_command_line(spark, layers, data, capsys):
     assert main([*names, "load", "--data-dir", str(data), "--include", "item"], spark) == 0
     assert main([*names, "check"], spark) == 1
     assert "item unique" in capsys.readouterr().err
+    assert main([*names, "load", "--data-dir", str(data), "--exclude", "store"], spark) == 0
     for name in ("fact_sales", "fact_returns", "dim_item", "dim_customer", "dim_date"):
         frame = silver_frames({t: spark.table(f"{layers.bronze}.{t}") for t in SCHEMAS})[name]
         write_full(frame, f"{layers.silver}.{name}")
     bench = ["bench", "--phase", "before", "--iterations", "1", "--run-id", "r1"]
     assert main([*names, *bench], spark) == 0
     assert spark.table(layers.perf_log).count() == 5
-    assert main([*names, "tune", "--only", "stats"], spark) == 0
+    assert main([*names, "tune"], spark) == 0
     assert "fact_sales" in capsys.readouterr().out
+    facts = spark.sql(f"DESCRIBE EXTENDED {layers.silver}.fact_sales item_sk").collect()
+    assert {r["info_name"]: r["info_value"] for r in facts}["distinct_count"] != "NULL"
+    planned = benchmark_plans(spark, layers)["daily_sales_one_month"]()
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()

@@ -73,9 +73,9 @@ def test_sales_performance(spark):
     assert set(rows) == {(10, "store"), (11, "web")}
     store, web = rows[10, "store"], rows[11, "web"]
     assert (store.units_sold, store.order_count, store.gross_sales) == (10, 2, D(100))
-    assert (store.avg_order_value, store.net_revenue, store.returns_rate) == (50.0, D(93), 2.0)
-    assert (store.profit_margin, store.calendar_date) == (0.03, date(2000, 1, 11))
-    assert (web.profit_margin, web.units_returned, web.returns_rate) == (None, 0, 0.0)
+    assert (store.avg_order_value, store.net_revenue, store.returns_rate) == (D("50.00"), D(93), D("2.0000"))
+    assert (store.profit_margin, store.calendar_date) == (D("0.0300"), date(2000, 1, 11))
+    assert (web.profit_margin, web.units_returned, web.returns_rate) == (None, 0, D("0.0000"))
 
 
 def test_channel_comparison(spark):
@@ -90,9 +90,9 @@ def test_channel_comparison(spark):
     mart = marts.mart_channel_comparison(sales, returns, dates_of(spark))
     rows = {(r.month_of_year, r.channel): r for r in mart.collect()}
     assert set(rows) == {(1, "store"), (1, "web"), (2, "web")}
-    assert rows[1, "store"].share_of_total == 0.6
+    assert rows[1, "store"].share_of_total == D("0.6000")
     assert (rows[1, "store"].order_count, rows[1, "store"].unique_customers) == (1, 1)
-    assert (rows[1, "web"].returns_rate, rows[2, "web"].share_of_total) == (0.1, 1.0)
+    assert (rows[1, "web"].returns_rate, rows[2, "web"].share_of_total) == (D("0.1000"), D("1.0000"))
     assert rows[2, "web"].units_returned == 0
 
 
@@ -113,7 +113,7 @@ def test_product_analytics(spark, many_slices):
     assert {k: (r.rank_by_revenue, r.rank_in_category) for k, r in rows.items()} == {
         1: (1, 1), 2: (1, 1), 4: (3, 1), 5: (3, 1),
     }
-    assert (rows[1].returns_rate, rows[1].avg_sales_price) == (0.25, 5.0)
+    assert (rows[1].returns_rate, rows[1].avg_sales_price) == (D("0.2500"), 5.0)
     assert (rows[4].units_sold, rows[4].returns_rate, rows[4].avg_sales_price) == (0, None, None)
 
 

@@ -90,6 +90,22 @@ def test_value_checks_share_one_pass(spark):
     assert plan.count("Range (0, 10") == 1
 
 
+def test_key_checks_share_the_pass_with_value_checks(spark):
+    tables = {"t": spark.range(10).toDF("v"), "p": spark.range(7, 20).toDF("k")}
+    checks = not_null("v") + unique("v") + references("v", "p", "k") + between("v", 1)
+    checked = check_tables({"t": checks}, tables)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 10") == 1 and plan.count("Range (7, 20") == 1
+    assert [(r.expectation, r.element_count, r.unexpected_count) for r in checked.collect()] == [
+        ("not_null", 10, 0), ("unique", 10, 0), ("references", 10, 7), ("between", 10, 1),
+    ]
+
+
+def test_keys_of_other_types_match(spark):
+    tables = {"t": spark.sql("SELECT 1 AS v"), "p": spark.sql("SELECT CAST(1.00 AS DECIMAL(9,2)) AS k")}
+    assert check_tables({"t": references("v", "p", "k")}, tables).first().unexpected_count == 0
+
+
 def test_a_sample_is_only_taken_when_asked_for(spark):
     tables = {"t": spark.range(10000).toDF("v")}
     whole = check_tables({"t": not_null("v")}, tables).first()

@@ -1,4 +1,5 @@
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import Window as W
@@ -62,6 +63,33 @@ def test_quintiles_equal_plain_window(spark, seed, n):
     assert scored.count() == n
 
 
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.6, 1.0])
+@pytest.mark.parametrize("n", [10, 333])
+def test_quintiles_of_nulls_and_fine_values(spark, share, n):
+    pick = random.Random(n)
+    rows = [
+        (
+            k,
+            None if pick.random() < share else pick.choice([1e-8, 2e-8, float("nan"), pick.random() * 1e-7]),
+            None if pick.random() < share else pick.randrange(5),
+            None if pick.random() < share else date(2000, 1, 1 + pick.randrange(28)),
+        )
+        for k in range(n)
+    ]
+    df = spark.createDataFrame(rows, "k long, fine double, v int, d date")
+    measures = {"a": F.col("fine"), "b": F.col("v"), "c": F.col("d"), "e": F.negate("fine")}
+    scored = with_quintiles(df, "k", measures).select("k", *measures)
+    count = F.count("*").over(W.partitionBy())
+
+    def plain(column):
+        # Spark's ascending order has NULLs first.
+        place = F.row_number().over(W.orderBy(column.asc(), "k"))
+        return F.ceil(place * 5.0 / count).cast("int")
+
+    wanted = df.select("k", *[plain(column).alias(name) for name, column in measures.items()])
+    assert scored.exceptAll(wanted).isEmpty() and scored.count() == n
+
+
 @pytest.mark.parametrize("group", [[], ["g"]])
 @pytest.mark.parametrize("hot", [0.0, 0.4, 1.0])
 def test_rank_equals_plain_window(spark, group, hot):

@@ -1,7 +1,8 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dimensions import with_date_bucket
 from tallyhouse.plans import tuning
 from tallyhouse.plans.benchmark_queries import daily_sales_of_month
 from tallyhouse.sources.adapter import DriverTables
@@ -18,6 +19,7 @@ def plan(df):
 def fact(spark, layers):
     driver = DriverTables(spark, FOLDER)
     write_full(driver.sales, f"{layers.silver}.fact_sales")
+    write_full(driver.dates, f"{layers.silver}.dim_date")
     return driver
 
 
@@ -32,15 +34,14 @@ def test_date_buckets(spark):
 def test_bucketed_fact_is_published_and_pruned(spark, layers, fact):
     name = f"{layers.silver}.fact_sales"
     before = spark.table(name).count()
-    low, high = tuning.rewrite_by_date_bucket(spark, layers)
-    sales = spark.table(name)
+    tuning.rewrite_by_date_bucket(spark, layers)
+    sales, dates = spark.table(name), spark.table(f"{layers.silver}.dim_date")
     assert sales.count() == before == spark.table(f"{name}_unbucketed").count()
     spans = sales.groupBy("date_bucket").agg((F.max("sold_date_sk") - F.min("sold_date_sk")).alias("d"))
     assert max(r.d for r in spans.collect()) < 365
     assert {r.date_bucket for r in spans.collect()} == set(
         r.date_bucket for r in tuning.bucketed_sales(fact.sales).select("date_bucket").distinct().collect()
     )
-    dates = with_date_bucket(fact.dates, low, high)
     pruned = daily_sales_of_month(sales, dates, 2001, 1)
     assert "dynamicpruning" in plan(pruned).lower()
     plain = daily_sales_of_month(fact.sales, fact.dates, 2001, 1)
@@ -49,8 +50,28 @@ def test_bucketed_fact_is_published_and_pruned(spark, layers, fact):
 
 def test_statistics_report_per_table(spark, layers, fact):
     outcome = tuning.collect_statistics(spark, layers)
-    assert outcome["fact_sales"] == "ok"
-    assert outcome["mart_customer_360"].startswith("err")
+    assert outcome["fact_sales"] == "analyzed"
+    assert "TABLE_OR_VIEW_NOT_FOUND" in outcome["mart_customer_360"]
+
+
+def distinct_counts(spark, table, column):
+    facts = spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()
+    return {r["info_name"]: r["info_value"] for r in facts}["distinct_count"]
+
+
+def test_the_rewritten_tables_are_analyzed(spark, layers, fact):
+    for _ in range(2):
+        tuning.rewrite_by_date_bucket(spark, layers)
+        assert distinct_counts(spark, f"{layers.silver}.fact_sales", "item_sk") != "NULL"
+        assert distinct_counts(spark, f"{layers.silver}.dim_date", "date_key") != "NULL"
+
+
+def test_old_versions_leave_no_files(spark, layers, fact):
+    for _ in range(3):
+        tuning.rewrite_by_date_bucket(spark, layers)
+    folder = Path(spark.catalog.getDatabase(layers.silver).locationUri.removeprefix("file:"))
+    versions = [p for p in folder.iterdir() if p.name.startswith("fact_sales_bucketed_")]
+    assert len(versions) == 2  # the published and the kept one
 
 
 def test_timings_reach_the_log(spark, layers):
