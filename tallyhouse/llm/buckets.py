@@ -1,12 +1,19 @@
 """Links between the members of hash buckets, without writing down all pairs of a bucket.
 
 Each item carries a 128-bit sketch (``s0``, ``s1``) whose differing bits grow with the
-items' distance, and a size ``n``. In the first round every member of a bucket is compared
-with the bucket's smallest id alone; the links that hold are joined to components. After
-it, two members of a bucket matter only if their components differ: only buckets that hold
-several components are compared whole, in blocks, and only pairs whose sketches and sizes
-can belong to a link leave as candidates. So a bucket of many near copies costs one
-comparison each, and no link between components is missed.
+items' distance, a size ``n``, and possibly a longer signature ``sig`` whose equal bytes
+decide more sharply. Whether two items are linked is decided on their payloads.
+
+1. Every member of a bucket is compared with the bucket's smallest id alone; the links that
+   hold are joined to components. From here on two members of a bucket matter only if their
+   components differ, and only buckets that hold several components are looked at.
+2. These are compared whole, in blocks. Of the pairs that sketches, sizes and signatures
+   allow, the few nearest of each member leave and are decided; components are joined again.
+3. Buckets that had more such pairs get their members' payloads, and all their pairs between
+   components are decided where they lie; only links leave.
+
+So a bucket of many near copies costs a few comparisons each, no pair that is not a link is
+written beyond a few per member, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from tallyhouse.llm.components import components
 from tallyhouse.session import settle
 
 BLOCK = 1024  # rows on either side of one comparison
+NEAREST = 4  # pairs of each member that leave its bucket undecided
 
 
 def differing(a: str, b: str) -> Column:
@@ -30,20 +38,21 @@ def differing(a: str, b: str) -> Column:
     return bits[0] + bits[1]
 
 
-def runs(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The runs of equal keys of a sorted partition, one frame each."""
-    rest: pd.DataFrame | None = None
+def runs(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The runs of equal keys of a sorted partition, the columns of each as arrays."""
+    rest: dict[str, np.ndarray] = {}
     for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
         if frame.empty:
             continue
-        values = [frame[key].to_numpy() for key in keys]
-        new = np.logical_or.reduce([v[1:] != v[:-1] for v in values])
+        columns = {name: frame[name].to_numpy() for name in frame.columns}
+        if rest:
+            columns = {name: np.concatenate([rest[name], v]) for name, v in columns.items()}
+        new = np.logical_or.reduce([columns[key][1:] != columns[key][:-1] for key in keys])
         cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            yield frame.iloc[begin:end]
-        rest = frame.iloc[cuts[-1] :]
-    if rest is not None and len(rest):
+            yield {name: v[begin:end] for name, v in columns.items()}
+        rest = {name: v[cuts[-1] :] for name, v in columns.items()}
+    if rest:
         yield rest
 
 
@@ -65,31 +74,112 @@ def in_blocks(members: DataFrame, key: str, item: str) -> DataFrame:
     )
 
 
-def candidates(rows: DataFrame, most: int) -> DataFrame:
-    """Pairs ``a < b`` of different components that share a bucket and whose sketches and
-    sizes allow a link. ``rows``: ``key id s0 s1 n component``."""
+class Filter:
+    """Which pairs of a block's two sides can be linked, by what travels with every member."""
+
+    def __init__(self, most: int, agree: int = 0):
+        self.most, self.agree = most, agree
+
+    def __call__(self, run: dict[str, np.ndarray]) -> tuple[dict, dict, np.ndarray, np.ndarray]:
+        a = b = run
+        if run["i"][0] != run["j"][0]:
+            first = run["side"] == run["i"][0]
+            a, b = ({c: v[at] for c, v in run.items()} for at in (first, ~first))
+        bits = np.bitwise_count(a["s0"][:, None] ^ b["s0"]).astype(np.int16)
+        bits += np.bitwise_count(a["s1"][:, None] ^ b["s1"])
+        wanted = (bits <= self.most) & (a["component"][:, None] != b["component"])
+        if wanted.any():
+            n, m = a["n"][:, None], b["n"]
+            able = (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (a["id"][:, None] != b["id"])
+            bits[~able] = 999
+            wanted &= able
+            if self.agree:
+                self._signatures(a, b, wanted)
+        return a, b, bits, wanted
+
+    def _signatures(self, a: dict, b: dict, wanted: np.ndarray) -> None:
+        """Take back pairs whose signatures agree in too few bytes."""
+        first, second = (
+            np.frombuffer(b"".join(x["sig"]), np.uint8).reshape(len(x["id"]), -1) for x in (a, b)
+        )
+        x, y = np.nonzero(wanted)
+        for start in range(0, len(x), 20_000):
+            i, j = x[start : start + 20_000], y[start : start + 20_000]
+            wanted[i, j] = (first[i] == second[j]).sum(axis=1) >= self.agree
+
+
+def nearest_pairs(rows: DataFrame, allowed: Filter) -> DataFrame:
+    """Pairs ``a < b`` that may be linked, of which one is among the other's ``NEAREST``; and
+    for each bucket with more pairs a row with its key in ``b`` and no ``a``.
+
+    ``rows``: ``key id s0 s1 n sig component``.
+    """
+
+    def near(bits: np.ndarray) -> np.ndarray:
+        if max(bits.shape) <= NEAREST:
+            return np.ones(bits.shape, dtype=bool)
+        at = np.zeros(bits.shape, dtype=bool)
+        np.put_along_axis(at, np.argsort(bits, axis=1, kind="stable")[:, :NEAREST], True, axis=1)
+        np.put_along_axis(at, np.argsort(bits, axis=0, kind="stable")[:NEAREST], True, axis=0)
+        return at
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, held = [], 0
+        found, crowded = [], []
         for run in runs(frames, ["key", "i", "j"]):
-            values = {c: run[c].to_numpy() for c in ("id", "s0", "s1", "n", "component", "side")}
-            first = values["side"] == run["i"].iat[0]
-            second = values["side"] == run["j"].iat[0]
-            a, b = ({c: v[at] for c, v in values.items()} for at in (first, second))
-            bits = np.bitwise_count(a["s0"][:, None] ^ b["s0"]).astype(np.int16)
-            bits += np.bitwise_count(a["s1"][:, None] ^ b["s1"])
-            near = (bits <= most) & (a["component"][:, None] != b["component"])
-            near &= 4 * np.minimum(a["n"][:, None], b["n"]) >= 3 * np.maximum(a["n"][:, None], b["n"])
-            x, y = np.nonzero(near)
-            if len(x):
+            a, b, bits, wanted = allowed(run)
+            if wanted.any():
+                close = near(bits)
+                if (wanted & ~close).any():
+                    crowded.append(int(run["key"][0]))
+                x, y = np.nonzero(wanted & close)
                 pair = np.sort(np.stack([a["id"][x], b["id"][y]], axis=1), axis=1)
                 found.append(np.unique(pair, axis=0))
-                held += len(found[-1])
-            if held > 100_000:
-                yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
-                found, held = [], 0
+            if len(found) > 10_000:
+                yield pd.DataFrame(np.concatenate(found), columns=["a", "b"], dtype="Int64")
+                found = []
         if found:
-            yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+            yield pd.DataFrame(np.concatenate(found), columns=["a", "b"], dtype="Int64")
+        if crowded:
+            yield pd.DataFrame({"a": [None] * len(crowded), "b": crowded}, dtype="Int64")
+
+    return in_blocks(rows, "key", "id").mapInPandas(compare, "a long, b long").distinct()
+
+
+def links_inside(rows: DataFrame, allowed: Filter, linked: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """Links ``a, b`` that join the components of each bucket, decided on ``payload``.
+
+    With ``keys``, a pair is decided only in the first bucket that both its members are in.
+    """
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in runs(frames, ["key", "i", "j"]):
+            a, b, bits, wanted = allowed(run)
+            x, y = np.nonzero(wanted)
+            if len(x) and len(run["keys"][0]):
+                k, m = np.stack(a["keys"]), np.stack(b["keys"])
+                first = np.zeros(len(x), dtype=bool)
+                for start in range(0, len(x), 20_000):
+                    part = slice(start, start + 20_000)
+                    shared = k[x[part]] == m[y[part]]
+                    at = shared.argmax(axis=1)
+                    first[part] = k[x[part], at] == run["key"][0]
+                x, y = x[first], y[first]
+            root = {c: c for c in np.unique(run["component"]).tolist()}
+
+            def top(c: int, root=root) -> int:
+                while root[c] != c:
+                    c = root[c] = root[root[c]]
+                return c
+
+            links = []
+            for at in np.argsort(bits[x, y], kind="stable"):
+                i, j = x[at], y[at]
+                c, d = top(int(a["component"][i])), top(int(b["component"][j]))
+                if c != d and linked(a["payload"][i], b["payload"][j]):
+                    root[c] = d
+                    links.append((a["id"][i], b["id"][j]))
+            if links:
+                yield pd.DataFrame(links, columns=["a", "b"])
 
     return in_blocks(rows, "key", "id").mapInPandas(compare, "a long, b long").distinct()
 
@@ -97,14 +187,29 @@ def candidates(rows: DataFrame, most: int) -> DataFrame:
 def linked_components(
     buckets: DataFrame,
     sketches: DataFrame,
-    most: int,
-    verify: Callable[[DataFrame], DataFrame],
+    allowed: Filter,
+    payloads: Callable[[DataFrame], DataFrame],
+    linked: Callable[[bytes, bytes], bool],
 ) -> DataFrame:
-    """``id`` and ``component`` of all items that have a verified link.
+    """``id`` and ``component`` of all items that have a link.
 
-    ``buckets``: ``key id``; ``sketches``: ``id s0 s1 n``; ``verify`` keeps the pairs
-    ``a, b`` that are links.
+    ``buckets``: ``key id``; ``sketches``: ``id s0 s1 n sig keys``; ``payloads`` gives ``id
+    payload`` of a frame of ids, and ``linked`` decides on two payloads. Payloads are made
+    once, for the items that share a bucket with another.
     """
+
+    def decided(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            keep = [linked(x, y) for x, y in zip(frame["x"], frame["y"], strict=True)]
+            yield frame.loc[keep, ["a", "b"]]
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs
+        for side, name in (("a", "x"), ("b", "y")):
+            facts = held.select(F.col("id").alias(side), F.col("payload").alias(name))
+            both = both.join(facts, side)
+        return settle(both.mapInPandas(decided, "a long, b long").distinct())
+
     leaders = (
         buckets.groupBy("key")
         .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
@@ -112,24 +217,39 @@ def linked_components(
         .drop("last")
     )
     crowded = settle(buckets.join(leaders, "key"))
+    held = settle(payloads(crowded.select("id").distinct()))
     stars = crowded.where("leader < id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     near = stars.distinct()
     for side in ("a", "b"):
         facts = sketches.select(F.col("id").alias(side), F.struct("s0", "s1", "n").alias(f"{side}_"))
         near = near.join(facts, side)
     sizes = F.least("a_.n", "b_.n") * 4 >= F.greatest("a_.n", "b_.n") * 3
-    links = settle(verify(near.where((differing("a_", "b_") <= most) & sizes).select("a", "b")))
+    links = verify(near.where((differing("a_", "b_") <= allowed.most) & sizes).select("a", "b"))
     found = components(links)
 
-    known = crowded.join(found, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
-    )
-    open_keys = (
-        known.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("key")
-    )
-    rows = known.join(open_keys, "key", "left_semi").join(sketches, "id")
-    more = settle(verify(candidates(rows, most)))
-    return components(links.union(more))
+    def open_rows(found: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components."""
+        known = crowded.join(found, "id", "left").select(
+            "key", "id", F.coalesce("component", "id").alias("component")
+        )
+        several = (
+            known.groupBy("key")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low < high")
+            .select("key")
+        )
+        return known.join(several, "key", "left_semi").join(sketches, "id")
+
+    pairs = settle(nearest_pairs(open_rows(found).drop("keys"), allowed))
+    if pairs.isEmpty():
+        return found
+    more = verify(pairs.where("a is not null"))
+    if not more.isEmpty():
+        links = settle(links.union(more))
+        found = components(links)
+    rest = pairs.where("a is null").select(F.col("b").alias("key"))
+    if rest.isEmpty():
+        return found
+    rows = open_rows(found).join(rest, "key", "left_semi").join(held, "id")
+    more = settle(links_inside(rows, allowed, linked))
+    return found if more.isEmpty() else components(links.union(more))

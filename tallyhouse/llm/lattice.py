@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.buckets import in_blocks, linked_components, runs
+from tallyhouse.llm.buckets import Filter, in_blocks, linked_components, runs
 from tallyhouse.llm.common import column
 from tallyhouse.llm.minhash import mixed
 from tallyhouse.session import settle
@@ -190,33 +190,30 @@ def near_duplicates(
     items = settle(first.select("id", "copies", "v").mapInPandas(hashed, schema))
     buckets = items.select(F.explode("keys").alias("key"), "id").distinct()
 
-    def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keep = [
-                len(x) == len(y) and float(np.dot(np.frombuffer(x), np.frombuffer(y))) >= least
-                for x, y in zip(frame["x"], frame["y"], strict=True)
-            ]
-            yield frame.loc[keep, ["a", "b"]]
+    def linked(x: bytes, y: bytes) -> bool:
+        return len(x) == len(y) and float(np.dot(np.frombuffer(x), np.frombuffer(y))) >= least
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        for side, name in (("a", "x"), ("b", "y")):
-            pairs = pairs.join(items.select(F.col("id").alias(side), F.col("unit").alias(name)), side)
-        return pairs.mapInPandas(linked, "a long, b long").distinct()
+    def units(ids: DataFrame) -> DataFrame:
+        return items.join(ids, "id", "left_semi").select("id", F.col("unit").alias("payload"))
 
-    found = settle(linked_components(buckets, items.select("id", "s0", "s1", "n"), most, verify))
+    none, no_keys = F.lit(b"").alias("sig"), F.array().cast("array<long>").alias("keys")
+    facts = items.select("id", "s0", "s1", "n", none, no_keys)
+    found = settle(linked_components(buckets, facts, Filter(most), units, linked))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in runs(frames, ["component", "i", "j"]):
-            side, ids, copies = (run[c].to_numpy() for c in ("side", "id", "copies"))
-            for dim, some in run.groupby(run["unit"].map(len)).indices.items():
-                unit = np.frombuffer(b"".join(run["unit"].iloc[some]), dtype=float).reshape(-1, dim // 8)
-                at = [some[side[some] == run[s].iat[0]] for s in ("i", "j")]
-                a, b = (unit[np.searchsorted(some, x)] for x in at)
-                near = a @ b.T >= least
-                same = run["i"].iat[0] == run["j"].iat[0]
+            side, ids, copies = run["side"], run["id"], run["copies"]
+            same = run["i"][0] == run["j"][0]
+            lengths = np.array([len(unit) for unit in run["unit"]])
+            for length in np.unique(lengths):
+                some = np.flatnonzero(lengths == length)
+                unit = np.frombuffer(b"".join(run["unit"][some])).reshape(len(some), -1)
+                at = [np.flatnonzero(side[some] == run[s][0]) for s in ("i", "j")]
+                near = unit[at[0]] @ unit[at[1]].T >= least
                 if same:
                     np.fill_diagonal(near, False)
-                for x, hits, y in [(at[0], near, at[1]), (at[1], near.T, at[0])][: 1 if same else 2]:
+                a, b = some[at[0]], some[at[1]]
+                for x, hits, y in [(a, near, b), (b, near.T, a)][: 1 if same else 2]:
                     yield pd.DataFrame({"id": ids[x], "others": hits @ copies[y]})
 
     members = items.select("id", "copies", "unit").join(found, "id")

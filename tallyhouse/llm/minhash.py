@@ -1,14 +1,15 @@
 """Near-duplicate documents by MinHash with banding.
 
 A document is the set of its distinct five-word shingles (words between white space, A-Z in
-lower case; fewer words are one shingle). 128 universal hash functions give the set's
-signature of minima. Bands of four minima are bucket keys, and one bit of each minimum makes
-a 128-bit sketch with which candidate pairs are verified first; what passes is confirmed on
-the full sets: a link is an intersection of at least 75 % of the union. Components come from
-alternating large-star and small-star rounds.
-
-Two sets at the threshold share no band of 32 with probability 5e-6; the sketch bound lies
-five standard deviations off. Documents with the same words are one item: copies meet as
+lower case; fewer words are one shingle). 256 universal hash functions give the set's
+signature of minima. Bands of four minima, 32 of them, are bucket keys; a bit of each of
+their 128 minima makes a sketch, and a byte of all 256 the signature that candidate pairs
+are verified with. What passes is confirmed on the full sets: a link is an intersection of
+at least 75 % of the union. Components come from alternating large-star and small-star
+rounds.
+
+Two sets at the threshold share no band with probability 5e-6; the bounds on sketch and
+signature lie five standard deviations off. Documents with the same words are one item: copies meet as
 equal sequence hashes and are never paired. A document's id stands for all rows with it.
 
 Defined cases: a null, empty or blank text has no shingle and no link; a null id is never a
@@ -21,18 +22,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.buckets import linked_components
+from tallyhouse.llm.buckets import Filter, linked_components
 from tallyhouse.llm.common import column
 from tallyhouse.session import settle
 
 WORDS = 5
-HASHES, ROWS = 128, 4
+HASHES, BANDED, ROWS = 256, 128, 4
 MOST_BITS = 35  # 128 / 8 bits differ on average at the threshold, plus five deviations
+LEAST_AGREE = 158  # 256 * 0.751 bytes agree on average at the threshold, less five deviations
 SLICE = 4_000_000  # bytes of text that are hashed at once
 
 _DRAW = np.random.default_rng(5)
@@ -110,20 +111,24 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
 def signature(items: np.ndarray) -> np.ndarray:
     """The minima of a set that is not empty."""
     least = np.full(HASHES, np.uint64(2**64 - 1))
-    for start in range(0, len(items), 2048):
-        some = items[start : start + 2048]
+    for start in range(0, len(items), 1024):
+        some = items[start : start + 1024]
         np.minimum(least, (_TIMES[:, None] * some + _PLUS[:, None]).min(axis=1), out=least)
     return least
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
-    parts = (mixed(signatures) * _BANDS).reshape(len(signatures), -1, ROWS).sum(axis=2)
-    return mixed(parts + np.arange(HASHES // ROWS, dtype=np.uint64)).view(np.int64)
+    parts = mixed(signatures[:, :BANDED]) * _BANDS[:BANDED]
+    parts = parts.reshape(len(signatures), BANDED // ROWS, ROWS).sum(axis=2)
+    return mixed(parts + np.arange(BANDED // ROWS, dtype=np.uint64)).view(np.int64)
 
 
-def sketches(signatures: np.ndarray) -> np.ndarray:
-    bits = (mixed(signatures ^ np.uint64(77)) >> np.uint64(40)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64).reshape(len(bits), 2)
+def sketches(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bit of each banded minimum as two numbers, and a byte of every minimum."""
+    spread = mixed(signatures ^ np.uint64(77)) >> np.uint64(40)
+    bits = (spread[:, :BANDED] & np.uint64(1)).astype(np.uint8)
+    bits = np.packbits(bits, axis=1).view(np.int64).reshape(len(bits), 2)
+    return bits, (spread & np.uint64(255)).astype(np.uint8)
 
 
 def texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -158,9 +163,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.array([len(x) for x in full], dtype=np.int64)
             some = np.flatnonzero(n)
             minima = np.stack([signature(full[i]) for i in some]) if len(some) else np.zeros((0, HASHES), np.uint64)
-            keys, bits = band_keys(minima), sketches(minima)
+            keys = band_keys(minima)
+            bits, bytes_ = sketches(minima)
             sequence = [_spans(hashes, base, starts[:-1], starts[1:]) for base in (_SEQ1, _SEQ2)]
-            bands = HASHES // ROWS
+            bands = BANDED // ROWS
+            sigs = [b""] * len(n)
+            for place, sig in zip(some, bytes_, strict=True):
+                sigs[place] = sig.tobytes()
             lengths = np.where(n > 0, bands, 0)
             wide = np.zeros((len(n), 2), dtype=np.int64)
             wide[some] = bits
@@ -172,16 +181,17 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(mixed(sequence[1]).view(np.int64)),
                     pa.array(wide[:, 0]),
                     pa.array(wide[:, 1]),
+                    pa.array(sigs, pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
                         pa.array(keys.ravel()),
                     ),
                 ],
-                names=["id", "n", "c0", "c1", "s0", "s1", "keys"],
+                names=["id", "n", "c0", "c1", "s0", "s1", "sig", "keys"],
             )
 
 
-_SIGNED = "id long, n long, c0 long, c1 long, s0 long, s1 long, keys array<long>"
+_SIGNED = "id long, n long, c0 long, c1 long, s0 long, s1 long, sig binary, keys array<long>"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,19 +200,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             full = [shingles(hashes[s : s + c]).tobytes() for s, c in zip(starts, counts, strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(row, len(full)), pa.array(full, pa.binary())],
-                names=["id", "items"],
+                names=["id", "payload"],
             )
 
 
-def _linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs whose full sets share at least three quarters of their union."""
-    for frame in frames:
-        keep = []
-        for x, y in zip(frame["x"], frame["y"], strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-        yield frame.loc[keep, ["a", "b"]]
+def _linked(x: bytes, y: bytes) -> bool:
+    """Whether two full sets share at least three quarters of their union."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= 75 * (len(x) + len(y) - both)
 
 
 def near_duplicates(
@@ -213,19 +219,15 @@ def near_duplicates(
     signed = settle(narrow.mapInArrow(_signed, _SIGNED))
     classes = signed.where("n > 0").groupBy("c0", "c1").agg(F.min("id").alias("rep"))
     first = signed.join(classes.where("rep is not null"), ["c0", "c1"]).where("id = rep")
-    first = settle(first.select("id", "n", "s0", "s1", "keys"))
+    first = settle(first.select("id", "n", "s0", "s1", "sig", "keys"))
     buckets = first.select(F.explode("keys").alias("key"), "id")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = settle(pairs)
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = narrow.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, items binary")
-        out = pairs
-        for side, name in (("a", "x"), ("b", "y")):
-            out = out.join(sets.select(F.col("id").alias(side), F.col("items").alias(name)), side)
-        return out.mapInPandas(_linked, "a long, b long").distinct()
+    def sets(ids: DataFrame) -> DataFrame:
+        held = narrow.join(ids, "id", "left_semi")
+        return held.mapInArrow(_sets, "id long, payload binary")
 
-    found = linked_components(buckets, first.select("id", "s0", "s1", "n"), MOST_BITS, verify)
+    facts = first.select("id", "s0", "s1", "n", "sig", "keys")
+    found = linked_components(buckets, facts, Filter(MOST_BITS, LEAST_AGREE), sets, _linked)
     names = classes.join(found, classes["rep"] == found["id"], "left").select(
         "c0", "c1", F.coalesce("component", "rep").alias("component_id")
     )

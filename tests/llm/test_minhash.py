@@ -85,7 +85,7 @@ def test_groups(spark, crowded_rows):
 
 def test_small_blocks_find_the_same(spark, crowded_rows, monkeypatch):
     monkeypatch.setattr(buckets, "BLOCK", 8)
-    monkeypatch.setattr(buckets, "ROUNDS", ((0, 2), (2, 4), (4, 16)))
+    monkeypatch.setattr(buckets, "NEAREST", 1)
     df = spark.createDataFrame(crowded_rows, "doc_id long, text string").repartition(4)
     compare(df, crowded_rows)
 
