@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.components import components
+from tallyhouse.llm.components import compact, components
 from tallyhouse.session import settle
 
 BLOCK = 1024  # rows on either side of one comparison
@@ -208,7 +208,7 @@ def linked_components(
         for side, name in (("a", "x"), ("b", "y")):
             facts = held.select(F.col("id").alias(side), F.col("payload").alias(name))
             both = both.join(facts, side)
-        return settle(both.mapInPandas(decided, "a long, b long").distinct())
+        return compact(both.mapInPandas(decided, "a long, b long").distinct())
 
     leaders = (
         buckets.groupBy("key")
@@ -216,7 +216,7 @@ def linked_components(
         .where("leader < last")
         .drop("last")
     )
-    crowded = settle(buckets.join(leaders, "key"))
+    crowded = compact(buckets.join(leaders, "key"))
     held = settle(payloads(crowded.select("id").distinct()))
     stars = crowded.where("leader < id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     near = stars.distinct()
@@ -240,16 +240,16 @@ def linked_components(
         )
         return known.join(several, "key", "left_semi").join(sketches, "id")
 
-    pairs = settle(nearest_pairs(open_rows(found).drop("keys"), allowed))
+    pairs = compact(nearest_pairs(open_rows(found).drop("keys"), allowed))
     if pairs.isEmpty():
         return found
     more = verify(pairs.where("a is not null"))
     if not more.isEmpty():
-        links = settle(links.union(more))
+        links = compact(links.union(more))
         found = components(links)
     rest = pairs.where("a is null").select(F.col("b").alias("key"))
     if rest.isEmpty():
         return found
     rows = open_rows(found).join(rest, "key", "left_semi").join(held, "id")
-    more = settle(links_inside(rows, allowed, linked))
+    more = compact(links_inside(rows, allowed, linked))
     return found if more.isEmpty() else components(links.union(more))

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from tallyhouse.session import settle
 
 
+PER_TASK = 200_000  # narrow rows that one task reads
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """Settled narrow rows in as many partitions as they fill, so that what follows does not
+    write a file per empty one. Large frames keep their partitions."""
+    rows = settle(df)
+    return rows.coalesce(max(1, -(-rows.count() // PER_TASK)))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest one around the node."""
     around = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
@@ -16,7 +26,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = around.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
     linked = around.join(least, "u").where("v > u")
-    return linked.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    return linked.select(F.col("v").alias("hi"), F.col("m").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -43,10 +53,10 @@ def components(links: DataFrame) -> DataFrame:
     aggregates and of joins that adaptive execution splits.
     """
     hi, lo = F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
-    edges = settle(links.where("a <> b").select(hi, lo).distinct())
+    edges = compact(links.where("a <> b").select(hi, lo).distinct())
     before, now = None, _state(edges)
     while now != before:
-        edges = settle(_small_star(_large_star(edges)))
+        edges = compact(_small_star(_large_star(edges)))
         before, now = now, _state(edges)
     pairs = edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("component"))
