@@ -39,7 +39,7 @@ from tallyhouse.session import settle
 CAPACITY = 1024
 END_ID = 2
 CACHED = 600_000  # words a worker remembers
-SLICE = 1_000_000  # characters of text that are cut into words at once
+SLICE = 1_000_000  # bytes of text that are cut into words at once
 
 # A single space between two other characters: the tokenizer always begins a word there.
 # Some characters count as white space here and not there; they only make longer chunks.
@@ -65,8 +65,8 @@ def _begins_with_space(path: str) -> np.ndarray:
 
 
 @cache
-def _known(path: str) -> dict[str, bytes]:
-    """Ids of words met before, each as it is after a space."""
+def _known(path: str) -> dict[bytes, bytes]:
+    """Ids of words met before (in UTF-8), each as it is after a space."""
     return {}
 
 
@@ -75,18 +75,18 @@ def _ids(path: str, texts: list[str]) -> list[bytes]:
     return [np.asarray(got.ids, dtype="<u4").tobytes() for got in encoded]
 
 
-def _learn(path: str, words: list[str], known: dict[str, bytes]) -> None:
+def _learn(path: str, words: list[str], known: dict[bytes, bytes]) -> None:
     """Many words as one text; its ids are cut where a token begins with a space."""
-    for start in range(0, len(words), 2000):
-        some = words[start : start + 2000]
+    for start in range(0, len(words), 500):
+        some = words[start : start + 500]
         ids = np.frombuffer(_ids(path, [" " + " ".join(some)])[0], dtype="<u4")
         at = np.flatnonzero(_begins_with_space(path)[ids]).tolist()
         for word, begin, end in zip(some, at, [*at[1:], len(ids)], strict=True):
-            known[word] = ids[begin:end].tobytes()
+            known[word.encode()] = ids[begin:end].tobytes()
 
 
 def sliced(texts: pd.Series) -> Iterator[pd.Series]:
-    """Rows in turn, so many that their texts have ``SLICE`` characters, or a single one."""
+    """Rows in turn, so many that their texts have ``SLICE`` bytes, or a single one."""
     ends = texts.str.len().cumsum().to_numpy()
     begin = 0
     while begin < len(texts):
@@ -96,8 +96,8 @@ def sliced(texts: pd.Series) -> Iterator[pd.Series]:
         begin = end
 
 
-def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers.
+def encode(texts: list[bytes], path: str) -> list[bytes]:
+    """Ids of each text (in UTF-8) as little-endian unsigned 32-bit numbers.
 
     Equal to encoding the whole texts: they are cut only where a word begins anyway, and
     words met before are not encoded again. Texts with other white space beside a space
@@ -107,24 +107,28 @@ def encode(texts: list[str], path: str) -> list[bytes]:
     if len(known) > CACHED:
         known.clear()
     # Every word is looked up once: what is missing is filled in when the batch has learnt it.
-    found, gaps = [], []
+    found, gaps, missing = [], [], set()
     for text in texts:
-        first, *words = text.split(" ")
+        first, *words = text.split(b" ")
         ids = list(map(known.get, words))
-        holes = [i for i, word_ids in enumerate(ids) if word_ids is None] if None in ids else []
-        gaps.append([(i, words[i]) for i in holes])
+        holes = []
+        if None in ids:
+            holes = [(i, words[i]) for i, word_ids in enumerate(ids) if word_ids is None]
+            missing.update([word for _, word in holes])
+        gaps.append(holes)
         found.append((first, ids))
-    missing = {word for holes in gaps for _, word in holes}
-    _learn(path, [w for w in missing if w and w == w.strip()], known)
+    decoded = [word.decode("utf-8", "replace") for word in missing]
+    _learn(path, [w for w in decoded if w and w == w.strip()], known)
     out = []
     for text, (first, ids), holes in zip(texts, found, gaps, strict=True):
         for i, word in holes:
             ids[i] = known.get(word)
-        if None in ids or (ids and first != first.rstrip()) or (ids and not first):
-            begin, *others = _BREAK.split(text)
+        begin = first.decode("utf-8", "replace")
+        if None in ids or (ids and begin != begin.rstrip()) or (ids and not begin):
+            begin, *others = _BREAK.split(text.decode("utf-8", "replace"))
             out.append(b"".join(_ids(path, [begin, *[" " + chunk for chunk in others]])))
         else:
-            out.append(_ids(path, [first])[0] + b"".join(ids))
+            out.append(_ids(path, [begin])[0] + b"".join(ids))
     return out
 
 
@@ -161,7 +165,7 @@ def pieces(
 
     narrow = docs.select(
         column(docs, id_col).cast("long").alias("doc_id"),
-        F.coalesce(column(docs, text_col), F.lit("")).alias("text"),
+        F.coalesce(column(docs, text_col), F.lit("")).cast("binary").alias("text"),
     )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return narrow.mapInPandas(cut, schema + ", ids array<long>" * with_ids)
