@@ -44,6 +44,7 @@ SAME_BANDS = 8  # of 32: so many have two sets with a common share of about 0.7
 NEAREST = 25
 DOUBT = 3  # votes at the prior rate that join the neighbours', so that few prove less
 BLOCK = 32
+VISITED = 8  # blocks that are looked at first
 THRESHOLD = 0.3
 EVIDENCE = 3
 _WORD = re.compile(r"\w+")
@@ -63,8 +64,6 @@ class Index:
         order = order[lead[order] < size]
         self.ids, self.labels, self.weights = (np.asarray(x)[order] for x in (ids, labels, weights))
         self.prior = float((self.weights * self.labels).sum() / self.weights.sum()) if len(order) else 0.0
-        self.place = np.full(len(vectors), -1)
-        self.place[order] = np.arange(len(order))
         self.blocks = max(1, -(-len(order) // BLOCK))
         terms = np.concatenate([vectors[i][0] for i in order]) if len(order) else np.zeros(0, int)
         values = np.concatenate([vectors[i][1] for i in order]) if len(order) else np.zeros(0)
@@ -77,26 +76,42 @@ class Index:
         np.maximum.at(self.tops, cell, self.values)
         self.tops = self.tops.reshape(size, self.blocks)
 
-    def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, skip: int = -1):
-        """Places and cosines of the ``k`` nearest examples, those without a common word left
-        out; ties go to the smaller place."""
+    def _cosines(self, terms: np.ndarray, values: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines of all examples in the blocks, a row per block."""
+        cells = terms[:, None] * self.blocks + blocks
+        begin, size = self.starts[cells].ravel(), (self.starts[cells + 1] - self.starts[cells]).ravel()
+        # The postings of all cells, one after another.
+        at = np.arange(size.sum()) + np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+        row = np.tile(np.arange(len(blocks)), len(terms))
+        place = np.repeat(row, size) * BLOCK + self.owners[at] % BLOCK
+        weight = np.repeat(np.repeat(values, len(blocks)), size) * self.values[at]
+        return np.bincount(place, weight, len(blocks) * BLOCK).reshape(-1, BLOCK)
+
+    def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, but: int | None = None):
+        """Places and cosines of the ``k`` nearest examples, without those that share no word
+        and those with the id ``but``; ties go to the smaller place."""
         bounds = values @ self.tops[terms]
         visit = np.argsort(-bounds, kind="stable")
+        visit = visit[bounds[visit] > 0]
         places, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for block in visit:
-            if bounds[block] <= 0 or (len(cosines) >= k and bounds[block] < cosines[-1] - 1e-12):
+        step = VISITED
+        while len(visit):
+            if len(cosines) >= k:
+                visit = visit[bounds[visit] >= cosines[-1] - 1e-12]
+            now, visit = visit[:step], visit[step:]
+            if not len(now):
                 break
-            got = np.zeros(BLOCK)
-            for term, value in zip(terms, values, strict=True):
-                cell = term * self.blocks + block
-                part = slice(self.starts[cell], self.starts[cell + 1])
-                got[self.owners[part] - block * BLOCK] += value * self.values[part]
-            hit = np.flatnonzero(got > 0)
-            hit = hit[hit + block * BLOCK != skip]
-            places = np.concatenate([places, hit + block * BLOCK])
-            cosines = np.concatenate([cosines, got[hit]])
+            got = self._cosines(terms, values, now)
+            row, column_ = np.nonzero(got > 0)
+            found = now[row] * BLOCK + column_
+            got = got[row, column_]
+            if but is not None:
+                others = self.ids[found] != but
+                found, got = found[others], got[others]
+            places, cosines = np.concatenate([places, found]), np.concatenate([cosines, got])
             best = np.lexsort((places, -cosines))[:k]
             places, cosines = places[best], cosines[best]
+            step *= 4
         return places, cosines
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
@@ -212,7 +227,9 @@ def score(
     known = training.select(column(training, id_col).cast("long").alias("id"), column(training, text_col).alias("text"))
     marked = settle(marked.join(known.select("id").distinct(), "id", "left_semi"))
     drawn, stands_for = draw(marked, examples)
-    texts = known.join(settle(drawn), "id").select("id", "label", F.coalesce("text", F.lit("")).alias("text"))
+    # At most two times EXAMPLES ids.
+    drawn = F.broadcast(settle(drawn))
+    texts = known.join(drawn, "id").select("id", "label", F.coalesce("text", F.lit("")).alias("text"))
     texts = settle(_without_copies(settle(texts)))
     vocabulary = choose_words(texts)
     of_word = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
@@ -265,15 +282,27 @@ def score(
         prior = (weights * marks).sum() / weights.sum() if len(held) else 0.0
         return float(((weights * marks)[at].sum() + prior) / (weights[at].sum() + 1))
 
-    votes = np.full(len(held), np.nan)
-    for i, (terms, values) in enumerate(vectors):
-        if len(terms):
-            places, cosines = index.nearest(terms, values, NEAREST, int(index.place[i]))
-            if len(places):
-                votes[i] = index.vote(places, cosines)
-    voted = ~np.isnan(votes)
-    curve = monotone(votes[voted], marks[voted], weights[voted]) if voted.any() else None
-    none = rate(~voted) if len(held) else 0.0
+    known_words = spark.sparkContext.broadcast(index)
+
+    def voted_by_others(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """What the other examples say about each example that has vocabulary words."""
+        index = known_words.value
+        for frame in frames:
+            votes = []
+            for i, text, label in zip(frame["id"], frame["text"], frame["label"], strict=True):
+                terms, counts = found(text)
+                if len(terms):
+                    places, cosines = index.nearest(*vector(terms, counts), NEAREST, i)
+                    if len(places):
+                        votes.append((index.vote(places, cosines), label))
+            yield pd.DataFrame(votes, columns=["vote", "label"])
+
+    votes = texts.mapInPandas(voted_by_others, "vote double, label int").collect()
+    curve = None
+    if votes:
+        x, y = (np.array([r[c] for r in votes], dtype=float) for c in ("vote", "label"))
+        curve = monotone(x, y, np.where(y == 1, stands_for.get(1, 1), stands_for.get(0, 1)))
+    none = rate(np.array([not len(terms) for terms, _ in vectors])) if len(held) else 0.0
     model = spark.sparkContext.broadcast((index, curve, none))
 
     def judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
