@@ -161,7 +161,8 @@ def fit(
                 names=["id", "label", "buckets", "x"],
             )
 
-    rows = known.join(drawn, "id").select("id", "label", "text")
+    # At most SAMPLE ids.
+    rows = known.join(F.broadcast(drawn), "id").select("id", "label", "text")
     rows = rows.mapInArrow(featured, "id long, label int, buckets binary, x binary")
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
