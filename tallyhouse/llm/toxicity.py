@@ -3,8 +3,8 @@
 Examples are labelled documents, at most ``EXAMPLES`` of each label, drawn by a hash of the
 id; near copies among them count once, so that a passage copied often proves nothing. The
 vocabulary is the words that go with a label beyond chance (log-likelihood ratio over
-examples) and several times as often as with the other; document frequencies come from all documents. Vectors are ``(1 + ln tf) * idf``
-of length one.
+examples, whatever share of them holds the word) and several times as often as with the other;
+document frequencies come from all documents. Vectors are ``(1 + ln tf) * idf`` of length one.
 
 The examples lie in an inverted index: postings per word, cut into blocks of neighbouring
 examples, with the largest weight of each block. A document visits blocks in order of their
@@ -38,9 +38,8 @@ from tallyhouse.session import settle
 
 EXAMPLES = 8000  # of each label
 VOCABULARY = 4096
-LEAST_RATIO = 30.0  # log-likelihood ratio of a word and the label
+LEAST_RATIO = 15.0  # log-likelihood ratio of a word and the label; chance gives one word in 9000 as much
 LEAST_LIFT = 4.0  # times that a word is more frequent with one label than with the other
-LEAST_SHARE = 0.01  # of a label's examples that hold a word
 SAME_BANDS = 8  # of 32: so many have two sets with a common share of about 0.7
 NEAREST = 25
 DOUBT = 3  # votes at the prior rate that join the neighbours', so that few prove less
@@ -200,7 +199,7 @@ def choose_words(examples: DataFrame) -> list[str]:
         return inside + F.when(out > 0, out * F.log(out / (n * (1 - rate)))).otherwise(0.0)
 
     ratio = 2 * (part(F.col("x"), n0) + part(F.col("y"), n1))
-    enough = (F.col("x") >= max(3.0, LEAST_SHARE * n0)) | (F.col("y") >= max(3.0, LEAST_SHARE * n1))
+    enough = F.col("x") + F.col("y") >= 2
     # Half a document more on either side keeps the lift of words that one label lacks finite.
     lift = ((F.col("y") + 0.5) / (n1 + 1)) / ((F.col("x") + 0.5) / (n0 + 1))
     apart = (lift >= LEAST_LIFT) | (lift <= 1 / LEAST_LIFT)

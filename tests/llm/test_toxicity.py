@@ -107,3 +107,19 @@ def test_copies_teach_once(spark):
     frame, marks = frames(spark, docs, labels)
     rows = {r["doc_id"]: r for r in toxicity.score(frame, frame, marks).collect()}
     assert rows[2000]["predicted"] == 0 and rows[1050]["predicted"] == 1
+
+
+def test_rare_kinds_of_toxic_documents_are_found(spark):
+    """A word in five of 545 toxic examples, less than a hundredth, and in no clean one."""
+    docs, labels = [], []
+    for i in range(3245):
+        toxic = int(i < 545)
+        word = ("rare" if i < 5 else BAD[i % 8]) if toxic else "fine"
+        docs.append((i, f"{word} " + " ".join(f"u{i}x{j}" for j in range(6)), toxic))
+        labels.append((i, toxic))
+    docs += [(9000 + i, "rare " + " ".join(f"v{i}x{j}" for j in range(6)), 1) for i in range(3)]
+    frame, marks = frames(spark, docs, labels)
+    rows = {r["doc_id"]: r for r in toxicity.score(frame, frame, marks).collect()}
+    for i in range(9000, 9003):
+        assert rows[i]["predicted"] == 1 and {e["id"] for e in rows[i]["evidence"]} <= set(range(5))
+        assert rows[i]["evidence"]
