@@ -4,8 +4,9 @@ Text and templates are normalised to lower-case words of letters and digits. A d
 sentences (cut at line ends and after ``. ; ! ?`` before white space) are units; every run of
 consecutive units is compared with every template whose size allows it: with a threshold
 ``t`` the sets' sizes may differ by a factor of ``(2 - t) / t`` at most, which bounds the
-runs that are looked at. Of the runs at or over the threshold those with the highest
-coefficient stay, longer ones first among equals, as long as they do not overlap.
+runs that are looked at. Of the runs at or over the threshold those stay, as long as they do
+not overlap, whose shared bigrams outnumber their others by most, then those with the highest
+coefficient, so that a text is not named by the part that it has in common with another.
 
 A run that reaches the threshold shares at least ``t / (2 - t)`` of a template's bigrams, so it
 holds one of any larger share of them: documents without such a bigram of any template are
@@ -18,7 +19,9 @@ scanned each; no documents give no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,6 +34,48 @@ SHAPE = "array<struct<license: string, dice: double, start: int, end: int>>"
 _WORD = re.compile(r"[^\W_]+")
 _UNIT = re.compile(r"(?:[^\n.;!?]|[.;!?](?!\s|$))+[.;!?]*")
 
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAME = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission. "
+)
+_ISC = " distribute this software for any purpose with or without fee is hereby granted"
+_ISC_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS '
+    "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE "
+    "OF THIS SOFTWARE."
+)
+
+
+def _gnu(kind: str, version: str, later: bool, mark: str = ",", what: str = "program") -> str:
+    """The notice that the GNU licenses propose for files."""
+    which = f"either version {version} of the License, or (at your option) any later version."
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the "
+        f"GNU {kind}General Public License as published by the Free Software Foundation{mark} "
+        + (which if later else f"version {version} of the License.")
+    )
+
+
 # Notices that authors put into files, by license.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -111,6 +156,121 @@ TEMPLATES = [
         "Unlicense",
         "This is free and unencumbered software released into the public domain.",
     ),
+    ("GPL-2.0-only", _gnu("", "2", False)),
+    ("GPL-3.0-only", _gnu("", "3", False)),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0-only", _gnu("Affero ", "3", False)),
+    ("AGPL-3.0-or-later", _gnu("Affero ", "3", True)),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1-only", _gnu("Lesser ", "2.1", False, what="library")),
+    ("LGPL-2.1-or-later", _gnu("Lesser ", "2.1", True, ";", "library")),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0-only", _gnu("Lesser ", "3", False)),
+    ("LGPL-3.0-or-later", _gnu("Lesser ", "3", True)),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-3-Clause", _BSD + _BSD_NAME),
+    ("BSD-2-Clause", _BSD + _AS_IS),
+    ("BSD-3-Clause", _BSD + _BSD_NAME + _AS_IS),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        'software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
+        "to whom the Software is furnished to do so, subject to the following conditions: The above "
+        "copyright notice and this permission notice shall be included in all copies or substantial "
+        'portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, '
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR "
+        "A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE.",
+    ),
+    (
+        "ISC",
+        f"Permission to use, copy, modify, and/or{_ISC}, provided that the above copyright notice and "
+        f"this permission notice appear in all copies. {_ISC_AS_IS}",
+    ),
+    ("0BSD", f"Permission to use, copy, modify, and/or{_ISC}. {_ISC_AS_IS}"),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+        "authors be held liable for any damages arising from the use of this software. Permission is "
+        "granted to anyone to use this software for any purpose, including commercial applications, and "
+        "to alter it and redistribute it freely, subject to the following restrictions: The origin of "
+        "this software must not be misrepresented; you must not claim that you wrote the original "
+        "software. If you use this software in a product, an acknowledgment in the product documentation "
+        "would be appreciated but is not required. Altered source versions must be plainly marked as "
+        "such, and must not be misrepresented as being the original software. This notice may not be "
+        "removed or altered from any source distribution.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    (
+        "EPL-1.0",
+        "All rights reserved. This program and the accompanying materials are made available under the "
+        "terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available "
+        "at http://www.eclipse.org/legal/epl-v10.html",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide. This software is "
+        "distributed without any warranty.",
+    ),
+    *[
+        row
+        for short, long in (
+            ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for row in (
+            (f"CC-{short}-4.0", f"Licensed under CC {short} 4.0."),
+            (
+                f"CC-{short}-4.0",
+                f"This work is licensed under a Creative Commons {long} 4.0 International License.",
+            ),
+        )
+    ],
+    # How the texts of the long licenses begin.
+    *[
+        (
+            name,
+            f"GNU {kind}GENERAL PUBLIC LICENSE Version {version}, {date} Copyright (C) {years} Free Software "
+            "Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license "
+            "document, but changing it is not allowed.",
+        )
+        for name, kind, version, date, years in (
+            ("GPL-2.0", "", "2", "June 1991", "1989, 1991"),
+            ("GPL-3.0", "", "3", "29 June 2007", "2007"),
+            ("AGPL-3.0", "AFFERO ", "3", "19 November 2007", "2007"),
+            ("LGPL-2.1", "LESSER ", "2.1", "February 1999", "1991, 1999"),
+            ("LGPL-3.0", "LESSER ", "3", "29 June 2007", "2007"),
+        )
+    ],
+    (
+        "Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR "
+        "USE, REPRODUCTION, AND DISTRIBUTION",
+    ),
+    (
+        "EPL-2.0",
+        "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE "
+        'PUBLIC LICENSE ("AGREEMENT"). ANY USE, REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES '
+        "RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT.",
+    ),
+]
+# The short form that names a license by its identifier.
+TEMPLATES += [
+    (name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in TEMPLATES})
 ]
 
 
@@ -131,10 +291,12 @@ class Scanner:
         self.least = least
         self.share = least / (2 - least)
         self.templates = [(name, bigrams(words(text))) for name, text in templates]
-        self.largest = max((len(b) for _, b in self.templates), default=0) / self.share
+        self.holders: dict[tuple[str, str], list[int]] = {}
         # Of each template so many bigrams that a match holds one of them; long words are rare.
         self.anchors: dict[str, set[str]] = {}
-        for _, of in self.templates:
+        for number, (_, of) in enumerate(self.templates):
+            for pair in of:
+                self.holders.setdefault(pair, []).append(number)
             need = int((1 - self.share) * len(of) + 1e-9) + 1
             for a, b in sorted(of, key=lambda x: (-len(x[0]) - len(x[1]), x))[:need]:
                 self.anchors.setdefault(a, set()).add(b)
@@ -143,39 +305,67 @@ class Scanner:
         held = set(some)
         return any(not held.isdisjoint(self.anchors[a]) for a in self.anchors.keys() & held)
 
+    def _hits(self, pairs: list[tuple[str, str]], free: list[bool]) -> dict[int, list[int]]:
+        """Where a template's bigrams lie, of the templates of which enough different ones do."""
+        places: dict[int, list[int]] = {}
+        for at, pair in enumerate(pairs):
+            if free[at] and free[at + 1]:
+                for number in self.holders.get(pair, ()):
+                    places.setdefault(number, []).append(at)
+        return {
+            number: at
+            for number, at in places.items()
+            if len({pairs[i] for i in at}) >= self.share * len(self.templates[number][1]) - 1e-9
+        }
+
+    def _runs(self, number: int, pairs: list, begins: list[int], ends: list[int], free: list[bool]):
+        """Runs of words over the threshold that begin and end at the given places: the shared
+        bigrams less the others, the coefficient, the places, and the template."""
+        of = self.templates[number][1]
+        for begin in begins:
+            held: set[tuple[str, str]] = set()
+            shared, at = 0, begin
+            for end in ends[bisect_left(ends, begin + 2) :]:
+                for i in range(at, end - 1):
+                    if pairs[i] not in held:
+                        held.add(pairs[i])
+                        shared += pairs[i] in of
+                if len(held) > len(of) / self.share + 1e-9 or not all(free[at:end]):
+                    break
+                at = end - 1
+                score = 2 * shared / (len(held) + len(of))
+                if score >= self.least:
+                    yield 2 * shared - len(held), score, begin, end, number
+
     def scan(self, text: str) -> list[dict]:
         if not self.hopeful(words(text)):
             return []
         units = [(m.start(), m.end(), words(m.group())) for m in _UNIT.finditer(text)]
         units = [u for u in units if u[2]]
-        known = set().union(*[of for _, of in self.templates])
+        some = [word for _, _, more in units for word in more]
+        unit = [i for i, (_, _, more) in enumerate(units) for _ in more]
+        firsts = [0, *accumulate(len(more) for _, _, more in units)]
+        pairs = list(zip(some, some[1:], strict=False))
+        free = [True] * len(some)
         found = []
-        for i, (start, _, _) in enumerate(units):
-            run: list[str] = []
-            for _, end, more in units[i:]:
-                run += more
-                held = bigrams(run)
-                if len(held) > self.largest:
-                    break
-                common = held & known
-                if len(common) < self.least * len(held) / 2:
-                    continue
-                for name, of in self.templates:
-                    small, large = sorted((len(held), len(of)))
-                    if small < self.share * large - 1e-9:
-                        continue
-                    score = dice(held, of)
-                    if score >= self.least:
-                        found.append((-score, start - end, start, end, name))
-        kept: list[tuple] = []
-        for match in sorted(found):
-            if all(match[3] <= m[2] or match[2] >= m[3] for m in kept):
-                kept.append(match)
+        for number, hits in self._hits(pairs, free).items():
+            # A run does better without a unit at its end that adds no bigram of the template.
+            begins = [firsts[i] for i in sorted({unit[at] for at in hits})]
+            ends = [firsts[i + 1] for i in sorted({unit[at + 1] for at in hits})]
+            found += self._runs(number, pairs, begins, ends, free)
         return [
-            {"license": name, "dice": -score, "start": start, "end": end}
-            for score, _, start, end, name in sorted(kept, key=lambda m: m[2])
+            {"license": name, "dice": score, "start": units[unit[begin]][0], "end": units[unit[end - 1]][1]}
+            for score, begin, end, name in self._settled(found)
         ]
 
+    def _settled(self, found: list[tuple]) -> list[tuple]:
+        """The runs that stay, as coefficient, places and license, in their order."""
+        kept: list[tuple] = []
+        for gain, score, begin, end, number in sorted(found, key=lambda m: (-m[0], -m[1], m[2] - m[3], m[2:])):
+            if all(begin >= e or end <= b for _, b, e, _ in kept):
+                kept.append((score, begin, end, self.templates[number][0]))
+        return sorted(kept, key=lambda m: m[1])
+
 
 def scan(
     docs: DataFrame,

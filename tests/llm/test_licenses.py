@@ -64,3 +64,36 @@ def test_spans_and_odd_rows(spark, odd, nothing):
     rows = licenses.scan(odd).collect()
     assert len(rows) == len(ROWS) and {r["license"] for r in rows} == {None}
     assert licenses.scan(nothing).count() == 0
+
+
+def template(name, holds):
+    return next(t for n, t in licenses.TEMPLATES if n == name and holds in t)
+
+
+def test_licenses_that_differ_by_few_words_are_told_apart():
+    scanner = licenses.Scanner()
+    gnu = (
+        "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} "
+        "General Public License as published by the Free Software Foundation{} either version {} of the "
+        "License, or (at your option) any later version."
+    )
+    bsd = template("BSD-3-Clause", "DISCLAIMED").replace("the copyright holder nor", "Foo Inc. nor")
+    for name, text in [
+        ("AGPL-3.0-or-later", gnu.format("program", ":", "Affero", ",", "3")),
+        ("LGPL-2.1-or-later", gnu.format("library", ";", "Lesser", ";", "2.1")),
+        ("LGPL-3.0-or-later", gnu.format("program", ":", "Lesser", ",", "3")),
+        ("GPL-3.0-or-later", gnu.format("program", ":", "", ",", "3")),
+        ("GPL-2.0-or-later", gnu.format("program", ";", "", ";", "2")),
+        ("BSD-3-Clause", "Copyright (c) 2020 Foo Inc.\n\n" + bsd),
+        ("BSD-2-Clause", template("BSD-2-Clause", "DISCLAIMED")),
+        ("EPL-2.0", template("EPL-2.0", "which is available at")),
+        ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+        ("CC-BY-NC-SA-4.0", "SPDX-License-Identifier: CC-BY-NC-SA-4.0"),
+    ]:
+        assert [m["license"] for m in scanner.scan("Some words before.\n" + text + "\nSome words after.")] == [name]
+
+
+def test_every_template_is_named_as_itself():
+    scanner = licenses.Scanner()
+    for name, text in licenses.TEMPLATES:
+        assert {m["license"] for m in scanner.scan(text)} == {name}, text
