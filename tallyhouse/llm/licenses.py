@@ -2,11 +2,12 @@
 
 Text and templates are normalised to lower-case words of letters and digits. A document's
 sentences (cut at line ends and after ``. ; ! ?`` before white space) are units; every run of
-consecutive units is compared with every template whose size allows it: with a threshold
+consecutive units, and then every run of words that these leave free, is compared with every template whose size allows it: with a threshold
 ``t`` the sets' sizes may differ by a factor of ``(2 - t) / t`` at most, which bounds the
 runs that are looked at. Of the runs at or over the threshold those stay, as long as they do
 not overlap, whose shared bigrams outnumber their others by most, then those with the highest
-coefficient, so that a text is not named by the part that it has in common with another.
+coefficient, so that a text is not named by the part that it has in common with another. A
+run of words inside sentences must hold its template's numbers as well.
 
 A run that reaches the threshold shares at least ``t / (2 - t)`` of a template's bigrams, so it
 holds one of any larger share of them: documents without such a bigram of any template are
@@ -291,6 +292,9 @@ class Scanner:
         self.least = least
         self.share = least / (2 - least)
         self.templates = [(name, bigrams(words(text))) for name, text in templates]
+        self.numbers = [
+            {word for pair in of for word in pair if not word.isalpha()} for _, of in self.templates
+        ]
         self.holders: dict[tuple[str, str], list[int]] = {}
         # Of each template so many bigrams that a match holds one of them; long words are rare.
         self.anchors: dict[str, set[str]] = {}
@@ -353,10 +357,27 @@ class Scanner:
             begins = [firsts[i] for i in sorted({unit[at] for at in hits})]
             ends = [firsts[i + 1] for i in sorted({unit[at + 1] for at in hits})]
             found += self._runs(number, pairs, begins, ends, free)
-        return [
-            {"license": name, "dice": score, "start": units[unit[begin]][0], "end": units[unit[end - 1]][1]}
-            for score, begin, end, name in self._settled(found)
-        ]
+        matches = []
+        for score, begin, end, name in self._settled(found):
+            start, stop = units[unit[begin]][0], units[unit[end - 1]][1]
+            matches.append({"license": name, "dice": score, "start": start, "end": stop})
+            free[begin:end] = [False] * (end - begin)
+        inside = self._inside(some, pairs, free)
+        if inside:
+            at = [m.span() for m in _WORD.finditer(text) for _ in words(m.group())]
+            for score, begin, end, name in inside:
+                matches.append({"license": name, "dice": score, "start": at[begin][0], "end": at[end - 1][1]})
+        return sorted(matches, key=lambda m: m["start"])
+
+    def _inside(self, some: list[str], pairs: list[tuple[str, str]], free: list[bool]) -> list[tuple]:
+        """Runs of any free words, that hold their template's numbers: a license of another
+        version differs by little else, and a run could leave that out."""
+        found = []
+        for number, hits in self._hits(pairs, free).items():
+            # A run does better without a word at its end that is in no bigram of the template.
+            runs = self._runs(number, pairs, hits, [at + 2 for at in hits], free)
+            found += [run for run in runs if self.numbers[number] <= set(some[run[2] : run[3]])]
+        return self._settled(found)
 
     def _settled(self, found: list[tuple]) -> list[tuple]:
         """The runs that stay, as coefficient, places and license, in their order."""

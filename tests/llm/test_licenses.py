@@ -97,3 +97,51 @@ def test_every_template_is_named_as_itself():
     scanner = licenses.Scanner()
     for name, text in licenses.TEMPLATES:
         assert {m["license"] for m in scanner.scan(text)} == {name}, text
+
+
+def brute_inside(scanner, text):
+    """Of all runs of words that hold their template's numbers, the best by shared bigrams less
+    the others, then by coefficient."""
+    some, best = licenses.words(text), (0, 0.0, None)
+    for i in range(len(some)):
+        for j in range(i + 2, len(some) + 1):
+            held = licenses.bigrams(some[i:j])
+            for name, of in scanner.templates:
+                numbers = {w for pair in of for w in pair if any(c.isdigit() for c in w)}
+                score = licenses.dice(held, of)
+                if score >= scanner.least and numbers <= set(some[i:j]):
+                    best = max(best, (2 * len(held & of) - len(held), score, name), key=lambda x: x[:2])
+    return best
+
+
+INSIDE = [
+    ("This package is released under the MIT License.", "MIT", "released under the MIT License"),
+    (
+        "Copyright 2020 The Foo Authors, licensed under the Apache License, Version 2.0.",
+        "Apache-2.0",
+        "licensed under the Apache License, Version 2.0",
+    ),
+    ("one two three Licensed under CC BY 4.0 four five six seven eight", "CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("We, who wrote it, put this work is licensed under GNU General Public License, version 3 and so on", "GPL-3.0", None),
+    ("see also what is Licensed under CC BY-NC 9.9 by others", None, None),
+    ("the license of the city under the terms of the public version of the work and so on", None, None),
+]
+
+
+def test_notices_inside_sentences_equal_brute_force_over_words():
+    scanner = licenses.Scanner()
+    for text, name, part in INSIDE:
+        matches = scanner.scan(text)
+        _, score, best = brute_inside(scanner, text)
+        assert [m["license"] for m in matches] == ([name] if name else []) and best == name
+        if name:
+            assert matches[0]["dice"] == pytest.approx(score)
+        if part:
+            assert text[matches[0]["start"] : matches[0]["end"]] == part
+
+
+def test_a_text_on_one_line_without_marks():
+    some = licenses.words(MIT)
+    text = " ".join([f"a{i}" for i in range(300)] + some + [f"z{i}" for i in range(300)])
+    (match,) = licenses.Scanner().scan(text)
+    assert match["license"] == "MIT" and text[match["start"] : match["end"]] == " ".join(some)
