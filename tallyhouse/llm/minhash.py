@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.buckets import Filter, linked_components
-from tallyhouse.llm.common import column
+from tallyhouse.llm.common import WORD, column, fresh
 from tallyhouse.session import settle
 
 WORDS = 5
@@ -244,8 +244,22 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that are not the first of their group."""
-    report = near_duplicates(docs, id_col, text_col)
-    gone = report.where(~F.col("kept") & F.col("doc_id").isNotNull())
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, column(docs, id_col) == gone["_gone"], "left_anti")
+    """``docs`` without the rows that are not the first of their group.
+
+    Rows are compared by a hash of id and text, so texts under one id are decided apart and
+    rows without id like others. Of a group the smallest id stays, a row without id if there is
+    no other; rows with equal id and text stay or go together, those without id as one.
+    """
+    key, found = fresh(docs, "_key", "_gone")
+    id_, text = column(docs, id_col).cast("long"), column(docs, text_col)
+    keyed = docs.withColumn(key, F.xxhash64(id_, text))
+    report = near_duplicates(keyed, key, text_col).where("n_shingles > 0")
+    groups = report.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")).distinct()
+    ids = keyed.select(F.col(key).alias("key"), id_.alias("id")).distinct()
+    groups = settle(groups.join(ids, "key"))
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("first"))
+    gone = groups.join(first, "group").where("key <> first").select(F.col("key").alias(found)).distinct()
+    kept = keyed.join(gone, keyed[key] == gone[found], "left_anti")
+    nameless = column(kept, id_col).isNull() & column(kept, text_col).cast("string").rlike(WORD)
+    alone = kept.where(nameless).dropDuplicates([key])
+    return kept.where(~F.coalesce(nameless, F.lit(False))).union(alone).drop(key)

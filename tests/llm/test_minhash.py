@@ -136,3 +136,17 @@ def test_components(spark):
             parent[hi] = lo
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in parent)
+
+
+def test_rows_without_id_and_texts_under_one_id(spark):
+    draw = random.Random(8)
+    a, b, c, d = (" ".join(f"w{draw.randint(0, 5000)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (2, b), (2, a + " tail"), (None, a), (None, a + " end"), (3, None), (None, ""), (None, "")]
+    rows += [(None, c), (None, c), (None, c + " tail"), (None, d), (None, None), (7, b + " tail")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in minhash.keep_one(df).collect()]
+    of_c = [r for r in kept if r[1] and r[1].startswith(c)]
+    assert len(of_c) == 1
+    rest = [r for r in kept if r not in of_c]
+    want = [(1, a), (2, b), (3, None), (None, ""), (None, ""), (None, d), (None, None)]
+    assert sorted(rest, key=str) == sorted(want, key=str)
