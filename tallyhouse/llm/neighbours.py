@@ -1,13 +1,15 @@
 """Nearest neighbours by inner product: inverted lists with an adaptive dimension scan.
 
 The largest inner product is the smallest distance once each vector gets one more
-coordinate that brings all to the same length (queries get 0 there). Vectors are rotated at
-random, so that any block of columns says something about the whole distance, and dealt to
-lists by their nearest centroid; centroids come from a bounded sample. A query visits the
-lists whose centroids are nearest, a share of all lists. In a list it is compared block of
-columns by block: after each block a test on the partial distance gives up candidates that,
+coordinate that brings all to the same length (queries get 0 there, and that length, which
+changes no order). Vectors are rotated at random, so that any block of columns says something
+about the whole distance, and dealt to lists by their nearest centroid; centroids come from a
+bounded sample. Vectors over ``FAR`` times longer than the median would drown the others'
+differences: they lie in a list of their own that every query visits, where nothing is given
+up. Besides it a query visits the lists whose centroids are nearest, a share of all lists. In a list it is compared block of
+columns by block, in double precision: after each block a test on the partial distance gives up candidates that,
 with high confidence, are farther than the k-th best found so far; the others go on. What is
-left is scored by the inner product of the original vectors in double precision.
+left is ordered by inner product, and scored by that of the original vectors.
 
 A list is cut into blocks of bounded size by hash, so a crowded list is many tasks. Equal
 vectors are one item of the index; only the ``k + 1`` smallest ids of such a class can ever
@@ -45,6 +47,7 @@ COLUMNS = 16  # columns of one block
 DOUBT = 2.1  # standard errors that a partial distance may be off
 SPARE = 10  # candidates kept beyond k until the exact scores decide
 HELD = 200_000  # queries whose results a task holds before it hands them on
+FAR = 1000.0  # times the median length beyond which vectors have a list of their own
 SEED = 7
 
 
@@ -151,17 +154,25 @@ def search(
     ).select(F.col("id").alias("query_id"), F.col("rep").alias("query"))
     asking = settle(asking)
 
-    number = heads.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale))).alias("norm"),
-    ).first()
-    drawn = heads.orderBy(F.xxhash64("rep", F.lit(seed))).limit(SAMPLE).select("v").collect()
-    rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim + 1, dim + 1)))[0]
+    # Lengths relative to the largest component, so that no square overflows.
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale)))
+    lengths = heads.select(length.alias("length"), "rep", "v")
+    middle = lengths.agg(F.percentile_approx("length", 0.5)).first()[0]
+    usual = lengths.where(F.col("length") <= FAR * middle)
+    number = usual.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("length")).first()
+    unit = number["length"] or 1.0
+    drawn = usual.orderBy(F.xxhash64("rep", F.lit(seed))).limit(SAMPLE).select("v").collect()
+    rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))[0]
 
     def rotated(values, as_query: bool) -> np.ndarray:
+        """Rotated vectors, the longest usual one of length one, and the coordinate besides."""
         v = np.stack(list(values)).astype(float) / scale
-        more = np.maximum(number["norm"] - (v**2).sum(axis=1), 0) ** 0.5
-        return np.column_stack([v, np.zeros(len(v)) if as_query else more]) @ rotation
+        if as_query:
+            v = v / np.abs(v).max(axis=1)[:, None]
+            v = v / np.linalg.norm(v, axis=1)[:, None]
+            return np.column_stack([v @ rotation, np.zeros(len(v))])
+        v = v / unit
+        return np.column_stack([v @ rotation, np.maximum(1 - (v**2).sum(axis=1), 0) ** 0.5])
 
     want = lists or min(int(np.ceil(number["n"] ** 0.5)), max(1, SAMPLE // 8))
     centres = spark.sparkContext.broadcast(
@@ -175,7 +186,8 @@ def search(
                 continue
             at = rotated(frame["v"], False)
             own = nearest(at, centres.value, 1)[:, 0]
-            data = [row.tobytes() for row in at.astype(np.float32)]
+            own[(frame["length"] > FAR * middle).to_numpy()] = -1
+            data = [row.tobytes() for row in at]
             yield pd.DataFrame({"list": own, "id": frame["rep"], "data": data})
 
     def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,11 +195,11 @@ def search(
             if frame.empty:
                 continue
             at = rotated(frame["v"], True)
-            data = [row.tobytes() for row in at.astype(np.float32)]
-            near = nearest(at, centres.value, visits)
-            yield pd.DataFrame({"lists": list(near), "id": frame["rep"], "data": data})
+            data = [row.tobytes() for row in at]
+            lists = [[-1, *row] for row in nearest(at, centres.value, visits)]
+            yield pd.DataFrame({"lists": lists, "id": frame["rep"], "data": data})
 
-    index = settle(heads.select("rep", "v").mapInPandas(filed, "list int, id long, data binary"))
+    index = settle(lengths.mapInPandas(filed, "list int, id long, data binary"))
     # One row per list, and there are no more lists than the square root of the vectors.
     sizes = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     queries = heads.join(asking.select(F.col("query").alias("rep")).distinct(), "rep", "left_semi")
@@ -211,7 +223,7 @@ def search(
     most = k + 1 + SPARE
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # The best so far of each query in this task, and the distance to beat.
+        # The best so far of each query in this task, by inner product.
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
         def hand_on() -> pd.DataFrame:
@@ -223,12 +235,16 @@ def search(
 
         for run in runs(frames, ["list", "block", "turn"]):
             asks, ids = run["asks"].astype(bool), run["id"]
-            data = np.frombuffer(b"".join(run["data"]), dtype=np.float32).reshape(len(ids), -1)
+            data = np.frombuffer(b"".join(run["data"]), dtype=float).reshape(len(ids), -1)
             who, what = ids[asks], ids[~asks]
             nothing = (np.zeros(0, dtype=np.int64), np.zeros(0))
             before = [held.get(int(query), nothing) for query in who]
-            bound = np.array([g[-1] if len(g) >= most else np.inf for _, g in before])
-            a, b, gap = scan(data[asks], data[~asks], bound)
+            # Queries and padded vectors have length one. Far vectors have not: all are scored.
+            usual = run["list"][0] >= 0
+            bound = np.array([2 + 2 * g[-1] if usual and len(g) >= most else np.inf for _, g in before])
+            bound = np.maximum(bound, 0)
+            a, b, _ = scan(data[asks], data[~asks], bound)
+            gap = -(data[asks] @ data[~asks].T)[a, b]
             starts = np.searchsorted(a, np.arange(len(who) + 1))
             for i, query in enumerate(who):
                 part = slice(starts[i], starts[i + 1])

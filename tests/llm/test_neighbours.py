@@ -96,3 +96,12 @@ def test_scan_keeps_all_that_beat_the_bound():
     kept[a, b] = True
     assert kept[exact <= bound[:, None]].mean() >= 0.98
     assert kept.mean() < 0.2
+
+
+@pytest.mark.parametrize("times", [1e4, 1e9])
+def test_one_long_vector_drowns_no_other(spark, times):
+    rows = clustered(4, 1500)
+    rows[3] = (3, [times * v for v in rows[3][1]], 0)
+    got, want = found(spark.createDataFrame(rows, SCHEMA)), brute(rows, 20)
+    hits = sum(len({d for d, _ in got[q]} & {d for d, _ in want[q]}) for q in want)
+    assert hits >= 0.93 * 20 * len(want)
