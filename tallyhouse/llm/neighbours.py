@@ -6,7 +6,8 @@ changes no order). Vectors are rotated at random, so that any block of columns s
 about the whole distance, and dealt to lists by their nearest centroid; centroids come from a
 bounded sample. Vectors over ``FAR`` times longer than the median would drown the others'
 differences: they lie in a list of their own that every query visits, where nothing is given
-up. Besides it a query visits the lists whose centroids are nearest, a share of all lists. In a list it is compared block of
+up. Besides it a query visits the lists whose centroids are nearest, a share of all lists, and
+further ones until they hold k + 1 vectors. In a list it is compared block of
 columns by block, in double precision: after each block a test on the partial distance gives up candidates that,
 with high confidence, are farther than the k-th best found so far; the others go on. What is
 left is ordered by inner product, and scored by that of the original vectors.
@@ -196,12 +197,22 @@ def search(
                 continue
             at = rotated(frame["v"], True)
             data = [row.tobytes() for row in at]
-            lists = [[-1, *row] for row in nearest(at, centres.value, visits)]
+            near = nearest(at, centres.value, len(centres.value))
+            held = np.cumsum(filled.value[near], axis=1)
+            lists = [
+                [-1, *row[: max(visits, int(np.searchsorted(sums, k + 1)) + 1)]]
+                for row, sums in zip(near, held, strict=True)
+            ]
             yield pd.DataFrame({"lists": lists, "id": frame["rep"], "data": data})
 
     index = settle(lengths.mapInPandas(filed, "list int, id long, data binary"))
     # One row per list, and there are no more lists than the square root of the vectors.
-    sizes = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = index.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+    counts = np.zeros(len(centres.value), dtype=np.int64)
+    for r in sizes.where("list >= 0").collect():
+        counts[r["list"]] = r["n"]
+    filled = spark.sparkContext.broadcast(counts)
+    sizes = sizes.select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     queries = heads.join(asking.select(F.col("query").alias("rep")).distinct(), "rep", "left_semi")
     queries = queries.select("rep", "v").mapInPandas(asked, "lists array<int>, id long, data binary")
     queries = queries.select(F.explode("lists").alias("list"), "id", "data").join(sizes, "list")

@@ -105,3 +105,8 @@ def test_one_long_vector_drowns_no_other(spark, times):
     got, want = found(spark.createDataFrame(rows, SCHEMA)), brute(rows, 20)
     hits = sum(len({d for d, _ in got[q]} & {d for d, _ in want[q]}) for q in want)
     assert hits >= 0.93 * 20 * len(want)
+
+
+def test_few_candidates_are_all_found_with_the_default_share(spark):
+    rows = clustered(5, 20)
+    close(found(spark.createDataFrame(rows, SCHEMA)), brute(rows, 20))
