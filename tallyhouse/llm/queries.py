@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
+    alignment,
     language,
     lattice,
+    lexical,
     licenses,
     linededup,
     minhash,
@@ -18,6 +20,7 @@ from tallyhouse.llm import (
     neighbours,
     packing,
     quality,
+    secrets,
     toxicity,
 )
 from tallyhouse.llm.common import documents, remainder, table
@@ -85,6 +88,36 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(documents(spark, sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = alignment.align(documents(spark, sf_dir), a, b, digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scanned = secrets.scan(docs, path, public_tokenizers.PATTERN)
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s.kind != "random")
+    return scanned.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -96,6 +129,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,
     "op10_line_dedup": op10_line_dedup,
+    "op11_alignment": op11_alignment,
+    "op12_search": op12_search,
+    "op13_secrets": op13_secrets,
 }
 
 OP1_SQL = f"""
@@ -224,9 +260,46 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM (
 )
 """
 
+OP12_SQL = """
+WITH numbered AS (
+  SELECT row_number() OVER () AS row, doc_id, text FROM documents
+), terms AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM numbered
+), counted AS (
+  SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM terms GROUP BY row, term
+), sizes AS (
+  SELECT row, sum(tf)::BIGINT AS n FROM counted GROUP BY row
+), corpus AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sizes
+), norms AS (
+  SELECT row, 50 + (50 * n * docs) // words AS m FROM sizes, corpus
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, corpus GROUP BY term, docs
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, row, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN norms USING (row)
+  GROUP BY item_id, row
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST
+  ) AS rank
+  FROM scored WHERE score > 0
+) WHERE rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op3_lattice": OP3_SQL,
     "op4_minhash": OP4_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_search": OP12_SQL,
 }
