@@ -32,6 +32,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,7 @@ from tallyhouse.session import settle
 
 SLICE = 16_000_000  # bytes of text
 SLICE_DOCS = 8192
-REMEMBERED = 200_000  # chunks and windows a worker remembers
+REMEMBERED = 300_000  # chunks and windows a worker remembers
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 # Blanks beside a space; fixed values: white space beyond ASCII starts with one of these.
 _BESIDE = re.compile(rb"[\t-\r\x1c- ] | [\t-\r\x1c- ]")
@@ -97,6 +98,24 @@ def _whole(path: str) -> bool:
     return all(SPACE not in piece.lstrip(SPACE) for piece in every)
 
 
+class Memory(dict):
+    """What was worked out before. When full it takes no more, so what came early and is
+    therefore frequent stays; it starts anew when much has been missed since."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed = 0
+
+    def keep(self, found: dict) -> None:
+        if len(self) < REMEMBERED:
+            self.update(found)
+        else:
+            self.missed += len(found)
+            if self.missed > 16 * REMEMBERED:
+                self.clear()
+                self.missed = 0
+
+
 class Chunks:
     """Ids of chunks (in UTF-8), each as it is after a space, by both tokenizers."""
 
@@ -104,7 +123,9 @@ class Chunks:
         self.a, self.a_spelt = _a(a_path)
         self.b, self.b_spelt = _b(b_path)
         self.apart = _whole(b_path)
-        self.known: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.begins_a = np.array([token[:1] == b" " for token in self.a_spelt])
+        self.begins_b = np.array([token[:1] == b" " for token in self.b_spelt])
+        self.known = Memory()
 
     def split(self, text: bytes) -> list[bytes]:
         if not self.apart:
@@ -113,34 +134,84 @@ class Chunks:
             return text.split(b" ")
         return [chunk.encode() for chunk in _BREAK.split(text.decode("utf-8", "replace"))]
 
-    def learn(self, chunks: list[bytes]) -> None:
-        texts = [chunk.decode("utf-8", "replace") for chunk in chunks]
-        by_a = self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
-        by_b = self.b.encode(texts, num_threads=1)
-        for chunk, a, b in zip(chunks, by_a, by_b, strict=True):
-            spelt, ids = b" " + chunk, a.ids
-            right = (
-                b"".join([self.a_spelt[i] for i in ids]) == spelt
-                and b"".join([self.b_spelt[i] for i in b]) == spelt
+    def learn(self, chunks: list[bytes]) -> dict[bytes, tuple[bytes, bytes] | None]:
+        """Chunks without a space or U+2581 many at once: their ids are cut where a token
+        begins with a space. The others one by one."""
+        words, others, found = [], [], {}
+        for chunk in chunks:
+            (words if self.plain(chunk) else others).append(chunk)
+        for begin in range(0, len(words), 500):
+            some = words[begin : begin + 500]
+            text = b" ".join(some).decode()
+            by_a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+            by_b = self.b.encode([text], num_threads=1)[0]
+            found |= zip(some, zip(
+                self.cut(by_a, self.begins_a, self.a_spelt, some),
+                self.cut(by_b, self.begins_b, self.b_spelt, some),
+                strict=True,
+            ), strict=True)
+        for chunk in others:
+            text = chunk.decode("utf-8", "replace")
+            by_a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+            by_b = self.b.encode([text], num_threads=1)[0]
+            found[chunk] = (
+                self.right(by_a, self.a_spelt, b" " + chunk), self.right(by_b, self.b_spelt, b" " + chunk)
             )
-            packed = np.array(ids, "<u4").tobytes(), np.array(b, "<u4").tobytes()
-            self.known[chunk] = packed if right else None
+        return {chunk: ids if None not in ids else None for chunk, ids in found.items()}
+
+    @staticmethod
+    def plain(chunk: bytes) -> bool:
+        try:
+            text = chunk.decode()
+        except UnicodeDecodeError:
+            return False
+        return bool(text) and " " not in text and text == text.strip() and SPACE not in text
+
+    @staticmethod
+    def right(ids: list[int], spelt: list[bytes], text: bytes) -> bytes | None:
+        """The packed ids if they spell the text."""
+        if b"".join([spelt[i] for i in ids]) != text:
+            return None
+        return np.array(ids, "<u4").tobytes()
+
+    def cut(self, ids: list[int], begins: np.ndarray, spelt: list[bytes], words: list[bytes]) -> list:
+        packed = np.array(ids, "<u4")
+        starts = np.flatnonzero(begins[packed]).tolist()
+        whole = b"".join([spelt[i] for i in ids])
+        if whole == b" " + b" ".join(words) and len(starts) == len(words):
+            raw = packed.tobytes()
+            return [raw[4 * i : 4 * j] for i, j in zip(starts, [*starts[1:], len(ids)], strict=True)]
+        # Some word is not spelt by its tokens: each for itself.
+        if len(words) == 1:
+            return [None]
+        half = len(words) // 2
+        return [
+            part
+            for some in (words[:half], words[half:])
+            for part in self.cut(self.ids(some, spelt), begins, spelt, some)
+        ]
+
+    def ids(self, words: list[bytes], spelt: list[bytes]) -> list[int]:
+        text = b" ".join(words).decode()
+        if spelt is self.b_spelt:
+            return self.b.encode([text], num_threads=1)[0]
+        return self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
 
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes] | None]:
         """A ids and B ids of each text, None where a side does not spell it."""
         cut = [self.split(text) if text else [] for text in texts]
-        missing = list({chunk for chunks in cut for chunk in chunks if chunk not in self.known})
-        for i in range(0, len(missing), 2000):
-            self.learn(missing[i : i + 2000])
+        new = list(set().union(*cut).difference(self.known))
+        learnt = self.learn(new)
         out = []
         for chunks in cut:
-            parts = [self.known[chunk] for chunk in chunks]
+            parts = list(map(self.known.get, chunks))
+            if None in parts:
+                parts = [part or learnt.get(chunk) for part, chunk in zip(parts, chunks, strict=True)]
             if not parts or None in parts:
                 out.append(None)
             else:
                 out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        self.known.keep(learnt)
         return out
 
 
@@ -150,7 +221,9 @@ class Windows:
     def __init__(self, a_spelt: list[bytes], b_spelt: list[bytes]):
         self.length_a, self.space_a = self._facts(a_spelt)
         self.length_b, self.space_b = self._facts(b_spelt)
-        self.known: dict[tuple[bytes, bytes], tuple[str, list[int]]] = {}
+        self.lengths = self.length_a.tolist(), self.length_b.tolist()
+        self.named = [str(i) for i in range(max(len(a_spelt), len(b_spelt)))]
+        self.known = Memory()
         self.pairs: dict[int, int] = {}
 
     @staticmethod
@@ -158,22 +231,27 @@ class Windows:
         lengths = np.array([len(token) for token in spelt], dtype=np.int64)
         return lengths, np.array([token[:1] == b" " for token in spelt])
 
-    def learn(self, key: tuple[bytes, bytes]) -> tuple[str, list[int]]:
-        a, b = (np.frombuffer(ids, "<u4") for ids in key)
-        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        _, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        groups, numbers, from_a, from_b = [], [], 0, 0
-        for to_a, to_b in zip((i + 1).tolist(), (j + 1).tolist(), strict=True):
-            ours = ",".join(map(str, a[from_a:to_a].tolist()))
-            theirs = ",".join(map(str, b[from_b:to_b].tolist()))
-            groups.append(f"{ours}|{theirs}")
-            pair = int(a[to_a - 1]) << 32 | int(b[to_b - 1])
-            numbers.append(self.pairs.setdefault(pair, len(self.pairs)))
-            from_a, from_b = to_a, to_b
-        found = self.known[key] = (";".join(groups), numbers)
-        return found
-
-    def align(self, raw_a: bytes, raw_b: bytes) -> tuple[str, list[int]]:
+    def learn(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
+        """Groups as text and the numbers of the linked pairs, packed. Both sides are walked
+        together; the side that is behind takes its next token."""
+        a, b = (memoryview(ids).cast("I").tolist() for ids in key)
+        (lengths_a, lengths_b), named = self.lengths, self.named
+        groups, numbers, i, j, from_a, from_b, end_a, end_b = [], [], 0, 0, 0, 0, 0, 0
+        while i < len(a) or j < len(b):
+            if end_a <= end_b and i < len(a):
+                end_a += lengths_a[a[i]]
+                i += 1
+            else:
+                end_b += lengths_b[b[j]]
+                j += 1
+            if end_a == end_b:
+                ours = ",".join([named[token] for token in a[from_a:i]])
+                groups.append(f"{ours}|{','.join([named[token] for token in b[from_b:j]])}")
+                numbers.append(self.pairs.setdefault(a[i - 1] << 32 | b[j - 1], len(self.pairs)))
+                from_a, from_b = i, j
+        return ";".join(groups), pack(f"<{len(numbers)}i", *numbers)
+
+    def align(self, raw_a: bytes, raw_b: bytes) -> tuple[str, np.ndarray]:
         """Groups of a document as text, and the numbers of the pairs it links."""
         a, b = np.frombuffer(raw_a, "<u4"), np.frombuffer(raw_b, "<u4")
         starts_a = np.cumsum(self.length_a[a]) - self.length_a[a]
@@ -185,17 +263,22 @@ class Windows:
         shared = starts_b[marked_b[at]] == starts_a[marked_a]
         cuts_a = [*(4 * marked_a[shared]).tolist(), len(raw_a)]
         cuts_b = [*(4 * marked_b[at[shared]]).tolist(), len(raw_b)]
-        texts, numbers, known = [], [], self.known
-        from_a, from_b = cuts_a[0], cuts_b[0]
-        for to_a, to_b in zip(cuts_a[1:], cuts_b[1:], strict=True):
-            key = (raw_a[from_a:to_a], raw_b[from_b:to_b])
-            found = known.get(key) or self.learn(key)
-            texts.append(found[0])
-            numbers += found[1]
-            from_a, from_b = to_a, to_b
-        if len(known) > REMEMBERED:
-            known.clear()
-        return ";".join(texts), numbers
+        keys = list(zip(
+            [raw_a[i:j] for i, j in zip(cuts_a, cuts_a[1:])],
+            [raw_b[i:j] for i, j in zip(cuts_b, cuts_b[1:])],
+            strict=True,
+        ))
+        found = list(map(self.known.get, keys))
+        if None in found:
+            learnt: dict = {}
+            for place, (key, one) in enumerate(zip(keys, found, strict=True)):
+                if one is None:
+                    if key not in learnt:
+                        learnt[key] = self.learn(key)
+                    found[place] = learnt[key]
+            self.known.keep(learnt)
+        text = ";".join([groups for groups, _ in found])
+        return text, np.frombuffer(b"".join([numbers for _, numbers in found]), "<i4")
 
 
 @cache
@@ -214,12 +297,12 @@ class Slice:
         self.size = 0
 
     def add(self, doc_id, text: bytes, ids: tuple[bytes, bytes] | None) -> None:
-        groups, numbers = self.windows.align(*ids) if ids else ("", [])
+        groups, numbers = self.windows.align(*ids) if ids else ("", np.zeros(0, dtype="<i4"))
         n_groups = groups.count(";") + 1 if ids else 0
         told = hashlib.sha256(groups.encode()).hexdigest() if self.digest and ids else groups
         n_a, n_b = (len(ids[0]) // 4, len(ids[1]) // 4) if ids else (0, 0)
         self.rows.append((doc_id, n_a, n_b, n_groups, len(numbers), told))
-        self.links.append(np.array(numbers, dtype=np.int64))
+        self.links.append(numbers)
         self.size += len(text)
 
     def full(self) -> bool:

@@ -6,8 +6,8 @@ letters, digits and ``+/_=-`` is ``random`` if a byte-pair vocabulary needs many
 it: words, even made-up ones, are built from frequent pieces, random strings are not, so at
 most ``RATIO`` characters a token give them away. Left out before are known digests (hex in
 the lengths of MD5 and the SHA families, also after ``sha256-`` and the like) and
-identifiers: numbers, UUIDs, ULIDs, and names made of words, whose pieces between digits,
-signs and capitals have four or more letters on average. What a pattern has found already is
+identifiers: numbers, UUIDs, ULIDs, and names made of words, with one number at most, whose
+pieces between digits, signs and capitals have four or more letters on average. What a pattern has found already is
 not found again.
 
 A span of the patterns covers the whole match, name and quotes of an assignment included;
@@ -56,6 +56,7 @@ _HEX = np.zeros(256, dtype=bool)
 _HEX[list(b"0123456789abcdef")] = True
 _RUN = np.zeros(256, dtype=bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
+_NUMBERS = re.compile(r"[0-9]+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]")
 
 
@@ -78,8 +79,8 @@ def is_known(run: str) -> bool:
     letters = sum(map(str.isalpha, run))
     if letters == 0:
         return True
-    pieces = _WORDS.findall(run)
-    return letters >= 4 * len(pieces) and letters >= len(run) / 2
+    worded = letters >= 4 * len(_WORDS.findall(run)) and letters >= len(run) / 2
+    return worded and len(_NUMBERS.findall(run)) <= 1
 
 
 def is_random(run: str, tokens, ratio: float) -> bool:

@@ -15,6 +15,8 @@ COLUMNS = {
     "op7_neighbours": ["query_id", "rank", "vec_id", "score"],
     "op8_quality": ["doc_id", "held_out", "score", "predicted"],
     "op9_licenses": ["doc_id", "license", "dice"],
+    "op11_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"],
+    "op13_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
 }
 
 
@@ -38,4 +40,4 @@ def test_columns_and_rows(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
