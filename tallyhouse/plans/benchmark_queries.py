@@ -83,42 +83,29 @@ def returns_rate_by_brand(
 
     The left join on (item, order) repeats a sale line for each return line of its key
     and the other way round. Its sums follow from per-key totals: units sold count
-    max(1, return lines) times, units returned once per sale line. The totals come from
-    one grouping of both kinds of lines, so no pair is built. Lines of expired item versions
-    are left out before they are shuffled.
+    max(1, return lines) times, units returned once per sale line. Each fact is summed per
+    key and the sums are joined, so no pair of lines is built; over facts that are stored
+    hashed by the key, neither the sums nor the join need a shuffle. Lines of expired item
+    versions are left out before they are summed.
     """
-    none = F.lit(None).cast("bigint")
     current = items.where("is_current = 1").select("item_key", "brand")
     is_current = F.col("item_sk") == F.col("item_key")
     sales = sales.join(current.select("item_key"), is_current, "left_semi")
     returns = returns.join(current.select("item_key"), is_current, "left_semi")
-    sold = sales.select(
-        "item_sk",
-        F.col("sale_order_id").alias("order_id"),
-        F.col("quantity").cast("bigint").alias("sold"),
-        F.lit(1).alias("sale_lines"),
-        none.alias("returned"),
-        F.lit(0).alias("return_lines"),
+    sold = sales.groupBy("item_sk", "sale_order_id").agg(
+        F.sum("quantity").alias("sold"), F.count(F.lit(1)).alias("sale_lines")
     )
-    returned = returns.dropna(subset=["item_sk", "return_order_id"]).select(
-        "item_sk",
-        F.col("return_order_id").alias("order_id"),
-        none.alias("sold"),
-        F.lit(0).alias("sale_lines"),
-        F.col("return_quantity").cast("bigint").alias("returned"),
-        F.lit(1).alias("return_lines"),
-    )
-    totals = ["sold", "sale_lines", "returned", "return_lines"]
-    per_key = (
-        sold.unionByName(returned)
-        .groupBy("item_sk", "order_id")
-        .agg(*[F.sum(total).alias(total) for total in totals])
+    returned = (
+        returns.dropna(subset=["item_sk", "return_order_id"])
+        .groupBy("item_sk", F.col("return_order_id").alias("sale_order_id"))
+        .agg(F.sum("return_quantity").alias("returned"), F.count(F.lit(1)).alias("return_lines"))
     )
+    per_key = sold.join(returned, ["item_sk", "sale_order_id"], "left")
+    lines = F.greatest(F.coalesce("return_lines", F.lit(0)), F.lit(1))
     per_item = (
-        per_key.where("sale_lines > 0")
-        .groupBy("item_sk")
+        per_key.groupBy("item_sk")
         .agg(
-            F.sum(F.col("sold") * F.greatest("return_lines", F.lit(1))).alias("units_sold"),
+            F.sum(F.col("sold") * lines).alias("units_sold"),
             F.sum(F.col("returned") * F.col("sale_lines")).alias("units_returned"),
         )
     )

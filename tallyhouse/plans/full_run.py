@@ -6,11 +6,12 @@ import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.operators.quality import ChecksFailed, as_dq_result, assert_passed, check_tables
-from tallyhouse.operators import anomalies
+from tallyhouse.operators.dimensions import with_date_bucket
+from tallyhouse.operators.staging import CHANNELS, SALE_SOURCES
 from tallyhouse.plans import marts
+from tallyhouse.plans.placement import BUCKET_DAYS, bucket_bounds, bucket_count, store_facts
 from tallyhouse.plans.tuning import collect_statistics
 from tallyhouse.sources.runlog import RunLog
 from tallyhouse.plans.silver import silver_frames, tagged_returns, tagged_sales
@@ -24,7 +25,6 @@ from tallyhouse.sources.tables import (
     each,
     ensure_layout,
     write_counted,
-    write_parts,
 )
 
 
@@ -77,26 +77,22 @@ class WarehouseRun:
             if self.stop_on_failure:
                 raise
 
-    def _write_facts(self, bronze: dict[str, DataFrame]) -> int:
-        """Clean and broken lines of each kind, derived and written once."""
-        rows = 0
-        for fact, tagged in (("sales", tagged_sales(bronze)), ("returns", tagged_returns(bronze))):
-            clean = getattr(anomalies, f"fact_{fact}")(tagged).columns
-            broken = getattr(anomalies, f"fact_{fact}_anomalies")(tagged).columns
-            name = f"{self.layers.silver}.fact_{fact}"
-            parts = {name: (False, clean), f"{name}__anomalies": (True, broken)}
-            flagged = tagged.withColumn("broken", F.col("_anomaly_reason").isNotNull())
-            rows += sum(write_parts(flagged, "broken", parts).values())
-        return rows
-
     def build_silver(self) -> None:
+        """Dimensions, and facts placed by date and join key with the calendar to match."""
         bronze = self.stored("bronze")
         frames = {**silver_frames(bronze), "dim_channel": dim_channel(self.spark)}
+        sales = frames["fact_sales"]
         frames = {name: df for name, df in frames.items() if not name.startswith(FACTS)}
+        tagged = {"fact_sales": tagged_sales(bronze), "fact_returns": tagged_returns(bronze)}
         with self.log.step(self.batch_id, "silver", "build_silver") as step:
-            rows = self._write("silver", frames) + self._write_facts(bronze)
+            # Without a dated sale all rows lie outside any bounds.
+            bounds = bucket_bounds(sales) or (0, 0)
+            lines = sum(bronze[SALE_SOURCES[c][0]].count() for c in CHANNELS)
+            frames["dim_date"] = with_date_bucket(frames["dim_date"], *bounds, BUCKET_DAYS)
+            rows = self._write("silver", frames)
+            placed = store_facts(self.spark, self.layers, tagged, bounds, bucket_count(lines))
             collect_statistics(self.spark, self.layers, "silver")
-            step.record(rows_out=rows, tool="spark")
+            step.record(rows_out=rows + sum(placed.values()), tool="spark")
 
     def build_gold(self) -> None:
         silver = self.stored("silver")

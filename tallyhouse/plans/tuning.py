@@ -13,8 +13,23 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import date_bucket
 from tallyhouse.operators.dimensions import with_date_bucket
+from tallyhouse.plans.placement import (
+    BUCKET_DAYS,
+    PLACEMENTS,
+    bucket_bounds,
+    bucket_count,
+    gathered,
+)
 from tallyhouse.sources.schemas import PERF_LOG
-from tallyhouse.sources.tables import Layers, append_log, each, new_version, publish, write_full
+from tallyhouse.sources.tables import (
+    Layers,
+    append_log,
+    each,
+    new_version,
+    publish,
+    remove_table,
+    write_full,
+)
 
 # --- fixed values: columns worth statistics per table --------------------------
 SILVER_STATISTICS = {
@@ -33,7 +48,6 @@ GOLD_STATISTICS = {
     "mart_product_analytics": "item_key category brand",
     "mart_channel_comparison": "calendar_year month_of_year channel",
 }
-BUCKET_DAYS = 365
 # --- end of fixed values ---------------------------------------------------------
 
 
@@ -101,12 +115,6 @@ def collect_statistics(
     return {table.split(".")[1]: told for table, told in each(outcome, wanted).items()}
 
 
-def bucket_bounds(sales: DataFrame) -> tuple[int, int] | None:
-    """Date key range of the fact, one bucket wider on both sides."""
-    low, high = sales.agg(F.min("sold_date_sk"), F.max("sold_date_sk")).first()
-    return None if low is None else (low - BUCKET_DAYS, high + BUCKET_DAYS)
-
-
 def bucketed_sales(sales: DataFrame) -> DataFrame:
     """The fact with its ``date_bucket``, bounds taken in the same plan."""
     bounds = sales.agg(
@@ -118,33 +126,27 @@ def bucketed_sales(sales: DataFrame) -> DataFrame:
 
 
 def rewrite_by_date_bucket(spark: SparkSession, layers: Layers) -> tuple[int, int]:
-    """Rewrite the sales fact partitioned by date bucket, give the calendar the same column,
-    publish both by rename and analyze the new versions.
-
-    Rows are first gathered by bucket and slice of the date key, so a task writes
-    few partitions and a bucket with most rows still spreads over many tasks.
+    """Rewrite the stored facts as the build places them, for tables that were stored
+    otherwise: date buckets, in each the hash buckets of item and order. The calendar gets
+    the same date buckets. All are published by rename, and the new versions analyzed.
     """
-    fact, calendar = f"{layers.silver}.fact_sales", f"{layers.silver}.dim_date"
-    sales, dates = (spark.table(t).drop("date_bucket") for t in (fact, calendar))
-    bounds = bucket_bounds(sales)
+    calendar = f"{layers.silver}.dim_date"
+    facts = [f for f in PLACEMENTS if spark.catalog.tableExists(f"{layers.silver}.{f}")]
+    rows = {f: spark.table(f"{layers.silver}.{f}").drop("date_bucket") for f in facts}
+    bounds = bucket_bounds(rows["fact_sales"])
     if bounds is None:
         raise ValueError("no dated sales to bucket")
-    low, high = (F.lit(bound) for bound in bounds)
-    bucketed = sales.withColumn(
-        "date_bucket", date_bucket("sold_date_sk", low, high, BUCKET_DAYS)
-    ).repartitionByRange("date_bucket", "sold_date_sk", "item_sk", "sale_order_id")
-    write_full(
-        bucketed,
-        f"{fact}_bucketed",
-        partition_by=["date_bucket"],
-        path=new_version(spark, f"{fact}_bucketed"),
-    )
-    write_full(
-        with_date_bucket(dates, *bounds, BUCKET_DAYS),
-        f"{calendar}_bucketed",
-        path=new_version(spark, f"{calendar}_bucketed"),
-    )
-    for table in (fact, calendar):
+    buckets = bucket_count(rows["fact_sales"].count())
+    for fact, df in rows.items():
+        new = f"{layers.silver}.{fact}_bucketed"
+        keys = list(PLACEMENTS[fact].keys)
+        placed = gathered(df, PLACEMENTS[fact], bounds, buckets)
+        remove_table(spark, new)
+        writer = placed.write.format("parquet").partitionBy("date_bucket").option("path", new_version(spark, new))
+        writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(new)
+    dates = with_date_bucket(spark.table(calendar).drop("date_bucket"), *bounds, BUCKET_DAYS)
+    write_full(dates, f"{calendar}_bucketed")
+    for table in (*[f"{layers.silver}.{f}" for f in facts], calendar):
         publish(spark, f"{table}_bucketed", table, f"{table}_unbucketed")
         analyze(spark, table, SILVER_STATISTICS[table.split(".")[1]])
     return bounds

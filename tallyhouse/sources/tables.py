@@ -10,10 +10,12 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.sources.schemas import DQ_RESULT, LINEAGE, PERF_LOG, RUN_LOG, SCHEMAS
 
 T = TypeVar("T")
+BEFORE = "version.before"  # table property: the folder that the last switch replaced
 
 
 @dataclass(frozen=True)
@@ -51,23 +53,33 @@ def ensure_layout(spark: SparkSession, layers: Layers, location: str | None = No
         where = f" LOCATION '{location}/{name}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
     tables = {layers.run_log: RUN_LOG, layers.dq_result: DQ_RESULT, layers.perf_log: PERF_LOG}
-    for name, schema in SCHEMAS.items():
-        columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema.fields]
-        tables[f"{layers.bronze}.{name}"] = ", ".join([*columns, LINEAGE])
     for table, columns in tables.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")
+    lineage = StructType.fromDDL(LINEAGE)
+    for name, schema in SCHEMAS.items():
+        table = f"{layers.bronze}.{name}"
+        if not spark.catalog.tableExists(table):
+            whole = StructType([*schema.fields, *lineage.fields])
+            create_external(spark, table, whole, new_version(spark, table))
 
 
 def write_full(
     df: DataFrame, table: str, partition_by: list[str] | None = None, path: str | None = None
 ) -> None:
-    """Full refresh of a table. With ``path`` it is external: renaming it moves no files."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    """Full refresh of a table, whose rows are all written before the table changes.
+
+    The new rows go to a folder of their own (``path`` names it); if writing them fails, the
+    folder goes and the table still holds its old rows. Then the table is switched over.
+    """
+    spark = df.sparkSession
+    folder = path or new_version(spark, table)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    try:
+        writer.parquet(folder)
+    except Exception:
+        delete_folder(spark, folder)
+        raise
+    switch(spark, table, df.schema, folder, partition_by)
 
 
 def new_version(spark: SparkSession, table: str) -> str:
@@ -76,46 +88,150 @@ def new_version(spark: SparkSession, table: str) -> str:
     return f"{spark.catalog.getDatabase(database).locationUri}/{name}_{uuid.uuid4().hex[:8]}"
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _path(spark, folder)
+    files.mkdirs(path)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _path(spark, folder)
+    files.delete(path, True)
+
+
+def create_external(
+    spark: SparkSession,
+    table: str,
+    schema: StructType,
+    folder: str,
+    partition_by: list[str] | None = None,
+    buckets: int = 0,
+    keys: list[str] | None = None,
+) -> None:
+    """A table over files that are there already, partitions and hash buckets included."""
+    make_folder(spark, folder)  # an empty part has none yet
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    placed = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if buckets:
+        by = ", ".join(keys)
+        placed += f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
+    spark.sql(f"CREATE TABLE {table} ({listed}) USING parquet{placed} LOCATION '{folder}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def switch(
+    spark: SparkSession,
+    table: str,
+    schema: StructType,
+    folder: str,
+    partition_by: list[str] | None = None,
+) -> None:
+    """Let a table hold the rows of a folder that is written.
+
+    A table over one folder with the same columns changes its location, one catalog entry:
+    readers find the old rows or the new ones. The files before stay until the next switch,
+    for readers that began with them. Other tables are replaced by name.
+    """
+    old = location(spark, table)
+    listed = [(f.name, f.dataType) for f in schema.fields]
+    plain = old and not partition_by and not is_placed(spark, table)
+    if plain and [(f.name, f.dataType) for f in spark.table(table).schema.fields] == listed:
+        before = properties(spark, table).get(BEFORE)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BEFORE}' = '{old}')")
+        spark.catalog.refreshTable(table)
+        if before:
+            delete_folder(spark, before)
+        return
+    remove_table(spark, f"{table}__new")
+    create_external(spark, f"{table}__new", schema, folder, partition_by)
+    remove_table(spark, table)
+    spark.sql(f"ALTER TABLE {table}__new RENAME TO {table}")
+
+
+def _facts(spark: SparkSession, table: str) -> dict[str, str]:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    return {r["col_name"]: r["data_type"] for r in described}
+
+
 def location(spark: SparkSession, table: str) -> str | None:
     """Where an external table's files lie; None for managed and missing tables."""
     if not spark.catalog.tableExists(table):
         return None
-    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    facts = _facts(spark, table)
     return facts["Location"] if facts.get("Type") == "EXTERNAL" else None
 
 
+def is_placed(spark: SparkSession, table: str) -> bool:
+    """Whether a table has partitions or hash buckets."""
+    facts = _facts(spark, table)
+    return "# Partition Information" in facts or "Num Buckets" in facts
+
+
 def remove_table(spark: SparkSession, table: str) -> None:
     """Drop a table and its files, also those of an external one."""
     folder = location(spark, table)
+    before = properties(spark, table).get(BEFORE) if folder else None
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    if folder:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def write_parts(df: DataFrame, flag: str, parts: dict[str, tuple[bool, list[str]]]) -> dict[str, int]:
+    for files in filter(None, (folder, before)):
+        delete_folder(spark, files)
+
+
+def write_parts(
+    df: DataFrame,
+    flag: str,
+    parts: dict[str, tuple[bool, list[str]]],
+    partition_by: list[str] | None = None,
+    buckets: int = 0,
+    keys: list[str] | None = None,
+) -> dict[str, int]:
     """Write rows once, apart by a boolean column, and give each part to a table.
 
     ``parts``: table -> (value of the flag, columns). The tables are external over the
-    parts' folders, so rows that feed two tables are derived and written one time. Returns
-    rows per table, counted on the way.
+    parts' folders, so rows that feed two tables are derived and written one time. Inside a
+    part rows lie by ``partition_by`` and, hashed by ``keys``, in ``buckets``; the files are
+    named by bucket, so a part's table has the same buckets. The tables change when all rows
+    are written. Returns rows per table, counted on the way.
     """
     spark = df.sparkSession
-    folder = new_version(spark, next(iter(parts)))
+    first = next(iter(parts))
+    folder, staged = new_version(spark, first), f"{first}__staged"
+    partition_by = partition_by or []
     seen = Observation()
     counts = {
         table: F.count_if(F.col(flag) if value else ~F.col(flag)).alias(table)
         for table, (value, _) in parts.items()
     }
-    df.observe(seen, *counts.values()).write.partitionBy(flag).parquet(folder)
+    writer = df.observe(seen, *counts.values()).write.partitionBy(flag, *partition_by)
+    remove_table(spark, staged)  # of a run that was killed
+    try:
+        if buckets:
+            writer = writer.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+            writer.option("path", folder).saveAsTable(staged)
+            spark.sql(f"DROP TABLE {staged}")  # its files stay
+        else:
+            writer.parquet(folder)
+    except Exception:
+        delete_folder(spark, folder)
+        raise
     for table, (value, columns) in parts.items():
-        remove_table(spark, table)
         part = f"{folder}/{flag}={str(value).lower()}"
-        # An empty part has no folder yet.
-        path = spark._jvm.org.apache.hadoop.fs.Path(part)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-        listed = ", ".join(f"{df.schema[c].name} {df.schema[c].dataType.simpleString()}" for c in columns)
-        spark.sql(f"CREATE TABLE {table} ({listed}) USING parquet LOCATION '{part}'")
+        hashed = buckets if buckets and set(keys) <= set(columns) else 0
+        schema = StructType([df.schema[c] for c in [*columns, *partition_by]])
+        remove_table(spark, f"{table}__new")
+        create_external(spark, f"{table}__new", schema, part, partition_by, hashed, keys)
+    for table in parts:
+        remove_table(spark, table)
+        spark.sql(f"ALTER TABLE {table}__new RENAME TO {table}")
     return {table: seen.get[table] for table in parts}
 
 

@@ -74,6 +74,11 @@ def test_old_versions_leave_no_files(spark, layers, fact):
     assert len(versions) == 2  # the published and the kept one
 
 
+def test_buckets_grow_with_the_lines():
+    counts = [tuning.bucket_count(n) for n in (0, 10**6, 10**8, 10**10, 10**13)]
+    assert counts == [4, 4, 64, 8192, 32768]
+
+
 def test_timings_reach_the_log(spark, layers):
     queries = {"small": lambda: spark.range(5), "none": lambda: spark.range(0)}
     tuning.benchmark(spark, queries, layers, "r1", "before", iterations=2)
