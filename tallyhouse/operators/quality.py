@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
+from pyspark.sql.types import DataType, DateType, DoubleType, FloatType, IntegralType
 
 KEYED = ("unique", "references")
 
@@ -92,36 +92,58 @@ def _value_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
+def _hashed(column: Column, kind: DataType) -> list[Column]:
+    """A key as two numbers, both NULL for NULL: whole numbers and dates are kept as they
+    are, other values are two hashes of 64 bits, which do not collide in any table."""
+    if isinstance(kind, IntegralType):
+        pair = column.cast("bigint"), F.lit(0)
+    elif isinstance(kind, DateType):
+        pair = F.unix_date(column).cast("bigint"), F.lit(0)
+    else:
+        if isinstance(kind, (FloatType, DoubleType)):
+            column = column + F.lit(0.0)  # -0.0 and 0.0 are equal
+        pair = F.xxhash64(column), F.xxhash64(F.lit(1), column)
+    return [F.when(column.isNotNull(), part.cast("bigint")) for part in pair]
+
+
 def _keyed_counts(
     df: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
 ) -> DataFrame:
-    """The same with key checks among them: rows are counted per check and key."""
+    """The same with key checks among them: rows are counted per check and key. Keys are
+    shuffled as numbers, whatever their type."""
     entries, parents = [], []
     for i, check in enumerate(checks):
         seen, bad = _flags(check)
-        key = F.col(check.column) if check.kind in KEYED else F.lit(None)
+        kind = df.schema[check.column].dataType
+        key = F.col(check.column) if check.kind in KEYED else F.lit(None).cast(kind)
+        first, second = _hashed(key, kind)
         entries.append(
             F.struct(
                 F.lit(i).alias("check_no"),
-                key.cast("string").alias("key"),
+                first.alias("first"),
+                second.alias("second"),
                 seen.alias("seen"),
                 bad.alias("bad"),
             )
         )
         if check.kind == "references":
             table, name = check.parent
-            same_type = F.col(name).cast(df.schema[check.column].dataType).cast("string")
-            parents.append(tables[table].select(F.lit(i).alias("check_no"), same_type.alias("key")))
+            first, second = _hashed(F.col(name).cast(kind), kind)
+            parents.append(
+                tables[table].select(F.lit(i).alias("check_no"), first.alias("first"), second.alias("second"))
+            )
     counted = (
         df.select(F.inline(F.array(*entries)))
-        .groupBy("check_no", "key")
+        .groupBy("check_no", "first", "second")
         .agg(F.count_if("seen").alias("rows"), F.count_if("bad").alias("bad"))
     )
     kinds = F.array(*[F.lit(check.kind) for check in checks])[F.col("check_no")]
     wrong = F.when((kinds == "unique") & (F.col("rows") > 1), F.col("rows"))
     if parents:
-        known = reduce(DataFrame.unionByName, parents).where("key IS NOT NULL").distinct()
-        counted = counted.join(known.withColumn("known", F.lit(True)), ["check_no", "key"], "left")
+        known = reduce(DataFrame.unionByName, parents).where("first IS NOT NULL").distinct()
+        counted = counted.join(
+            known.withColumn("known", F.lit(True)), ["check_no", "first", "second"], "left"
+        )
         wrong = wrong.when((kinds == "references") & F.col("known").isNull(), F.col("rows"))
     return counted.groupBy("check_no").agg(
         F.sum("rows").alias("element_count"),
@@ -159,23 +181,34 @@ def check_table(name: str, checks: list[Check], tables: dict[str, DataFrame]) ->
     )
 
 
+def sampled_rows(df: DataFrame, rows: int, seed: str = "0") -> DataFrame:
+    """Exactly ``rows`` rows (all, if there are fewer): those with the smallest MD5 of the seed
+    and the row as JSON, however the table is partitioned. Each task keeps its smallest, so
+    no more than ``rows`` of them leave it. Equal rows have equal hashes; any of them do."""
+    told = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return df.orderBy(F.md5(F.concat(F.lit(seed), told).cast("binary"))).limit(rows)
+
+
 def check_tables(
     suite: dict[str, list[Check]],
     tables: dict[str, DataFrame],
     fraction: float | None = None,
     seed: int = 0,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per check with its counts and verdict.
 
     A check passes when the good share reaches ``mostly``, or nothing was seen. Whole
-    tables are checked; ``fraction`` checks a random sample instead, against whole
-    parent tables.
+    tables are checked; on request a sample instead, against whole parent tables: a random
+    ``fraction``, or exactly ``rows`` rows, the same ones every time.
     """
     parts = []
     for name, checks in suite.items():
         seen = tables
         if fraction is not None:
             seen = {**tables, name: tables[name].sample(fraction=fraction, seed=seed)}
+        elif rows is not None:
+            seen = {**tables, name: sampled_rows(tables[name], rows, str(seed))}
         parts.append(check_table(name, checks, seen))
     good = F.col("element_count") - F.col("unexpected_count")
     good_share = good / F.nullif(F.col("element_count"), F.lit(0))

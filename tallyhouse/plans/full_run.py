@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.operators.quality import ChecksFailed, as_dq_result, assert_passed, check_tables
 from tallyhouse.operators.dimensions import with_date_bucket
 from tallyhouse.operators.staging import CHANNELS, SALE_SOURCES
-from tallyhouse.plans import marts
+from tallyhouse.plans import column_groups, marts
 from tallyhouse.plans.placement import BUCKET_DAYS, bucket_bounds, bucket_count, store_facts
 from tallyhouse.plans.tuning import collect_statistics
 from tallyhouse.sources.runlog import RunLog
@@ -77,6 +77,12 @@ class WarehouseRun:
             if self.stop_on_failure:
                 raise
 
+    def _statistics(self, layer: str) -> None:
+        """Of single columns in the catalog, of column groups beside the logs."""
+        collect_statistics(self.spark, self.layers, layer)
+        stored = {n: df for n, df in self.stored(layer).items() if n in column_groups.COLUMN_GROUPS}
+        column_groups.refresh(self.spark, self.layers, stored)
+
     def build_silver(self) -> None:
         """Dimensions, and facts placed by date and join key with the calendar to match."""
         bronze = self.stored("bronze")
@@ -91,7 +97,7 @@ class WarehouseRun:
             frames["dim_date"] = with_date_bucket(frames["dim_date"], *bounds, BUCKET_DAYS)
             rows = self._write("silver", frames)
             placed = store_facts(self.spark, self.layers, tagged, bounds, bucket_count(lines))
-            collect_statistics(self.spark, self.layers, "silver")
+            self._statistics("silver")
             step.record(rows_out=rows + sum(placed.values()), tool="spark")
 
     def build_gold(self) -> None:
@@ -107,7 +113,7 @@ class WarehouseRun:
                 "mart_channel_comparison": marts.mart_channel_comparison(sales, returns, dates),
             }
             rows = self._write("gold", frames)
-            collect_statistics(self.spark, self.layers, "gold")
+            self._statistics("gold")
             step.record(rows_out=rows, tool="spark")
 
     def run(self, data_dir: str) -> str:

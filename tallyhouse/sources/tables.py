@@ -42,6 +42,10 @@ class Layers:
     def perf_log(self) -> str:
         return f"{self.dq}.perf_log"
 
+    @property
+    def column_groups(self) -> str:
+        return f"{self.dq}.column_groups"
+
 
 def ensure_layout(spark: SparkSession, layers: Layers, location: str | None = None) -> None:
     """Create the databases, raw tables and log tables that do not exist yet.

@@ -11,6 +11,7 @@ from tallyhouse.operators.quality import (
     in_set,
     not_null,
     references,
+    sampled_rows,
     unique,
 )
 from tallyhouse.plans.suites import BUILD_TESTS, EXPECTATIONS
@@ -112,3 +113,37 @@ def test_a_sample_is_only_taken_when_asked_for(spark):
     part = check_tables({"t": not_null("v")}, tables, fraction=0.1, seed=1).first()
     assert whole.element_count == 10000
     assert 800 < part.element_count < 1200
+
+
+def test_keys_are_shuffled_as_numbers(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES (1L, 'a', DATE'2020-01-01', -0.0D, 1.50), (-1L, 'b', NULL, 0.0D, 2.5), "
+        "(NULL, NULL, DATE'2020-01-01', NULL, 1.5), (-9223372036854775808L, 'a', NULL, 1D, NULL) "
+        "AS t(n, s, d, f, m)"
+    )
+    parent = spark.sql("SELECT * FROM VALUES ('a', -1), (NULL, NULL), ('', 0) AS t(s, n)")
+    checks = unique("n", "s", "d", "f", "m") + references("s", "p", "s") + references("n", "p", "n")
+    checked = check_tables({"t": checks}, {"t": rows, "p": parent})
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(check_no" in line]
+    assert shuffled and not any("key" in line for line in shuffled)
+    fields = [f.dataType.simpleString() for f in checked.schema.fields[:3]]
+    assert fields == ["string"] * 3  # names only
+    assert [(r.element_count, r.unexpected_count) for r in checked.collect()] == [
+        (3, 0), (3, 2), (2, 2), (3, 2), (3, 2), (3, 1), (3, 2),
+    ]
+
+
+def test_a_sample_of_exactly_n_rows(spark):
+    df = spark.range(5000).selectExpr("id AS v", "IF(id % 3 = 0, NULL, id % 7) AS w")
+    drawn = {r.v for r in sampled_rows(df, 1000).collect()}
+    assert len(drawn) == 1000
+    assert drawn == {r.v for r in sampled_rows(df.repartition(7), 1000).collect()}
+    assert drawn != {r.v for r in sampled_rows(df, 1000, "other").collect()}
+    assert sampled_rows(df, 10_000).count() == 5000
+    plan = sampled_rows(df, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+    checked = check_tables({"t": not_null("w") + unique("v")}, {"t": df}, rows=1000).collect()
+    assert [r.element_count for r in checked] == [1000, 1000]
+    bad = sum(v % 3 == 0 for v in drawn)
+    assert [r.unexpected_count for r in checked] == [bad, 0]
