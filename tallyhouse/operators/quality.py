@@ -181,12 +181,18 @@ def check_table(name: str, checks: list[Check], tables: dict[str, DataFrame]) ->
     )
 
 
-def sampled_rows(df: DataFrame, rows: int, seed: str = "0") -> DataFrame:
+def sampled_rows(
+    df: DataFrame, rows: int, seed: str = "0", by: list[str] | None = None
+) -> DataFrame:
     """Exactly ``rows`` rows (all, if there are fewer): those with the smallest MD5 of the seed
-    and the row as JSON, however the table is partitioned. Each task keeps its smallest, so
-    no more than ``rows`` of them leave it. Equal rows have equal hashes; any of them do."""
-    told = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
-    return df.orderBy(F.md5(F.concat(F.lit(seed), told).cast("binary"))).limit(rows)
+    and the columns ``by`` as text, or the whole row as JSON, however the table is partitioned.
+    Each task keeps its smallest, so no more than ``rows`` of them leave it. Equal rows have
+    equal hashes; any of them do."""
+    if by:
+        told = F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in by])
+    else:
+        told = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), told).cast("binary"))).limit(rows)
 
 
 def check_tables(
@@ -195,12 +201,13 @@ def check_tables(
     fraction: float | None = None,
     seed: int = 0,
     rows: int | None = None,
+    sample_by: list[str] | None = None,
 ) -> DataFrame:
     """One row per check with its counts and verdict.
 
     A check passes when the good share reaches ``mostly``, or nothing was seen. Whole
     tables are checked; on request a sample instead, against whole parent tables: a random
-    ``fraction``, or exactly ``rows`` rows, the same ones every time.
+    ``fraction``, or exactly ``rows`` rows, the same ones every time (see ``sampled_rows``).
     """
     parts = []
     for name, checks in suite.items():
@@ -208,7 +215,7 @@ def check_tables(
         if fraction is not None:
             seen = {**tables, name: tables[name].sample(fraction=fraction, seed=seed)}
         elif rows is not None:
-            seen = {**tables, name: sampled_rows(tables[name], rows, str(seed))}
+            seen = {**tables, name: sampled_rows(tables[name], rows, str(seed), sample_by)}
         parts.append(check_table(name, checks, seen))
     good = F.col("element_count") - F.col("unexpected_count")
     good_share = good / F.nullif(F.col("element_count"), F.lit(0))

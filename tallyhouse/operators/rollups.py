@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import quotient
+from tallyhouse.operators.key_sets import distinct_counts, key_sets
 from tallyhouse.operators.ranking import top1_per_group
 from tallyhouse.operators.staging import CHANNELS
 
@@ -63,6 +64,31 @@ def monthly_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def daily_keys(sales: DataFrame) -> DataFrame:
+    """Orders and customers of each date and channel, a state that months and years follow
+    from without the lines."""
+    days = sales.withColumnRenamed("sold_date_sk", "date_key")
+    return key_sets(days, ["date_key", "channel"], {"order": "sale_order_id", "customer": "customer_sk"})
+
+
+def monthly_from_days(daily: DataFrame, keys: DataFrame, dates: DataFrame) -> DataFrame:
+    """``monthly_sales`` from daily totals and daily keys, without the lines."""
+    months = ["calendar_year", "month_of_year", "quarter_of_year", "channel"]
+    names = ("units_sold", "gross_sales", "net_sales", "net_profit")
+    calendar = dates.select("date_key", *months[:3])
+    sums = daily.join(calendar, "date_key").groupBy(*months).agg(*[F.sum(n).alias(n) for n in names])
+    kinds = {"order": "order_count", "customer": "unique_customers"}
+    counts = distinct_counts(keys.join(calendar, "date_key"), months, kinds)
+    # A month of lines without orders and customers has no keys; no part of a month is NULL.
+    return sums.join(counts, months, "left").fillna(0, list(kinds.values()))
+
+
+def unique_per_year(keys: DataFrame, dates: DataFrame) -> DataFrame:
+    """Distinct orders and customers per year over all channels, from daily keys."""
+    years = keys.join(dates.select("date_key", "calendar_year"), "date_key")
+    return distinct_counts(years, ["calendar_year"], {"order": "order_count", "customer": "unique_customers"})
+
+
 def monthly_returns(returns: DataFrame, dates: DataFrame) -> DataFrame:
     return (
         daily_returns(returns)

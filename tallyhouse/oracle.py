@@ -1059,6 +1059,84 @@ SELECT 'orders' AS table_name, 'o_orderkey' AS column_name,
   CASE WHEN COUNT(*) > 0 THEN 1 ELSE 0 END AS within, 1 AS success
 FROM orders"""
 
+SQL["monthly_sales_from_days"] = SQL["monthly_sales"]
+SQL["unique_per_year"] = """
+SELECT calendar_year, COUNT(DISTINCT sale_order_id) AS order_count,
+  COUNT(DISTINCT customer_sk) AS unique_customers
+FROM sales JOIN dates ON sold_date_sk = date_key GROUP BY 1"""
+SQL["daily_sales_placed"] = SQL["daily_sales_one_month"]
+SQL["returns_rate_placed"] = SQL["returns_rate_of_big_brands"]
+
+
+def _per_bucket(table: str, rows: str, day: str) -> str:
+    low, high = "(SELECT MIN(sold_date_sk) - 365 FROM sales)", "(SELECT MAX(sold_date_sk) + 365 FROM sales)"
+    bucket = f"""CASE WHEN {day} BETWEEN {low} AND {high} THEN ({day} - {low}) // 365
+  WHEN {day} IS NOT NULL THEN -1 END"""
+    return f"""SELECT '{table}' AS table_name, CAST({bucket} AS INTEGER) AS date_bucket,
+  COUNT(*) AS row_count FROM {rows} GROUP BY 2"""
+
+
+SQL["placed_facts"] = " UNION ALL ".join(
+    [
+        _per_bucket("fact_sales", "sales", "sold_date_sk"),
+        _per_bucket("fact_sales__anomalies", "(SELECT * FROM tagged_sales WHERE _anomaly_reason IS NOT NULL)", "sold_date_sk"),
+        _per_bucket("fact_returns", "returns", "returned_date_sk"),
+    ]
+)
+SQL["failed_load"] = """
+SELECT 'first' AS load, 'loaded' AS outcome, 'first' AS rows_of, COUNT(*) AS row_count FROM customer
+UNION ALL SELECT 'second', 'failed', 'first', COUNT(*) FROM customer"""
+
+
+def _groups(table: str, rows: str, columns: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{columns}' AS columns,
+  CAST(SUM(n) AS BIGINT) AS row_count, COUNT(*) AS exact_groups, 1 AS within
+FROM (SELECT COUNT(*) AS n FROM {rows} GROUP BY {columns.replace(" ", ", ")})"""
+
+
+SQL["column_group_counts"] = " UNION ALL ".join(
+    [
+        _groups("fact_sales", "sales", "channel sold_date_sk"),
+        _groups("fact_sales", "sales", "item_sk sold_date_sk"),
+        _groups("fact_returns", "returns", "item_sk return_order_id"),
+        _groups("dim_date", "dates", "calendar_year month_of_year"),
+        _groups("mart_sales_performance", "mart_sales_performance", "calendar_year month_of_year"),
+    ]
+)
+SQL["analyzed_columns"] = " UNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
+  COUNT(*) - COUNT({column}) AS nulls, CAST(MIN({column}) AS VARCHAR) AS low,
+  CAST(MAX({column}) AS VARCHAR) AS high FROM {rows}"""
+    for table, rows, columns in (
+        ("fact_sales", "sales", "item_sk customer_sk sold_date_sk store_sk"),
+        ("dim_item", "items", "item_key is_current"),
+    )
+    for column in columns.split()
+)
+
+
+def _thousand(column: str, kind: str, seen: str, bad: str) -> str:
+    rows = "(SELECT * FROM orders ORDER BY md5('7|' || o_orderkey) LIMIT 1000)"
+    return f"""SELECT 'orders' AS table_name, '{column}' AS column_name, '{kind}' AS expectation,
+  COUNT(*) FILTER (WHERE {seen}) AS element_count, COUNT(*) FILTER (WHERE {bad}) AS unexpected_count,
+  CASE WHEN COUNT(*) FILTER (WHERE {bad}) = 0 THEN 1 ELSE 0 END AS success
+FROM (SELECT *, COUNT(*) OVER (PARTITION BY o_orderkey) AS same_order,
+  COUNT(*) OVER (PARTITION BY o_custkey) AS same_customer FROM {rows})"""
+
+
+SQL["dq_sample_rows"] = " UNION ALL ".join(
+    [
+        _thousand("o_orderkey", "unique", "o_orderkey IS NOT NULL", "same_order > 1"),
+        _thousand("o_custkey", "unique", "o_custkey IS NOT NULL", "o_custkey IS NOT NULL AND same_customer > 1"),
+        _thousand("o_totalprice", "between", "o_totalprice IS NOT NULL", "o_totalprice > 150000"),
+        _thousand("o_orderstatus", "in_set", "o_orderstatus IS NOT NULL", "o_orderstatus <> 'F'"),
+        _thousand(
+            "o_custkey", "references", "o_custkey IS NOT NULL",
+            "o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)",
+        ),
+    ]
+)
+
 
 def _needed(text: str) -> list[str]:
     """The parts ``text`` mentions, with the parts those mention, in defined order."""

@@ -59,13 +59,14 @@ def part_sketches(df: DataFrame, table: str, groups: list[str], part: str | None
 
 def estimates(state: DataFrame) -> DataFrame:
     """Per table and column group: rows, estimated groups, rows of the largest group, and its
-    skew, how many times the mean group it is. Sketches of all parts are merged."""
+    skew, how many times the mean group it is; both NULL where groups are so many and so alike
+    that none stands out. Sketches of all parts are merged."""
     merged = state.groupBy("table_name", "columns").agg(
         F.sum("row_count").alias("row_count"),
         F.hll_sketch_estimate(F.hll_union_agg("groups")).alias("group_count"),
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(common, {TRACKED}), 1)")[0]["count"].alias(
-            "largest_rows"
-        ),
+        F.get(F.expr(f"approx_top_k_estimate(approx_top_k_combine(common, {TRACKED}), 1)"), F.lit(0))[
+            "count"
+        ].alias("largest_rows"),
     )
     mean = F.col("row_count") / F.nullif(F.col("group_count"), F.lit(0))
     return merged.withColumn("skew", F.round(F.col("largest_rows") / mean, 2))

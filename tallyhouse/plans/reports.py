@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import reduce
+from threading import Timer
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import quotient
 from tallyhouse.operators.ranking import with_position
+from tallyhouse.sources.tables import each
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
 
@@ -46,20 +49,37 @@ def dq_latest(dq_result: DataFrame, suite: str | None = None) -> DataFrame:
     ).orderBy("success", "suite", "table_name", "expectation")
 
 
-def layer_counts(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Row count per table, all in one plan; a table that cannot be resolved gives its error."""
-    parts = []
-    for name, load in tables.items():
+def layer_counts(
+    spark: SparkSession,
+    tables: dict[str, Callable[[], DataFrame]],
+    at_once: int = 4,
+    seconds: float | None = None,
+) -> DataFrame:
+    """Row count per table, or NULL and the error of one that cannot be counted.
+
+    Each table is a job group of its own, several at once: a missing table, a lost file or a
+    count that takes more than ``seconds`` fails its row alone.
+    """
+    context, run = spark.sparkContext, uuid.uuid4().hex[:8]
+
+    def counted(name: str) -> tuple[int | None, str | None]:
+        group = f"layer-counts-{run}-{name}"
+        context.setJobGroup(group, f"rows of {name}", interruptOnCancel=True)
+        late = Timer(seconds, context.cancelJobGroup, [group]) if seconds else None
         try:
-            rows, count, error = load(), F.count(F.lit(1)), F.lit(None)
-        except AnalysisException as missing:
-            rows, count, error = spark.range(1), F.first(F.lit(None)), F.lit(str(missing))
-        parts.append(
-            rows.agg(count.cast("bigint").alias("row_count")).select(
-                F.lit(name).alias("table_name"), "row_count", error.cast("string").alias("error")
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+            if late:
+                late.start()
+            return tables[name]().agg(F.count(F.lit(1))).first()[0], None
+        except (PySparkException, Py4JError) as error:
+            return None, str(error)
+        finally:
+            if late:
+                late.cancel()
+            context.setLocalProperty("spark.jobGroup.id", None)
+
+    found = each(counted, tables, at_once)
+    rows = [(name, *told) for name, told in found.items()]
+    return spark.createDataFrame(rows, "table_name string, row_count bigint, error string")
 
 
 def sales_summary(sales_performance: DataFrame) -> DataFrame:

@@ -10,12 +10,17 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
+from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.functions.expressions import date_bucket
 from tallyhouse.operators import anomalies, quality, ranking, rollups
+from tallyhouse.operators.dimensions import with_date_bucket
 from tallyhouse.operators.quality import between, in_set, not_null, references, unique
 from tallyhouse.operators.staging import (
     CHANNELS,
@@ -24,13 +29,28 @@ from tallyhouse.operators.staging import (
     stage_returns,
     stage_sales,
 )
-from tallyhouse.plans import benchmark_queries, marts, reports, silver, suites, tuning
+from tallyhouse.plans import (
+    benchmark_queries,
+    column_groups,
+    marts,
+    placement,
+    reports,
+    silver,
+    suites,
+    tuning,
+)
 from tallyhouse.plans.full_run import WarehouseRun, run_warehouse
 from tallyhouse.session import settle, shared_dir
 from tallyhouse.sources import runlog, seeds
 from tallyhouse.sources.adapter import DriverTables
 from tallyhouse.sources.delimited import load_all, write_raw
-from tallyhouse.sources.tables import Layers, ensure_layout, remove_table, write_full
+from tallyhouse.sources.tables import (
+    Layers,
+    delete_folder,
+    ensure_layout,
+    remove_table,
+    write_full,
+)
 
 Query = Callable[[DriverTables], DataFrame]
 
@@ -208,6 +228,22 @@ def monthly_sales(d: DriverTables) -> DataFrame:
     return rollups.monthly_sales(d.sales, d.dates)
 
 
+def _daily_keys(d: DriverTables) -> DataFrame:
+    return settle(rollups.daily_keys(d.sales))
+
+
+@query
+def monthly_sales_from_days(d: DriverTables) -> DataFrame:
+    """Month totals and distinct counts from daily totals and one daily state of keys."""
+    return rollups.monthly_from_days(rollups.daily_sales(d.sales), _daily_keys(d), d.dates)
+
+
+@query
+def unique_per_year(d: DriverTables) -> DataFrame:
+    """Distinct orders and customers of each year, all channels, from the daily state."""
+    return rollups.unique_per_year(_daily_keys(d), d.dates)
+
+
 @query
 def monthly_returns(d: DriverTables) -> DataFrame:
     return rollups.monthly_returns(d.returns, d.dates)
@@ -545,6 +581,21 @@ def dq_sample(d: DriverTables) -> DataFrame:
     return checked.select("table_name", "column_name", within.alias("within"), "success")
 
 
+@query
+def dq_sample_rows(d: DriverTables) -> DataFrame:
+    """Checks over exactly 1,000 orders, the same ones in any engine that has MD5."""
+    orders = d.table("orders")
+    suite = {
+        "orders": unique("o_orderkey", "o_custkey")
+        + between("o_totalprice", None, 150000)
+        + in_set("o_orderstatus", "F")
+        + references("o_custkey", "customer", "c_custkey")
+    }
+    tables = {"orders": orders, "customer": d.table("customer").where("c_custkey % 2 = 0")}
+    checked = quality.check_tables(suite, tables, seed=7, rows=1000, sample_by=["o_orderkey"])
+    return checked.drop("mostly")
+
+
 @query
 def quintile_with_nulls(d: DriverTables) -> DataFrame:
     """Quintiles of fine doubles and of dates, both with NULLs."""
@@ -677,6 +728,117 @@ def hashed_join(d: DriverTables) -> DataFrame:
         return settle(joined.groupBy("channel").agg(F.count("*").alias("pairs"), units))
 
 
+def _placed(d: DriverTables, layers: Layers, times: int) -> dict[str, DataFrame]:
+    """Facts, calendar and items as the build stores them, after so many builds."""
+    bounds = placement.bucket_bounds(d.sales)
+    tagged = {"fact_sales": d.tagged_sales, "fact_returns": d.tagged_returns}
+    write_full(with_date_bucket(d.dates, *bounds, placement.BUCKET_DAYS), f"{layers.silver}.dim_date")
+    write_full(d.items, f"{layers.silver}.dim_item")
+    buckets = placement.bucket_count(d.table("lineitem").count())
+    for _ in range(times):
+        placement.store_facts(d.spark, layers, tagged, bounds, buckets)
+    names = ["fact_sales", "fact_returns", "fact_sales__anomalies", "dim_date", "dim_item"]
+    return {name: d.spark.table(f"{layers.silver}.{name}") for name in names}
+
+
+@query
+def placed_facts(d: DriverTables) -> DataFrame:
+    """Lines per date bucket of the stored facts after a second build."""
+    with own_layers(d.spark) as layers:
+        stored = _placed(d, layers, 2)
+        counts = [
+            stored[name].groupBy("date_bucket").count().select(F.lit(name).alias("table_name"), "*")
+            for name in ("fact_sales", "fact_sales__anomalies", "fact_returns")
+        ]
+        return settle(reduce(DataFrame.unionByName, counts).withColumnRenamed("count", "row_count"))
+
+
+@query
+def daily_sales_placed(d: DriverTables) -> DataFrame:
+    """The one-month query over the facts as the build stores them."""
+    with own_layers(d.spark) as layers:
+        stored = _placed(d, layers, 1)
+        return settle(
+            benchmark_queries.daily_sales_of_month(stored["fact_sales"], stored["dim_date"], 2001, 1)
+        )
+
+
+@query
+def returns_rate_placed(d: DriverTables) -> DataFrame:
+    """Returns per brand over the facts as the build stores them, hashed by item and order."""
+    with own_layers(d.spark) as layers:
+        stored = _placed(d, layers, 1)
+        facts = (stored[name] for name in ("fact_sales", "fact_returns", "dim_item"))
+        return settle(benchmark_queries.returns_rate_by_brand(*facts, 30000))
+
+
+@query
+def failed_load(d: DriverTables) -> DataFrame:
+    """Rows of a raw table after a load, and after a second load that fails in the middle."""
+    folder = f"{shared_dir(d.spark)}/raw-{uuid.uuid4().hex[:8]}"
+    with own_layers(d.spark) as layers:
+        table, counts = f"{layers.bronze}.customer", []
+        for batch, spoilt in (("first", False), ("second", True)):
+            customers = d.customer().withColumn(
+                "c_birth_year", F.lit("MCMXC") if spoilt else F.col("c_birth_year")
+            )
+            write_raw(customers, f"{folder}/{batch}/customer.dat", "customer")
+            try:
+                load_all(d.spark, f"{folder}/{batch}", batch, layers, include={"customer"})
+                outcome = "loaded"
+            except (PySparkException, Py4JError):
+                outcome = "failed"
+            rows = d.spark.table(table).groupBy(F.col("_batch_id").alias("rows_of")).count()
+            counts.append(settle(rows.select(F.lit(batch).alias("load"), F.lit(outcome).alias("outcome"), "*")))
+        delete_folder(d.spark, folder)
+        return reduce(DataFrame.unionByName, counts).withColumnRenamed("count", "row_count")
+
+
+@query
+def column_group_counts(d: DriverTables) -> DataFrame:
+    """Rows and exact groups of each column group, and whether the estimate from the sketches
+    of all parts lies within 3 % of them."""
+    bounds = placement.bucket_bounds(d.sales)
+
+    def dated(df: DataFrame, day: str) -> DataFrame:
+        return df.withColumn("date_bucket", date_bucket(day, *map(F.lit, bounds)))
+
+    tables = {
+        "fact_sales": dated(d.sales, "sold_date_sk"),
+        "fact_returns": dated(d.returns, "returned_date_sk"),
+        "dim_date": d.dates,
+        "mart_sales_performance": mart_sales_performance(d),
+    }
+    with own_layers(d.spark) as layers:
+        column_groups.refresh(d.spark, layers, tables)
+        told = settle(column_groups.estimates(d.spark.table(layers.column_groups)))
+    exact = [
+        df.groupBy(*group.split()).count().agg(F.count("*").alias("exact_groups")).select(
+            F.lit(name).alias("table_name"), F.lit(group).alias("columns"), "exact_groups"
+        )
+        for name, df in tables.items()
+        for group in column_groups.COLUMN_GROUPS[name]
+    ]
+    near = F.abs(F.col("group_count") - F.col("exact_groups")) <= 0.03 * F.col("exact_groups")
+    return told.join(reduce(DataFrame.unionByName, exact), ["table_name", "columns"]).select(
+        "table_name", "columns", "row_count", "exact_groups", F.when(near, 1).otherwise(0).alias("within")
+    )
+
+
+@query
+def analyzed_columns(d: DriverTables) -> DataFrame:
+    """What the catalog holds on analyzed columns of a stored fact and a dimension."""
+    wanted = {"fact_sales": "item_sk customer_sk sold_date_sk store_sk", "dim_item": "item_key is_current"}
+    with own_layers(d.spark) as layers:
+        told = []
+        for name, df in {"fact_sales": d.sales, "dim_item": d.items}.items():
+            write_full(df, f"{layers.silver}.{name}")
+            tuning.analyze(d.spark, f"{layers.silver}.{name}", wanted[name])
+            known = column_groups.column_statistics(d.spark, f"{layers.silver}.{name}", wanted[name].split())
+            told.append(known.select(F.lit(name).alias("table_name"), "*"))
+        return settle(reduce(DataFrame.unionByName, told).drop("distincts"))
+
+
 @query
 def timed_queries(d: DriverTables) -> DataFrame:
     """The timing log of the benchmark queries, two iterations each."""

@@ -77,3 +77,27 @@ def test_limits(spark, limit):
         "started_at timestamp, duration_sec decimal(10,2), tool string",
     )
     assert [r.step for r in reports.recent_runs(log, limit).collect()] == ["z", "y"][:limit]
+
+
+def test_a_table_that_cannot_be_counted_fails_alone(spark, tmp_path):
+    """A file that is lost after planning, a missing table and a count that takes too long."""
+    for name in ("lost", "good"):
+        spark.range(7).repartition(1).write.parquet(str(tmp_path / name))
+    lost = spark.read.parquet(str(tmp_path / "lost"))
+    for file in (tmp_path / "lost").glob("*.parquet"):
+        file.unlink()
+    slow = spark.range(2).repartition(1).selectExpr("id", "java_method('java.lang.Thread', 'sleep', 60000L) AS z")
+    tables = {
+        "lost": lambda: lost.where("id > 3"),
+        "good": lambda: spark.read.parquet(str(tmp_path / "good")),
+        "missing": lambda: spark.table("no_such_table"),
+        "slow": lambda: slow.where("z IS NULL"),
+        "empty": lambda: spark.range(0),
+    }
+    rows = {r.table_name: r for r in reports.layer_counts(spark, tables, seconds=5).collect()}
+    assert {name: r.row_count for name, r in rows.items()} == {
+        "lost": None, "good": 7, "missing": None, "slow": None, "empty": 0,
+    }
+    assert "FILE" in rows["lost"].error and "no_such_table" in rows["missing"].error
+    assert "cancelled" in rows["slow"].error
+    assert rows["good"].error is None and spark.range(3).count() == 3
