@@ -16,7 +16,7 @@ from tallyhouse.plans.tuning import collect_statistics
 from tallyhouse.sources.runlog import RunLog
 from tallyhouse.plans.silver import silver_frames, tagged_returns, tagged_sales
 from tallyhouse.plans.suites import BUILD_TESTS, EXPECTATIONS, Suite
-from tallyhouse.session import settle
+from tallyhouse.session import keep_compiled, settle
 from tallyhouse.sources.delimited import load_all
 from tallyhouse.sources.seeds import dim_channel
 from tallyhouse.sources.tables import (
@@ -45,7 +45,7 @@ class WarehouseRun:
         batch_id: str | None = None,
         stop_on_failure: bool = True,
     ):
-        self.spark = spark
+        self.spark = keep_compiled(spark)
         self.layers = layers
         self.batch_id = batch_id or f"run-{uuid.uuid4().hex[:8]}"
         self.stop_on_failure = stop_on_failure

@@ -7,6 +7,22 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Fixed value: the engine's setting, and the bytecode size beyond which the JVM does not compile.
+COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def keep_compiled(spark: SparkSession) -> SparkSession:
+    """Let no generated method grow beyond what the JVM compiles.
+
+    Rows of some 40 derived columns make one method that is larger by default and is then
+    interpreted, several times slower than the same columns computed apart. A limit that the
+    session has set itself stays.
+    """
+    if spark.conf.get(COMPILED[0]) == "65535":
+        spark.conf.set(*COMPILED)
+    return spark
+
+
 def local_session(name: str, cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     settings = {

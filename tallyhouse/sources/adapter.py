@@ -32,7 +32,7 @@ from tallyhouse.operators.staging import (
     SALE_SOURCES,
     raw_names,
 )
-from tallyhouse.session import settle
+from tallyhouse.session import keep_compiled, settle
 from tallyhouse.sources.delimited import write_raw
 from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.schemas import SCHEMAS, field_type
@@ -109,7 +109,7 @@ class DriverTables:
     """Bronze, silver and dimension frames over one folder of driver tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = keep_compiled(spark)
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:

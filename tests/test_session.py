@@ -33,3 +33,12 @@ def test_settled_rows_are_read_from_the_shared_folder(spark):
     df = settle(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.agg({"twice": "sum"}).first()[0] == 90
+
+
+def test_generated_methods_stay_compiled(spark, conf):
+    from tallyhouse.session import COMPILED, keep_compiled
+
+    with conf(**{COMPILED[0].replace(".", "__"): "65535"}):
+        assert keep_compiled(spark).conf.get(COMPILED[0]) == "8000"
+        spark.conf.set(COMPILED[0], "20000")
+        assert keep_compiled(spark).conf.get(COMPILED[0]) == "20000"
