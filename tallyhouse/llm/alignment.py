@@ -46,7 +46,8 @@ from tallyhouse.session import settle
 
 SLICE = 16_000_000  # bytes of text
 SLICE_DOCS = 8192
-REMEMBERED = 300_000  # chunks and windows a worker remembers
+REMEMBERED = 500_000  # chunks and windows a worker remembers
+NUMBERED = 2_000_000  # pairs a worker keeps numbers for from task to task
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 # Blanks beside a space; fixed values: white space beyond ASCII starts with one of these.
 _BESIDE = re.compile(rb"[\t-\r\x1c- ] | [\t-\r\x1c- ]")
@@ -350,8 +351,9 @@ def align(
 
     def sliced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chunks, windows = _tables(a_path, b_path)
-        windows.pairs.clear()
-        windows.known.clear()
+        if len(windows.pairs) > NUMBERED:  # else what earlier tasks learnt goes on
+            windows.pairs.clear()
+            windows.known.clear()
         task, made = TaskContext.get().partitionId(), 0
         one = Slice(task << 32, windows, digest)
         for frame in frames:
