@@ -32,7 +32,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from struct import pack
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -233,24 +233,25 @@ class Windows:
         return lengths, np.array([token[:1] == b" " for token in spelt])
 
     def learn(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        """Groups as text and the numbers of the linked pairs, packed. Both sides are walked
-        together; the side that is behind takes its next token."""
-        a, b = (memoryview(ids).cast("I").tolist() for ids in key)
-        (lengths_a, lengths_b), named = self.lengths, self.named
-        groups, numbers, i, j, from_a, from_b, end_a, end_b = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b and i < len(a):
-                end_a += lengths_a[a[i]]
-                i += 1
-            else:
-                end_b += lengths_b[b[j]]
-                j += 1
-            if end_a == end_b:
-                ours = ",".join([named[token] for token in a[from_a:i]])
-                groups.append(f"{ours}|{','.join([named[token] for token in b[from_b:j]])}")
-                numbers.append(self.pairs.setdefault(a[i - 1] << 32 | b[j - 1], len(self.pairs)))
-                from_a, from_b = i, j
-        return ";".join(groups), pack(f"<{len(numbers)}i", *numbers)
+        """Groups as text and the numbers of the linked pairs, packed."""
+        (lengths_a, lengths_b), named, pairs = self.lengths, self.named, self.pairs
+        a, b = memoryview(key[0]).cast("I").tolist(), memoryview(key[1]).cast("I").tolist()
+        if len(a) == 1 or len(b) == 1:  # the ends of the window are the only ones
+            number = pairs.setdefault(a[-1] << 32 | b[-1], len(pairs))
+            ours, theirs = ",".join([named[i] for i in a]), ",".join([named[i] for i in b])
+            return f"{ours}|{theirs}", number.to_bytes(4, "little")
+        behind = dict(zip(accumulate([lengths_a[i] for i in a]), range(1, len(a) + 1)))
+        groups, numbers, from_a, from_b = [], [], 0, 0
+        for to_b, end in enumerate(accumulate([lengths_b[i] for i in b]), 1):
+            to_a = behind.get(end)
+            if to_a:
+                ours = ",".join([named[i] for i in a[from_a:to_a]])
+                theirs = ",".join([named[i] for i in b[from_b:to_b]])
+                groups.append(f"{ours}|{theirs}")
+                number = pairs.setdefault(a[to_a - 1] << 32 | b[to_b - 1], len(pairs))
+                numbers.append(number.to_bytes(4, "little"))
+                from_a, from_b = to_a, to_b
+        return ";".join(groups), b"".join(numbers)
 
     def align(self, raw_a: bytes, raw_b: bytes) -> tuple[str, np.ndarray]:
         """Groups of a document as text, and the numbers of the pairs it links."""
