@@ -628,17 +628,22 @@ def own_layers(spark: SparkSession) -> Iterator[Layers]:
                 spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-def _raw_folder(d: DriverTables) -> str:
-    folder = f"{shared_dir(d.spark)}/raw-{uuid.uuid4().hex[:8]}"
-    d.write_raw_files(folder)
-    return folder
+@contextmanager
+def raw_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for raw files in the shared folder, removed with them at the end."""
+    folder = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex[:8]}"
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
 
 
 @query
 def bronze_from_files(d: DriverTables) -> DataFrame:
     """Rows per table after a load of all raw files."""
-    with own_layers(d.spark) as layers:
-        loaded = load_all(d.spark, _raw_folder(d), "driver", layers)
+    with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
+        d.write_raw_files(folder)
+        loaded = load_all(d.spark, folder, "driver", layers)
         tables = {name: d.spark.table(f"{layers.bronze}.{name}") for name in loaded}
         return settle(rollups.row_counts(tables))
 
@@ -646,9 +651,8 @@ def bronze_from_files(d: DriverTables) -> DataFrame:
 @query
 def customer_from_file(d: DriverTables) -> DataFrame:
     """Values of one table loaded from its file: quotes, separators, padding, empty fields."""
-    folder = f"{shared_dir(d.spark)}/raw-{uuid.uuid4().hex[:8]}"
-    write_raw(d.customer(), f"{folder}/customer.dat", "customer")
-    with own_layers(d.spark) as layers:
+    with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
+        write_raw(d.customer(), f"{folder}/customer.dat", "customer")
         load_all(d.spark, folder, "driver", layers, include={"customer"})
         names = "customer_sk customer_id first_name last_name preferred_cust_flag birth_year"
         loaded = d.spark.table(f"{layers.bronze}.customer")
@@ -661,8 +665,9 @@ def full_run_steps(d: DriverTables) -> DataFrame:
 
     The data is dirty on purpose, so the gates are logged but do not stop the run.
     """
-    with own_layers(d.spark) as layers:
-        run_warehouse(d.spark, layers, _raw_folder(d), batch_id="driver", stop_on_failure=False)
+    with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
+        d.write_raw_files(folder)
+        run_warehouse(d.spark, layers, folder, batch_id="driver", stop_on_failure=False)
         state = runlog.run_log_state(d.spark.table(layers.run_log))
         return settle(state.select("batch_id", "layer", "step", "status", "rows_in", "rows_out"))
 
@@ -775,8 +780,7 @@ def returns_rate_placed(d: DriverTables) -> DataFrame:
 @query
 def failed_load(d: DriverTables) -> DataFrame:
     """Rows of a raw table after a load, and after a second load that fails in the middle."""
-    folder = f"{shared_dir(d.spark)}/raw-{uuid.uuid4().hex[:8]}"
-    with own_layers(d.spark) as layers:
+    with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
         table, counts = f"{layers.bronze}.customer", []
         for batch, spoilt in (("first", False), ("second", True)):
             customers = d.customer().withColumn(
@@ -790,7 +794,6 @@ def failed_load(d: DriverTables) -> DataFrame:
                 outcome = "failed"
             rows = d.spark.table(table).groupBy(F.col("_batch_id").alias("rows_of")).count()
             counts.append(settle(rows.select(F.lit(batch).alias("load"), F.lit(outcome).alias("outcome"), "*")))
-        delete_folder(d.spark, folder)
         return reduce(DataFrame.unionByName, counts).withColumnRenamed("count", "row_count")
 
 
