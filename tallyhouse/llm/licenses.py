@@ -2,9 +2,11 @@
 
 Text and templates are normalised to lower-case words of letters and digits. A document's
 sentences (cut at line ends and after ``. ; ! ?`` before white space) are units; every run of
-consecutive units, and then every run of words that these leave free, is compared with every template whose size allows it: with a threshold
-``t`` the sets' sizes may differ by a factor of ``(2 - t) / t`` at most, which bounds the
-runs that are looked at. Of the runs at or over the threshold those stay, as long as they do
+consecutive units, and then every run of words that these leave free, is compared with every
+template whose size allows it: with a threshold ``t`` the sets' sizes may differ by a factor of
+``(2 - t) / t`` at most, which bounds the runs that are looked at. A run may say things twice, but
+has at most twice the words that this factor allows: a notice repeated any number of times is
+that many matches, and the work grows with the text. Of the runs at or over the threshold those stay, as long as they do
 not overlap, whose shared bigrams outnumber their others by most, then those with the highest
 coefficient, so that a text is not named by the part that it has in common with another. A
 run of words inside sentences must hold its template's numbers as well.
@@ -13,8 +15,10 @@ A run that reaches the threshold shares at least ``t / (2 - t)`` of a template's
 holds one of any larger share of them: documents without such a bigram of any template are
 passed over by a test that misses none.
 
-Defined cases: null and empty texts have no match; a null id is kept; repeated rows are
-scanned each; no documents give no rows.
+Defined cases: null and empty texts have no match; very long ones are scanned whole, in one task,
+in time that grows with their words; a null id is kept; repeated rows are scanned each; ties go
+to the longer run, then to the earlier, then to the template named first; no documents give no
+rows; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import accumulate
 
 import pandas as pd
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import column
 
 LEAST = 0.8
+REPEATS = 2  # a run has at most so many times the words that its template's size allows
 SHAPE = "array<struct<license: string, dice: double, start: int, end: int>>"
 _WORD = re.compile(r"[^\W_]+")
 _UNIT = re.compile(r"(?:[^\n.;!?]|[.;!?](?!\s|$))+[.;!?]*")
@@ -292,6 +298,7 @@ class Scanner:
         self.least = least
         self.share = least / (2 - least)
         self.templates = [(name, bigrams(words(text))) for name, text in templates]
+        self.longest = [int(REPEATS * len(words(text)) / self.share) for _, text in templates]
         self.numbers = [
             {word for pair in of for word in pair if not word.isalpha()} for _, of in self.templates
         ]
@@ -322,24 +329,52 @@ class Scanner:
             if len({pairs[i] for i in at}) >= self.share * len(self.templates[number][1]) - 1e-9
         }
 
-    def _runs(self, number: int, pairs: list, begins: list[int], ends: list[int], free: list[bool]):
-        """Runs of words over the threshold that begin and end at the given places: the shared
-        bigrams less the others, the coefficient, the places, and the template."""
+    def _best(self, number: int, pairs: list, some: list[str], begin: int, ends: list[int], free: list[bool], whole: bool):
+        """The best run of free words over the threshold from a place to one of the given ends: less
+        what it gains (the shared bigrams less the others), less the coefficient, less its words,
+        the places, and the template. ``whole``: it holds the template's numbers."""
         of = self.templates[number][1]
-        for begin in begins:
-            held: set[tuple[str, str]] = set()
-            shared, at = 0, begin
-            for end in ends[bisect_left(ends, begin + 2) :]:
-                for i in range(at, end - 1):
-                    if pairs[i] not in held:
-                        held.add(pairs[i])
-                        shared += pairs[i] in of
-                if len(held) > len(of) / self.share + 1e-9 or not all(free[at:end]):
-                    break
-                at = end - 1
-                score = 2 * shared / (len(held) + len(of))
-                if score >= self.least:
-                    yield 2 * shared - len(held), score, begin, end, number
+        missing = set(self.numbers[number]) if whole else set()
+        held: set[tuple[str, str]] = set()
+        shared, at, best = 0, begin, None
+        for place in range(bisect_left(ends, begin + 2), len(ends)):
+            end = ends[place]
+            if end - begin > self.longest[number] or not all(free[at:end]):
+                break
+            for i in range(at, end - 1):
+                if pairs[i] not in held:
+                    held.add(pairs[i])
+                    shared += pairs[i] in of
+            if len(held) > len(of) / self.share + 1e-9:
+                break
+            if missing:
+                missing.difference_update(some[at:end])
+            at = end - 1
+            score = 2 * shared / (len(held) + len(of))
+            if score >= self.least and not missing:
+                run = (len(held) - 2 * shared, -score, begin - end, begin, end, number)
+                best = min(best, run) if best else run
+        return best
+
+    def _settled(self, places: dict[int, tuple], pairs: list, some: list[str], free: list[bool], whole: bool):
+        """The runs that stay, as coefficient, places and license, in their order; their words are
+        no longer free. ``places``: begins and ends by template. A begin whose best run has been
+        overlapped comes again with the best of what is left to it, which is never better."""
+
+        def best(number: int, begin: int):
+            return self._best(number, pairs, some, begin, places[number][1], free, whole)
+
+        waiting = [run for number, (begins, _) in places.items() for b in begins if (run := best(number, b))]
+        heapify(waiting)
+        kept = []
+        while waiting:
+            _, score, _, begin, end, number = heappop(waiting)
+            if all(free[begin:end]):
+                kept.append((-score, begin, end, self.templates[number][0]))
+                free[begin:end] = [False] * (end - begin)
+            elif free[begin] and (run := best(number, begin)):
+                heappush(waiting, run)
+        return sorted(kept, key=lambda m: m[1])
 
     def scan(self, text: str) -> list[dict]:
         if not self.hopeful(words(text)):
@@ -351,17 +386,15 @@ class Scanner:
         firsts = [0, *accumulate(len(more) for _, _, more in units)]
         pairs = list(zip(some, some[1:], strict=False))
         free = [True] * len(some)
-        found = []
+        places = {}
         for number, hits in self._hits(pairs, free).items():
             # A run does better without a unit at its end that adds no bigram of the template.
             begins = [firsts[i] for i in sorted({unit[at] for at in hits})]
-            ends = [firsts[i + 1] for i in sorted({unit[at + 1] for at in hits})]
-            found += self._runs(number, pairs, begins, ends, free)
+            places[number] = begins, [firsts[i + 1] for i in sorted({unit[at + 1] for at in hits})]
         matches = []
-        for score, begin, end, name in self._settled(found):
+        for score, begin, end, name in self._settled(places, pairs, some, free, False):
             start, stop = units[unit[begin]][0], units[unit[end - 1]][1]
             matches.append({"license": name, "dice": score, "start": start, "end": stop})
-            free[begin:end] = [False] * (end - begin)
         inside = self._inside(some, pairs, free)
         if inside:
             at = [m.span() for m in _WORD.finditer(text) for _ in words(m.group())]
@@ -372,20 +405,9 @@ class Scanner:
     def _inside(self, some: list[str], pairs: list[tuple[str, str]], free: list[bool]) -> list[tuple]:
         """Runs of any free words, that hold their template's numbers: a license of another
         version differs by little else, and a run could leave that out."""
-        found = []
-        for number, hits in self._hits(pairs, free).items():
-            # A run does better without a word at its end that is in no bigram of the template.
-            runs = self._runs(number, pairs, hits, [at + 2 for at in hits], free)
-            found += [run for run in runs if self.numbers[number] <= set(some[run[2] : run[3]])]
-        return self._settled(found)
-
-    def _settled(self, found: list[tuple]) -> list[tuple]:
-        """The runs that stay, as coefficient, places and license, in their order."""
-        kept: list[tuple] = []
-        for gain, score, begin, end, number in sorted(found, key=lambda m: (-m[0], -m[1], m[2] - m[3], m[2:])):
-            if all(begin >= e or end <= b for _, b, e, _ in kept):
-                kept.append((score, begin, end, self.templates[number][0]))
-        return sorted(kept, key=lambda m: m[1])
+        # A run does better without a word at its end that is in no bigram of the template.
+        places = {n: (hits, [at + 2 for at in hits]) for n, hits in self._hits(pairs, free).items()}
+        return self._settled(places, pairs, some, free, True)
 
 
 def scan(

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tallyhouse.llm import licenses
@@ -145,3 +147,56 @@ def test_a_text_on_one_line_without_marks():
     text = " ".join([f"a{i}" for i in range(300)] + some + [f"z{i}" for i in range(300)])
     (match,) = licenses.Scanner().scan(text)
     assert match["license"] == "MIT" and text[match["start"] : match["end"]] == " ".join(some)
+
+
+@pytest.mark.parametrize(
+    "notice, times",
+    [
+        ("Licensed under the MIT License.\n", 4000),
+        ("SPDX-License-Identifier: MIT\n", 5000),
+        (MIT + "\n", 120),
+        ("This package is licensed under the MIT License and ", 2500),
+        ("Licensed under the MIT License ", 4000),
+    ],
+)
+def test_a_notice_repeated_is_as_many_matches_in_time_that_grows_with_the_text(notice, times):
+    scanner = licenses.Scanner()
+    start = time.process_time()
+    matches = scanner.scan(notice * times)
+    assert time.process_time() - start < 5
+    (alone,) = scanner.scan(notice)
+    # A unit ends with its blanks, a run inside one with its last word.
+    assert [(m["license"], m["dice"], m["start"]) for m in matches] == [
+        (alone["license"], alone["dice"], alone["start"] + i * len(notice)) for i in range(times)
+    ]
+    length = alone["end"] - alone["start"]
+    assert {m["end"] - m["start"] for m in matches} <= {length, length - 1}
+
+
+def greedy(scanner, text):
+    """All runs of units over the threshold, the best first, that overlap none before them."""
+    units = [m for m in licenses._UNIT.finditer(text) if licenses.words(m.group())]
+    runs = []
+    for i in range(len(units)):
+        for j in range(i, len(units)):
+            some = licenses.words(text[units[i].start() : units[j].end()])
+            held = licenses.bigrams(some)
+            for number, (name, of) in enumerate(scanner.templates):
+                if (score := licenses.dice(held, of)) >= scanner.least:
+                    gain = 2 * len(held & of) - len(held)
+                    runs.append((-gain, -score, -len(some), i, j, number, name))
+    kept = []
+    for _, score, _, i, j, _, name in sorted(runs):
+        if all(j < a or i > b for _, _, a, b in kept):
+            kept.append((name, pytest.approx(-score), i, j))
+    return [(n, s, units[i].start(), units[j].end()) for n, s, i, j in sorted(kept, key=lambda k: k[2])]
+
+
+def test_repeats_equal_brute_force():
+    scanner = licenses.Scanner()
+    mit = "Licensed under the MIT License.\n"
+    gpl = "This work is licensed under the GNU General Public License, version 2.\n"
+    apache = "Licensed under the Apache License, version 2.0\n"
+    for text in (mit * 5, mit + gpl * 2 + mit, (mit + apache) * 3, "one\n" + apache * 2 + "two\n" + mit, (gpl + "x y z\n") * 3):
+        found = [(m["license"], m["dice"], m["start"], m["end"]) for m in scanner.scan(text)]
+        assert found == greedy(scanner, text)
