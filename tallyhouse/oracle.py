@@ -944,6 +944,11 @@ SELECT CAST(c_custkey AS INTEGER) AS c_customer_sk,
   CAST(1940 + c_custkey % 60 AS INTEGER) AS c_birth_year
 FROM customer"""
 
+SQL["quoted_breaks_from_file"] = """
+SELECT CAST(doc_id AS INTEGER) AS r_reason_sk, source AS r_reason_id,
+  NULLIF(rtrim(text, ' '), '') AS r_reason_desc
+FROM documents"""
+
 
 def full_run_sql() -> str:
     """The run's steps: rows loaded and built, and whether each suite passes."""

@@ -659,6 +659,17 @@ def customer_from_file(d: DriverTables) -> DataFrame:
         return settle(loaded.select(*[f"c_{name}" for name in names.split()]))
 
 
+@query
+def quoted_breaks_from_file(d: DriverTables) -> DataFrame:
+    """Texts with line breaks, quotes and separators in them, loaded from a raw file."""
+    texts = d.spark.read.parquet(f"{d.folder}/documents.parquet")
+    reasons = texts.selectExpr("cast(doc_id as int) r_reason_sk", "source r_reason_id", "text r_reason_desc")
+    with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
+        write_raw(reasons, f"{folder}/reason.dat", "reason")
+        load_all(d.spark, folder, "driver", layers, include={"reason"})
+        return settle(d.spark.table(f"{layers.bronze}.reason").select(*reasons.columns))
+
+
 @query
 def full_run_steps(d: DriverTables) -> DataFrame:
     """A whole run over the driver data as raw files.

@@ -11,24 +11,30 @@ from pyspark.sql import types as T
 
 from tallyhouse.sources.runlog import RunLog
 from tallyhouse.sources.lineage import with_lineage
+from tallyhouse.sources.records import cut_records, goes_over_lines
 from tallyhouse.sources.schemas import SCHEMAS
 from tallyhouse.sources.tables import Layers, each, write_counted
 
 TOOL = "splits"  # files are read in splits, whatever their size
 
 
+OPTIONS = {"sep": "|", "mode": "FAILFAST", "nullValue": "", "quote": '"', "escape": '"'}
+
+
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Headerless ``|`` file typed by the table's contract.
 
-    Empty fields are NULL, other words stay text. A quoted field may hold separators and
-    doubled quotes. A value of the wrong type, a row with the wrong number of fields and a
-    line break inside quotes (files are split at line breaks) fail the load. Text is
+    Empty fields are NULL, other words stay text. A quoted field may hold separators, doubled
+    quotes and line breaks; files are read in splits all the same. A value of the wrong type, a
+    row with the wrong number of fields and a quote that does not close fail the load. Text is
     right-trimmed, as fixed-width columns arrive padded.
     """
     schema = SCHEMAS[table]
-    raw = spark.read.csv(
-        path, sep="|", schema=schema, mode="FAILFAST", nullValue="", quote='"', escape='"'
-    )
+    if goes_over_lines(spark, path):
+        fields = F.from_csv("record", schema.simpleString()[len("struct<") : -1].replace(":", " "), OPTIONS)
+        raw = cut_records(spark, path).select(fields.alias("fields"), "_metadata").select("fields.*", "_metadata")
+    else:
+        raw = spark.read.csv(path, schema=schema, **OPTIONS)
     columns = [
         F.rtrim(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in schema.fields

@@ -48,7 +48,7 @@ def test_written_rows_are_read_again(spark, tmp_path):
     assert sorted(rows(read_raw(spark, f"{tmp_path}/reason.dat", "reason"))) == values
 
 
-@pytest.mark.parametrize("bad", ["x|AAAA|text", "1|AAAA", "1|AAAA|text|more", '1|AAAA|"line\nbreak"'])
+@pytest.mark.parametrize("bad", ["x|AAAA|text", "1|AAAA", "1|AAAA|text|more", '1|AAAA|"line\nbreak'])
 def test_malformed_rows_fail_the_load(spark, tmp_path, bad):
     path = write(tmp_path, "reason", f"1|AAAA|fine\n{bad}\n")
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
