@@ -244,22 +244,27 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are not the first of their group.
+    """``docs`` with one row of each group of near duplicates, repeated rows included.
 
     Rows are compared by a hash of id and text, so texts under one id are decided apart and
     rows without id like others. Of a group the smallest id stays, a row without id if there is
-    no other; rows with equal id and text stay or go together, those without id as one.
+    no other; of rows with equal id and text one stays, any of them. Rows without words are in
+    no group and all stay. Other columns are kept, whatever their names.
     """
-    key, found = fresh(docs, "_key", "_gone")
+    key, mark, again = fresh(docs, "_key", "_mark", "_again")
     id_, text = column(docs, id_col).cast("long"), column(docs, text_col)
     keyed = docs.withColumn(key, F.xxhash64(id_, text))
     report = near_duplicates(keyed, key, text_col).where("n_shingles > 0")
-    groups = report.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")).distinct()
+    groups = report.groupBy(F.col("doc_id").alias("key"), F.col("component_id").alias("group"))
+    groups = groups.agg((F.count(F.lit(1)) > 1).alias("repeated"))
     ids = keyed.select(F.col(key).alias("key"), id_.alias("id")).distinct()
     groups = settle(groups.join(ids, "key"))
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("first"))
-    gone = groups.join(first, "group").where("key <> first").select(F.col("key").alias(found)).distinct()
-    kept = keyed.join(gone, keyed[key] == gone[found], "left_anti")
-    nameless = column(kept, id_col).isNull() & column(kept, text_col).cast("string").rlike(WORD)
-    alone = kept.where(nameless).dropDuplicates([key])
-    return kept.where(~F.coalesce(nameless, F.lit(False))).union(alone).drop(key)
+    # Few rows as a rule: keys that go, and keys that are held by several rows and stay.
+    marks = groups.join(first, "group").where("key <> first or repeated").groupBy("key")
+    marks = marks.agg(F.max(F.col("key") != F.col("first")).alias("goes"))
+    marks = settle(marks.select(F.col("key").alias(mark), F.col("goes").alias(again)))
+    once = keyed.join(marks, keyed[key] == marks[mark], "left_anti")
+    stay = marks.where(~F.col(again))
+    one = keyed.join(stay, keyed[key] == stay[mark], "left_semi").dropDuplicates([key])
+    return once.union(one).drop(key)

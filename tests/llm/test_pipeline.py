@@ -80,7 +80,8 @@ def test_repeated_lines_go(outputs):
 def test_one_of_each_group_stays(outputs):
     before = pairs(outputs[1])
     stay = {d for d, _, _, kept in brute_groups(before) if kept} | {None}
-    assert sorted(pairs(outputs[2]), key=str) == sorted([p for p in before if p[0] in stay], key=str)
+    # Rows without id have texts of their own here; a repeated row stays once.
+    assert sorted(pairs(outputs[2]), key=str) == sorted({p for p in before if p[0] in stay}, key=str)
 
 
 def test_sources_are_mixed(outputs):
