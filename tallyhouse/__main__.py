@@ -41,6 +41,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
     run = commands.add_parser("run", help="load, build and check all layers")
     run.add_argument("--data-dir", required=True)
+    run.add_argument("--reuse", action="store_true", help="go on from what an earlier run stored")
 
     bench = commands.add_parser("bench", help="time the benchmark queries")
     bench.add_argument("--phase", choices=["before", "after"], required=True)
@@ -88,7 +89,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
                 args.suite, suite, f"dq_{args.suite}", args.suite
             )
         elif args.command == "run":
-            WarehouseRun(spark, layers, batch).run(args.data_dir)
+            WarehouseRun(spark, layers, batch, reuse=args.reuse).run(args.data_dir)
         elif args.command == "bench":
             plans = benchmark_plans(spark, layers)
             run_id = args.run_id or new_id("perf")

@@ -14,8 +14,10 @@ from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.records import cut_records, goes_over_lines
 from tallyhouse.sources.schemas import SCHEMAS
 from tallyhouse.sources.tables import Layers, each, write_counted
+from tallyhouse.sources.versions import file_versions, fingerprint, made_rows, mark_made
 
 TOOL = "splits"  # files are read in splits, whatever their size
+REUSED = "reused"  # the stored rows are those that the step would make
 
 
 OPTIONS = {"sep": "|", "mode": "FAILFAST", "nullValue": "", "quote": '"', "escape": '"'}
@@ -64,14 +66,23 @@ def load_all(
     layers: Layers,
     include: set[str] | None = None,
     exclude: set[str] | None = None,
+    reuse: bool = False,
 ) -> dict[str, int]:
-    """Load every ``<table>.dat`` found in ``data_dir``; returns rows per loaded table."""
+    """Load every ``<table>.dat`` found in ``data_dir``; returns rows per loaded table.
+
+    With ``reuse`` a table that holds these same files stays as it is, its batch id too.
+    """
     log = RunLog(spark, layers.run_log)
 
     def load(table: str) -> int:
+        path, name = f"{data_dir}/{table}.dat", f"{layers.bronze}.{table}"
         with log.step(batch_id, "bronze", f"load_{table}") as step:
-            rows = load_file(spark, f"{data_dir}/{table}.dat", table, batch_id, layers)
-            step.record(rows_in=rows, rows_out=rows, tool=TOOL)
+            made_from = fingerprint(spark, f"load_{table}", file_versions(spark, path))
+            rows, tool = made_rows(spark, name, made_from) if reuse else None, REUSED
+            if rows is None:
+                rows, tool = load_file(spark, path, table, batch_id, layers), TOOL
+                mark_made(spark, name, made_from, rows)
+            step.record(rows_in=rows, rows_out=rows, tool=tool)
         return rows
 
     wanted = [
