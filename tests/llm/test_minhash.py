@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 
 from tallyhouse.llm import buckets, minhash
-from tallyhouse.llm.components import components
+from tallyhouse.llm import components as components_module
+from tallyhouse.llm.components import components, lowest
 from tests.llm.conftest import ROWS
 
 
@@ -162,3 +163,27 @@ def test_rows_without_id_and_texts_under_one_id(spark):
     rest = [r for r in kept if r not in of_c]
     want = [(1, a), (2, b), (3, None), (None, ""), (None, ""), (None, d), (None, None)]
     assert sorted(rest, key=str) == sorted(want, key=str)
+
+
+def test_lowest_nodes_of_links():
+    draw = np.random.default_rng(1)
+    for n in (1, 30, 200):
+        a, b = draw.integers(0, 150, (2, n))
+        root = {int(x): int(x) for x in (*a, *b)}
+        for _ in root:
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root[x] = root[y] = min(root[x], root[y])
+        nodes, least = lowest(a, b)
+        assert dict(zip(nodes.tolist(), least.tolist(), strict=True)) == root
+
+
+def test_components_over_many_small_tasks(spark, monkeypatch):
+    draw = random.Random(6)
+    links = [(i, i + 1) for i in range(300, 700)] + [(draw.randint(0, 90), draw.randint(0, 90)) for _ in range(50)]
+    links += [(999, i) for i in range(1000, 1100)] + [(1200, i) for i in range(1100, 1200)]
+    a, b = (np.array(x) for x in zip(*links, strict=True))
+    linked = a != b
+    want = dict(zip(*(x.tolist() for x in lowest(a[linked], b[linked])), strict=True))
+    monkeypatch.setattr(components_module, "PER_TASK", 16)
+    got = components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()
+    assert sorted(map(tuple, got)) == sorted(want.items())
