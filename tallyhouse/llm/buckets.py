@@ -56,13 +56,19 @@ def runs(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str,
         yield rest
 
 
-def in_blocks(members: DataFrame, key: str, item: str) -> DataFrame:
+def in_blocks(members: DataFrame, key: str, item: str, facts: DataFrame | None = None) -> DataFrame:
     """Rows of each comparison (``key, i, j``), with their ``side``: a group of at most
-    ``BLOCK`` rows is one, a larger one is cut into blocks, each compared with each."""
+    ``BLOCK`` rows is one, a larger one is cut into blocks, each compared with each.
+
+    ``facts`` of each ``item`` are joined once groups are counted: ``members``, read twice,
+    stays narrow.
+    """
     sizes = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, key).withColumn(
         "side", F.pmod(F.xxhash64(item), F.col("blocks")).cast("int")
     )
+    if facts is not None:
+        dealt = dealt.join(facts, item)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return (
         dealt.select("*", other)
@@ -108,11 +114,11 @@ class Filter:
             wanted[i, j] = (first[i] == second[j]).sum(axis=1) >= self.agree
 
 
-def nearest_pairs(rows: DataFrame, allowed: Filter) -> DataFrame:
+def nearest_pairs(rows: DataFrame, facts: DataFrame, allowed: Filter) -> DataFrame:
     """Pairs ``a < b`` that may be linked, of which one is among the other's ``NEAREST``; and
     for each bucket with more pairs a row with its key in ``b`` and no ``a``.
 
-    ``rows``: ``key id s0 s1 n sig component``.
+    ``rows``: ``key id component``; ``facts``: ``id s0 s1 n sig``.
     """
 
     def near(bits: np.ndarray) -> np.ndarray:
@@ -142,13 +148,15 @@ def nearest_pairs(rows: DataFrame, allowed: Filter) -> DataFrame:
         if crowded:
             yield pd.DataFrame({"a": [None] * len(crowded), "b": crowded}, dtype="Int64")
 
-    return in_blocks(rows, "key", "id").mapInPandas(compare, "a long, b long").distinct()
+    return in_blocks(rows, "key", "id", facts).mapInPandas(compare, "a long, b long").distinct()
 
 
-def links_inside(rows: DataFrame, allowed: Filter, linked: Callable[[bytes, bytes], bool]) -> DataFrame:
+def links_inside(
+    rows: DataFrame, facts: DataFrame, allowed: Filter, linked: Callable[[bytes, bytes], bool]
+) -> DataFrame:
     """Links ``a, b`` that join the components of each bucket, decided on ``payload``.
 
-    With ``keys``, a pair is decided only in the first bucket that both its members are in.
+    ``rows``: ``key id component``; ``facts``: ``id s0 s1 n sig keys payload``. With ``keys``, a pair is decided only in the first bucket that both its members are in.
     """
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,7 +189,7 @@ def links_inside(rows: DataFrame, allowed: Filter, linked: Callable[[bytes, byte
             if links:
                 yield pd.DataFrame(links, columns=["a", "b"])
 
-    return in_blocks(rows, "key", "id").mapInPandas(compare, "a long, b long").distinct()
+    return in_blocks(rows, "key", "id", facts).mapInPandas(compare, "a long, b long").distinct()
 
 
 def linked_components(
@@ -228,7 +236,7 @@ def linked_components(
     found = components(links)
 
     def open_rows(found: DataFrame) -> DataFrame:
-        """Members of the buckets that hold several components."""
+        """Members of the buckets that hold several components: ``key id component``."""
         known = crowded.join(found, "id", "left").select(
             "key", "id", F.coalesce("component", "id").alias("component")
         )
@@ -238,9 +246,9 @@ def linked_components(
             .where("low < high")
             .select("key")
         )
-        return known.join(several, "key", "left_semi").join(sketches, "id")
+        return known.join(several, "key", "left_semi")
 
-    pairs = compact(nearest_pairs(open_rows(found).drop("keys"), allowed))
+    pairs = compact(nearest_pairs(compact(open_rows(found)), sketches.drop("keys"), allowed))
     if pairs.isEmpty():
         return found
     more = verify(pairs.where("a is not null"))
@@ -250,6 +258,6 @@ def linked_components(
     rest = pairs.where("a is null").select(F.col("b").alias("key"))
     if rest.isEmpty():
         return found
-    rows = open_rows(found).join(rest, "key", "left_semi").join(held, "id")
-    more = compact(links_inside(rows, allowed, linked))
+    rows = compact(open_rows(found).join(rest, "key", "left_semi"))
+    more = compact(links_inside(rows, sketches.join(held, "id"), allowed, linked))
     return found if more.isEmpty() else components(links.union(more))
