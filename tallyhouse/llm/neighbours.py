@@ -46,6 +46,7 @@ SHARE = 0.8
 SAMPLE = 20_000  # vectors that centroids are fitted on
 COLUMNS = 16  # columns of one block
 DOUBT = 2.1  # standard errors that a partial distance may be off
+FEW = 0.03  # share of a block's pairs below which they are compared one by one
 SPARE = 10  # candidates kept beyond k until the exact scores decide
 HELD = 200_000  # queries whose results a task holds before it hands them on
 FAR = 1000.0  # times the median length beyond which vectors have a list of their own
@@ -84,21 +85,27 @@ def scan(queries: np.ndarray, points: np.ndarray, bound: np.ndarray) -> tuple[np
     ``bound``: per query, the squared distance to beat.
     """
     dim = queries.shape[1]
-    a, b = np.divmod(np.arange(len(queries) * len(points)), len(points))
-    partial = np.zeros(len(a))
-    dense = True
+    partial = np.zeros((len(queries), len(points)))
+    alive = np.ones(partial.shape, dtype=bool)
+    a = b = None
     for start in range(0, dim, COLUMNS):
         stop = min(start + COLUMNS, dim)
         q, p = queries[:, start:stop], points[:, start:stop]
-        if dense or len(a) > 0.2 * len(queries) * len(points):
-            gap = (q**2).sum(axis=1)[:, None] + (p**2).sum(axis=1) - 2 * q @ p.T
-            partial = partial + (gap.ravel() if len(a) == gap.size else gap[a, b])
-        else:
-            partial = partial + ((q[a] - p[b]) ** 2).sum(axis=1)
         slack = (1 + DOUBT / np.sqrt(stop)) ** 2 if stop < dim else 1 + 1e-5
-        go = partial * (dim / stop) <= slack * bound[a] + 1e-6
-        if not go.all():
-            a, b, partial, dense = a[go], b[go], partial[go], False
+        most = (slack * bound + 1e-6) * (stop / dim)
+        if a is None:
+            partial += (q**2).sum(axis=1)[:, None] + (p**2).sum(axis=1) - 2 * q @ p.T
+            alive &= partial <= most[:, None]
+            if np.count_nonzero(alive) < FEW * alive.size:
+                a, b = np.nonzero(alive)
+                partial = partial[a, b]
+        else:
+            partial += ((q[a] - p[b]) ** 2).sum(axis=1)
+            go = partial <= most[a]
+            a, b, partial = a[go], b[go], partial[go]
+    if a is None:
+        a, b = np.nonzero(alive)
+        partial = partial[a, b]
     return a, b, partial
 
 
@@ -254,8 +261,12 @@ def search(
             usual = run["list"][0] >= 0
             bound = np.array([2 + 2 * g[-1] if usual and len(g) >= most else np.inf for _, g in before])
             bound = np.maximum(bound, 0)
-            a, b, _ = scan(data[asks], data[~asks], bound)
-            gap = -(data[asks] @ data[~asks].T)[a, b]
+            if usual:
+                a, b, distance = scan(data[asks], data[~asks], bound)
+                gap = distance / 2 - 1
+            else:
+                a, b = np.divmod(np.arange(len(who) * len(what)), max(1, len(what)))
+                gap = -(data[asks] @ data[~asks].T).ravel()
             starts = np.searchsorted(a, np.arange(len(who) + 1))
             for i, query in enumerate(who):
                 part = slice(starts[i], starts[i + 1])
