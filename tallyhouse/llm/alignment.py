@@ -1,22 +1,19 @@
-"""Alignment of two tokenizers over the same bytes, by anchors and memoised windows.
+"""Alignment of two tokenizers over the same bytes, word by word.
 
 Every text is tokenised in full by both vocabularies, A (byte-level BPE) over a space and
-the text, B (sentencepiece BPE) over the text, which adds that space. Where both have a
-token that begins with a space and their tokens before it end at the same byte, verified by
-summed token lengths, the document is cut. What lies between two cuts is a window, known by
-its tuple of A ids and tuple of B ids; a window is aligned once and remembered, so a common
-word costs a look-up. Offsets where tokens of both end cut a window into groups; the last
-tokens of a group's two sides end together and are a link.
+the text, B (sentencepiece BPE) over the text, which adds that space. Texts are cut into
+chunks at single spaces between other characters, where both tokenizers always begin a
+token (``_whole`` checks that B's vocabulary allows it), verified by the bytes of the
+tokens; so a text's ids, groups and links are those of its chunks in order. A chunk is
+tokenised and aligned once and remembered, new ones many at once: offsets where tokens of
+both end cut the chunk into groups; the last tokens of a group's two sides end together and
+are a link.
 
 How often an (A id, B id) pair is linked in the whole corpus is counted in slices of some
 ``SLICE`` bytes of text: a slice numbers its pairs, its documents hold these numbers, and
 only one row per slice and pair is shuffled, however often a pair occurs. The counts come
 back to the slices the same way, where each document sums those of its links.
 
-Texts are cut into chunks at single spaces between other characters, where both tokenizers
-always begin a token, and chunks met before are not tokenised again; the ids are those of
-the whole text (``_whole`` checks that B's vocabulary allows it).
-
 Defined cases: texts that are null, empty or whose tokens of either side do not spell the
 space and the text (U+2581, for one) have no tokens: zeros and no groups. A null id is kept;
 repeated rows count and come as often as they are there; very long texts are a slice of
@@ -32,7 +29,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -46,11 +42,13 @@ from tallyhouse.session import settle
 
 SLICE = 16_000_000  # bytes of text
 SLICE_DOCS = 8192
-REMEMBERED = 500_000  # chunks and windows a worker remembers
+BATCH = 500_000  # bytes of text aligned at once
+REMEMBERED = 600_000  # chunks a worker remembers
+LONGEST = 128  # bytes of a chunk that is remembered
 NUMBERED = 2_000_000  # pairs a worker keeps numbers for from task to task
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
-# Blanks beside a space; fixed values: white space beyond ASCII starts with one of these.
-_BESIDE = re.compile(rb"[\t-\r\x1c- ] | [\t-\r\x1c- ]")
+# White space in ASCII, and how that beyond it starts.
+_BLANKS = [bytes([byte]) for byte in b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
 _WIDE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 SPACE = "▁"  # fixed value: the space in the pieces of B
 
@@ -99,24 +97,6 @@ def _whole(path: str) -> bool:
     return all(SPACE not in piece.lstrip(SPACE) for piece in every)
 
 
-class Memory(dict):
-    """What was worked out before. When full it takes no more, so what came early and is
-    therefore frequent stays; it starts anew when much has been missed since."""
-
-    def __init__(self):
-        super().__init__()
-        self.missed = 0
-
-    def keep(self, found: dict) -> None:
-        if len(self) < REMEMBERED:
-            self.update(found)
-        else:
-            self.missed += len(found)
-            if self.missed > 16 * REMEMBERED:
-                self.clear()
-                self.missed = 0
-
-
 class Chunks:
     """Ids of chunks (in UTF-8), each as it is after a space, by both tokenizers."""
 
@@ -126,13 +106,16 @@ class Chunks:
         self.apart = _whole(b_path)
         self.begins_a = np.array([token[:1] == b" " for token in self.a_spelt])
         self.begins_b = np.array([token[:1] == b" " for token in self.b_spelt])
-        self.known = Memory()
 
     def split(self, text: bytes) -> list[bytes]:
         if not self.apart:
             return [text]
-        if not _BESIDE.search(b" " + text + b" ") and not any(blank in text for blank in _WIDE):
-            return text.split(b" ")
+        chunks = text.split(b" ")
+        beside = b"" in chunks or any(
+            blank in text and (blank + b" " in text or b" " + blank in text) for blank in _BLANKS
+        )
+        if not beside and not any(blank in text for blank in _WIDE):
+            return chunks
         return [chunk.encode() for chunk in _BREAK.split(text.decode("utf-8", "replace"))]
 
     def learn(self, chunks: list[bytes]) -> dict[bytes, tuple[bytes, bytes] | None]:
@@ -141,8 +124,8 @@ class Chunks:
         words, others, found = [], [], {}
         for chunk in chunks:
             (words if self.plain(chunk) else others).append(chunk)
-        for begin in range(0, len(words), 500):
-            some = words[begin : begin + 500]
+        for begin in range(0, len(words), 2000):
+            some = words[begin : begin + 2000]
             text = b" ".join(some).decode()
             by_a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
             by_b = self.b.encode([text], num_threads=1)[0]
@@ -198,112 +181,124 @@ class Chunks:
             return self.b.encode([text], num_threads=1)[0]
         return self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
 
-    def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes] | None]:
-        """A ids and B ids of each text, None where a side does not spell it."""
-        cut = [self.split(text) if text else [] for text in texts]
-        new = list(set().union(*cut).difference(self.known))
-        learnt = self.learn(new)
-        out = []
-        for chunks in cut:
-            parts = list(map(self.known.get, chunks))
-            if None in parts:
-                parts = [part or learnt.get(chunk) for part, chunk in zip(parts, chunks, strict=True)]
-            if not parts or None in parts:
-                out.append(None)
-            else:
-                out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
-        self.known.keep(learnt)
-        return out
+
+Aligned = tuple[bytes, bytes, int]  # groups with ; after each, pair numbers, sizes
 
 
-class Windows:
-    """Window alignments by their id tuples; links are pairs of ids, numbered as met."""
+class Aligner:
+    """Alignments by chunk; links are pairs of ids, numbered as met."""
 
-    def __init__(self, a_spelt: list[bytes], b_spelt: list[bytes]):
-        self.length_a, self.space_a = self._facts(a_spelt)
-        self.length_b, self.space_b = self._facts(b_spelt)
-        self.lengths = self.length_a.tolist(), self.length_b.tolist()
-        self.named = [str(i) for i in range(max(len(a_spelt), len(b_spelt)))]
-        self.known = Memory()
+    def __init__(self, chunks: Chunks):
+        self.chunks = chunks
+        self.length_a, self.length_b = (
+            np.array([len(token) for token in spelt], dtype=np.int64)
+            for spelt in (chunks.a_spelt, chunks.b_spelt)
+        )
+        # Decimal ids with a place for what follows; zeros are left out.
+        named = [str(i).encode() for i in range(max(len(self.length_a), len(self.length_b)))]
+        width = len(named[-1]) + 1
+        self.named = np.array(named, f"S{width}").view(np.uint8).reshape(-1, width)
+        self.known: dict[bytes, Aligned | None] = {}
+        self.unspelt: set[bytes] = set()  # those of them that have no alignment
+        self.missed = 0
         self.pairs: dict[int, int] = {}
 
-    @staticmethod
-    def _facts(spelt: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        lengths = np.array([len(token) for token in spelt], dtype=np.int64)
-        return lengths, np.array([token[:1] == b" " for token in spelt])
-
-    def learn(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        """Groups as text and the numbers of the linked pairs, packed."""
-        (lengths_a, lengths_b), named, pairs = self.lengths, self.named, self.pairs
-        a, b = memoryview(key[0]).cast("I").tolist(), memoryview(key[1]).cast("I").tolist()
-        if len(a) == 1 or len(b) == 1:  # the ends of the window are the only ones
-            number = pairs.setdefault(a[-1] << 32 | b[-1], len(pairs))
-            ours, theirs = ",".join([named[i] for i in a]), ",".join([named[i] for i in b])
-            return f"{ours}|{theirs}", number.to_bytes(4, "little")
-        behind = dict(zip(accumulate([lengths_a[i] for i in a]), range(1, len(a) + 1)))
-        groups, numbers, from_a, from_b = [], [], 0, 0
-        for to_b, end in enumerate(accumulate([lengths_b[i] for i in b]), 1):
-            to_a = behind.get(end)
-            if to_a:
-                ours = ",".join([named[i] for i in a[from_a:to_a]])
-                theirs = ",".join([named[i] for i in b[from_b:to_b]])
-                groups.append(f"{ours}|{theirs}")
-                number = pairs.setdefault(a[to_a - 1] << 32 | b[to_b - 1], len(pairs))
-                numbers.append(number.to_bytes(4, "little"))
-                from_a, from_b = to_a, to_b
-        return ";".join(groups), b"".join(numbers)
-
-    def align(self, raw_a: bytes, raw_b: bytes) -> tuple[str, np.ndarray]:
-        """Groups of a document as text, and the numbers of the pairs it links."""
-        a, b = np.frombuffer(raw_a, "<u4"), np.frombuffer(raw_b, "<u4")
-        starts_a = np.cumsum(self.length_a[a]) - self.length_a[a]
-        starts_b = np.cumsum(self.length_b[b]) - self.length_b[b]
-        marked_a, marked_b = np.flatnonzero(self.space_a[a]), np.flatnonzero(self.space_b[b])
-        # Both begin with the space, so there is a first anchor at 0.
-        at = np.searchsorted(starts_b[marked_b], starts_a[marked_a])
-        at = np.minimum(at, len(marked_b) - 1)
-        shared = starts_b[marked_b[at]] == starts_a[marked_a]
-        cuts_a = [*(4 * marked_a[shared]).tolist(), len(raw_a)]
-        cuts_b = [*(4 * marked_b[at[shared]]).tolist(), len(raw_b)]
-        keys = list(zip(
-            [raw_a[i:j] for i, j in zip(cuts_a, cuts_a[1:])],
-            [raw_b[i:j] for i, j in zip(cuts_b, cuts_b[1:])],
+    def forget(self) -> None:
+        self.known.clear()
+        self.unspelt.clear()
+        self.missed = 0
+
+    def learn(self, ids: list[tuple[bytes, bytes]]) -> list[Aligned]:
+        """Chunks as one sequence: the tokens of both sides end together where a chunk ends."""
+        raw_a, raw_b = zip(*ids, strict=True)
+        a, b = np.frombuffer(b"".join(raw_a), "<u4"), np.frombuffer(b"".join(raw_b), "<u4")
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        shared_a = np.isin(ends_a, ends_b, assume_unique=True, kind="table")
+        shared_b = np.isin(ends_b, ends_a, assume_unique=True, kind="table")
+        last_a, last_b = np.flatnonzero(shared_a), np.flatnonzero(shared_b)
+        pairs, place = np.unique(a[last_a].astype(np.int64) << 32 | b[last_b], return_inverse=True)
+        numbers = [self.pairs.setdefault(pair, len(self.pairs)) for pair in pairs.tolist()]
+        links = np.array(numbers, "<i4")[place].tobytes()
+
+        # A group's A ids, then its B ids.
+        count_a, count_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        at_a = np.arange(len(a)) + np.repeat(last_b + 1 - count_b, count_a)
+        at_b = np.arange(len(b)) + np.repeat(last_a + 1, count_b)
+        tokens = np.empty(len(a) + len(b), "<u4")
+        tokens[at_a], tokens[at_b] = a, b
+        written = self.named[tokens]
+        written[:, -1] = ord(",")
+        written[at_a[last_a], -1] = ord("|")
+        written[at_b[last_b], -1] = ord(";")
+        filled = written != 0
+        text = written[filled].tobytes()
+
+        sizes_a = np.array(list(map(len, raw_a)), dtype=np.int64) // 4
+        sizes_b = np.array(list(map(len, raw_b)), dtype=np.int64) // 4
+        end_a, end_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+        text_ends = np.cumsum(filled.sum(axis=1))[end_a + end_b - 1].tolist()
+        link_ends = (4 * np.cumsum(shared_a)[end_a - 1]).tolist()
+        return list(zip(
+            [text[i:j] for i, j in zip([0, *text_ends], text_ends)],
+            [links[i:j] for i, j in zip([0, *link_ends], link_ends)],
+            (sizes_a << 32 | sizes_b).tolist(),
             strict=True,
         ))
-        found = list(map(self.known.get, keys))
-        if None in found:
-            learnt: dict = {}
-            for place, (key, one) in enumerate(zip(keys, found, strict=True)):
-                if one is None:
-                    if key not in learnt:
-                        learnt[key] = self.learn(key)
-                    found[place] = learnt[key]
-            self.known.keep(learnt)
-        text = ";".join([groups for groups, _ in found])
-        return text, np.frombuffer(b"".join([numbers for _, numbers in found]), "<i4")
+
+    def align(self, texts: list[bytes]) -> list[tuple[bytes, np.ndarray, int, int] | None]:
+        """Groups of each text, the numbers of the pairs it links and how many tokens it has;
+        None where a side does not spell it."""
+        cut = [self.chunks.split(text) if text else [] for text in texts]
+        every = set().union(*cut)
+        learnt = self.chunks.learn(list(every.difference(self.known)))
+        spelt = {chunk: ids for chunk, ids in learnt.items() if ids}
+        self.known.update(dict.fromkeys(learnt))
+        self.unspelt.update(learnt.keys() - spelt)
+        if spelt:
+            self.known.update(zip(spelt, self.learn(list(spelt.values())), strict=True))
+        known, unspelt = self.known.__getitem__, every & self.unspelt
+        out = []
+        for chunks in cut:
+            if not chunks or unspelt and not unspelt.isdisjoint(chunks):
+                out.append(None)
+                continue
+            groups, numbers, sizes = zip(*map(known, chunks), strict=True)
+            n_a, n_b = divmod(sum(sizes), 1 << 32)
+            out.append((b"".join(groups)[:-1], np.frombuffer(b"".join(numbers), "<i4"), n_a, n_b))
+        self.keep(list(learnt))
+        return out
+
+    def keep(self, learnt: list[bytes]) -> None:
+        """When full, it takes no more, so what came early and is therefore frequent stays;
+        it starts anew when much has been missed since. Very long chunks are not kept."""
+        room = max(0, REMEMBERED + len(learnt) - len(self.known))
+        self.missed += len(learnt[room:])
+        dropped = learnt[room:] + [chunk for chunk in learnt[:room] if len(chunk) > LONGEST]
+        for chunk in dropped:
+            del self.known[chunk]
+        self.unspelt.difference_update(dropped)
+        if self.missed > 16 * REMEMBERED:
+            self.forget()
 
 
 @cache
-def _tables(a_path: str, b_path: str) -> tuple[Chunks, Windows]:
-    chunks = Chunks(a_path, b_path)
-    return chunks, Windows(chunks.a_spelt, chunks.b_spelt)
+def _aligner(a_path: str, b_path: str) -> Aligner:
+    return Aligner(Chunks(a_path, b_path))
 
 
 class Slice:
     """Documents that share one numbering of pairs."""
 
-    def __init__(self, name: int, windows: Windows, digest: bool):
-        self.name, self.windows, self.digest = name, windows, digest
+    def __init__(self, name: int, aligner: Aligner, digest: bool):
+        self.name, self.pairs, self.digest = name, aligner.pairs, digest
         self.rows: list[tuple] = []
         self.links: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, doc_id, text: bytes, ids: tuple[bytes, bytes] | None) -> None:
-        groups, numbers = self.windows.align(*ids) if ids else ("", np.zeros(0, dtype="<i4"))
-        n_groups = groups.count(";") + 1 if ids else 0
-        told = hashlib.sha256(groups.encode()).hexdigest() if self.digest and ids else groups
-        n_a, n_b = (len(ids[0]) // 4, len(ids[1]) // 4) if ids else (0, 0)
-        self.rows.append((doc_id, n_a, n_b, n_groups, len(numbers), told))
+    def add(self, doc_id, text: bytes, aligned: tuple[bytes, np.ndarray, int, int] | None) -> None:
+        groups, numbers, n_a, n_b = aligned or (b"", np.zeros(0, dtype="<i4"), 0, 0)
+        told = hashlib.sha256(groups).hexdigest() if self.digest and groups else groups.decode()
+        self.rows.append((doc_id, n_a, n_b, len(numbers), len(numbers), told))
         self.links.append(numbers)
         self.size += len(text)
 
@@ -316,9 +311,9 @@ class Slice:
         names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
         out = pd.DataFrame([(None, 0, 0, 0, 0, ""), *self.rows], columns=names)
         out["doc_id"] = out["doc_id"].astype("Int64")
-        totals = np.bincount(np.concatenate(self.links), minlength=len(self.windows.pairs))
+        totals = np.bincount(np.concatenate(self.links), minlength=len(self.pairs))
         used = np.flatnonzero(totals)
-        every = np.fromiter(self.windows.pairs, dtype=np.int64, count=len(self.windows.pairs))
+        every = np.fromiter(self.pairs, dtype=np.int64, count=len(self.pairs))
         number = np.cumsum(totals > 0) - 1
         held = [zlib.compress(every[used].astype("<i8").tobytes() + totals[used].astype("<i8").tobytes(), 1)]
         for links in self.links:
@@ -351,28 +346,28 @@ def align(
     """
 
     def sliced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunks, windows = _tables(a_path, b_path)
-        if len(windows.pairs) > NUMBERED:  # else what earlier tasks learnt goes on
-            windows.pairs.clear()
-            windows.known.clear()
+        aligner = _aligner(a_path, b_path)
+        if len(aligner.pairs) > NUMBERED:  # else what earlier tasks learnt goes on
+            aligner.forget()
+            aligner.pairs.clear()
         task, made = TaskContext.get().partitionId(), 0
-        one = Slice(task << 32, windows, digest)
+        one = Slice(task << 32, aligner, digest)
         for frame in frames:
             texts, begin = list(frame["text"]), 0
             while begin < len(texts):
                 end, size = begin, 0
-                while end < len(texts) and (end == begin or size + len(texts[end]) <= 1_000_000):
+                while end < len(texts) and (end == begin or size + len(texts[end]) <= BATCH):
                     size += len(texts[end])
                     end += 1
                 some = texts[begin:end]
-                for doc_id, text, ids in zip(
-                    frame["doc_id"].iloc[begin:end], some, chunks.encode(some), strict=True
+                for doc_id, text, aligned in zip(
+                    frame["doc_id"].iloc[begin:end], some, aligner.align(some), strict=True
                 ):
-                    one.add(doc_id, text, ids)
+                    one.add(doc_id, text, aligned)
                     if one.full():
                         yield one.frame()
                         made += 1
-                        one = Slice(task << 32 | made, windows, digest)
+                        one = Slice(task << 32 | made, aligner, digest)
                 begin = end
         if one.rows:
             yield one.frame()

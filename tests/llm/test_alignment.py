@@ -115,3 +115,38 @@ def test_digest_and_empty(spark, odd, nothing):
     assert sorted(told, key=str) == digest
     assert alignment.align(nothing, *PATHS).count() == 0
     assert alignment.align(odd, *PATHS).columns == COLUMNS[:6] + COLUMNS[6:]
+
+
+def test_chunks_learnt_together_equal_brute_force(monkeypatch):
+    """All new chunks of a batch are aligned in one call; what is not remembered changes nothing."""
+    words = [f"{chr(97 + i % 26) * (i % 5 + 1)}{i * 7919 % 10007:x},ndé{i}" for i in range(6000)]
+    texts = [" ".join(words[i : i + 300]) for i in range(0, len(words), 300)]
+    texts += [*STRANGE, "", "one ▁ two", texts[3], "\n" + texts[4] + " \n x"]
+    want = brute(list(enumerate(texts)))
+    for remembered, longest in ((1_000_000, 128), (100, 128), (0, 0)):
+        monkeypatch.setattr(alignment, "REMEMBERED", remembered)
+        monkeypatch.setattr(alignment, "LONGEST", longest)
+        aligner = alignment.Aligner(alignment.Chunks(*PATHS))
+        learn, calls = aligner.learn, []
+        monkeypatch.setattr(aligner, "learn", lambda ids, at=learn: calls.append(len(ids)) or at(ids))
+        half = len(texts) // 2
+        found = aligner.align([text.encode() for text in texts[:half]])
+        found += aligner.align([text.encode() for text in texts[half:]])
+        assert len(calls) == 2 and sum(calls) >= len(words)
+        assert all(len(chunk) <= longest for chunk in aligner.known)
+        assert min(remembered, 1) <= len(aligner.known) <= remembered
+        pairs, counts, highest = list(aligner.pairs), Counter(), Counter()
+        linked = [[pairs[i] for i in one[1]] if one else [] for one in found]
+        for links in linked:
+            counts.update(links)
+        for pair, n in counts.items():
+            highest[pair & 0xFFFFFFFF] = max(highest[pair & 0xFFFFFFFF], n)
+        got = [
+            (
+                i, *(one[2:] if one else (0, 0)), len(links), len(links), one[0].decode() if one else "",
+                sum(counts[pair] == highest[pair & 0xFFFFFFFF] for pair in links),
+                sum(counts[pair] for pair in links),
+            )
+            for i, (one, links) in enumerate(zip(found, linked, strict=True))
+        ]
+        assert sorted(got, key=str) == want
