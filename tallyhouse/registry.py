@@ -40,7 +40,7 @@ from tallyhouse.plans import (
     tuning,
 )
 from tallyhouse.plans.full_run import WarehouseRun, run_warehouse
-from tallyhouse.session import settle, shared_dir
+from tallyhouse.session import settle, shared_dir, shuffles_dropped
 from tallyhouse.sources import runlog, seeds
 from tallyhouse.sources.adapter import DriverTables
 from tallyhouse.sources.delimited import load_all, write_raw
@@ -619,7 +619,8 @@ def own_layers(spark: SparkSession) -> Iterator[Layers]:
     layers = Layers(*[f"{layer}_{tag}" for layer in ("bronze", "silver", "gold", "dq")])
     try:
         ensure_layout(spark, layers, f"{shared_dir(spark)}/{tag}")
-        yield layers
+        with shuffles_dropped(spark):
+            yield layers
     finally:
         for database in layers.names():
             if spark.catalog.databaseExists(database):
@@ -643,7 +644,7 @@ def bronze_from_files(d: DriverTables) -> DataFrame:
     """Rows per table after a load of all raw files."""
     with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
         d.write_raw_files(folder)
-        loaded = load_all(d.spark, folder, "driver", layers)
+        loaded = load_all(d.spark, folder, "driver", layers, keep_files=False)
         tables = {name: d.spark.table(f"{layers.bronze}.{name}") for name in loaded}
         return settle(rollups.row_counts(tables))
 

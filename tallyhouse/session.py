@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 # Fixed value: the engine's setting, and the bytecode size beyond which the JVM does not compile.
 COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
+# The engine's setting to drop a query's shuffle files when it ends.
+DROPPED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def keep_compiled(spark: SparkSession) -> SparkSession:
@@ -23,6 +27,20 @@ def keep_compiled(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries planned inside lose their shuffle files as they end, not when the driver comes to
+    collect its garbage, so a chain of writes holds the files of one. For frames that run once:
+    the same frame object run again would have to make the files again.
+    """
+    before = spark.conf.get(DROPPED, None)
+    spark.conf.set(DROPPED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROPPED) if before is None else spark.conf.set(DROPPED, before)
+
+
 def local_session(name: str, cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     settings = {

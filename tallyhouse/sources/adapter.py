@@ -533,10 +533,19 @@ class DriverTables:
         }
 
     def write_raw_files(self, folder: str) -> None:
-        """The raw tables as ``<table>.dat`` text files."""
-        self.share_lines()
+        """The raw tables as ``<table>.dat`` text files, compressed.
+
+        Each table of lines is derived from the orders of its channel alone, one after the
+        other: all lines settled for the six would take more disk than the files.
+        """
         frames = self.raw_tables()
-        each(lambda table: write_raw(frames[table], f"{folder}/{table}.dat", table), frames)
+        large = [*(f"{c}_{kind}" for kind in ("sales", "returns") for c in CHANNELS), "inventory"]
+
+        def write(table: str) -> None:
+            write_raw(frames[table], f"{folder}/{table}.dat", table, packed=True)
+
+        each(write, [table for table in frames if table not in large])
+        each(write, large, at_once=1)
 
     # --- operation logs, from the events table -------------------------------
 

@@ -13,9 +13,15 @@ from tallyhouse.sources.runlog import RunLog
 from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.records import cut_records, goes_over_lines
 from tallyhouse.sources.schemas import SCHEMAS
-from tallyhouse.sources.tables import Layers, each, write_counted
+from tallyhouse.sources.tables import Layers, delete_folder, each, write_counted
 from tallyhouse.sources.versions import file_versions, fingerprint, made_rows, mark_made
 
+PACKED_ROWS = 1_000_000  # of a compressed file
+PACKED = {
+    "compression": "gzip",
+    "zlib.compress.level": "BEST_SPEED",
+    "maxRecordsPerFile": PACKED_ROWS,
+}
 TOOL = "splits"  # files are read in splits, whatever their size
 REUSED = "reused"  # the stored rows are those that the step would make
 
@@ -52,9 +58,13 @@ def load_file(spark: SparkSession, path: str, table: str, batch_id: str, layers:
     return write_counted(rows, f"{layers.bronze}.{table}")
 
 
-def write_raw(df: DataFrame, path: str, table: str) -> None:
-    """Rows as ``|`` text in the table's column order, as ``read_raw`` takes them."""
-    df.select(*SCHEMAS[table].names).write.csv(
+def write_raw(df: DataFrame, path: str, table: str, packed: bool = False) -> None:
+    """Rows as ``|`` text in the table's column order, as ``read_raw`` takes them.
+
+    ``packed`` files are compressed and take a third of the disk; each is read as one split
+    then, so none holds more than ``PACKED_ROWS`` rows.
+    """
+    df.select(*SCHEMAS[table].names).write.options(**(PACKED if packed else {})).csv(
         path, sep="|", quote='"', escape='"', emptyValue="", nullValue="", dateFormat="yyyy-MM-dd"
     )
 
@@ -67,10 +77,13 @@ def load_all(
     include: set[str] | None = None,
     exclude: set[str] | None = None,
     reuse: bool = False,
+    keep_files: bool = True,
 ) -> dict[str, int]:
     """Load every ``<table>.dat`` found in ``data_dir``; returns rows per loaded table.
 
     With ``reuse`` a table that holds these same files stays as it is, its batch id too.
+    Without ``keep_files`` a table's files go once all its rows are stored; those of a failed
+    load stay.
     """
     log = RunLog(spark, layers.run_log)
 
@@ -83,6 +96,8 @@ def load_all(
                 rows, tool = load_file(spark, path, table, batch_id, layers), TOOL
                 mark_made(spark, name, made_from, rows)
             step.record(rows_in=rows, rows_out=rows, tool=tool)
+        if not keep_files:
+            delete_folder(spark, path)
         return rows
 
     wanted = [

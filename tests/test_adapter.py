@@ -1,9 +1,13 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.plans.benchmark_queries import annual_sales_by_channel
 from tallyhouse.plans.silver import tagged_returns, tagged_sales
+from tallyhouse.session import shared_dir
 from tallyhouse.sources.adapter import DriverTables
+from tallyhouse.sources.delimited import read_raw
 from tallyhouse.sources.schemas import SCHEMAS
 
 FOLDER = "/root/testdata/sf0.001"
@@ -81,3 +85,16 @@ def test_bill_and_ship_refunded_and_returning_differ(driver):
     assert sales.where("ws_bill_customer_sk = ws_ship_customer_sk OR ws_bill_cdemo_sk = ws_ship_cdemo_sk").isEmpty()
     returns = driver.raw_returns("catalog")
     assert returns.where("cr_refunded_customer_sk = cr_returning_customer_sk").isEmpty()
+
+
+def test_raw_files_leave_nothing_beside_them(spark, tmp_path):
+    """The files hold the raw tables, and no lines are settled for them."""
+    kept = Path(shared_dir(spark).removeprefix("file:"))
+    settled = set(kept.glob("rdd-*"))
+    DriverTables(spark, FOLDER).write_raw_files(str(tmp_path))
+    assert set(kept.glob("rdd-*")) == settled
+    for name, df in DriverTables(spark, FOLDER).raw_tables().items():
+        assert list((tmp_path / f"{name}.dat").glob("*.csv.gz")), name
+        read = read_raw(spark, f"{tmp_path}/{name}.dat", name).drop("_metadata")
+        text = [F.trim(c).alias(c) if k == "string" else F.col(c) for c, k in df.dtypes if not c.startswith("_")]
+        same_rows(read, df.select(*text))

@@ -1,7 +1,9 @@
 from datetime import UTC, datetime
+from pathlib import Path
 
 import pytest
 
+from tallyhouse.sources import delimited
 from tallyhouse.sources.delimited import load_all, read_raw, write_raw
 from tallyhouse.sources.lineage import with_lineage
 from tallyhouse.sources.runlog import run_log_state
@@ -89,3 +91,20 @@ def test_a_bad_file_fails_its_step(spark, tmp_path, layers):
     state = run_log_state(spark.table(layers.run_log)).first()
     assert (state.status, state.step) == ("failed", "load_reason")
     assert state.message
+
+
+def test_packed_files_are_read_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(delimited.PACKED, "maxRecordsPerFile", 2)
+    values = [(n, str(n), t) for n, t in enumerate(['say "x" | y', None, "two\nlines", "back\\slash", "é,;"])]
+    df = spark.createDataFrame(values, SCHEMAS["reason"]).coalesce(1)
+    write_raw(df, f"{tmp_path}/reason.dat", "reason", packed=True)
+    assert len(list((tmp_path / "reason.dat").glob("part-*.csv.gz"))) == 3
+    assert sorted(rows(read_raw(spark, f"{tmp_path}/reason.dat", "reason"))) == values
+
+
+def test_files_go_once_they_are_loaded(spark, tmp_path, layers):
+    loaded, spoilt = write(tmp_path, "reason", "1|A|a\n"), write(tmp_path, "income_band", "x|0|1\n")
+    with pytest.raises(Exception):
+        load_all(spark, str(tmp_path), "b1", layers, keep_files=False)
+    assert not Path(loaded).exists() and Path(spoilt).exists()
+    assert spark.table(f"{layers.bronze}.reason").count() == 1

@@ -1,3 +1,4 @@
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -42,3 +43,27 @@ def test_generated_methods_stay_compiled(spark, conf):
         assert keep_compiled(spark).conf.get(COMPILED[0]) == "8000"
         spark.conf.set(COMPILED[0], "20000")
         assert keep_compiled(spark).conf.get(COMPILED[0]) == "20000"
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    from tallyhouse.session import DROPPED, shuffles_dropped
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def write(name):
+        """Shuffles that have files when a write has ended, once files on their way out are gone."""
+        before = {b for b in disk.getAllBlocks().mkString(",").split(",") if b.startswith("shuffle_")}
+        spark.range(1000).repartition(3, "id").write.parquet(f"{tmp_path}/{name}")
+        for _ in range(50):
+            now = disk.getAllBlocks().mkString(",").split(",")
+            left = {b for b in now if b.startswith("shuffle_")} - before
+            if not left:
+                break
+            time.sleep(0.1)
+        return left
+
+    assert write("kept")
+    was = spark.conf.get(DROPPED, None)
+    with shuffles_dropped(spark):
+        assert not write("dropped")
+    assert spark.conf.get(DROPPED, None) == was
