@@ -19,6 +19,7 @@ from tallyhouse.sources.tables import Layers, write_parts
 BUCKET_DAYS = 365
 LINES_PER_BUCKET = 2_000_000
 MOST_BUCKETS = 1 << 15
+BUCKETS_AT_ONCE = 32  # of a write, so some 64 million lines are between tasks at a time
 
 
 @dataclass(frozen=True)
@@ -47,14 +48,23 @@ def bucket_bounds(sales: DataFrame) -> tuple[int, int] | None:
 
 def gathered(
     df: DataFrame, placement: Placement, bounds: tuple[int, int], buckets: int, *apart: str
-) -> DataFrame:
+) -> list[DataFrame]:
     """Rows with their ``date_bucket``, those of one date and hash bucket (and equal in
-    ``apart``) in one task; adaptive execution merges small cells and splits a large one."""
+    ``apart``) in one task; adaptive execution merges small cells and splits a large one.
+
+    They come in slices of whole hash buckets, to be written one after the other: a shuffle
+    of all rows at once would take more disk than the table.
+    """
     low, high = map(F.lit, bounds)
     bucket = date_bucket(placement.day, low, high, BUCKET_DAYS)
     cell = F.pmod(F.hash(*placement.keys), F.lit(buckets))  # as the engine places rows
     celled = df.withColumns({"date_bucket": bucket, "_cell": cell})
-    return celled.hint("rebalance", *apart, "date_bucket", "_cell").drop("_cell")
+    firsts = range(0, buckets, BUCKETS_AT_ONCE)
+    slices = [celled.where(F.col("_cell").between(n, n + BUCKETS_AT_ONCE - 1)) for n in firsts]
+    return [
+        part.hint("rebalance", *apart, "date_bucket", "_cell").drop("_cell")
+        for part in (slices if len(slices) > 1 else [celled])
+    ]
 
 
 def store_facts(
@@ -75,7 +85,9 @@ def store_facts(
         clean = getattr(anomalies, fact)(lines).columns
         broken = getattr(anomalies, f"{fact}_anomalies")(lines).columns
         name = f"{layers.silver}.{fact}"
-        flagged = lines.withColumn("broken", F.col("_anomaly_reason").isNotNull())
+        flagged = lines.select(
+            *dict.fromkeys([*clean, *broken]), F.col("_anomaly_reason").isNotNull().alias("broken")
+        )
         rows |= write_parts(
             gathered(flagged, placement, bounds, buckets, "broken"),
             "broken",

@@ -140,10 +140,11 @@ def rewrite_by_date_bucket(spark: SparkSession, layers: Layers) -> tuple[int, in
     for fact, df in rows.items():
         new = f"{layers.silver}.{fact}_bucketed"
         keys = list(PLACEMENTS[fact].keys)
-        placed = gathered(df, PLACEMENTS[fact], bounds, buckets)
         remove_table(spark, new)
-        writer = placed.write.format("parquet").partitionBy("date_bucket").option("path", new_version(spark, new))
-        writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(new)
+        folder = new_version(spark, new)
+        for placed in gathered(df, PLACEMENTS[fact], bounds, buckets):
+            writer = placed.write.format("parquet").option("path", folder).mode("append")
+            writer.partitionBy("date_bucket").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(new)
     dates = with_date_bucket(spark.table(calendar).drop("date_bucket"), *bounds, BUCKET_DAYS)
     write_full(dates, f"{calendar}_bucketed")
     for table in (*[f"{layers.silver}.{f}" for f in facts], calendar):

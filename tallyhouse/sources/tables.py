@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from tallyhouse.sources.schemas import DQ_RESULT, LINEAGE, PERF_LOG, RUN_LOG, SCHEMAS
 
 T = TypeVar("T")
+STORED = {"compression": "zstd"}  # a third less disk than by default
 BEFORE = "version.before"  # table property: the folder that the last switch replaced
 
 
@@ -77,7 +78,8 @@ def write_full(
     """
     spark = df.sparkSession
     folder = path or new_version(spark, table)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer = df.write.options(**STORED)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     try:
         writer.parquet(folder)
     except Exception:
@@ -191,7 +193,7 @@ def remove_table(spark: SparkSession, table: str) -> None:
 
 
 def write_parts(
-    df: DataFrame,
+    slices: list[DataFrame],
     flag: str,
     parts: dict[str, tuple[bool, list[str]]],
     partition_by: list[str] | None = None,
@@ -200,43 +202,50 @@ def write_parts(
 ) -> dict[str, int]:
     """Write rows once, apart by a boolean column, and give each part to a table.
 
+    ``slices`` are frames of the same columns that together hold the rows. They are written one
+    after the other, so that no more than one is on its way between tasks.
     ``parts``: table -> (value of the flag, columns). The tables are external over the
     parts' folders, so rows that feed two tables are derived and written one time. Inside a
     part rows lie by ``partition_by`` and, hashed by ``keys``, in ``buckets``; the files are
     named by bucket, so a part's table has the same buckets. The tables change when all rows
     are written. Returns rows per table, counted on the way.
     """
-    spark = df.sparkSession
+    spark, schema = slices[0].sparkSession, slices[0].schema
     first = next(iter(parts))
     folder, staged = new_version(spark, first), f"{first}__staged"
     partition_by = partition_by or []
-    seen = Observation()
     counts = {
         table: F.count_if(F.col(flag) if value else ~F.col(flag)).alias(table)
         for table, (value, _) in parts.items()
     }
-    writer = df.observe(seen, *counts.values()).write.partitionBy(flag, *partition_by)
+    rows = dict.fromkeys(parts, 0)
     remove_table(spark, staged)  # of a run that was killed
     try:
-        if buckets:
-            writer = writer.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
-            writer.option("path", folder).saveAsTable(staged)
-            spark.sql(f"DROP TABLE {staged}")  # its files stay
-        else:
-            writer.parquet(folder)
+        for df in slices:
+            seen = Observation()
+            writer = df.observe(seen, *counts.values()).write.options(**STORED).mode("append")
+            writer = writer.partitionBy(flag, *partition_by)
+            if buckets:
+                writer = writer.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+                writer.option("path", folder).saveAsTable(staged)
+            else:
+                writer.parquet(folder)
+            rows = {table: n + seen.get[table] for table, n in rows.items()}
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")  # its files stay
     except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
         delete_folder(spark, folder)
         raise
     for table, (value, columns) in parts.items():
         part = f"{folder}/{flag}={str(value).lower()}"
         hashed = buckets if buckets and set(keys) <= set(columns) else 0
-        schema = StructType([df.schema[c] for c in [*columns, *partition_by]])
+        held = StructType([schema[c] for c in [*columns, *partition_by]])
         remove_table(spark, f"{table}__new")
-        create_external(spark, f"{table}__new", schema, part, partition_by, hashed, keys)
+        create_external(spark, f"{table}__new", held, part, partition_by, hashed, keys)
     for table in parts:
         remove_table(spark, table)
         spark.sql(f"ALTER TABLE {table}__new RENAME TO {table}")
-    return {table: seen.get[table] for table in parts}
+    return rows
 
 
 def write_counted(df: DataFrame, table: str, **how) -> int:

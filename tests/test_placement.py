@@ -143,3 +143,53 @@ def test_no_dated_sales(spark, layers, driver):
     }
     placement.store_facts(spark, layers, nothing, (0, 0), 4)
     assert spark.table(f"{layers.silver}.fact_sales").count() == 0
+
+
+def files(spark, table):
+    return list(Path(location(spark, table).removeprefix("file:")).rglob("*.parquet"))
+
+
+def test_facts_written_in_slices_are_whole(spark, layers, driver, monkeypatch):
+    monkeypatch.setattr(placement, "BUCKETS_AT_ONCE", 1)
+    assert len(placement.gathered(driver.sales, placement.PLACEMENTS["fact_sales"], (0, 10**7), 4)) == 4
+    for _ in range(2):
+        rows = build(spark, layers, driver)
+    for fact, tagged in (("fact_sales", driver.tagged_sales), ("fact_returns", driver.tagged_returns)):
+        name = f"{layers.silver}.{fact}"
+        clean = tagged.where("_anomaly_reason IS NULL")
+        assert same(spark.table(name).drop("date_bucket"), clean.select(spark.table(name).columns[:-1]))
+        assert rows[name] == clean.count()
+        assert rows[f"{name}__anomalies"] == spark.table(f"{name}__anomalies").count() > 0
+        assert rows[name] + rows[f"{name}__anomalies"] == tagged.count()
+        # Each cell lies in one slice: no more files than without slices.
+        cell = F.pmod(F.hash(*placement.PLACEMENTS[fact].keys), F.lit(4))
+        assert len(files(spark, name)) <= 2 * spark.table(name).select("date_bucket", cell).distinct().count()
+
+
+def test_a_slice_that_fails_keeps_the_old_facts(spark, layers, driver, monkeypatch):
+    monkeypatch.setattr(placement, "BUCKETS_AT_ONCE", 1)
+    build(spark, layers, driver)
+    folder = Path(location(spark, f"{layers.silver}.fact_sales").removeprefix("file:")).parent.parent
+    before = sorted(folder.iterdir())
+    last = F.pmod(F.hash("item_sk", "sale_order_id"), F.lit(4)) == 3
+    broken = F.when(last, F.raise_error(F.lit("broken row")).cast("int")).otherwise(F.col("quantity"))
+    tagged = {"fact_sales": driver.tagged_sales.withColumn("quantity", broken)}
+    with pytest.raises(Exception, match="broken row"):
+        placement.store_facts(spark, layers, tagged, (0, 10**7), 4)
+    assert spark.table(f"{layers.silver}.fact_sales").count() == driver.sales.count()
+    assert sorted(folder.iterdir()) == before
+    names = {t.name for t in spark.catalog.listTables(layers.silver)}
+    assert not any(name.endswith(("__staged", "__new")) for name in names)
+
+
+def test_slices_without_rows(spark, layers, driver, monkeypatch):
+    monkeypatch.setattr(placement, "BUCKETS_AT_ONCE", 1)
+    test_no_dated_sales(spark, layers, driver)
+
+
+def test_files_hold_the_columns_of_their_tables(spark, layers, driver):
+    build(spark, layers, driver)
+    table = spark.table(f"{layers.silver}.fact_sales")
+    held = spark.read.parquet(*map(str, files(spark, f"{layers.silver}.fact_sales"))).columns
+    assert set(table.columns) - {"date_bucket"} <= set(held) <= {*table.columns, "_anomaly_reason"}
+    assert all(".zstd." in f.name for f in files(spark, f"{layers.silver}.fact_sales"))
