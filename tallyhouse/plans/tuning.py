@@ -22,6 +22,7 @@ from tallyhouse.plans.placement import (
 )
 from tallyhouse.sources.schemas import PERF_LOG
 from tallyhouse.sources.tables import (
+    STORED,
     Layers,
     append_log,
     each,
@@ -143,7 +144,7 @@ def rewrite_by_date_bucket(spark: SparkSession, layers: Layers) -> tuple[int, in
         remove_table(spark, new)
         folder = new_version(spark, new)
         for placed in gathered(df, PLACEMENTS[fact], bounds, buckets):
-            writer = placed.write.format("parquet").option("path", folder).mode("append")
+            writer = placed.write.format("parquet").options(**STORED, path=folder).mode("append")
             writer.partitionBy("date_bucket").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(new)
     dates = with_date_bucket(spark.table(calendar).drop("date_bucket"), *bounds, BUCKET_DAYS)
     write_full(dates, f"{calendar}_bucketed")

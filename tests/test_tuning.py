@@ -3,10 +3,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.plans import tuning
+from tallyhouse.plans import placement, tuning
 from tallyhouse.plans.benchmark_queries import daily_sales_of_month
 from tallyhouse.sources.adapter import DriverTables
-from tallyhouse.sources.tables import append_log, publish, write_full
+from tallyhouse.sources.tables import append_log, location, publish, write_full
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -115,3 +115,18 @@ def test_log_appends(spark, layers):
     append_log(row, layers.dq_result)
     append_log(row, layers.dq_result)
     assert spark.table(layers.dq_result).count() == 2
+
+
+def test_facts_are_rewritten_in_slices(spark, layers, fact, monkeypatch):
+    monkeypatch.setattr(placement, "BUCKETS_AT_ONCE", 1)
+    name = f"{layers.silver}.fact_sales"
+    for _ in range(2):
+        tuning.rewrite_by_date_bucket(spark, layers)
+    for table in (name, f"{name}_unbucketed"):
+        stored = spark.table(table).drop("date_bucket")
+        assert stored.exceptAll(fact.sales).isEmpty() and fact.sales.exceptAll(stored).isEmpty()
+    folder = Path(location(spark, name).removeprefix("file:"))
+    cell = F.pmod(F.hash("item_sk", "sale_order_id"), F.lit(4))
+    cells = spark.table(name).select("date_bucket", cell).distinct().count()
+    found = list(folder.rglob("*.parquet"))
+    assert len(found) <= 2 * cells and all(".zstd." in f.name for f in found)
