@@ -17,7 +17,7 @@ from tallyhouse.plans.tuning import collect_statistics
 from tallyhouse.sources.runlog import RunLog
 from tallyhouse.plans.silver import silver_frames, tagged_returns, tagged_sales
 from tallyhouse.plans.suites import BUILD_TESTS, EXPECTATIONS, Suite
-from tallyhouse.session import keep_compiled, settle
+from tallyhouse.session import keep_compiled, settle, shuffles_dropped
 from tallyhouse.sources.delimited import REUSED, load_all
 from tallyhouse.sources.seeds import dim_channel
 from tallyhouse.sources.tables import (
@@ -63,10 +63,10 @@ class WarehouseRun:
         names = [t.name for t in self.spark.catalog.listTables(database)]
         return {name: self.spark.table(f"{database}.{name}") for name in names}
 
-    def _write(self, layer: str, frames: dict[str, DataFrame]) -> int:
+    def _write(self, layer: str, frames: dict[str, DataFrame], at_once: int = 4) -> int:
         """Store a layer's tables; returns all rows written."""
         database = getattr(self.layers, layer)
-        rows = each(lambda name: write_counted(frames[name], f"{database}.{name}"), frames)
+        rows = each(lambda name: write_counted(frames[name], f"{database}.{name}"), frames, at_once)
         return sum(rows.values())
 
     def check(self, layer: str, suite: Suite, step_name: str, label: str) -> None:
@@ -133,11 +133,21 @@ class WarehouseRun:
             "mart_product_analytics": marts.mart_product_analytics(sales, returns, silver["dim_item"]),
             "mart_channel_comparison": marts.mart_channel_comparison(sales, returns, dates),
         }
-        return self._write("gold", frames)
+        # Each shuffles all lines, so one at a time.
+        return self._write("gold", frames, at_once=1)
 
-    def run(self, data_dir: str) -> str:
-        """Load the folder's ``<table>.dat`` files, then build and check every layer."""
-        load_all(self.spark, data_dir, self.batch_id, self.layers, reuse=self.reuse)
+    def run(self, data_dir: str, keep_files: bool = True) -> str:
+        """Load the folder's ``<table>.dat`` files, then build and check every layer.
+
+        Without ``keep_files`` a table's files go when it is loaded.
+        """
+        with shuffles_dropped(self.spark):
+            return self._run(data_dir, keep_files)
+
+    def _run(self, data_dir: str, keep_files: bool) -> str:
+        load_all(
+            self.spark, data_dir, self.batch_id, self.layers, reuse=self.reuse, keep_files=keep_files
+        )
         self.check("bronze", BUILD_TESTS["bronze"], "tests_bronze", "bronze_tests")
         self.check("bronze", EXPECTATIONS["bronze"], "dq_bronze", "bronze")
         self.build_silver()
@@ -157,6 +167,7 @@ def run_warehouse(
     stop_on_failure: bool = True,
     location: str | None = None,
     reuse: bool = False,
+    keep_files: bool = True,
 ) -> str:
     ensure_layout(spark, layers, location)
-    return WarehouseRun(spark, layers, batch_id, stop_on_failure, reuse).run(data_dir)
+    return WarehouseRun(spark, layers, batch_id, stop_on_failure, reuse).run(data_dir, keep_files)

@@ -679,7 +679,9 @@ def full_run_steps(d: DriverTables) -> DataFrame:
     """
     with own_layers(d.spark) as layers, raw_folder(d.spark) as folder:
         d.write_raw_files(folder)
-        run_warehouse(d.spark, layers, folder, batch_id="driver", stop_on_failure=False)
+        run_warehouse(
+            d.spark, layers, folder, batch_id="driver", stop_on_failure=False, keep_files=False
+        )
         state = runlog.run_log_state(d.spark.table(layers.run_log))
         return settle(state.select("batch_id", "layer", "step", "status", "rows_in", "rows_out"))
 

@@ -144,3 +144,12 @@ def test_command_line(spark, layers, data, capsys):
     planned = benchmark_plans(spark, layers)["daily_sales_one_month"]()
     plan = planned._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_a_run_may_use_its_files_up(spark, layers, data):
+    run_warehouse(spark, layers, str(data), batch_id="b1", keep_files=False)
+    assert not list(data.iterdir())
+    assert spark.table(f"{layers.silver}.fact_sales").count() == 3
+    assert spark.table(f"{layers.gold}.mart_customer_360").count() == 3
+    state = run_log_state(spark.table(layers.run_log)).collect()
+    assert len(state) == 16 and {r.status for r in state} == {"success"}
